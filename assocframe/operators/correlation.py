@@ -6,22 +6,23 @@ pair of columns; ``correlation_matrix`` gives the square form.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assocframe import labels as L
 from assocframe.functions.scalars import round_even
+from assocframe.operators.filters import drop_incomplete
 from assocframe.plans.joins import skew_lookup
 from assocframe.plans.materialize import materialize
 from assocframe.plans.ordering import ranked_values
 from assocframe.roles import col, numeric_columns, to_double
 
-_WIDE = 8  # columns up to which all pairs fit one aggregate
+_NARROW = 4  # columns up to which all pairs fit one aggregate
 _BLOCK = 16  # bits of the x place inside a block of the Kendall count
 
 
@@ -44,7 +45,7 @@ def variance_topk(df: DataFrame, k: int = 20, columns: Sequence[str] | None = No
     """The ``k`` numeric columns of greatest sample variance: ``column, variance``."""
     names = numeric_columns(df) if columns is None else list(columns)
     wide = df.agg(*[F.var_samp(to_double(col(c))).alias(c) for c in names])
-    long = wide.unpivot([], names, "column", "variance")
+    long = wide.unpivot([], [col(c) for c in names], "column", "variance")
     return long.orderBy(F.desc_nulls_last("variance"), "column").limit(k)
 
 
@@ -53,7 +54,7 @@ def top_variance_columns(df: DataFrame, k: int = 20) -> list[str]:
 
 
 def _complete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[to_double(col(c)).alias(c) for c in columns]).dropna("any")
+    return drop_incomplete(df.select(*[to_double(col(c)).alias(c) for c in columns]), columns)
 
 
 def _pairs_to_rows(wide: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -68,22 +69,43 @@ def _pairs_to_rows(wide: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFra
 
 def _pearson(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = list(combinations(columns, 2))
-    if len(columns) <= _WIDE:
+    if len(columns) <= _NARROW:
         wide = complete.agg(*[F.corr(col(a), col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
         return _pairs_to_rows(wide, pairs)
-    # Many columns: one matrix of partial products per task instead of hundreds of aggregates.
-    safe = complete.toDF(*[f"c{i}" for i in range(len(columns))])
-    vectors = VectorAssembler(inputCols=safe.columns, outputCol="v").transform(safe)
-    matrix = Correlation.corr(vectors, "v", "pearson").first()[0].toArray()
-    place = {c: i for i, c in enumerate(columns)}
-    rows = [
-        (a, b, None if (r := float(matrix[place[a], place[b]])) != r else r) for a, b in pairs
-    ]
-    return complete.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
+    # Many columns: one matrix product per batch instead of hundreds of aggregates.
+    k = len(columns)
+    means = np.array(complete.agg(*[F.avg(col(c)) for c in columns]).first(), dtype="float64")
+    rows, cols = np.triu_indices(k)
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((k, k))
+        for batch in batches:
+            centered = batch.to_numpy() - means
+            total += centered.T @ centered
+        yield pd.DataFrame({"cell": rows * k + cols, "s": total[rows, cols]})
+
+    sums = (
+        complete.mapInPandas(products, "cell int, s double")
+        .groupBy("cell")
+        .agg(F.sum("s").alias("s"))
+        # One entry per pair of columns.
+        .agg(F.map_from_entries(F.collect_list(F.struct("cell", "s"))).alias("sums"))
+    )
+
+    def at(i: int, j: int) -> Column:
+        return F.try_element_at("sums", F.lit(i * k + j))
+
+    wide = sums.select(
+        *[
+            (at(i, j) / F.nullif(F.sqrt(at(i, i)) * F.sqrt(at(j, j)), F.lit(0.0))).alias(f"r{n}")
+            for n, (i, j) in enumerate(combinations(range(k), 2))
+        ]
+    )
+    return _pairs_to_rows(wide, pairs)
 
 
 def _rank_tables(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
-    long = complete.unpivot([], list(columns), "column", "value")
+    long = complete.unpivot([], [col(c) for c in columns], "column", "value")
     return materialize(ranked_values(long, "column", "value"))
 
 

@@ -121,6 +121,13 @@ def typed_filter(
     return text_filter(df, column, text)
 
 
+def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows with a value in all of ``columns``."""
+    for c in df.columns if columns is None else columns:
+        df = df.filter(col(c).isNotNull())
+    return df
+
+
 def association_columns(df: DataFrame, roles: Roles | None = None) -> DataFrame:
     """Id, chromosome, position, p, effect, SE and MAF, as far as present."""
     r = roles_of(df, roles)

@@ -8,6 +8,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assocframe import labels as L
 from assocframe.functions.scalars import inflation_band
@@ -17,7 +18,7 @@ from assocframe.plans.quantile import long_values, middle_values
 from assocframe.roles import Roles, col, roles_of
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _chi2_from_p(p: pd.Series) -> pd.Series:
     """Chi-square statistic (1 df) with upper tail ``p``; called on one row per group."""
     normal = NormalDist()

@@ -59,7 +59,7 @@ def distinct_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     cells = df.select(
         *[col(b) for b in by],
         *[F.when(_present(f), col(f.name).cast("string")).alias(f.name) for f in fields],
-    ).unpivot(list(by), [f.name for f in fields], "column", "value")
+    ).unpivot([col(b) for b in by], [col(f.name) for f in fields], "column", "value")
     keys = [*by, "column"]
     return (
         cells.filter(col("value").isNotNull())

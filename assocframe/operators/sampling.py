@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from assocframe import labels as L
 from assocframe.functions.scalars import neg_log10
+from assocframe.operators.filters import drop_incomplete
 from assocframe.plans.joins import lookup_join
 from assocframe.roles import Roles, col, roles_of
 
@@ -129,7 +130,7 @@ def scatter_points(
     seed: int = 42,
 ) -> DataFrame:
     """Rows complete in the plotted ``columns``, at most ``cap`` of them."""
-    complete = df.dropna("any", subset=list(columns))
+    complete = drop_incomplete(df, columns)
     return sample_exact(complete, cap, key, seed).select(*[col(c) for c in columns])
 
 
@@ -145,7 +146,8 @@ def impute_uniform(
 
     Opt-in only: filled values are invented, so ``is_imputed`` marks them.
     """
-    draw = F.pmod(F.xxhash64(F.lit(seed), *[col(k) for k in key]), F.lit(1 << 40)) / float(1 << 40)
+    # 48 bits of the hash as a number in [0, 1).
+    draw = F.conv(F.left(sample_hash(key, seed), F.lit(12)), 16, 10).cast("bigint") / float(1 << 48)
     return df.withColumn("is_imputed", col(column).isNull()).withColumn(
         column, F.coalesce(col(column), F.lit(low) + F.lit(high - low) * draw)
     )

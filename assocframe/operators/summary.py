@@ -39,7 +39,8 @@ def tier_table(df: DataFrame, by: Sequence[str] = (), roles: Roles | None = None
 
 def tier_melt(table: DataFrame, by: Sequence[str]) -> DataFrame:
     """Long form of the tier table without the tier of all rows."""
-    return table.unpivot(list(by), [label for label, level in L.TIERS if level is not None], "tier", "n")
+    tiers = [col(label) for label, level in L.TIERS if level is not None]
+    return table.unpivot([col(b) for b in by], tiers, "tier", "n")
 
 
 def _first_max(key: Column, n: Column) -> Column:

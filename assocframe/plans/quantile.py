@@ -35,7 +35,8 @@ _MARGIN = 2.0 / _ACCURACY
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """``by..., column, value`` with one row per number; text that is no number is dropped."""
     picked = df.select(*[col(b) for b in by], *[to_double(col(c)).alias(c) for c in columns])
-    return picked.unpivot(list(by), list(columns), "column", "value").filter(col("value").isNotNull())
+    long = picked.unpivot([col(b) for b in by], [col(c) for c in columns], "column", "value")
+    return long.filter(col("value").isNotNull())
 
 
 def _choose(values: DataFrame, method: str) -> str:

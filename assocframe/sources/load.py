@@ -80,13 +80,15 @@ def load(
     limit_mb: float = L.SAMPLE_LIMIT_MB,
     columns: Sequence[str] | None = None,
     level: float | None = None,
+    key: Sequence[str] | None = None,
     seed: int = 42,
 ) -> Loaded:
     """Load Parquet files of any headers as one table with canonical names.
 
     ``full`` reads all rows.  ``gwas`` keeps genome-wide significant rows; files
     without a p-value column are loaded whole and named in ``fallback_files``.
-    ``sample`` takes ``cap`` rows when the files exceed ``limit_mb``.
+    ``sample`` takes ``cap`` rows when the files exceed ``limit_mb``; ``key``
+    names columns that identify a row, all columns when it is not given.
     ``level`` adds a p-value filter that reaches the scan in every mode.
     Files with the same header share one scan; each header gets its own roles.
     """
@@ -115,7 +117,7 @@ def load(
     if mode == "sample":
         sampled = total_mb(spark, paths) > limit_mb
         if sampled:
-            df = sample_exact(df, cap, seed=seed)
+            df = sample_exact(df, cap, key, seed)
     used = "full" if mode == "gwas" and set(effective) == {"full"} else mode
     return Loaded(df, resolve_roles(df.columns), used, sampled, tuple(fallback))
 
