@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from assocframe import labels as L
 from assocframe.functions.scalars import inflation_band
 from assocframe.operators.sampling import sample_exact, sample_key
-from assocframe.plans.ordering import global_row_number
+from assocframe.plans.ordering import numbered_values
 from assocframe.plans.quantile import long_values, middle_values
 from assocframe.roles import Roles, col, roles_of
 
@@ -65,7 +65,8 @@ def qq_points(
     """``i, expected, observed``: p-values in order against their even spread.
 
     With ``n`` the points are an exact-size sample and ranked in one small
-    window; ``n=None`` ranks every row of the table by a distributed sort.
+    window; ``n=None`` ranks every row of the table by a distributed sort of
+    its distinct p-values.
     """
     r = roles_of(df, roles)
     r.need("pval")
@@ -77,7 +78,7 @@ def qq_points(
         total = F.count(F.lit(1)).over(Window.partitionBy())
     else:
         points = clean.select(col(r.pval).alias("p"))
-        ranked = global_row_number(points, [col("p")], "i")
+        ranked = numbered_values(points, "p", "i")
         total = points.agg(F.count(F.lit(1))).scalar()
     return ranked.select(
         "i", (-F.log10(col("i") / total)).alias("expected"), (-F.log10("p")).alias("observed")

@@ -67,7 +67,7 @@ def cluster_loci(
     ).filter(col("pos").isNotNull())
 
     lead = F.min(F.struct("pval", "pos", "snp", "effect", "kind", "direct"))
-    cell = F.floor(col("pos") / F.lit(window + 1)) if window >= (1 << 31) else F.expr(f"pos div {window + 1}")
+    cell = col("pos") - F.pmod(col("pos"), F.lit(window + 1))
     cells = variants.groupBy(*group, cell.alias("cell")).agg(
         F.min("pos").alias("start"), F.max("pos").alias("end"), F.count(F.lit(1)).alias("n_snps"), lead.alias("lead")
     )

@@ -101,11 +101,9 @@ def iqr_outliers(
 
 def outlier_rows(df: DataFrame, column: str, method: str = "auto") -> DataFrame:
     """Whole rows whose value lies outside the limits of the column."""
-    limits = iqr_limits(df, [column], method=method)
+    limits = iqr_limits(df, [column], method=method).select(F.struct("low", "high")).scalar()
     value = to_double(col(column))
-    return df.filter(
-        (value < limits.select("low").scalar()) | (value > limits.select("high").scalar())
-    )
+    return df.filter((value < limits.getField("low")) | (value > limits.getField("high")))
 
 
 def sampled_iqr_outliers(

@@ -17,6 +17,7 @@ from assocframe.plans.materialize import materialize
 from assocframe.roles import col
 
 _LOCAL = (1 << 33) - 1
+_PIECE = 1_000_000
 
 
 def _sorted_with_place(df: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -24,22 +25,55 @@ def _sorted_with_place(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return materialize(placed).withColumn("_part", F.shiftright("_place", 33))
 
 
+def _before(*partition: str) -> Window:
+    return Window.partitionBy(*partition).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _expand(df: DataFrame, first: str, copies: str, name: str) -> DataFrame:
+    """``copies`` rows numbered from ``first``; many copies are cut into pieces over all tasks."""
+    ends = col(copies) - 1
+    pieces = df.withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), ends, F.lit(_PIECE))))
+    spread = pieces.repartition("_piece", first)
+    place = F.explode(F.sequence(col("_piece"), F.least(ends, col("_piece") + F.lit(_PIECE - 1))))
+    numbered = spread.withColumn("_copy", place).withColumn(name, col(first) + col("_copy"))
+    return numbered.drop("_piece", "_copy", first, copies)
+
+
 def global_row_number(
     df: DataFrame, order: Sequence[Column], name: str = "row_number", start: int = 1
 ) -> DataFrame:
-    """Number all rows in ``order``.  The order should be total; ties are split freely."""
-    placed = _sorted_with_place(df, order)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per sort partition.
-    offsets = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows")).select(
-        "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
-    number = col("_offset") + col("_place").bitwiseAND(F.lit(_LOCAL)) + F.lit(start)
-    return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, number)
-        .drop("_part", "_place", "_offset")
+    """Number all rows in ``order``.
+
+    Rows that agree in all columns are counted first and numbered as one, and
+    rows that tie in ``order`` are told apart by a hash, so neither copies nor
+    ties end up in one sort partition.
+    """
+    columns = [col(c) for c in df.columns]
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    placed = _sorted_with_place(counted, [*order, F.xxhash64(*columns).asc()])
+    totals = placed.groupBy("_part").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_distinct"))
+    # One row per sort partition reaches the window over partitions.
+    offsets = totals.select("_part", (F.coalesce(F.sum("_rows").over(_before()), F.lit(0)) + start).alias("_offset"))
+    joined = placed.join(F.broadcast(offsets), "_part")
+    kept = [col(c) for c in df.columns]
+    if totals.filter(col("_rows") > col("_distinct")).isEmpty():
+        number = col("_offset") + col("_place").bitwiseAND(F.lit(_LOCAL))
+        return joined.select(*kept, number.alias(name))
+    local = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    first = col("_offset") + F.coalesce(F.sum("_n").over(local), F.lit(0))
+    return _expand(joined.select(*kept, "_n", first.alias("_first")), "_first", "_n", name)
+
+
+def numbered_values(values: DataFrame, value: str, name: str = "i") -> DataFrame:
+    """``name, value`` for every row, numbered from 1 in the order of ``value``.
+
+    Only distinct values are sorted; equal values are laid out after that.
+    """
+    one = values.select(F.lit(0).alias("_key"), col(value))
+    ranked = ranked_values(one, "_key", value).select(
+        col(value), "n", (col("n_before") + 1).alias("_first")
     )
+    return _expand(ranked, "_first", "n", name)
 
 
 def ranked_values(values: DataFrame, key: str, value: str) -> DataFrame:
@@ -51,7 +85,7 @@ def ranked_values(values: DataFrame, key: str, value: str) -> DataFrame:
     """
     counted = values.groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
     placed = _sorted_with_place(counted, [col(key), col(value)])
-    by_part = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    by_part = _before(key)
     # One row per sort partition and key met in it.
     offsets = (
         placed.groupBy("_part", key)

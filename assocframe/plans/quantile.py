@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assocframe.plans.joins import lookup_join
-from assocframe.plans.materialize import plan_bytes
+from assocframe.plans.materialize import materialize, plan_bytes
 from assocframe.roles import col, to_double
 
 PERCENTILE_BYTES = 1 << 30
@@ -102,13 +102,16 @@ def order_statistics(
     keys = list(keys)
     qs = sorted(set(float(q) for q in qs))
     marks = [m for q in qs for m in (max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0))]
-    edges = values.groupBy(*[col(k) for k in keys]).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", [float(m) for m in marks], _ACCURACY).alias("_edges"),
-        *extra,
+    # One row per key, computed once and read by both passes that follow.
+    edges = materialize(
+        values.groupBy(*[col(k) for k in keys]).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.percentile_approx("value", [float(m) for m in marks], _ACCURACY).alias("_edges"),
+            *extra,
+        )
     )
     carried = [c for c in edges.columns if c not in keys and c != "_edges"]
-    celled = lookup_join(values, edges.select(*keys, "_edges", "n"), keys, bounded=bounded).select(
+    celled = lookup_join(values, edges.select(*keys, "_edges", "n"), keys, bounded=bounded, stored=True).select(
         *keys, "n", "value", _cell(len(qs)).alias("_cell")
     )
 

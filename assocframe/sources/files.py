@@ -74,7 +74,9 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _as_uri(path: str) -> str:
-    """``file:/x`` as Spark prints it becomes ``file:///x``."""
+    """Spark's spelling of a path as a URI: ``file:/x`` becomes ``file:///x``, ``s3a`` is ``s3``."""
+    if path.startswith("s3a://"):
+        return "s3://" + path[len("s3a://"):]
     if path.startswith("file:/") and not path.startswith("file://"):
         return "file://" + path[len("file:"):]
     return path if "://" in path else "file://" + path
@@ -108,14 +110,20 @@ def file_totals(inventory: DataFrame) -> DataFrame:
 
 
 def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[list[str], list[str]]]:
-    """``(columns, file paths)`` per distinct header, in path order.
+    """``(columns, paths)`` per distinct header.
 
-    Only path strings reach the driver, which Spark's own file index holds too.
+    Files of one header keep the paths given.  Only if headers differ do file
+    paths reach the driver, which Spark's own file index holds too.
     """
     per_file = (
         read_footers(spark, paths)
         .filter(F.coalesce(F.col("row_group"), F.lit(0)) == 0)
         .select("columns", "file_path")
     )
-    grouped = per_file.groupBy("columns").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
-    return sorted(((r.columns, r.files) for r in grouped.collect()), key=lambda g: g[1][0])
+    distinct = per_file.select("columns").distinct().collect()
+    if len(distinct) == 1:
+        return [(distinct[0].columns, [paths] if isinstance(paths, str) else list(paths))]
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in per_file.orderBy("file_path").toLocalIterator():
+        found.setdefault(tuple(row.columns), []).append(row.file_path)
+    return [(list(names), files) for names, files in found.items()]
