@@ -186,7 +186,7 @@ def _hist(source: str, column: str, bins: int, by: str = "", label: str = "", de
     more = f", {rnd(f'CAST(count(*) AS DOUBLE) / (any_value(total) * ((hi - lo) / {bins}))', 6)} AS density" if density else ""
     return f"""SELECT {lead}'{label or column}' AS "column", CAST(b AS INTEGER) AS bin, {rnd(f'lo + b * ((hi - lo) / {bins})', 6)} AS bin_low,
                  {rnd(f'lo + (b + 1) * ((hi - lo) / {bins})', 6)} AS bin_high, count(*) AS n{more}
-               FROM (SELECT *, coalesce(least(floor((x - lo) / NULLIF(hi - lo, 0) * {bins}), {bins - 1}), 0) AS b
+               FROM (SELECT *, least(coalesce(floor((x - lo) / NULLIF(hi - lo, 0) * {bins}), 0), {bins - 1}) AS b
                      FROM (SELECT *, min(x) OVER ({over}) AS lo, max(x) OVER ({over}) AS hi, count(*) OVER ({over}) AS total
                            FROM (SELECT *, CAST({column} AS DOUBLE) AS x FROM {source} WHERE {column} IS NOT NULL) a) c) d
                GROUP BY {lead}b, lo, hi"""

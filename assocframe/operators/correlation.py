@@ -70,11 +70,25 @@ def _pairs_to_rows(wide: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFra
 def _pearson(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = list(combinations(columns, 2))
     if len(columns) <= _NARROW:
-        wide = complete.agg(*[F.corr(col(a), col(b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+        # corr() itself fails on a constant column under ANSI rules.
+        wide = complete.agg(
+            *[
+                (
+                    F.covar_pop(col(a), col(b))
+                    / F.nullif(F.stddev_pop(col(a)) * F.stddev_pop(col(b)), F.lit(0.0))
+                ).alias(f"r{i}")
+                for i, (a, b) in enumerate(pairs)
+            ]
+        )
         return _pairs_to_rows(wide, pairs)
     # Many columns: one matrix product per batch instead of hundreds of aggregates.
     k = len(columns)
-    means = np.array(complete.agg(*[F.avg(col(c)) for c in columns]).first(), dtype="float64")
+    facts = complete.agg(
+        *[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[(F.min(col(c)) < F.max(col(c))).alias(f"v{i}") for i, c in enumerate(columns)],
+    ).first()
+    means = np.array([facts[f"m{i}"] for i in range(k)], dtype="float64")
+    varies = [bool(facts[f"v{i}"]) for i in range(k)]
     rows, cols = np.triu_indices(k)
 
     def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,7 +99,8 @@ def _pearson(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
         yield pd.DataFrame({"cell": rows * k + cols, "s": total[rows, cols]})
 
     sums = (
-        complete.mapInPandas(products, "cell int, s double")
+        complete.toDF(*[f"c{i}" for i in range(k)])
+        .mapInPandas(products, "cell int, s double")
         .groupBy("cell")
         .agg(F.sum("s").alias("s"))
         # One entry per pair of columns.
@@ -95,12 +110,12 @@ def _pearson(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
     def at(i: int, j: int) -> Column:
         return F.try_element_at("sums", F.lit(i * k + j))
 
-    wide = sums.select(
-        *[
-            (at(i, j) / F.nullif(F.sqrt(at(i, i)) * F.sqrt(at(j, j)), F.lit(0.0))).alias(f"r{n}")
-            for n, (i, j) in enumerate(combinations(range(k), 2))
-        ]
-    )
+    def r(i: int, j: int) -> Column:
+        if not (varies[i] and varies[j]):
+            return F.lit(None).cast("double")
+        return at(i, j) / F.nullif(F.sqrt(at(i, i)) * F.sqrt(at(j, j)), F.lit(0.0))
+
+    wide = sums.select(*[r(i, j).alias(f"r{n}") for n, (i, j) in enumerate(combinations(range(k), 2))])
     return _pairs_to_rows(wide, pairs)
 
 

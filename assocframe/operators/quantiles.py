@@ -171,7 +171,7 @@ def histogram(
         F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count(F.lit(1)).alias("_total")
     )
     share = (col("value") - col("_lo")) / F.nullif(col("_hi") - col("_lo"), F.lit(0.0))
-    place = F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(0)).cast("int")
+    place = F.least(F.coalesce(F.floor(share * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
     width = (col("_hi") - col("_lo")) / bins
     counted = (
         lookup_join(values, bounds, keys, bounded=not by)

@@ -20,6 +20,7 @@ from assocframe.plans.joins import lookup_join
 from assocframe.roles import Roles, col, roles_of
 
 _PREFIX = 4  # hex digits: at most 65,536 counts per group
+_SORTED_LIMIT = 1_000_000  # rows up to which a sample is one top-n sort
 
 
 def sample_hash(key: Sequence[str], seed: int = 42) -> Column:
@@ -36,17 +37,36 @@ def sample_exact(
     df: DataFrame, n: int, key: Sequence[str] | None = None, seed: int = 42
 ) -> DataFrame:
     """Exactly ``n`` rows, or all of them when there are no more than ``n``."""
-    hashed = df.withColumn("_hash", sample_hash(key or df.columns, seed))
+    hashed = df.withColumn("_hash", sample_hash(key or df.columns, seed)).withColumn(
+        "_prefix", F.left("_hash", F.lit(_PREFIX))
+    )
     cutoff = (
-        hashed.groupBy(F.left("_hash", F.lit(_PREFIX)).alias("_prefix"))
+        hashed.groupBy("_prefix")
         .agg(F.count(F.lit(1)).alias("_rows"))
         # At most 65,536 rows reach this window.
         .withColumn("_upto", F.sum("_rows").over(Window.orderBy("_prefix")))
         .filter(col("_upto") >= n)
-        .agg(F.coalesce(F.min("_prefix"), F.lit("g")))
+        .agg(F.min(F.struct("_prefix", (n - col("_upto") + col("_rows")).alias("_wanted"))).alias("_last"))
+        .select(
+            F.struct(
+                F.coalesce("_last._prefix", F.lit("g")).alias("prefix"),
+                F.coalesce("_last._wanted", F.lit(0)).alias("wanted"),
+            )
+        )
+        .scalar()
     )
-    below = F.left("_hash", F.lit(_PREFIX)) <= cutoff.scalar()
-    return hashed.filter(below).orderBy("_hash", *_tie_order(df)).limit(n).drop("_hash")
+    order = [col("_hash"), *_tie_order(df)]
+    if n <= _SORTED_LIMIT:
+        picked = hashed.filter(col("_prefix") <= cutoff.getField("prefix")).orderBy(*order).limit(n)
+    else:
+        # A large sample is not sorted: all rows below the last prefix belong to
+        # it, and only rows of the last prefix, 1/65,536 of the table, are ranked.
+        last = hashed.filter(col("_prefix") == cutoff.getField("prefix"))
+        ranked = last.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
+        picked = hashed.filter(col("_prefix") < cutoff.getField("prefix")).unionByName(
+            ranked.filter(col("_rank") <= cutoff.getField("wanted")).drop("_rank")
+        )
+    return picked.select(*[col(c) for c in df.columns])
 
 
 def _quota_sample(

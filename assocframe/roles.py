@@ -122,7 +122,8 @@ def to_double(column: Column) -> Column:
 
 
 def to_long(column: Column) -> Column:
-    return column.try_cast("double").try_cast("bigint")
+    """Whole number of a number or of text such as ``12`` or ``12.0``, else NULL."""
+    return F.coalesce(column.try_cast("bigint"), to_double(column).try_cast("bigint"))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
