@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,20 +54,36 @@ def _counts(df: DataFrame, by: Sequence[str], approx: bool) -> DataFrame:
     return wide.select(*[col(b) for b in by], F.inline(rows))
 
 
+def _common_type(kind: T.DataType) -> str:
+    """Type under which columns can share one long column without changing what is distinct."""
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return "bigint"
+    return "double" if isinstance(kind, (T.FloatType, T.DoubleType)) else "string"
+
+
 def distinct_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Exact ``column, n_distinct``: one narrow row per cell, made distinct before it is counted."""
-    fields = _profiled(df, by)
-    cells = df.select(
-        *[col(b) for b in by],
-        *[F.when(_present(f), col(f.name).cast("string")).alias(f.name) for f in fields],
-    ).unpivot([col(b) for b in by], [col(f.name) for f in fields], "column", "value")
+    """Exact ``column, n_distinct``.
+
+    Per kind of type, one narrow row per cell is made distinct before it is
+    counted; numbers stay numbers.
+    """
+    groups: dict[str, list[T.StructField]] = {}
+    for field in _profiled(df, by):
+        groups.setdefault(_common_type(field.dataType), []).append(field)
     keys = [*by, "column"]
-    return (
-        cells.filter(col("value").isNotNull())
-        .distinct()
-        .groupBy(*[col(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias("n_distinct"))
-    )
+    counts = []
+    for kind, fields in groups.items():
+        cells = df.select(
+            *[col(b) for b in by],
+            *[F.when(_present(f), col(f.name).cast(kind)).alias(f.name) for f in fields],
+        ).unpivot([col(b) for b in by], [col(f.name) for f in fields], "column", "value")
+        counts.append(
+            cells.filter(col("value").isNotNull())
+            .distinct()
+            .groupBy(*[col(k) for k in keys])
+            .agg(F.count(F.lit(1)).alias("n_distinct"))
+        )
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

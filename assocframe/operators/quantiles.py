@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from assocframe.functions.scalars import log1p_clipped, percent, round_even
 from assocframe.operators.sampling import sample_exact
 from assocframe.plans.joins import lookup_join
-from assocframe.plans.quantile import long_values, quantile_array
+from assocframe.plans.materialize import materialize
+from assocframe.plans.quantile import long_values, order_statistics, quantile_array
 from assocframe.roles import col, to_double
 
 FENCE = 1.5
+_SORTED_SAMPLE = 100_000
 
 
 def exact_quantiles(
@@ -114,22 +116,25 @@ def sampled_iqr_outliers(
     The sample is drawn first and NULLs are dropped after; quartiles are the
     nearest sample values.
     """
-    sample = sample_exact(df, n, key, seed)
-    # At most n numbers, the size of the sample, are sorted here.
-    ordered = sample.select(to_double(col(column)).alias("value")).agg(
-        F.sort_array(F.collect_list("value")).alias("v")
-    )
+    values = long_values(sample_exact(df, n, key, seed), [column])
+    ranks = [0.25, 0.75]
+    if n <= _SORTED_SAMPLE:
+        # At most n numbers are sorted in one place.
+        table = values.agg(F.sort_array(F.collect_list("value")).alias("at"), F.count(F.lit(1)).alias("n"))
+    else:
+        table = order_statistics(materialize(values), ["column"], ranks, (), bounded=True)
 
     def nearest(q: float) -> Column:
-        return F.get("v", F.floor(F.lit(q) * (F.size("v") - 1) + 0.5).cast("int"))
+        place = F.floor(F.lit(q) * (col("n") - 1) + 0.5)
+        return F.get("at", place.cast("int")) if n <= _SORTED_SAMPLE else F.try_element_at("at", place)
 
-    low, high = _fences(nearest(0.25), nearest(0.75))
-    limits = ordered.select(low.alias("low"), high.alias("high"), F.size("v").alias("n_sample"))
-    both = limits.select(F.struct("low", "high")).scalar()
+    low, high = _fences(*[nearest(q) for q in ranks])
+    limits = table.select(F.struct(low.alias("low"), high.alias("high"))).scalar()
     value = to_double(col(column))
-    return df.agg(
-        F.count_if((value < both.getField("low")) | (value > both.getField("high"))).alias("n_outliers"),
-    ).select("n_outliers", both.getField("low").alias("low"), both.getField("high").alias("high"))
+    outside = (value < limits.getField("low")) | (value > limits.getField("high"))
+    return df.agg(F.count_if(outside).alias("n_outliers")).select(
+        "n_outliers", limits.getField("low").alias("low"), limits.getField("high").alias("high")
+    )
 
 
 def box_stats(

@@ -17,9 +17,9 @@ from assocframe import labels as L
 from assocframe.functions.scalars import neg_log10
 from assocframe.operators.filters import drop_incomplete
 from assocframe.plans.joins import lookup_join
+from assocframe.plans.materialize import plan_bytes
 from assocframe.roles import Roles, col, roles_of
 
-_PREFIX = 4  # hex digits: at most 65,536 counts per group
 _SORTED_LIMIT = 1_000_000  # rows up to which a sample is one top-n sort
 
 
@@ -29,6 +29,12 @@ def sample_hash(key: Sequence[str], seed: int = 42) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
 
 
+def _prefix_digits(df: DataFrame) -> int:
+    """Hex digits counted in the first pass: at most 65,536 counts per group."""
+    size = plan_bytes(df)
+    return 2 if size < 64 << 20 else 3 if size < 8 << 30 else 4
+
+
 def _tie_order(df: DataFrame) -> list[Column]:
     return [F.xxhash64(*[col(c) for c in df.columns])]
 
@@ -38,7 +44,7 @@ def sample_exact(
 ) -> DataFrame:
     """Exactly ``n`` rows, or all of them when there are no more than ``n``."""
     hashed = df.withColumn("_hash", sample_hash(key or df.columns, seed)).withColumn(
-        "_prefix", F.left("_hash", F.lit(_PREFIX))
+        "_prefix", F.left("_hash", F.lit(_prefix_digits(df)))
     )
     cutoff = (
         hashed.groupBy("_prefix")
@@ -60,7 +66,8 @@ def sample_exact(
         picked = hashed.filter(col("_prefix") <= cutoff.getField("prefix")).orderBy(*order).limit(n)
     else:
         # A large sample is not sorted: all rows below the last prefix belong to
-        # it, and only rows of the last prefix, 1/65,536 of the table, are ranked.
+        # it, and only rows of the last prefix, at scale 1/65,536 of the table, are
+        # ranked.
         last = hashed.filter(col("_prefix") == cutoff.getField("prefix"))
         ranked = last.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
         picked = hashed.filter(col("_prefix") < cutoff.getField("prefix")).unionByName(
@@ -73,27 +80,28 @@ def _quota_sample(
     df: DataFrame, by: Sequence[str], quota: Column, key: Sequence[str] | None, seed: int
 ) -> DataFrame:
     """Per group the rows with the smallest hashes; ``quota`` sees ``_total``, the group size."""
-    by = list(by)
-    groups = [col(b) for b in by]
-    # Groups are compared NULL-safe through a non-null struct key.
-    hashed = df.withColumn("_hash", sample_hash(key or df.columns, seed)).withColumn(
-        "_group", F.to_json(F.struct(*groups))
-    )
-    counts = hashed.groupBy("_group", F.left("_hash", F.lit(_PREFIX)).alias("_prefix")).agg(
-        F.count(F.lit(1)).alias("_rows")
-    )
-    running = Window.partitionBy("_group").orderBy("_prefix")
+    # NULL is a group too, so groups are compared by text and a NULL flag.
+    keys = [f"_{kind}{i}" for i in range(len(by)) for kind in ("group", "null")]
+    hashed = df.withColumns(
+        {
+            "_hash": sample_hash(key or df.columns, seed),
+            **{f"_group{i}": F.coalesce(col(b).cast("string"), F.lit("")) for i, b in enumerate(by)},
+            **{f"_null{i}": col(b).isNull() for i, b in enumerate(by)},
+        }
+    ).withColumn("_prefix", F.left("_hash", F.lit(_prefix_digits(df))))
+    counts = hashed.groupBy(*keys, "_prefix").agg(F.count(F.lit(1)).alias("_rows"))
+    # At most 65,536 rows per group reach these windows.
+    running = Window.partitionBy(*keys).orderBy("_prefix")
+    last = F.min(F.when(col("_upto") >= col("_quota"), col("_prefix")))
     cutoffs = (
         counts.withColumn("_upto", F.sum("_rows").over(running))
-        .withColumn("_total", F.sum("_rows").over(Window.partitionBy("_group")))
+        .withColumn("_total", F.sum("_rows").over(Window.partitionBy(*keys)))
         .withColumn("_quota", quota.cast("bigint"))
-        .groupBy("_group", "_quota")
-        .agg(F.coalesce(F.min(F.when(col("_upto") >= col("_quota"), col("_prefix"))), F.lit("g")).alias("_cutoff"))
-    )
-    below = lookup_join(hashed, cutoffs, ["_group"]).filter(
-        F.left("_hash", F.lit(_PREFIX)) <= col("_cutoff")
+        .groupBy(*keys, "_quota")
+        .agg(F.coalesce(last, F.lit("g")).alias("_cutoff"))
     )
-    order = Window.partitionBy("_group").orderBy("_hash", *_tie_order(df))
+    below = lookup_join(hashed, cutoffs, keys).filter(col("_prefix") <= col("_cutoff"))
+    order = Window.partitionBy(*keys).orderBy("_hash", *_tie_order(df))
     return (
         below.withColumn("_rank", F.row_number().over(order))
         .filter(col("_rank") <= col("_quota"))

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assocframe.plans.materialize import has_at_most, materialize, plan_bytes
+from assocframe.plans.materialize import fits, has_at_most, materialize, plan_bytes
 from assocframe.roles import col
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 SURELY_SMALL_BYTES = 10 << 20  # Spark's own default limit for a broadcast
 SALTS = 32
 
@@ -28,19 +29,22 @@ def lookup_join(
     """Join ``big`` with the lookup table ``small``, one row per key.
 
     ``bounded`` states that the caller can prove a bound on ``small`` (for
-    example one row per column name), which is then broadcast; so is a table
-    Catalyst itself estimates to be small.  Otherwise the lookup table is
-    computed once (unless it is ``stored`` already) and counted: up to
-    ``max_rows`` rows it is broadcast, beyond that both sides are shuffled on
-    the key plus a salt, so that a key holding a large share of ``big`` is
-    spread over ``salts`` tasks.  Rows without a partner spread the same way.
+    example one row per column name), which is then broadcast.  A table whose
+    estimate is below Spark's own broadcast limit is left to Spark.  Otherwise
+    the lookup table is computed once (unless it is ``stored`` already) and
+    measured: up to ``max_rows`` rows and 64 MB it is broadcast, beyond that
+    both sides are shuffled on the key plus a salt, so that a key holding a
+    large share of ``big`` is spread over ``salts`` tasks.  Rows without a
+    partner spread the same way.
     """
     keys = list(keys)
-    if bounded or plan_bytes(small) <= SURELY_SMALL_BYTES:
+    if bounded:
         return big.join(F.broadcast(small), keys, how)
+    if plan_bytes(small) <= SURELY_SMALL_BYTES:
+        return big.join(small, keys, how)
     if not stored:
         small = materialize(small)
-    if has_at_most(small, max_rows):
+    if fits(small, max_rows, BROADCAST_BYTES):
         return big.join(F.broadcast(small), keys, how)
     return salted_join(big, small, keys, how, salts)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,3 +38,10 @@ def plan_bytes(df: DataFrame) -> int:
 
 def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
+
+
+def fits(df: DataFrame, rows: int, size: int) -> bool:
+    """Whether a table has at most ``rows`` rows and, written out, ``size`` bytes."""
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    head = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return head[0] <= rows and head[1] <= size

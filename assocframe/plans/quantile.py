@@ -111,7 +111,8 @@ def order_statistics(
         )
     )
     carried = [c for c in edges.columns if c not in keys and c != "_edges"]
-    celled = lookup_join(values, edges.select(*keys, "_edges", "n"), keys, bounded=bounded, stored=True).select(
+    ends = [F.get("_edges", F.lit(i)).alias(f"_e{i}") for i in range(len(marks))]
+    celled = lookup_join(values, edges.select(*keys, "n", *ends), keys, bounded=bounded, stored=True).select(
         *keys, "n", "value", _cell(len(qs)).alias("_cell")
     )
 
@@ -144,16 +145,16 @@ def order_statistics(
 
 
 def _cell(quantiles: int) -> Column:
-    """Order-preserving cell number of ``value`` given the bracket ``_edges``.
+    """Order-preserving cell number of ``value`` given the bracket ends ``_e0, _e1, ...``.
 
     Bracket ``i`` owns the cells from ``i * width``: the first is everything
     below the bracket, the others cut the bracket evenly.
     """
     value, width = col("value"), _CELLS + 2
-    cell = F.lit(quantiles * width).cast("bigint")
-    for i in reversed(range(quantiles)):
-        low, high = F.get("_edges", F.lit(2 * i)), F.get("_edges", F.lit(2 * i + 1))
-        share = F.coalesce((value - low) / F.nullif(high - low, F.lit(0.0)), F.lit(0.0))
-        inside = F.lit(i * width + 1) + F.floor(share * _CELLS).cast("bigint")
-        cell = F.when(value <= high, F.when(value < low, F.lit(i * width)).otherwise(inside)).otherwise(cell)
+    cell = F.when(value > col(f"_e{2 * quantiles - 1}"), F.lit(quantiles * width))
+    for i in range(quantiles):
+        low, high = col(f"_e{2 * i}"), col(f"_e{2 * i + 1}")
+        share = F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0))
+        cell = cell.when(value < low, F.lit(i * width))
+        cell = cell.when(value <= high, F.lit(i * width + 1) + F.floor(share * _CELLS).cast("int"))
     return cell

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assocframe import labels as L
-from assocframe.operators.sampling import sample_exact
-from assocframe.roles import Roles, canonical_names, col, resolve_roles, to_double, to_long
+from assocframe.functions.scalars import neg_log10_floor
+from assocframe.operators.sampling import sample_exact, sample_proportional
+from assocframe.roles import MissingRole, Roles, canonical_names, col, resolve_roles, to_double, to_long
 from assocframe.sources.files import headers, list_files
 
 MODES = ("full", "gwas", "sample")
@@ -122,6 +123,58 @@ def load(
     return Loaded(df, resolve_roles(df.columns), used, sampled, tuple(fallback))
 
 
+def load_plot_columns(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    mode: str = "sample",
+    cap: int = L.LIVE_PLOT_ROWS,
+    key: Sequence[str] | None = None,
+    seed: int = 42,
+) -> Loaded:
+    """Chromosome, position, p, id and MAF of files of one header, for a plot.
+
+    Only those columns are read.  ``sample`` takes about ``cap`` rows, each
+    block of each file giving its share.  Rows without a positive p-value are
+    left out and ``neg_log10_p`` is added.
+    """
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    df = scan(spark, paths)
+    r = resolve_roles(df.columns)
+    wanted = [c for c in (r.chr, r.pos, r.pval, r.snp, r.maf) if c is not None]
+    if not wanted:
+        raise MissingRole("no column plays a known role")
+    used = "full" if mode == "gwas" and r.pval is None else mode
+    sampled = False
+    if used == "gwas":
+        df = significant(df, L.GENOME_WIDE, r)
+    elif used == "sample":
+        df, sampled = block_sample(df, wanted, cap, key, seed)
+    if r.pval is not None:
+        df = df.filter(col(r.pval) > 0)
+    narrow = df.select(*[col(c) for c in wanted])
+    out = clean(narrow, resolve_roles(wanted))
+    if r.pval is not None:
+        out = out.withColumn("neg_log10_p", neg_log10_floor(col("pval")))
+    return Loaded(out, resolve_roles(out.columns), used, sampled)
+
+
+def block_sample(
+    df: DataFrame, columns: Sequence[str], cap: int, key: Sequence[str] | None = None, seed: int = 42
+) -> tuple[DataFrame, bool]:
+    """Proportional sample of a file scan, block by block; also tells whether rows were left out."""
+    if df.count() <= cap:
+        return df.select(*[col(c) for c in columns]), False
+    keep = list(dict.fromkeys([*columns, *(key or [])]))
+    placed = df.select(
+        *[col(c) for c in keep],
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    )
+    picked = sample_proportional(placed, cap, ["_file", "_block"], key or keep, seed)
+    return picked.select(*[col(c) for c in columns]), True
+
+
 def total_mb(spark: SparkSession, paths: str | Sequence[str]) -> float:
     total = list_files(spark, paths).agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     return total / 1024**2

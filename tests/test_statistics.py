@@ -65,7 +65,10 @@ def test_outliers_rules(spark):
     assert [r.x for r in Q.outlier_rows(df, "x").collect()] == [1000.0]
 
 
-def test_sampled_outliers_use_nearest_rank_and_full_count(spark):
+@pytest.mark.parametrize("in_one_place", [True, False])
+def test_sampled_outliers_use_nearest_rank_and_full_count(spark, monkeypatch, in_one_place):
+    if not in_one_place:
+        monkeypatch.setattr(Q, "_SORTED_SAMPLE", 0)
     x = list(range(100)) + [10_000] * 3
     df = spark.createDataFrame([(float(i), k) for k, i in enumerate(x)], "x double, k int")
     row = Q.sampled_iqr_outliers(df, "x", n=1000, key=["k"]).first()

@@ -14,7 +14,7 @@ from assocframe.operators.manhattan import manhattan_points
 from assocframe.plans.joins import lookup_join, salted_join
 from assocframe.plans.ordering import global_row_number
 from assocframe.sources.files import file_sizes, file_totals, headers, row_group_inventory
-from assocframe.sources.load import load, read_many, scan_roles, to_pandas, write_csv
+from assocframe.sources.load import load, load_plot_columns, read_many, scan_roles, to_pandas, write_csv
 
 
 def rows_of(df):
@@ -272,6 +272,18 @@ def test_footers(spark, v, folder):
     assert len(headers(spark, folder)) == 3 and len(headers(spark, f"{folder}/adhd.parquet")) == 1
 
 
+def test_plot_columns(spark, v, folder):
+    path = f"{folder}/bpd.parquet"
+    want = v.filter("disorder = 'bpd'").count()
+    whole = load_plot_columns(spark, path)
+    assert not whole.sampled and whole.df.count() == want
+    assert set(whole.df.columns) == {"chr", "pos", "pval", "snp_id", "maf", "neg_log10_p"}
+    some = load_plot_columns(spark, path, cap=200)
+    assert some.sampled and 195 <= some.df.count() <= 200
+    assert load_plot_columns(spark, path, "gwas").df.count() == v.filter("disorder = 'bpd' AND pval < 5e-8").count()
+    assert load_plot_columns(spark, f"{folder}/ptsd.parquet", "gwas").mode == "full"
+
+
 def test_read_many_and_roles_scan(spark, folder):
     assert "P" in read_many(spark, [folder]).columns
     assert set(scan_roles(spark, f"{folder}/bpd.parquet").columns) >= {"P", "#CHR", "BP"}
