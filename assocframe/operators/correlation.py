@@ -24,6 +24,8 @@ from assocframe.roles import col, numeric_columns, to_double
 
 _NARROW = 4  # columns up to which all pairs fit one aggregate
 _BLOCK = 16  # bits of the x place inside a block of the Kendall count
+_DIGIT_BITS = 3
+_BASE = 1 << _DIGIT_BITS
 
 
 def correlatable_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
@@ -145,18 +147,17 @@ def _spearman(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
 def _kendall(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Kendall tau-b without comparing rows with rows.
 
-    Values become dense places.  Two rows differ in y first at one bit of the
-    y place; among rows with equal higher bits, the rows with the bit clear lie
-    below those with the bit set.  So for every bit and every prefix it is
-    enough to count, for the rows with the bit set, how many rows with the bit
-    clear have a smaller and how many a larger x.  Rows of equal (bit, prefix,
-    x) are added up first, and the counting runs inside blocks of x with the
-    block totals carried over, so no task ever holds a whole prefix.
+    Values become dense places.  Written in base 8, two different y places
+    first differ at one digit; so for every digit position and every prefix
+    above it, it is enough to count, digit by digit, the rows with a smaller x.
+    Rows of equal (position, prefix, x) are added up first, and the counting
+    runs inside blocks of x with the block totals carried over, so no task
+    ever holds a whole prefix.
     """
     total = complete.count()
     ranks = _rank_tables(complete, columns)
-    ties = {
-        r["column"]: (r["top"], r["ties"])
+    facts = {
+        r["column"]: (int(r["top"]), float(r["ties"]))
         for r in ranks.groupBy("column")
         .agg(
             F.max("idx").alias("top"),
@@ -164,70 +165,65 @@ def _kendall(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
         )
         .collect()
     }
-    placed = _with_lookup(complete, columns, ranks, col("idx"), total)
     pairs = list(combinations(columns, 2))
+    schema = "pair int, col_a string, col_b string, free_a double, free_b double"
+    if not facts:
+        return complete.sparkSession.createDataFrame(
+            [(a, b, None) for a, b in pairs], "col_a string, col_b string, r double"
+        )
+    placed = _with_lookup(complete, columns, ranks, col("idx"), total)
     # Counts of row pairs fit a long up to 3e9 rows and need a wide decimal beyond.
     number = "bigint" if total < 3_000_000_000 else "decimal(38,0)"
-    cells = (
-        placed.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(i).alias("pair"), col(a).alias("x"), col(b).alias("y"))
-                        for i, (a, b) in enumerate(pairs)
-                    ]
-                )
-            )
+    cells = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = (a, b) if facts[b][0] <= facts[a][0] else (b, a)  # fewer digits to walk through
+        digits = max(1, -(-facts[y][0].bit_length() // _DIGIT_BITS))
+        cells.append(
+            F.struct(F.lit(i).alias("pair"), F.lit(digits).alias("digits"), col(x).alias("x"), col(y).alias("y"))
         )
-        .groupBy("pair", "x", "y")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    bits = max(int(ties[b][0]).bit_length() for _, b in pairs) if total else 0
-    levels = cells.select(
-        "pair", "x", "y", "n", F.explode(F.sequence(F.lit(0), F.lit(max(bits - 1, 0)))).alias("bit")
-    )
-    is_set = F.expr("shiftright(y, bit)").bitwiseAND(F.lit(1)) == 1
     counted = (
-        levels.groupBy("pair", "bit", F.expr("shiftright(y, bit + 1)").alias("prefix"), "x")
-        .agg(
-            F.sum(F.when(is_set, col("n")).otherwise(0)).alias("upper"),
-            F.sum(F.when(is_set, 0).otherwise(col("n"))).alias("lower"),
-        )
+        placed.select(F.inline(F.array(*cells)))
+        .groupBy("pair", "digits", "x", "y")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("pair", "x", "y", "n", F.explode(F.sequence(F.lit(0), col("digits") - 1)).alias("position"))
+        .groupBy("pair", "position", F.expr(f"shiftright(y, {_DIGIT_BITS} * (position + 1))").alias("prefix"), "x")
+        .agg(*[F.sum(F.when(_digit() == d, col("n")).otherwise(0)).alias(f"n{d}") for d in range(_BASE)])
         .withColumn("block", F.shiftright("x", _BLOCK))
     )
-    group = ["pair", "bit", "prefix"]
+    group = ["pair", "position", "prefix"]
     inside = Window.partitionBy(*group, "block").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    # Per block: pairs inside it, plus its totals for the pairs across blocks.
-    lower_before = F.coalesce(F.sum("lower").over(inside), F.lit(0))
-    upper_before = F.coalesce(F.sum("upper").over(inside), F.lit(0))
+    across = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
-        counted.withColumn("_agree", col("upper").cast(number) * lower_before)
-        .withColumn("_clash", col("lower").cast(number) * upper_before)
+        _scored(counted, inside, number)
         .groupBy(*group, "block")
-        .agg(
-            F.sum(col("_agree") - col("_clash")).alias("within"),
-            F.sum("upper").alias("upper"),
-            F.sum("lower").alias("lower"),
-        )
+        .agg(F.sum("score").alias("within"), *[F.sum(f"n{d}").alias(f"n{d}") for d in range(_BASE)])
     )
     score = (
-        blocks.withColumn(
-            "across",
-            col("upper").cast(number) * F.coalesce(F.sum("lower").over(whole), F.lit(0))
-            - col("lower").cast(number) * F.coalesce(F.sum("upper").over(whole), F.lit(0)),
-        )
+        _scored(blocks, across, number)
         .groupBy("pair")
-        .agg(F.sum(col("within") + col("across")).cast("double").alias("s"))
+        .agg(F.sum(col("within") + col("score")).cast("double").alias("s"))
     )
     all_pairs = total * (total - 1) / 2.0
-    facts = complete.sparkSession.createDataFrame(
-        [(i, a, b, float(all_pairs - float(ties[a][1])), float(all_pairs - float(ties[b][1]))) for i, (a, b) in enumerate(pairs)]
-        if total else [],
-        "pair int, col_a string, col_b string, free_a double, free_b double",
+    free = complete.sparkSession.createDataFrame(
+        [(i, a, b, all_pairs - facts[a][1], all_pairs - facts[b][1]) for i, (a, b) in enumerate(pairs)], schema
     )
     tau = col("s") / F.nullif(F.sqrt(col("free_a")) * F.sqrt(col("free_b")), F.lit(0.0))
-    return facts.join(score, "pair", "left").select("col_a", "col_b", tau.alias("r"))
+    return free.join(score, "pair", "left").select("col_a", "col_b", tau.alias("r"))
+
+
+def _digit() -> Column:
+    return F.expr(f"shiftright(y, {_DIGIT_BITS} * position)").bitwiseAND(F.lit(_BASE - 1))
+
+
+def _scored(rows: DataFrame, earlier: Window, number: str) -> DataFrame:
+    """Adds ``score``: pairs in agreement less pairs in disagreement with ``earlier`` rows."""
+    before = {f"_b{d}": F.coalesce(F.sum(f"n{d}").over(earlier), F.lit(0)) for d in range(_BASE)}
+    score = F.lit(0).cast(number)
+    for d in range(_BASE):
+        below = sum((col(f"_b{e}") for e in range(d)), F.lit(0).cast("bigint"))
+        above = sum((col(f"_b{e}") for e in range(d + 1, _BASE)), F.lit(0).cast("bigint"))
+        score = score + col(f"n{d}").cast(number) * (below - above)
+    return rows.withColumns(before).withColumn("score", score).drop(*before)
 
 
 def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:

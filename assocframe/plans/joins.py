@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from assocframe.plans.materialize import fits, has_at_most, materialize, plan_bytes
@@ -13,7 +13,9 @@ from assocframe.roles import col
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 SURELY_SMALL_BYTES = 10 << 20  # Spark's own default limit for a broadcast
-SALTS = 32
+HOT_KEYS = 1_000
+_SAMPLED_BYTES = 256 << 20
+_SPREAD = 4096
 
 
 def lookup_join(
@@ -24,7 +26,6 @@ def lookup_join(
     max_rows: int = BROADCAST_ROWS,
     bounded: bool = False,
     stored: bool = False,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``big`` with the lookup table ``small``, one row per key.
 
@@ -32,10 +33,8 @@ def lookup_join(
     example one row per column name), which is then broadcast.  A table whose
     estimate is below Spark's own broadcast limit is left to Spark.  Otherwise
     the lookup table is computed once (unless it is ``stored`` already) and
-    measured: up to ``max_rows`` rows and 64 MB it is broadcast, beyond that
-    both sides are shuffled on the key plus a salt, so that a key holding a
-    large share of ``big`` is spread over ``salts`` tasks.  Rows without a
-    partner spread the same way.
+    measured: up to ``max_rows`` rows and 64 MB it is broadcast, beyond that it
+    is shuffled, with the most frequent keys of ``big`` split off.
     """
     keys = list(keys)
     if bounded:
@@ -46,16 +45,51 @@ def lookup_join(
         small = materialize(small)
     if fits(small, max_rows, BROADCAST_BYTES):
         return big.join(F.broadcast(small), keys, how)
-    return salted_join(big, small, keys, how, salts)
+    return split_join(big, small, keys, how, frequent_keys(big, keys))
 
 
-def salted_join(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = SALTS
+def frequent_keys(big: DataFrame, keys: Sequence[str], n: int = HOT_KEYS) -> DataFrame:
+    """The ``n`` most frequent keys of a sample of ``big``, computed once.
+
+    They only decide how rows travel, so a sample is enough.
+    """
+    only = big.select(*[col(k) for k in keys])
+    fraction = min(1.0, _SAMPLED_BYTES / max(plan_bytes(only), 1))
+    sample = only if fraction == 1.0 else only.sample(fraction, seed=42)
+    for k in keys:
+        sample = sample.filter(col(k).isNotNull())
+    counted = sample.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    return materialize(counted.orderBy(F.desc("_n")).limit(n).drop("_n"))
+
+
+def split_join(
+    big: DataFrame, small: DataFrame, keys: Sequence[str], how: str, hot: DataFrame
 ) -> DataFrame:
-    salt = F.pmod(F.xxhash64(*[col(c) for c in big.columns]), F.lit(salts)).cast("int")
-    left = big.withColumn("_salt", salt)
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    """Inner or left join in which the keys of ``hot`` meet by broadcast, the others by shuffle.
+
+    ``small`` has one row per key, so its part for the hot keys is as bounded
+    as ``hot`` is.  Rows with a hot key or a NULL key take no part in the
+    shuffle match; a salt no row of ``small`` has spreads them over all tasks.
+    """
+    keys = list(keys)
+    payload = [c for c in small.columns if c not in keys]
+    packed = small.select(*[col(k) for k in keys], F.struct(F.lit(True).alias("_found"), *[col(c) for c in payload]).alias("_row"))
+    known = packed.join(F.broadcast(hot), keys, "left_semi").withColumnRenamed("_row", "_hot")
+    hot_rows = hot.join(known, keys, "left").withColumn("_is_hot", F.lit(True))
+    marked = big.join(F.broadcast(hot_rows), keys, "left")
+    apart = col("_is_hot").isNotNull()
+    for k in keys:
+        apart = apart | col(k).isNull()
+    spread = F.lit(1) + F.pmod(F.xxhash64(*[col(c) for c in big.columns]), F.lit(_SPREAD)).cast("int")
+    marked = marked.withColumn("_salt", F.when(apart, spread).otherwise(F.lit(0)))
+    cold = packed.withColumn("_salt", F.lit(0)).withColumnRenamed("_row", "_cold")
+    joined = marked.join(cold, [*keys, "_salt"], "left").withColumn("_row", F.coalesce("_hot", "_cold"))
+    if how == "inner":
+        joined = joined.filter(F.col("_row._found"))
+    kept = [col(c) for c in big.columns if c not in keys]
+    return joined.select(
+        *[col(k) for k in keys], *kept, *[F.col("_row").getField(c).alias(c) for c in payload]
+    )
 
 
 def skew_lookup(
@@ -70,27 +104,12 @@ def skew_lookup(
 ) -> DataFrame:
     """Replace ``key`` in ``big`` by ``table.value`` of the same key.
 
-    ``table`` has one row per key and knows how many rows of ``big`` hold it.
-    A table of many keys is split: keys holding more than ``1/hot_parts`` of
-    all rows number fewer than ``hot_parts``, so they are broadcast; the rest
-    meet in a shuffle in which no key is hot.  Rows with a hot key take part
-    in that shuffle under a random-looking salt no table row has.
+    ``table`` has one row per key and knows how many rows of ``big`` hold it,
+    so the hot keys need not be guessed: keys holding more than
+    ``1/hot_parts`` of all rows number fewer than ``hot_parts``.
     """
+    small = table.select(col(key), col(value))
     if has_at_most(table, max_rows):
-        small = table.select(col(key), col(value))
         return big.join(F.broadcast(small), key).drop(key)
-    hot_limit = F.lit(total / hot_parts)
-    hot = table.filter(col(count) > hot_limit).select(col(key), col(value).alias("_hot"))
-    cold = table.filter(col(count) <= hot_limit).select(
-        col(key).alias("_cold_key"), F.lit(0).alias("_cold_salt"), col(value).alias("_cold")
-    )
-    marked = big.join(F.broadcast(hot), key, "left")
-    spread = F.when(
-        col("_hot").isNotNull(),
-        F.lit(1) + F.pmod(F.xxhash64(*[col(c) for c in big.columns]), F.lit(4096)).cast("int"),
-    ).otherwise(F.lit(0))
-    marked = marked.withColumn("_cold_salt", spread)
-    on: Column = (marked[key] == cold["_cold_key"]) & (marked["_cold_salt"] == cold["_cold_salt"])
-    joined = marked.join(cold, on, "left")
-    kept = [marked[c] for c in big.columns if c != key]
-    return joined.select(*kept, F.coalesce(col("_hot"), col("_cold")).alias(value))
+    hot = table.filter(col(count) > F.lit(total / hot_parts)).select(col(key))
+    return split_join(big, small, [key], "inner", hot).drop(key)

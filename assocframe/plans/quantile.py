@@ -26,7 +26,7 @@ from assocframe.plans.joins import lookup_join
 from assocframe.plans.materialize import materialize, plan_bytes
 from assocframe.roles import col, to_double
 
-PERCENTILE_BYTES = 1 << 30
+PERCENTILE_BYTES = 32 << 20
 _CELLS = 4096
 _ACCURACY = 10_000
 _MARGIN = 2.0 / _ACCURACY

@@ -11,7 +11,7 @@ from assocframe.operators import sampling as S
 from assocframe.operators import summary as M
 from assocframe.operators.annotate import annotate, with_traits, with_variant_facts
 from assocframe.operators.manhattan import manhattan_points
-from assocframe.plans.joins import lookup_join, salted_join
+from assocframe.plans.joins import frequent_keys, lookup_join, split_join
 from assocframe.plans.ordering import global_row_number
 from assocframe.sources.files import file_sizes, file_totals, headers, row_group_inventory
 from assocframe.sources.load import load, load_plot_columns, read_many, scan_roles, to_pandas, write_csv
@@ -49,7 +49,8 @@ def test_lookup_join_without_broadcast_gives_the_same(spark, monkeypatch, how):
     monkeypatch.setattr(J, "SURELY_SMALL_BYTES", 0)
     assert rows_of(lookup_join(big, small, ["k"], how)) == want
     assert rows_of(lookup_join(big, small, ["k"], how, max_rows=2)) == want
-    assert rows_of(salted_join(big, small, ["k"], how, 4)) == want
+    for hot in (frequent_keys(big, ["k"], 3), spark.createDataFrame([(6,), (0,)], "k int"), spark.createDataFrame([], "k int")):
+        assert rows_of(split_join(big, small, ["k"], how, hot)) == want
 
 
 # Samples --------------------------------------------------------------------------
