@@ -22,7 +22,7 @@ from assocframe.plans.materialize import materialize
 from assocframe.plans.ordering import ranked_values
 from assocframe.roles import col, numeric_columns, to_double
 
-_NARROW = 4  # columns up to which all pairs fit one aggregate
+_NARROW = 6  # columns up to which all pairs fit one aggregate
 _BLOCK = 16  # bits of the x place inside a block of the Kendall count
 _DIGIT_BITS = 3
 _BASE = 1 << _DIGIT_BITS
