@@ -25,6 +25,7 @@ from assocframe.roles import col, numeric_columns, to_double
 _NARROW = 6  # columns up to which all pairs fit one aggregate
 _BLOCK = 16  # bits of the x place inside a block of the Kendall count
 _DIGIT_BITS = 3
+_LONG_ROWS = 3_000_000_000
 _BASE = 1 << _DIGIT_BITS
 
 
@@ -173,7 +174,7 @@ def _kendall(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
         )
     placed = _with_lookup(complete, columns, ranks, col("idx"), total)
     # Counts of row pairs fit a long up to 3e9 rows and need a wide decimal beyond.
-    number = "bigint" if total < 3_000_000_000 else "decimal(38,0)"
+    number = "bigint" if total < _LONG_ROWS else "decimal(38,0)"
     cells = []
     for i, (a, b) in enumerate(pairs):
         x, y = (a, b) if facts[b][0] <= facts[a][0] else (b, a)  # fewer digits to walk through

@@ -20,7 +20,7 @@ from assocframe.plans.joins import lookup_join
 from assocframe.plans.materialize import plan_bytes
 from assocframe.roles import Roles, col, roles_of
 
-_SORTED_LIMIT = 1_000_000  # rows up to which a sample is one top-n sort
+_SORTED_LIMIT = 500_000  # rows up to which a sample is one top-n sort
 
 
 def sample_hash(key: Sequence[str], seed: int = 42) -> Column:

@@ -138,6 +138,7 @@ def test_rank_correlation_through_the_shuffled_lookup_and_small_blocks(spark, mo
     import assocframe.plans.joins as J
 
     monkeypatch.setattr(C, "_BLOCK", 3)
+    monkeypatch.setattr(C, "_LONG_ROWS", 0)
     monkeypatch.setattr(J, "has_at_most", lambda df, rows: False)
     pdf = corr_frame(300, 5)
     pdf.loc[:150, "a"] = 4.0

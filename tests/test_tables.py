@@ -285,6 +285,13 @@ def test_plot_columns(spark, v, folder):
     assert load_plot_columns(spark, f"{folder}/ptsd.parquet", "gwas").mode == "full"
 
 
+def test_summary_per_file_with_sizes(spark, v, folder):
+    sizes = file_sizes(spark, folder).select(F.col("file_name").alias("source_file"), "mb", F.col("n_rows").alias("file_rows"))
+    rows = {r.source_file: r for r in M.dataset_summary(load(spark, folder).df, "source_file", sizes).collect()}
+    assert len(rows) == 3 and all(r.mb > 0 and r.file_rows == r.n_rows for r in rows.values())
+    assert rows["ptsd.parquet"].n_nominal == 0 and rows["ptsd.parquet"].n_empty_columns == 2
+
+
 def test_read_many_and_roles_scan(spark, folder):
     assert "P" in read_many(spark, [folder]).columns
     assert set(scan_roles(spark, f"{folder}/bpd.parquet").columns) >= {"P", "#CHR", "BP"}
