@@ -164,23 +164,29 @@ def csv_roundtrip(spark, sf):
 _CODES = (*L.CONSEQUENCES, "splice_region_variant")
 
 
-def _code_sql(text: str) -> str:
-    whens = " ".join(f"WHEN {i} THEN '{c.replace(chr(39), chr(39) * 2)}'" for i, c in enumerate(_CODES))
-    return f"CASE p_size % {len(_CODES) + 1} {whens} END"
+_CODE_SQL = (
+    f"CASE p_size % {len(_CODES) + 1} "
+    + " ".join(f"WHEN {i} THEN '{code}'" for i, code in enumerate(_CODES))
+    + " END"
+)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
 def _label_sql(code: str) -> str:
-    known = " ".join(f"WHEN '{c}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for c, v in L.CONSEQUENCES.items())
+    known = " ".join(f"WHEN '{c}' THEN {_quoted(v)}" for c, v in L.CONSEQUENCES.items())
     readable = f"replace(coalesce({code}, 'Desconocida'), '_', ' ')"
     return f"CASE {code} {known} ELSE upper(left({readable}, 1)) || lower(substr({readable}, 2)) END"
 
 
 @query(
     "consequence_labels",
-    f"SELECT p_partkey, {_code_sql('')} AS code, {_label_sql(_code_sql(''))} AS label FROM part",
+    f"SELECT p_partkey, {_CODE_SQL} AS code, {_label_sql(_CODE_SQL)} AS label FROM part",
 )
 def consequence_labels(spark, sf):
-    coded = table(spark, sf, "part").select("p_partkey", F.expr(_code_sql("").replace("''", "\\'")).alias("code"))
+    coded = table(spark, sf, "part").select("p_partkey", F.expr(_CODE_SQL).alias("code"))
     return coded.withColumn("label", consequence_label(F.col("code")))
 
 
