@@ -29,6 +29,7 @@ from assocframe.operators.quantiles import (
 )
 from assocframe.operators.sampling import (
     impute_uniform,
+    pval_maf_points,
     pvalue_sample_per_disorder,
     sample_exact,
     sample_proportional,
@@ -425,6 +426,14 @@ def scatter_extract(spark, sf):
     return scatter_points(variants(spark, sf, row_key=True), ["maf", "pval"], 15_000, ["row_key"])
 
 
+@query(
+    "scatter_pval_maf",
+    with_v(f"SELECT maf, coalesce(pval, 1) AS pval FROM V WHERE maf IS NOT NULL ORDER BY {_V_HASH} LIMIT 15000", row_key=True),
+)
+def scatter_pval_maf(spark, sf):
+    return pval_maf_points(variants(spark, sf, row_key=True), key=["row_key"])
+
+
 @query(
     "impute_uniform_flagged",
     with_v(

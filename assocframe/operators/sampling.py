@@ -18,7 +18,7 @@ from assocframe.functions.scalars import neg_log10
 from assocframe.operators.filters import drop_incomplete
 from assocframe.plans.joins import lookup_join
 from assocframe.plans.materialize import plan_bytes
-from assocframe.roles import Roles, col, roles_of
+from assocframe.roles import SCATTER_ALIASES, MissingRole, Roles, col, pick, roles_of, to_double
 
 _SORTED_LIMIT = 500_000  # rows up to which a sample is one top-n sort
 
@@ -162,6 +162,29 @@ def scatter_points(
     return sample_exact(complete, cap, key, seed).select(*[col(c) for c in columns])
 
 
+def pval_maf_points(
+    df: DataFrame,
+    cap: int = 15_000,
+    key: Sequence[str] | None = None,
+    seed: int = 42,
+    impute: bool = False,
+) -> DataFrame:
+    """``maf, pval`` points; a missing p counts as 1, a missing MAF is left out.
+
+    ``impute=True`` fills missing MAF with flagged random numbers instead.
+    """
+    p, maf = (pick(df.columns, SCATTER_ALIASES[role]) for role in ("pval", "maf"))
+    if p is None or maf is None:
+        raise MissingRole("no columns play the roles pval and maf of a scatter")
+    key = list(key or df.columns)
+    points = df.withColumns({"_maf": to_double(col(maf)), "_p": F.coalesce(to_double(col(p)), F.lit(1.0))})
+    if impute:
+        points = impute_uniform(points, "_maf", key, seed=seed)
+    picked = sample_exact(drop_incomplete(points, ["_maf"]), cap, key, seed)
+    flag = [col("is_imputed")] if impute else []
+    return picked.select(col("_maf").alias("maf"), col("_p").alias("pval"), *flag)
+
+
 def impute_uniform(
     df: DataFrame,
     column: str,

@@ -13,6 +13,7 @@ from assocframe.operators.annotate import annotate, with_traits, with_variant_fa
 from assocframe.operators.manhattan import manhattan_points
 from assocframe.plans.joins import frequent_keys, lookup_join, split_join
 from assocframe.plans.ordering import global_row_number
+from assocframe.roles import MissingRole
 from assocframe.sources.files import file_sizes, file_totals, headers, row_group_inventory
 from assocframe.sources.load import load, load_plot_columns, read_many, scan_roles, to_pandas, write_csv
 
@@ -93,6 +94,15 @@ def test_imputed_values_are_flagged_and_in_range(v):
     assert out.filter("NOT is_imputed").count() == v.filter("maf IS NOT NULL").count()
 
 
+def test_pval_maf_points(spark):
+    df = spark.createDataFrame([(1, "0.5", 0.1), (2, "bad", 0.2), (3, None, None), (4, "0.3", None)], "k int, PALVALUE string, MAF double")
+    assert rows_of(S.pval_maf_points(df)) == [(0.1, 0.5), (0.2, 1.0)]
+    filled = S.pval_maf_points(df, impute=True).collect()
+    assert len(filled) == 4 and sum(r.is_imputed for r in filled) == 2
+    with pytest.raises(MissingRole):
+        S.pval_maf_points(df.drop("MAF"))
+
+
 # Filters --------------------------------------------------------------------------
 
 
