@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from assocframe import labels as L
 from assocframe.functions.scalars import neg_log10
 from assocframe.operators.filters import drop_incomplete
 from assocframe.plans.joins import lookup_join
@@ -205,9 +204,14 @@ def impute_uniform(
 
 
 def sample_key(df: DataFrame, roles: Roles | None = None) -> list[str]:
-    """Columns that identify a variant, as far as the table has them."""
-    r = roles_of(df, roles)
-    found = [c for c in (r.disorder, r.snp, r.chr, r.pos) if c is not None]
-    return found or list(df.columns)
-
+    """Columns that tell variants apart; all columns when there is neither id nor position.
 
+    A short key lets the first pass of a sample read only these columns.  The
+    numbers are part of it so that rows without an id do not share one hash.
+    """
+    r = roles_of(df, roles)
+    if r.snp is None and r.pos is None:
+        return list(df.columns)
+    source = "source_file" if "source_file" in df.columns else None
+    found = (r.disorder, r.snp, r.chr, r.pos, r.pval, r.effect, source)
+    return [c for c in found if c is not None]

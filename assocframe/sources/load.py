@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from assocframe import labels as L
 from assocframe.functions.scalars import neg_log10_floor
-from assocframe.operators.sampling import sample_exact, sample_proportional
+from assocframe.operators.sampling import sample_exact, sample_key, sample_proportional
 from assocframe.roles import MissingRole, Roles, canonical_names, col, resolve_roles, to_double, to_long
 from assocframe.sources.files import headers, list_files
 
@@ -89,7 +89,7 @@ def load(
     ``full`` reads all rows.  ``gwas`` keeps genome-wide significant rows; files
     without a p-value column are loaded whole and named in ``fallback_files``.
     ``sample`` takes ``cap`` rows when the files exceed ``limit_mb``; ``key``
-    names columns that identify a row, all columns when it is not given.
+    names columns that identify a row, by default disorder, id and position.
     ``level`` adds a p-value filter that reaches the scan in every mode.
     Files with the same header share one scan; each header gets its own roles.
     """
@@ -118,7 +118,7 @@ def load(
     if mode == "sample":
         sampled = total_mb(spark, paths) > limit_mb
         if sampled:
-            df = sample_exact(df, cap, key, seed)
+            df = sample_exact(df, cap, key or sample_key(df), seed)
     used = "full" if mode == "gwas" and set(effective) == {"full"} else mode
     return Loaded(df, resolve_roles(df.columns), used, sampled, tuple(fallback))
 

@@ -2,7 +2,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from assocframe.operators.loci import cluster_loci, loci_summary, presence_matrix
 from assocframe.operators.overlap import overlap_counts, overlap_loci, pair_counts, pair_loci
