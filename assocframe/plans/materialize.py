@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,16 +9,15 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder of the session.
 
-    A cluster names it in ``spark.checkpoint.dir``; only a local session
-    without that setting gets a folder of its own.
+    A cluster names it in ``spark.checkpoint.dir``.  A session without that
+    setting uses a folder below the warehouse, which all executors share too;
+    nothing goes to a folder of one machine.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            configured = tempfile.mkdtemp(prefix="assocframe-checkpoint-")
+            configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
