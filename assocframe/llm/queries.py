@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from assocframe.llm import bytecnn, quality
+from assocframe.llm import bytecnn, mixing, packing, quality, simhash
 from assocframe.llm.common import documents
+from assocframe.llm.encoding import vocabulary
+from assocframe.plans.materialize import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,8 +33,27 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, model)
 
 
+@query("op2_source_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = materialize(mixing.sizes(documents(spark, sf_dir)))
+    mixed = mixing.mix(sized, mixing.decisions(sized))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken, "copies")
+
+
 @query("op4_language_id")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = bytecnn.held_out_fold()
     return bytecnn.identify(docs, bytecnn.learn_languages(docs, ~held_out), held_out)
+
+
+@query("op5_simhash_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
+
+
+@query("op10_best_fit_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(documents(spark, sf_dir), vocabulary("word_bpe_49k.json")))
