@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assocframe.llm import bytecnn, mixing, packing, quality, simhash
-from assocframe.llm.common import documents
+from assocframe.llm import bytecnn, mixing, ngram, packing, quality, quotes, simhash, syncmers, warc, wavelet
+from assocframe.llm.common import documents, fold_of
 from assocframe.llm.encoding import vocabulary
 from assocframe.plans.materialize import materialize
 
@@ -41,6 +41,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken, "copies")
 
 
+@query("op3_wavelet_matrix")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, manifest = wavelet.write_shards(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+    return wavelet.with_starts(wavelet.read_shards(spark, folder), manifest)
+
+
 @query("op4_language_id")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
@@ -54,6 +60,37 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
 
+@query("op6_quotation_linking")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query("op7_ngram_trie")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = fold_of("doc_id", 7) == 2
+    return ngram.score_documents(docs, ngram.train(docs.filter(~held_out).select("text")), held_out)
+
+
+@query("op8_syncmer_fingerprints")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_likeness(documents(spark, sf_dir))
+
+
+_OP9 = """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+  m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p),
+  r AS (SELECT *, CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM last THEN last END AS refers_to FROM m)
+  SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM r"""
+
+
+@query("op9_warc_zstd", _OP9)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, written = warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    written.count()
+    return warc.read_archives(spark, folder)
+
+
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(documents(spark, sf_dir), vocabulary("word_bpe_49k.json")))
