@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
+from assocframe import labels as L
 from assocframe.catalogue.registry import CHR_RANK, pct, query, rnd, with_v
 from assocframe.fixtures import DISORDERS, table, variants
-from assocframe.functions.scalars import chr_rank, inflation_band, neg_log10, percent_text, round_even
+from assocframe.functions.scalars import chi2_from_p_sql, chr_rank, inflation_band, neg_log10, percent_text, round_even
 from assocframe.operators.filters import (
     association_columns,
     association_filter,
@@ -42,8 +44,10 @@ from assocframe.operators.summary import (
 )
 from assocframe.plans.materialize import shared_dir
 from assocframe.roles import canonicalize
+from assocframe.sources.files import file_sizes
 from assocframe.sources.load import load, significant
 
+_MIXED_OR = "CASE WHEN lower(effect_kind) IN ('log_or','logor','log_odds','log_oddsratio','beta','log') THEN exp(effect_size) ELSE effect_size END"
 _TIERS = (("Todas", "count(*)"), ("p < 0.05", "count(*) FILTER (WHERE pval < 5e-2)"),
           ("p < 1e-5", "count(*) FILTER (WHERE pval < 1e-5)"), ("p < 5e-8", "count(*) FILTER (WHERE pval < 5e-8)"))
 
@@ -131,6 +135,22 @@ def dataset_summary_(spark, sf):
     return dataset_summary(variants(spark, sf))
 
 
+@query(
+    "dataset_summary_files",
+    with_v("SELECT disorder, count(*) AS n_rows, count(*) FILTER (WHERE pval < 5e-8) AS n_gwas, count(*) AS file_rows, TRUE AS has_size FROM V GROUP BY disorder"),
+)
+def dataset_summary_files(spark, sf):
+    """The summary with rows and megabytes of the files behind each data set."""
+    folder = f"{shared_dir(spark)}/summary-{uuid.uuid4().hex}"
+    for d in DISORDERS:
+        variants(spark, sf).filter(F.col("disorder") == d).write.parquet(f"{folder}/{d}")
+    name = {d: load(spark, f"{folder}/{d}").df for d in DISORDERS}
+    facts = [file_sizes(spark, f"{folder}/{d}").agg(F.sum("mb").alias("mb"), F.sum("n_rows").alias("file_rows")).withColumn("disorder", F.lit(d)) for d in DISORDERS]
+    united, totals = (reduce(lambda a, b: a.unionByName(b), parts) for parts in (list(name.values()), facts))
+    out = dataset_summary(united, totals=totals)
+    return out.select("disorder", "n_rows", "n_gwas", "file_rows", (F.col("mb") > 0).alias("has_size"))
+
+
 _SELECTION = "pval < 5e-2 AND chr IN ('1', '2', 'X')"
 
 
@@ -243,6 +263,41 @@ def load_gwas_mode(spark, sf):
     return load(spark, [f"{folder}/first", f"{folder}/second"], mode="gwas").df.drop("source_file")
 
 
+_MIXED = {"adhd": "exp(effect_size)", "bpd": _MIXED_OR, "ptsd": "effect_size"}
+_MIXED_ROWS = " UNION ALL ".join(
+    f"""SELECT variant_id AS snp_id, CASE WHEN disorder <> 'ptsd' OR regexp_full_match(chr, '[0-9]+') THEN chr END AS chr, pos, pval, disorder,
+          {rnd(value, 9)} AS settled_or, {rnd('effect_size', 9)} AS shown_effect FROM V WHERE disorder = '{d}' AND chr IS NOT NULL"""
+    for d, value in _MIXED.items()
+)
+
+
+@query("load_mixed_headers", with_v(_MIXED_ROWS))
+def load_mixed_headers(spark, sf):
+    """A beta without a kind, an effect with a kind, and a plain odds ratio with whole-number chromosomes."""
+    folder = f"{shared_dir(spark)}/mixed-{uuid.uuid4().hex}"
+    v = variants(spark, sf).filter("chr IS NOT NULL")
+    v.filter("disorder = 'adhd'").drop("effect_kind").withColumnRenamed("effect_size", "beta").write.parquet(f"{folder}/a")
+    v.filter("disorder = 'bpd'").write.parquet(f"{folder}/b")
+    plain = v.filter("disorder = 'ptsd'").drop("effect_kind").withColumnRenamed("effect_size", "or")
+    plain.withColumn("chr", F.col("chr").try_cast("int")).write.parquet(f"{folder}/c")
+    out = load(spark, [f"{folder}/{x}" for x in "abc"]).df
+    shown = [round_even(F.col(c), 9).alias(c) for c in ("settled_or", "shown_effect")]
+    return out.select("snp_id", "chr", "pos", "pval", "disorder", *shown)
+
+
+@query(
+    "load_fallback",
+    with_v("SELECT variant_id AS snp_id, disorder, CASE WHEN disorder <> 'ptsd' THEN pval END AS pval FROM V WHERE disorder = 'ptsd' OR pval < 5e-8"),
+)
+def load_fallback(spark, sf):
+    """The significance mode over files of which one has no p-value: that one is loaded whole."""
+    folder = f"{shared_dir(spark)}/fallback-{uuid.uuid4().hex}"
+    v = variants(spark, sf)
+    v.filter("disorder <> 'ptsd'").write.parquet(f"{folder}/with")
+    v.filter("disorder = 'ptsd'").drop("pval").write.parquet(f"{folder}/without")
+    return load(spark, [f"{folder}/with", f"{folder}/without"], mode="gwas").df.select("snp_id", "disorder", "pval")
+
+
 @query("level_filter", with_v("SELECT * FROM V WHERE pval < 1e-5"))
 def level_filter_(spark, sf):
     return level_filter(variants(spark, sf), 1e-5)
@@ -290,7 +345,7 @@ def top20(spark, sf):
     return top_associations(variants(spark, sf), 20)
 
 
-@query("suggested_variant", with_v("SELECT variant_id AS snp, pval FROM V WHERE variant_id IS NOT NULL AND pval IS NOT NULL ORDER BY pval, variant_id LIMIT 1"))
+@query("suggested_variant", with_v("SELECT CASE WHEN variant_id LIKE 'rs%' THEN variant_id END AS snp, pval FROM V WHERE variant_id IS NOT NULL AND pval IS NOT NULL ORDER BY pval, variant_id LIMIT 1"))
 def suggested_variant_(spark, sf):
     return suggested_variant(variants(spark, sf))
 
@@ -353,7 +408,7 @@ _QQ_SAMPLE = "(SELECT pval FROM V WHERE pval > 0 ORDER BY md5(concat_ws('|', '42
 
 
 @query(
-    "qq_points",
+    "qq_points_sample",
     with_v(
         f"""SELECT i, {rnd('-log10(CAST(i AS DOUBLE) / (SELECT count(*) FROM s))', 9)} AS expected, {rnd('-log10(pval)', 9)} AS observed
             FROM (SELECT pval, row_number() OVER (ORDER BY pval) AS i FROM s) x""",
@@ -361,21 +416,21 @@ _QQ_SAMPLE = "(SELECT pval FROM V WHERE pval > 0 ORDER BY md5(concat_ws('|', '42
         row_key=True,
     ),
 )
-def qq_points_(spark, sf):
-    points = qq_points(variants(spark, sf, row_key=True), key=["row_key"])
+def qq_points_sample(spark, sf):
+    points = qq_points(variants(spark, sf, row_key=True), 10_000, ["row_key"])
     return points.select("i", round_even(F.col("expected"), 9).alias("expected"), round_even(F.col("observed"), 9).alias("observed"))
 
 
 @query(
-    "qq_points_full",
+    "qq_points",
     with_v(
         f"""SELECT i, {rnd('-log10(CAST(i AS DOUBLE) / (SELECT count(*) FROM V WHERE pval > 0))', 9)} AS expected,
               {rnd('-log10(pval)', 9)} AS observed
             FROM (SELECT pval, row_number() OVER (ORDER BY pval) AS i FROM V WHERE pval > 0) x"""
     ),
 )
-def qq_points_full(spark, sf):
-    points = qq_points(variants(spark, sf), n=None)
+def qq_points_(spark, sf):
+    points = qq_points(variants(spark, sf))
     return points.select("i", round_even(F.col("expected"), 9).alias("expected"), round_even(F.col("observed"), 9).alias("observed"))
 
 
@@ -394,9 +449,21 @@ def lambda_gc_(spark, sf):
     return out.withColumn("lambda_gc", round_even(F.col("lambda_gc"), 9))
 
 
-@query("lambda_gc_chi2")
+_CHI2 = "(" + " + ".join(chi2_from_p_sql(p) for p in ("lower_p", "upper_p")) + f") / 2 / {L.CHI2_MEDIAN_1DF}"
+
+
+@query(
+    "lambda_gc_chi2",
+    with_v(
+        f"""SELECT disorder, n, {rnd('l', 9)} AS lambda_gc, {_BAND} AS band
+            FROM (SELECT disorder, n, {_CHI2} AS l
+                  FROM (SELECT disorder, count(*) AS n, quantile_disc(pval, 0.5) AS lower_p, -quantile_disc(-pval, 0.5) AS upper_p
+                        FROM V WHERE pval > 0 GROUP BY disorder) m) x"""
+    ),
+)
 def lambda_gc_chi2(spark, sf):
-    return lambda_gc(variants(spark, sf), "chi2", ["disorder"])
+    out = lambda_gc(variants(spark, sf), "chi2", ["disorder"])
+    return out.withColumn("lambda_gc", round_even(F.col("lambda_gc"), 9))
 
 
 _RENAMED = {

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from assocframe.catalogue.registry import CHR_RANK, query, rnd, with_v
 from assocframe.fixtures import DISORDERS, variants
 from assocframe.functions.scalars import interpret_or, odds_ratio, round_even
-from assocframe.operators.loci import cluster_loci, loci_summary, presence_matrix
+from assocframe.operators.loci import cluster_loci, loci_by_size, loci_summary, presence_matrix
 from assocframe.operators.overlap import (
-    only_overlapping,
     overlap_counts,
     overlap_loci,
+    overlapping_pairs,
     pair_counts,
     pair_loci,
 )
@@ -69,6 +69,11 @@ def loci_detect(spark, sf):
     return cluster_loci(variants(spark, sf)).orderBy("disorder", "chr", "start")
 
 
+@query("loci_by_size", with_v("SELECT disorder, locus_id, chr, n_snps, lead_snp FROM loci ORDER BY n_snps DESC", *loci_ctes()))
+def loci_by_size_(spark, sf):
+    return loci_by_size(cluster_loci(variants(spark, sf))).select("disorder", "locus_id", "chr", "n_snps", "lead_snp")
+
+
 @query("loci_window_100kb", with_v("SELECT * FROM loci", *loci_ctes(100_000)))
 def loci_window_100kb(spark, sf):
     return cluster_loci(variants(spark, sf), window_kb=100)
@@ -119,7 +124,7 @@ def loci_pairs_margin(spark, sf):
     with_v('SELECT * FROM pairs WHERE "overlaps"', *loci_ctes(), f"pairs AS ({pairs_sql(0)})"),
 )
 def loci_pairs_overlapping(spark, sf):
-    return only_overlapping(pair_loci(cluster_loci(variants(spark, sf))))
+    return overlapping_pairs(cluster_loci(variants(spark, sf)))
 
 
 @query(

@@ -9,14 +9,13 @@ from assocframe.catalogue.registry import pct, query, rnd, with_v
 from assocframe.fixtures import table, variants
 from assocframe.functions.scalars import round_even
 from assocframe.operators.profile import (
-    categorical_columns,
+    categorical_value_counts,
     column_glossary,
     column_profile,
     completeness,
     empty_columns,
-    glossary_table,
     mode_value,
-    null_matrix,
+    null_patterns,
     null_profile,
     quality_kpis,
     row_null_rate,
@@ -107,16 +106,15 @@ def row_null_rate_(spark, sf):
 
 
 @query(
-    "null_matrix",
+    "null_patterns",
     with_v(
-        "SELECT row_key, "
-        + ", ".join(f"CAST(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS INTEGER) AS {c}" for c in ("chr", "maf", "info"))
-        + " FROM (SELECT * FROM V ORDER BY row_key LIMIT 2000) x",
-        row_key=True,
+        "SELECT *, count(*) AS n_rows FROM (SELECT "
+        + ", ".join(f"CAST(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END AS INTEGER) AS {c}" for c in ("variant_id", "chr", "maf", "info"))
+        + " FROM V) x GROUP BY ALL"
     ),
 )
-def null_matrix_(spark, sf):
-    return null_matrix(variants(spark, sf, row_key=True), ["row_key"])
+def null_patterns_(spark, sf):
+    return null_patterns(variants(spark, sf), ["variant_id", "chr", "maf", "info"])
 
 
 @query(
@@ -170,15 +168,10 @@ _EVENT_TEXTS = ("event_type", "props")
         for c in _EVENT_TEXTS
     ),
 )
-def categorical_value_counts(spark, sf):
+def categorical_value_counts_(spark, sf):
     """Top values of every text column that has at most 500 distinct values."""
     events = table(spark, sf, "events")
-    names = categorical_columns(events, text_columns(events))
-    tops = [value_counts(events, c, 20).select(F.lit(c).alias("column"), "value", "n") for c in names]
-    out = tops[0]
-    for t in tops[1:]:
-        out = out.unionByName(t)
-    return out
+    return categorical_value_counts(events, text_columns(events), 20, L.VALUE_COUNT_LIMIT)
 
 
 @query(
@@ -197,16 +190,20 @@ def column_kinds(spark, sf):
     return null_profile(orders).select("column", kind.alias("kind"), "n_non_null")
 
 
+#: A user's glossary: header in normal form and term.
+_GLOSSARY = [("variant id", "Polymorphism"), ("chr", "Chromosome"), ("pos", "Locus"), ("effect size", "Effect size"), ("pval", "P-value")]
+
+
 @query(
     "column_glossary",
     with_v(
         f"""SELECT p.*, coalesce(g.term, p.name_norm) AS term
             FROM (SELECT replace(replace(lower("column"), '_', ' '), '-', ' ') AS name_norm, "column", n_non_null
                   FROM ({_profile_rows(distinct=False)}) q) p
-            LEFT JOIN (VALUES {', '.join(f"('{k}', '{v}')" for k, v in L.GLOSSARY.items())}) g(name_norm, term)
+            LEFT JOIN (VALUES {', '.join(f"('{k}', '{v}')" for k, v in _GLOSSARY)}) g(name_norm, term)
             ON p.name_norm = g.name_norm"""
     ),
 )
 def column_glossary_(spark, sf):
     profile = null_profile(variants(spark, sf)).select("column", "n_non_null")
-    return column_glossary(profile, glossary_table(spark))
+    return column_glossary(profile, spark.createDataFrame(_GLOSSARY, "name_norm string, term string"))

@@ -26,6 +26,7 @@ from assocframe.operators.quantiles import (
     iqr_outliers,
     outlier_rows,
     sampled_iqr_outliers,
+    violin,
 )
 from assocframe.operators.sampling import (
     impute_uniform,
@@ -35,7 +36,6 @@ from assocframe.operators.sampling import (
     sample_proportional,
     scatter_points,
 )
-from assocframe.plans.materialize import materialize
 from assocframe.sources.load import block_sample, load, scan
 
 _LINE = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -83,8 +83,8 @@ def quantiles(spark, sf):
 
 @query("quantiles_bracket", _quantile_rows("lineitem", _LINE))
 def quantiles_bracket(spark, sf):
-    """The plan for large tables, forced."""
-    out = exact_quantiles(table(spark, sf, "lineitem"), _LINE, _QS, method="bracket")
+    """Four columns at once."""
+    out = exact_quantiles(table(spark, sf, "lineitem"), _LINE, _QS)
     return _rounded(out, 9, "value")
 
 
@@ -148,7 +148,7 @@ _LINE_HASH = "md5(concat_ws('|', '42', l_orderkey, l_partkey, l_suppkey, l_linen
                {rnd('low', 6)} AS low, {rnd('high', 6)} AS high FROM l""",
 )
 def sampled_iqr_outliers_(spark, sf):
-    out = sampled_iqr_outliers(table(spark, sf, "lineitem"), "l_extendedprice", key=_KEYED)
+    out = sampled_iqr_outliers(table(spark, sf, "lineitem"), "l_extendedprice", 50_000, key=_KEYED)
     return _rounded(out, 6, "low", "high")
 
 
@@ -223,15 +223,25 @@ def hist_effect(spark, sf):
     return _hist_out(histogram(association_filter(variants(spark, sf), "bpd", 5e-6, 0.1), ["effect_size"], 20))
 
 
-_PER_DISORDER = """s AS (SELECT disorder, -log10(pval) AS neg_log10_p FROM (SELECT *, row_number() OVER (PARTITION BY disorder
-    ORDER BY md5(concat_ws('|', '42', row_key))) AS rn FROM V WHERE pval > 0) x WHERE rn <= 5000)"""
+_LOGP = "s AS (SELECT disorder, -log10(pval) AS neg_log10_p FROM V WHERE pval > 0)"
+_VIOLIN = (
+    "SELECT h.*, n_values, q1, q2, q3, whisker_low, whisker_high, n_outliers FROM ("
+    + _hist("s", "neg_log10_p", 40, "disorder", density=True)
+    + ") h JOIN (SELECT * RENAME (n AS n_values) FROM ("
+    + _box("s", "neg_log10_p", "neg_log10_p", "disorder")
+    + ")) b ON h.disorder = b.disorder"
+)
 
 
-@query("violin_by_disorder", with_v(_hist("s", "neg_log10_p", 40, "disorder", density=True), _PER_DISORDER, row_key=True))
+@query("violin_by_disorder", with_v(_VIOLIN, _LOGP))
 def violin_by_disorder(spark, sf):
-    # At most 5,000 numbers per disorder, read twice by the histogram.
-    sample = materialize(pvalue_sample_per_disorder(variants(spark, sf, row_key=True), key=["row_key"]))
-    return _hist_out(histogram(sample, ["neg_log10_p"], 40, ["disorder"], density=True), density=True)
+    """Density and box of all p-values of every disorder."""
+    logp = variants(spark, sf).filter("pval > 0").select("disorder", (-F.log10("pval")).alias("neg_log10_p"))
+    return _rounded(_hist_out(violin(logp, "neg_log10_p", ["disorder"]), density=True), 6, *_BOX_NUMBERS)
+
+
+_PER_DISORDER = """s AS (SELECT disorder, -log10(pval) AS neg_log10_p FROM (SELECT *, row_number() OVER (PARTITION BY disorder
+    ORDER BY md5(concat_ws('|', '42', row_key))) AS rn FROM V WHERE pval > 0) x WHERE rn <= 5000)"""
 
 
 # Correlation ----------------------------------------------------------------------
@@ -400,7 +410,7 @@ def sample_proportional_(spark, sf):
 )
 def sample_by_block(spark, sf):
     lineitem = scan(spark, f"{sf}/lineitem.parquet")
-    return block_sample(lineitem, ["l_orderkey", "l_extendedprice"], 4_000, _KEYED)[0]
+    return block_sample(lineitem, ["l_orderkey", "l_extendedprice"], 4_000, _KEYED)
 
 
 @query(
@@ -409,29 +419,37 @@ def sample_by_block(spark, sf):
 )
 def sample_capped_scan(spark, sf):
     path = f"{sf}/lineitem.parquet"
-    return load(spark, path, mode="sample", cap=5_000, limit_mb=0.0, key=_KEYED).df
+    return load(spark, path, mode="sample", cap=5_000, key=_KEYED).df
 
 
 @query("sample_per_group", with_v(f"SELECT disorder, {rnd('neg_log10_p', 9)} AS neg_log10_p FROM s", _PER_DISORDER, row_key=True))
 def sample_per_group_(spark, sf):
-    sample = pvalue_sample_per_disorder(variants(spark, sf, row_key=True), key=["row_key"])
+    sample = pvalue_sample_per_disorder(variants(spark, sf, row_key=True), 5_000, key=["row_key"])
     return _rounded(sample, 9, "neg_log10_p")
 
 
 @query(
     "scatter_extract",
-    with_v(f"SELECT maf, pval FROM V WHERE maf IS NOT NULL AND pval IS NOT NULL ORDER BY {_V_HASH} LIMIT 15000", row_key=True),
+    with_v("SELECT maf, pval FROM V WHERE maf IS NOT NULL AND pval IS NOT NULL"),
 )
 def scatter_extract(spark, sf):
+    return scatter_points(variants(spark, sf), ["maf", "pval"])
+
+
+@query(
+    "scatter_extract_sample",
+    with_v(f"SELECT maf, pval FROM V WHERE maf IS NOT NULL AND pval IS NOT NULL ORDER BY {_V_HASH} LIMIT 15000", row_key=True),
+)
+def scatter_extract_sample(spark, sf):
     return scatter_points(variants(spark, sf, row_key=True), ["maf", "pval"], 15_000, ["row_key"])
 
 
 @query(
     "scatter_pval_maf",
-    with_v(f"SELECT maf, coalesce(pval, 1) AS pval FROM V WHERE maf IS NOT NULL ORDER BY {_V_HASH} LIMIT 15000", row_key=True),
+    with_v("SELECT maf, coalesce(pval, 1) AS pval FROM V WHERE maf IS NOT NULL"),
 )
 def scatter_pval_maf(spark, sf):
-    return pval_maf_points(variants(spark, sf, row_key=True), key=["row_key"])
+    return pval_maf_points(variants(spark, sf))
 
 
 @query(

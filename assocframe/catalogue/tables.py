@@ -14,15 +14,15 @@ from assocframe.operators.annotate import annotate, with_traits, with_variant_fa
 from assocframe.operators.filters import (
     category_filter,
     first_rows,
-    first_rows_indexed,
     range_filter,
+    rows_indexed,
     rsid_column,
     text_filter,
     typed_filter,
 )
 from assocframe.plans.materialize import shared_dir
 from assocframe.roles import to_double
-from assocframe.sources.files import file_sizes, file_totals, row_group_inventory
+from assocframe.sources.files import file_blocks, file_sizes, file_totals
 from assocframe.sources.load import read_many, scan, write_csv
 
 # Filters --------------------------------------------------------------------------
@@ -52,13 +52,15 @@ def text_filter_literal(spark, sf):
 @query(
     "typed_filter",
     """SELECT p_partkey, p_name, p_type, p_size FROM part
-       WHERE p_size BETWEEN 5 AND 40 AND p_type IN ('ECONOMY', 'SMALL') AND regexp_matches(p_name, '(?i)RING')""",
+       WHERE p_size BETWEEN 5 AND 40 AND p_type IN ('ECONOMY', 'SMALL') AND regexp_matches(p_name, '(?i)RING')
+         AND regexp_matches(p_type, '(?i)o')""",
 )
 def typed_filter_(spark, sf):
     part = table(spark, sf, "part")
     part = typed_filter(part, "p_size", low=5, high=40)
     part = typed_filter(part, "p_type", values=["ECONOMY", "SMALL"])
-    return text_filter(part, "p_name", "RING").select("p_partkey", "p_name", "p_type", "p_size")
+    part = typed_filter(part, "p_type", text="o")
+    return typed_filter(part, "p_name", text="RING").select("p_partkey", "p_name", "p_type", "p_size")
 
 
 @query("first_rows", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 500")
@@ -67,12 +69,11 @@ def first_rows_(spark, sf):
 
 
 @query(
-    "first_rows_indexed",
-    """SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS index, o_totalprice AS value
-       FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 5000) o""",
+    "rows_indexed",
+    "SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS index, o_totalprice AS value FROM orders",
 )
-def first_rows_indexed_(spark, sf):
-    return first_rows_indexed(table(spark, sf, "orders"), ["o_orderkey"], "o_totalprice", 5_000)
+def rows_indexed_(spark, sf):
+    return rows_indexed(table(spark, sf, "orders"), ["o_orderkey"], "o_totalprice")
 
 
 @query(
@@ -128,9 +129,13 @@ def multi_file_union(spark, sf):
     )
 
 
-@query("row_group_inventory")
-def row_group_inventory_(spark, sf):
-    return row_group_inventory(spark, [f"{sf}/{t}.parquet" for t in _UNION]).drop("file_path", "columns")
+@query(
+    "file_blocks",
+    " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name, count(*) AS n_rows FROM {t}" for t in _UNION),
+)
+def file_blocks_(spark, sf):
+    """Blocks of these small files are whole files."""
+    return file_blocks(spark, [f"{sf}/{t}.parquet" for t in _UNION]).select("file_name", "n_rows")
 
 
 @query("file_sizes")
@@ -146,9 +151,7 @@ def file_sizes_(spark, sf):
     ),
 )
 def file_row_totals(spark, sf):
-    totals = file_totals(row_group_inventory(spark, [f"{sf}/{t}.parquet" for t in _UNION]))
-    name = F.element_at(F.split("file_path", "/"), -1)
-    return totals.select(name.alias("file_name"), "n_rows", "n_columns")
+    return file_totals(spark, [f"{sf}/{t}.parquet" for t in _UNION])
 
 
 @query("csv_roundtrip", "SELECT * FROM part WHERE p_size BETWEEN 10 AND 30")
@@ -233,18 +236,21 @@ def trait_list_json(spark, sf):
     return with_traits(payloads, "payload").select("o_orderkey", F.array_join("traits", "|").alias("traits"))
 
 
-_FACTS = """concat('{"name": "', p_name, '", "most_severe_consequence": "', CASE WHEN p_size % 2 = 0 THEN 'missense_variant'
+_FACTS = """concat(CASE WHEN p_size % 13 = 0 THEN 'no json' ELSE '' END, '{', CASE WHEN p_size % 11 = 0 THEN ''
+  ELSE concat('"name": "', p_name, '", ') END, '"most_severe_consequence": "', CASE WHEN p_size % 2 = 0 THEN 'missense_variant'
   ELSE 'stop_gained' END, '"', CASE WHEN p_size % 3 = 0 THEN ', "synonyms": ["a"]' ELSE '' END, ', "mappings": [',
   CASE WHEN p_size % 5 = 0 THEN '' ELSE concat('{"allele_string": "A/G", "location": "', p_brand, '"}') END, ']}')"""
 
 
 @query(
     "variant_facts_json",
-    """SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'Variante de cambio de sentido' ELSE 'Stop gained' END AS consequence,
-         CASE WHEN p_size % 5 = 0 THEN 'No disponible' ELSE 'A/G' END AS alleles,
-         CASE WHEN p_size % 3 = 0 THEN p_name ELSE 'Desconocido' END AS gene,
-         CASE WHEN p_size % 5 = 0 THEN 'No disponible' ELSE p_brand END AS location FROM part""",
+    """WITH x AS (SELECT *, p_size % 13 <> 0 AND p_size % 5 <> 0 AS known FROM part)
+       SELECT p_partkey, CASE WHEN known THEN CASE WHEN p_size % 2 = 0 THEN 'Variante de cambio de sentido' ELSE 'Stop gained' END END AS consequence,
+         CASE WHEN known THEN 'A/G' END AS alleles,
+         CASE WHEN known THEN CASE WHEN p_size % 3 <> 0 THEN 'Desconocido' WHEN p_size % 11 = 0 THEN 'rs' || p_partkey ELSE p_name END END AS gene,
+         CASE WHEN known THEN p_brand END AS location FROM x""",
 )
 def variant_facts_json(spark, sf):
-    payloads = table(spark, sf, "part").select("p_partkey", F.expr(_FACTS).alias("payload"))
-    return with_variant_facts(payloads, "payload").drop("payload")
+    payload, rsid = F.expr(_FACTS).alias("payload"), F.concat(F.lit("rs"), F.col("p_partkey").cast("string")).alias("rsid")
+    payloads = table(spark, sf, "part").select("p_partkey", payload, rsid)
+    return with_variant_facts(payloads, "payload", "rsid").drop("payload", "rsid")

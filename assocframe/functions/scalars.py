@@ -125,3 +125,60 @@ def rsid_normal(text: Column) -> Column:
 
 def header_normal(text: Column) -> Column:
     return F.translate(F.lower(text), "_-", "  ")
+
+
+# The published coefficients of Wichura's algorithm AS 241 (PPND16) for the
+# inverse of the normal distribution, lowest power first: numerator and denominator for
+# the centre, the near tail and the far tail.
+INVERSE_NORMAL = {
+    "centre": (
+        (3.3871328727963666080e0, 1.3314166789178437745e2, 1.9715909503065514427e3, 1.3731693765509461125e4,
+         4.5921953931549871457e4, 6.7265770927008700853e4, 3.3430575583588128105e4, 2.5090809287301226727e3),
+        (1.0, 4.2313330701600911252e1, 6.8718700749205790830e2, 5.3941960214247511077e3,
+         2.1213794301586595867e4, 3.9307895800092710610e4, 2.8729085735721942674e4, 5.2264952788528545610e3),
+    ),
+    "near": (
+        (1.42343711074968357734e0, 4.63033784615654529590e0, 5.76949722146069140550e0, 3.64784832476320460504e0,
+         1.27045825245236838258e0, 2.41780725177450611770e-1, 2.27238449892691845833e-2, 7.74545014278341407640e-4),
+        (1.0, 2.05319162663775882187e0, 1.67638483018380384940e0, 6.89767334985100004550e-1,
+         1.48103976427480074590e-1, 1.51986665636164571966e-2, 5.47593808499534494600e-4, 1.05075007164441684324e-9),
+    ),
+    "far": (
+        (6.65790464350110377720e0, 5.46378491116411436990e0, 1.78482653991729133580e0, 2.96560571828504891230e-1,
+         2.65321895265761230930e-2, 1.24266094738807843860e-3, 2.71155556874348757815e-5, 2.01033439929228813265e-7),
+        (1.0, 5.99832206555887937690e-1, 1.36929880922735805310e-1, 1.48753612908506148525e-2,
+         7.86869131145613259100e-4, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15),
+    ),
+}
+
+
+def _number(x: float) -> str:
+    """A double literal of both SQL dialects."""
+    text = repr(x)
+    return text if "e" in text else text + "e0"
+
+
+def _ratio(part: str, x: str) -> str:
+    """A ratio of two polynomials as SQL, by Horner's rule."""
+    sides = []
+    for coefficients in INVERSE_NORMAL[part]:
+        text = _number(coefficients[-1])
+        for c in reversed(coefficients[:-1]):
+            text = f"({text} * {x} + {_number(c)})"
+        sides.append(text)
+    return f"{sides[0]} / {sides[1]}"
+
+
+def chi2_from_p_sql(p: str) -> str:
+    """Chi-square statistic (1 df) with upper tail ``p`` as a SQL expression; NULL outside (0, 1]."""
+    half, q, r = f"({p} / 2e0)", f"({p} / 2e0 - 5e-1)", f"sqrt(-ln({p} / 2e0))"
+    z = (
+        f"CASE WHEN {half} >= 0.075e0 THEN {q} * ({_ratio('centre', f'(0.180625e0 - {q} * {q})')}) "
+        f"WHEN {r} <= 5e0 THEN {_ratio('near', f'({r} - 1.6e0)')} ELSE {_ratio('far', f'({r} - 5e0)')} END"
+    )
+    return f"CASE WHEN {p} > 0 AND {p} <= 1 THEN power({z}, 2) END"
+
+
+def chi2_from_p(column: str) -> Column:
+    """Chi-square statistic (1 df) with the upper tail in a column; NULL outside (0, 1]."""
+    return F.expr(chi2_from_p_sql(f"`{column}`"))

@@ -11,11 +11,6 @@ GENOME_WIDE = 5e-8
 LEAD_EFFECT_LEVEL = 5e-6
 
 # Work limits.
-SAMPLE_LIMIT_MB = 150
-SAMPLE_ROWS = 150_000
-EXPLORER_LIMIT_MB = 200
-EXPLORER_ROWS = 200_000
-LIVE_PLOT_ROWS = 200_000
 LOCUS_WINDOW_KB = 250
 OVERLAP_MARGIN_KB = 0
 HIGH_NULL_PCT = 20
@@ -77,38 +72,3 @@ NOT_AVAILABLE = "No disponible"
 MSG_BAD_ID = "El ID debe tener el formato estándar 'rs...' (ej. rs11210887)."
 MSG_NOT_FOUND = "Variante sin registros clínicos en la base de datos."
 MSG_EMPTY = "La variante existe, pero no tiene información clínica mapeada."
-
-# Column glossary: header in normal form -> encyclopedia term.
-GLOSSARY = {
-    "variant id": "Polimorfismo (biología)",
-    "variant key": "Variante genética",
-    "snp id": "Polimorfismo de nucleótido único",
-    "raw snp id": "Polimorfismo de nucleótido único",
-    "chr": "Cromosoma",
-    "pos": "Locus (genética)",
-    "effect allele": "Alelo",
-    "other allele": "Alelo",
-    "a1": "Alelo",
-    "a2": "Alelo",
-    "maf": "Frecuencia alélica",
-    "effect size": "Tamaño del efecto",
-    "effect kind": "Tamaño del efecto",
-    "se": "Error estándar",
-    "se source": "Error estándar",
-    "pval": "Valor p",
-    "sig tier": "Significación estadística",
-    "info": "Imputación (estadística)",
-    "disorder": "Enfermedad mental",
-    "tested in disorder": "Ensayo clínico",
-    "was flipped": "Direccionalidad (biología molecular)",
-    "is palindromic": "Secuencia palindrómica",
-    "is biallelic acgt": "Alelo",
-    "reference resolved": "Genoma de referencia",
-    "alignment method": "Alineamiento de secuencias",
-    "source repo": "Base de datos biológica",
-    "source config": "Metadato",
-    "source wave": "Estudio longitudinal",
-    "role": "Metadato",
-    "source file": "Metadato",
-    "usable for graph": "Teoría de grafos",
-}

@@ -15,10 +15,6 @@ ASSOCIATIONS = (
     "struct<_embedded: struct<associations: array<struct<"
     "efoTraits: array<struct<trait: string>>, diseaseTrait: struct<trait: string>>>>>"
 )
-VARIANT_FACTS = (
-    "struct<name: string, most_severe_consequence: string, synonyms: array<string>, "
-    "mappings: array<struct<allele_string: string, location: string>>>"
-)
 
 
 def trait_list(payload: Column) -> Column:
@@ -39,20 +35,38 @@ def with_traits(df: DataFrame, json_column: str) -> DataFrame:
     return df.withColumn("traits", trait_list(col(json_column)))
 
 
-def with_variant_facts(df: DataFrame, json_column: str) -> DataFrame:
-    """Adds consequence label, alleles, gene and location of the first mapping."""
-    facts = F.from_json(col(json_column), VARIANT_FACTS)
-    first = F.get(facts.getField("mappings"), F.lit(0))
-    present = col(json_column).isNotNull()
-    unknown = F.lit(L.NOT_AVAILABLE)
-    gene = F.when(facts.getField("synonyms").isNotNull(), facts.getField("name")).otherwise(F.lit(L.UNKNOWN_GENE))
-    return df.select(
-        "*",
-        F.when(present, consequence_label(facts.getField("most_severe_consequence"))).alias("consequence"),
-        F.when(present, F.coalesce(first.getField("allele_string"), unknown)).alias("alleles"),
-        F.when(present, gene).alias("gene"),
-        F.when(present, F.coalesce(first.getField("location"), unknown)).alias("location"),
+def with_variant_facts(df: DataFrame, json_column: str, rsid: str | None = None) -> DataFrame:
+    """Adds consequence label, alleles, gene and location of the first mapping.
+
+    There are no facts (all NULL) without a payload, for a payload that is no
+    JSON object, for one whose list of mappings is empty or no list, and for a
+    consequence that is NULL.  A missing key gives the fixed text for unknown.
+    The gene is named if the payload has synonyms: by its name, else by ``rsid``.
+    """
+    parsed = df.withColumn("_facts", F.try_parse_json(col(json_column)))
+
+    def there(path: str) -> Column:
+        return F.try_variant_get("_facts", path, "variant").isNotNull()
+
+    def text(path: str, missing: str) -> Column:
+        return F.when(there(path), F.try_variant_get("_facts", path, "string")).otherwise(F.lit(missing))
+
+    mappings = F.size(F.try_variant_get("_facts", "$.mappings", "array<variant>"))
+    code = text("$.most_severe_consequence", L.UNKNOWN_CONSEQUENCE)
+    known = (
+        (F.schema_of_variant("_facts").startswith("OBJECT"))
+        & code.isNotNull()
+        & F.when(there("$.mappings"), F.coalesce(mappings, F.lit(0)) > 0).otherwise(F.lit(True))
     )
+    own_name = col(rsid) if rsid is not None else F.lit(None).cast("string")
+    name = F.when(there("$.name"), F.try_variant_get("_facts", "$.name", "string")).otherwise(own_name)
+    facts = {
+        "consequence": consequence_label(code),
+        "alleles": text("$.mappings[0].allele_string", L.NOT_AVAILABLE),
+        "gene": F.when(there("$.synonyms"), name).otherwise(F.lit(L.UNKNOWN_GENE)),
+        "location": text("$.mappings[0].location", L.NOT_AVAILABLE),
+    }
+    return parsed.withColumns({c: F.when(known, value) for c, value in facts.items()}).drop("_facts")
 
 
 def annotate(df: DataFrame, annotations: DataFrame, roles: Roles | None = None) -> DataFrame:

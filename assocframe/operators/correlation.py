@@ -6,11 +6,9 @@ pair of columns; ``correlation_matrix`` gives the square form.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from itertools import combinations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,10 +20,9 @@ from assocframe.plans.materialize import materialize
 from assocframe.plans.ordering import ranked_values
 from assocframe.roles import col, numeric_columns, to_double
 
-_NARROW = 6  # columns up to which all pairs fit one aggregate
+_PAIRS_A_SCAN = 60
 _BLOCK = 16  # bits of the x place inside a block of the Kendall count
 _DIGIT_BITS = 3
-_LONG_ROWS = 3_000_000_000
 _BASE = 1 << _DIGIT_BITS
 
 
@@ -71,55 +68,29 @@ def _pairs_to_rows(wide: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFra
 
 
 def _pearson(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Covariances and deviations in JVM aggregates, a scan for every _PAIRS_A_SCAN pairs of columns."""
     pairs = list(combinations(columns, 2))
-    if len(columns) <= _NARROW:
-        # corr() itself fails on a constant column under ANSI rules.
-        wide = complete.agg(
-            *[
-                (
-                    F.covar_pop(col(a), col(b))
-                    / F.nullif(F.stddev_pop(col(a)) * F.stddev_pop(col(b)), F.lit(0.0))
-                ).alias(f"r{i}")
-                for i, (a, b) in enumerate(pairs)
-            ]
+    found = None
+    for start in range(0, len(pairs), _PAIRS_A_SCAN):
+        group = pairs[start : start + _PAIRS_A_SCAN]
+        names = list(dict.fromkeys(c for pair in group for c in pair))
+        spread = {c: f"s{i}" for i, c in enumerate(names)}
+        sums = complete.agg(
+            *[F.stddev_pop(col(c)).alias(s) for c, s in spread.items()],
+            *[F.covar_pop(col(a), col(b)).alias(f"c{i}") for i, (a, b) in enumerate(group)],
         )
-        return _pairs_to_rows(wide, pairs)
-    # Many columns: one matrix product per batch instead of hundreds of aggregates.
-    k = len(columns)
-    facts = complete.agg(
-        *[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(columns)],
-        *[(F.min(col(c)) < F.max(col(c))).alias(f"v{i}") for i, c in enumerate(columns)],
-    ).first()
-    means = np.array([facts[f"m{i}"] for i in range(k)], dtype="float64")
-    varies = [bool(facts[f"v{i}"]) for i in range(k)]
-    rows, cols = np.triu_indices(k)
-
-    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((k, k))
-        for batch in batches:
-            centered = batch.to_numpy() - means
-            total += centered.T @ centered
-        yield pd.DataFrame({"cell": rows * k + cols, "s": total[rows, cols]})
-
-    sums = (
-        complete.toDF(*[f"c{i}" for i in range(k)])
-        .mapInPandas(products, "cell int, s double")
-        .groupBy("cell")
-        .agg(F.sum("s").alias("s"))
-        # One entry per pair of columns.
-        .agg(F.map_from_entries(F.collect_list(F.struct("cell", "s"))).alias("sums"))
-    )
-
-    def at(i: int, j: int) -> Column:
-        return F.try_element_at("sums", F.lit(i * k + j))
+        # corr() itself fails on a constant column under ANSI rules.
+        r = [
+            (col(f"c{i}") / F.nullif(col(spread[a]) * col(spread[b]), F.lit(0.0))).alias(f"r{i}")
+            for i, (a, b) in enumerate(group)
+        ]
+        rows = _pairs_to_rows(sums.select(*r), group)
+        found = rows if found is None else found.unionByName(rows)
+    return found if found is not None else _no_pairs(complete)
 
-    def r(i: int, j: int) -> Column:
-        if not (varies[i] and varies[j]):
-            return F.lit(None).cast("double")
-        return at(i, j) / F.nullif(F.sqrt(at(i, i)) * F.sqrt(at(j, j)), F.lit(0.0))
 
-    wide = sums.select(*[r(i, j).alias(f"r{n}") for n, (i, j) in enumerate(combinations(range(k), 2))])
-    return _pairs_to_rows(wide, pairs)
+def _no_pairs(df: DataFrame) -> DataFrame:
+    return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
 
 
 def _rank_tables(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -173,8 +144,7 @@ def _kendall(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
             [(a, b, None) for a, b in pairs], "col_a string, col_b string, r double"
         )
     placed = _with_lookup(complete, columns, ranks, col("idx"), total)
-    # Counts of row pairs fit a long up to 3e9 rows and need a wide decimal beyond.
-    number = "bigint" if total < _LONG_ROWS else "decimal(38,0)"
+    number = "decimal(38,0)"  # counts of row pairs outgrow a long at 3e9 rows
     cells = []
     for i, (a, b) in enumerate(pairs):
         x, y = (a, b) if facts[b][0] <= facts[a][0] else (b, a)  # fewer digits to walk through

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assocframe import labels as L
 from assocframe.functions.scalars import rsid_normal
+from assocframe.plans.ordering import global_row_number
 from assocframe.roles import Roles, col, roles_of
 
 
@@ -97,28 +98,30 @@ def text_filter(df: DataFrame, column: str, text: str | None, literal: bool = Fa
 
 
 def filter_kind(df: DataFrame, column: str, category_limit: int = L.CATEGORY_LIMIT) -> str:
-    """``range``, ``category`` or ``text``, by type and number of distinct values."""
+    """Which filter to offer for a column: ``range``, ``category`` or ``text``, by type and number of distinct values."""
     if isinstance(df.schema[column].dataType, T.NumericType):
         return "range"
-    about = df.agg(F.approx_count_distinct(col(column), 0.05)).first()[0]
-    if about < category_limit / 2:
-        return "category"
-    if about > category_limit * 2:
-        return "text"
-    exact = df.agg(F.count_distinct(col(column))).first()[0]
-    return "category" if exact < category_limit else "text"
+    distinct = df.agg(F.count_distinct(col(column))).first()[0]
+    return "category" if distinct < category_limit else "text"
 
 
 def typed_filter(
     df: DataFrame, column: str, low=None, high=None, values: Sequence | None = None, text: str | None = None
 ) -> DataFrame:
-    """The filter that suits the column; arguments of the other filters are ignored."""
-    kind = filter_kind(df, column)
-    if kind == "range":
+    """The filter of the argument given: a range, values or a text; with none, rows that have a value."""
+    given = [low is not None or high is not None, values is not None, text is not None]
+    if sum(given) > 1:
+        raise ValueError("give a range, values or a text, not several of them")
+    kind = df.schema[column].dataType
+    if given[0]:
+        if isinstance(kind, (T.StringType, T.BooleanType)) and isinstance(low if low is not None else high, (int, float)):
+            raise ValueError(f"column {column} holds no numbers")
         return range_filter(df, column, low, high)
-    if kind == "category":
-        return category_filter(df, column, values)
-    return text_filter(df, column, text)
+    if given[2]:
+        if isinstance(kind, T.NumericType):
+            raise ValueError(f"column {column} holds numbers, not text")
+        return text_filter(df, column, text)
+    return category_filter(df, column, values)
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -150,18 +153,18 @@ def rsid_column(df: DataFrame, roles: Roles | None = None) -> DataFrame:
     return df.withColumn("rsid", rsid_normal(col(r.snp)))
 
 
-def first_rows(df: DataFrame, order: Sequence[str], n: int = 500) -> DataFrame:
-    """Preview: Spark rows have no order of their own, so one must be named."""
+def first_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """Preview of ``n`` rows: Spark rows have no order of their own, so one must be named."""
     return df.orderBy(*[col(c) for c in order]).limit(n)
 
 
-def first_rows_indexed(df: DataFrame, order: Sequence[str], column: str, n: int = 5_000) -> DataFrame:
-    """``index, value`` of one column over the first ``n`` rows."""
-    head = df.select(*[col(c) for c in dict.fromkeys([*order, column])])
-    head = head.orderBy(*[col(c) for c in order]).limit(n)
-    # The window sees at most n rows.
-    place = Window.orderBy(*[col(c) for c in order])
-    return head.select((F.row_number().over(place) - 1).cast("bigint").alias("index"), col(column).alias("value"))
+def rows_indexed(df: DataFrame, order: Sequence[str], column: str, n: int | None = None) -> DataFrame:
+    """``index, value`` of one column in the given order, of all rows or of the first ``n``."""
+    rows = df.select(*[col(c) for c in dict.fromkeys([*order, column])])
+    if n is not None:
+        rows = first_rows(rows, order, n)
+    numbered = global_row_number(rows, [col(c).asc() for c in order], "index", start=0)
+    return numbered.select(col("index").cast("bigint").alias("index"), col(column).alias("value"))
 
 
 def fill_constants(df: DataFrame, fills: dict) -> DataFrame:

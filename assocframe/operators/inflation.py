@@ -3,35 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from statistics import NormalDist
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from assocframe import labels as L
-from assocframe.functions.scalars import inflation_band
+from assocframe.functions.scalars import chi2_from_p, inflation_band
 from assocframe.operators.sampling import sample_exact, sample_key
 from assocframe.plans.ordering import numbered_values
 from assocframe.plans.quantile import long_values, middle_values
 from assocframe.roles import Roles, col, roles_of
 
 
-@F.pandas_udf(T.DoubleType())
-def _chi2_from_p(p: pd.Series) -> pd.Series:
-    """Chi-square statistic (1 df) with upper tail ``p``; called on one row per group."""
-    normal = NormalDist()
-    return p.map(lambda x: normal.inv_cdf(x / 2.0) ** 2 if 0.0 < x <= 1.0 else None).astype("float64")
-
-
 def lambda_gc(
     df: DataFrame,
     method: str = "chi2",
     by: Sequence[str] = (),
     sample_n: int | None = None,
     roles: Roles | None = None,
-    quantile_method: str = "auto",
 ) -> DataFrame:
     """Inflation factor of the clean p-values and its band.
 
@@ -44,11 +33,11 @@ def lambda_gc(
     clean = df.filter(col(r.pval) > 0)
     if sample_n is not None:
         clean = sample_exact(clean, sample_n, sample_key(df, r))
-    middle = middle_values(long_values(clean, [r.pval], by), [*by, "column"], quantile_method, bounded=not by)
+    middle = middle_values(long_values(clean, [r.pval], by), [*by, "column"], bounded=not by)
     if method == "p_ratio":
         median: Column = (col("lower") + col("upper")) / 2.0
     elif method == "chi2":
-        median = (_chi2_from_p(col("lower")) + _chi2_from_p(col("upper"))) / 2.0
+        median = (chi2_from_p("lower") + chi2_from_p("upper")) / 2.0
     else:
         raise ValueError("method must be 'chi2' or 'p_ratio'")
     scored = middle.select(*[col(b) for b in by], "n", (median / F.lit(L.CHI2_MEDIAN_1DF)).alias("lambda_gc"))
@@ -57,29 +46,25 @@ def lambda_gc(
 
 def qq_points(
     df: DataFrame,
-    n: int | None = 10_000,
+    n: int | None = None,
     key: Sequence[str] | None = None,
     seed: int = 42,
     roles: Roles | None = None,
 ) -> DataFrame:
     """``i, expected, observed``: p-values in order against their even spread.
 
-    With ``n`` the points are an exact-size sample and ranked in one small
-    window; ``n=None`` ranks every row of the table by a distributed sort of
-    its distinct p-values.
+    All rows are ranked by a distributed sort of their distinct p-values; ``n``
+    asks for an exact-size sample first.
     """
     r = roles_of(df, roles)
     r.need("pval")
     clean = df.filter(col(r.pval) > 0)
     if n is not None:
-        points = sample_exact(clean, n, key or sample_key(df, r), seed).select(col(r.pval).alias("p"))
-        # Both windows see at most n rows.
-        ranked = points.withColumn("i", F.row_number().over(Window.orderBy("p")).cast("bigint"))
-        total = F.count(F.lit(1)).over(Window.partitionBy())
-    else:
-        points = clean.select(col(r.pval).alias("p"))
-        ranked = numbered_values(points, "p", "i")
-        total = points.agg(F.count(F.lit(1))).scalar()
+        key = list(key or sample_key(df, r))
+        clean = sample_exact(clean.select(*[col(c) for c in dict.fromkeys([*key, r.pval])]), n, key, seed)
+    points = clean.select(col(r.pval).alias("p"))
+    ranked = numbered_values(points, "p", "i")
+    total = points.agg(F.count(F.lit(1))).scalar()
     return ranked.select(
         "i", (-F.log10(col("i") / total)).alias("expected"), (-F.log10("p")).alias("observed")
     )

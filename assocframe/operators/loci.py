@@ -64,9 +64,10 @@ def cluster_loci(
         optional(r.or_effect, to_double, "double").alias("effect"),
         optional(r.effect_kind).alias("kind"),
         optional(r.direct_or, to_double, "double").alias("direct"),
+        optional(r.settled_or, to_double, "double").alias("settled"),
     ).filter(col("pos").isNotNull())
 
-    lead = F.min(F.struct("pval", "pos", "snp", "effect", "kind", "direct"))
+    lead = F.min(F.struct("pval", "pos", "snp", "effect", "kind", "direct", "settled"))
     cell = col("pos") - F.pmod(col("pos"), F.lit(window + 1))
     cells = variants.groupBy(*group, cell.alias("cell")).agg(
         F.min("pos").alias("start"), F.max("pos").alias("end"), F.count(F.lit(1)).alias("n_snps"), lead.alias("lead")
@@ -90,6 +91,8 @@ def cluster_loci(
         F.col("lead.kind") if r.effect_kind is not None else None,
         F.col("lead.direct") if r.direct_or is not None else None,
     )
+    if r.settled_or is not None:  # files of different headers: each one's own roles decided
+        lead_or = F.col("lead.settled")
     return loci.withColumn("or_exact", lead_or).select(
         *[col(n) for n in names],
         F.concat(F.lit("L"), F.row_number().over(place)).alias("locus_id"),
@@ -125,6 +128,11 @@ def loci_summary(loci: DataFrame, disorders: DataFrame | None = None) -> DataFra
     return disorders.join(found, "disorder", "left").fillna(0, counts)
 
 
+def loci_by_size(loci: DataFrame) -> DataFrame:
+    """Loci by number of variants, the largest first."""
+    return loci.orderBy(F.desc("n_snps"), "lead_pval", "chr", "start")
+
+
 def presence_matrix(loci: DataFrame, disorders: Sequence[str]) -> DataFrame:
     """Chromosome rows in natural order, a mark per disorder with a locus there."""
     marks = loci.select("chr", "disorder").distinct().groupBy("chr").pivot("disorder", list(disorders)).agg(

@@ -10,7 +10,7 @@ from assocframe.functions.scalars import region_label
 from assocframe.roles import col
 
 BIN_BP = 1_000_000
-_PARTS = 16
+_LOCI_A_PART = 512
 
 
 def _side(loci: DataFrame, side: str) -> DataFrame:
@@ -48,11 +48,12 @@ def pair_loci(loci: DataFrame, margin_kb: float = L.OVERLAP_MARGIN_KB) -> DataFr
     the two loci counts; ``overlap_loci`` gives only the overlapping pairs and
     ``pair_counts`` only the numbers.  Loci of one disorder are disjoint, which
     bounds each side by chromosome length / window.  One side is split into
-    parts so that a chromosome is not one task.
+    parts of about _LOCI_A_PART loci, so that a chromosome is not one task.
     """
     margin = int(margin_kb * 1000)
-    a = _side(loci, "a").withColumn("part", F.pmod(F.xxhash64("start_a", "disorder_a"), F.lit(_PARTS)).cast("int"))
-    b = _side(loci, "b").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1))))
+    parts = loci.groupBy("chr").agg(F.ceil(F.count(F.lit(1)) / _LOCI_A_PART).alias("parts"))
+    a = _side(loci, "a").join(parts, "chr").withColumn("part", F.pmod(F.xxhash64("start_a", "disorder_a"), "parts")).drop("parts")
+    b = _side(loci, "b").join(parts, "chr").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), col("parts") - 1))).drop("parts")
     pairs = a.join(b, ["chr", "part"]).filter(col("disorder_a") < col("disorder_b"))
     return _labelled(pairs, _overlaps(margin).alias("overlaps"))
 
@@ -80,8 +81,9 @@ def overlap_loci(loci: DataFrame, margin_kb: float = L.OVERLAP_MARGIN_KB, bin_bp
     return _labelled(pairs)
 
 
-def only_overlapping(pairs: DataFrame) -> DataFrame:
-    return pairs.filter(col("overlaps"))
+def overlapping_pairs(loci: DataFrame, margin_kb: float = L.OVERLAP_MARGIN_KB) -> DataFrame:
+    """The rows of ``pair_loci`` that overlap, without listing the others."""
+    return overlap_loci(loci, margin_kb).withColumn("overlaps", F.lit(True))
 
 
 def overlap_counts(overlapping: DataFrame) -> DataFrame:

@@ -168,17 +168,15 @@ def row_null_rate(df: DataFrame) -> DataFrame:
     )
 
 
-def null_matrix(df: DataFrame, order: Sequence[str], n: int = 2_000, columns: Sequence[str] | None = None) -> DataFrame:
-    """0/1 per cell of the first ``n`` rows, for the columns that have NULLs."""
-    if columns is None:
-        found = null_profile(df).filter(col("n_null") > 0).collect()
-        columns = [r["column"] for r in found]
+def null_patterns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows per pattern of missing cells: 0/1 per column (1: missing), and ``n_rows``.
+
+    This is the null matrix with equal rows put together, over the whole table.
+    """
     fields = {f.name: f for f in df.schema.fields}
-    head = df.orderBy(*[col(c) for c in order]).limit(n)
-    return head.select(
-        *[col(c) for c in order if c not in columns],
-        *[(~_present(fields[c])).cast("int").alias(c) for c in columns],
-    )
+    marks = [(~_present(fields[c])).cast("int").alias(c) for c in (columns or df.columns)]
+    named = df.select(*marks)
+    return named.groupBy(*[col(c) for c in named.columns]).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def value_counts(df: DataFrame, column: str, k: int = 20) -> DataFrame:
@@ -212,21 +210,19 @@ def mode_value(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def categorical_columns(df: DataFrame, candidates: Sequence[str], limit: int = L.VALUE_COUNT_LIMIT) -> list[str]:
-    """Candidates with at most ``limit`` distinct values; exact only where the estimate is near."""
-    if not candidates:
-        return []
-    about = df.agg(*[F.approx_count_distinct(col(c), 0.05).alias(f"_{i}") for i, c in enumerate(candidates)]).first()
-    sure = {c for i, c in enumerate(candidates) if about[i] <= limit * 0.7}
-    near = [c for i, c in enumerate(candidates) if limit * 0.7 < about[i] <= limit * 1.4]
-    if near:
-        exact = {r["column"]: r["n_distinct"] for r in distinct_counts(df.select(*[col(c) for c in near])).collect()}
-        sure |= {c for c in near if exact.get(c, 0) <= limit}
-    return [c for c in candidates if c in sure]
+def categorical_value_counts(df: DataFrame, columns: Sequence[str], k: int, limit: int) -> DataFrame:
+    """The ``k`` most frequent values of each of ``columns`` that has at most ``limit`` distinct ones.
 
-
-def glossary_table(spark) -> DataFrame:
-    return spark.createDataFrame(list(L.GLOSSARY.items()), "name_norm string, term string")
+    One scan in long form; what is ranked has at most ``limit`` rows per column.
+    """
+    named = df.select(*[col(c).cast("string").alias(c) for c in columns])
+    long = named.unpivot([], [col(c) for c in columns], "column", "value").filter("value is not null")
+    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Columns of too many values are known from one count per column, so no window gathers their values.
+    few = counts.groupBy("column").agg(F.count(F.lit(1)).alias("distinct")).filter(col("distinct") <= limit)
+    place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))
+    kept = counts.join(F.broadcast(few.select("column")), "column")  # one row per column name
+    return kept.withColumn("place", place).filter(col("place") <= k).drop("place")
 
 
 def column_glossary(profile: DataFrame, glossary: DataFrame) -> DataFrame:

@@ -15,37 +15,26 @@ from assocframe.plans.quantile import long_values, order_statistics, quantile_ar
 from assocframe.roles import col, to_double
 
 FENCE = 1.5
-_SORTED_SAMPLE = 100_000
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], qs: Sequence[float], by: Sequence[str] = (), method: str = "auto"
+    df: DataFrame, columns: Sequence[str], qs: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """``by..., column, q, value`` with linear interpolation."""
     keys = [*by, "column"]
-    table = quantile_array(long_values(df, columns, by), keys, qs, method, bounded=not by)
+    table = quantile_array(long_values(df, columns, by), keys, qs, bounded=not by)
     pairs = F.arrays_zip(F.array(*[F.lit(float(x)) for x in qs]).alias("q"), col("q").alias("value"))
     return table.select(*[col(k) for k in keys], F.explode(pairs).alias("_p")).select(
         *[col(k) for k in keys], F.col("_p.q").alias("q"), F.col("_p.value").alias("value")
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), method: str = "auto") -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, sample standard deviation, minimum, quartiles and maximum, four digits."""
     keys = [*by, "column"]
-    table = quantile_array(
-        long_values(df, columns, by),
-        keys,
-        [0.25, 0.5, 0.75],
-        method,
-        extra=[
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        ],
-        bounded=not by,
-    )
+    values = long_values(df, columns, by)
+    moments = values.groupBy(*[col(k) for k in keys]).agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+    table = quantile_array(values, keys, [0.25, 0.5, 0.75], bounded=not by).join(moments, keys)
     q = [F.get("q", F.lit(i)) for i in range(3)]
     numbers = {"mean": col("mean"), "std": col("std"), "min": col("min"), "p25": q[0], "p50": q[1], "p75": q[2], "max": col("max")}
     return table.select(
@@ -60,15 +49,15 @@ def _fences(q1: Column, q3: Column) -> tuple[Column, Column]:
 
 
 def iqr_limits(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), method: str = "auto"
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Quartiles and outlier limits: ``by..., column, n, q1, q2, q3, low, high``."""
+    """Quartiles and outlier limits: ``by..., column, n, min, max, q1, q2, q3, low, high``."""
     keys = [*by, "column"]
-    table = quantile_array(long_values(df, columns, by), keys, [0.25, 0.5, 0.75], method, bounded=not by)
+    table = quantile_array(long_values(df, columns, by), keys, [0.25, 0.5, 0.75], bounded=not by)
     q1, q2, q3 = (F.get("q", F.lit(i)) for i in range(3))
     low, high = _fences(q1, q3)
     return table.select(
-        *[col(k) for k in keys], "n", q1.alias("q1"), q2.alias("q2"), q3.alias("q3"),
+        *[col(k) for k in keys], "n", "min", "max", q1.alias("q1"), q2.alias("q2"), q3.alias("q3"),
         low.alias("low"), high.alias("high"),
     )
 
@@ -79,19 +68,15 @@ def iqr_outliers(
     by: Sequence[str] = (),
     drop_zero: bool = True,
     min_rows: int = 10,
-    method: str = "auto",
 ) -> DataFrame:
     """Values strictly outside the limits, per column; columns under ``min_rows`` values are skipped."""
     keys = [*by, "column"]
-    limits = iqr_limits(df, columns, by, method).filter(col("n") >= min_rows)
+    limits = iqr_limits(df, columns, by).filter(col("n") >= min_rows)
     values = lookup_join(
-        long_values(df, columns, by), limits.select(*keys, "low", "high"), keys, bounded=not by
+        long_values(df, columns, by), limits.select(*keys, "n", "min", "max", "low", "high"), keys, bounded=not by
     )
-    counted = values.groupBy(*[col(k) for k in keys], "low", "high").agg(
-        F.count_if((col("value") < col("low")) | (col("value") > col("high"))).alias("n_outliers"),
-        F.count(F.lit(1)).alias("n"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    counted = values.groupBy(*[col(k) for k in keys], "n", "min", "max", "low", "high").agg(
+        F.count_if((col("value") < col("low")) | (col("value") > col("high"))).alias("n_outliers")
     )
     if drop_zero:
         counted = counted.filter(col("n_outliers") > 0)
@@ -101,32 +86,31 @@ def iqr_outliers(
     ).orderBy(F.desc("n_outliers"), *keys)
 
 
-def outlier_rows(df: DataFrame, column: str, method: str = "auto") -> DataFrame:
+def outlier_rows(df: DataFrame, column: str) -> DataFrame:
     """Whole rows whose value lies outside the limits of the column."""
-    limits = iqr_limits(df, [column], method=method).select(F.struct("low", "high")).scalar()
+    limits = iqr_limits(df, [column]).select(F.struct("low", "high")).scalar()
     value = to_double(col(column))
     return df.filter((value < limits.getField("low")) | (value > limits.getField("high")))
 
 
 def sampled_iqr_outliers(
-    df: DataFrame, column: str, n: int = 50_000, key: Sequence[str] | None = None, seed: int = 42
+    df: DataFrame, column: str, n: int, key: Sequence[str] | None = None, seed: int = 42
 ) -> DataFrame:
     """Limits from a sample of ``n`` rows, outliers counted on the whole table.
 
     The sample is drawn first and NULLs are dropped after; quartiles are the
     nearest sample values.
     """
-    values = long_values(sample_exact(df, n, key, seed), [column])
+    key = list(key or df.columns)
+    narrow = df.select(*[col(c) for c in dict.fromkeys([*key, column])])
+    values = materialize(long_values(sample_exact(narrow, n, key, seed), [column]))
     ranks = [0.25, 0.75]
-    if n <= _SORTED_SAMPLE:
-        # At most n numbers are sorted in one place.
-        table = values.agg(F.sort_array(F.collect_list("value")).alias("at"), F.count(F.lit(1)).alias("n"))
-    else:
-        table = order_statistics(materialize(values), ["column"], ranks, (), bounded=True)
+    table = order_statistics(values, ["column"], ranks, bounded=True)
 
     def nearest(q: float) -> Column:
-        place = F.floor(F.lit(q) * (col("n") - 1) + 0.5)
-        return F.get("at", place.cast("int")) if n <= _SORTED_SAMPLE else F.try_element_at("at", place)
+        # One of the two positions around the quantile.
+        place = F.lit(q) * (col("n") - 1)
+        return F.try_element_at("at", F.floor(place + 0.5))
 
     low, high = _fences(*[nearest(q) for q in ranks])
     limits = table.select(F.struct(low.alias("low"), high.alias("high"))).scalar()
@@ -138,15 +122,15 @@ def sampled_iqr_outliers(
 
 
 def box_stats(
-    df: DataFrame, column: str, by: Sequence[str] = (), log1p: bool = False, method: str = "auto"
+    df: DataFrame, column: str, by: Sequence[str] = (), log1p: bool = False
 ) -> DataFrame:
     """Quartiles, whisker ends (last values within the limits) and number of outliers."""
     name = column
     if log1p:
         df = df.withColumn(column, log1p_clipped(to_double(col(column))))
     keys = [*by, "column"]
-    limits = iqr_limits(df, [column], by, method)
-    values = lookup_join(long_values(df, [column], by), limits, keys, bounded=not by)
+    limits = iqr_limits(df, [column], by)
+    values = lookup_join(long_values(df, [column], by), limits.drop("min", "max"), keys, bounded=not by)
     inside = (col("value") >= col("low")) & (col("value") <= col("high"))
     return (
         values.groupBy(*[col(k) for k in keys], "n", "q1", "q2", "q3")
@@ -190,6 +174,8 @@ def histogram(
     return counted.select(*out)
 
 
-def violin(df: DataFrame, column: str, by: Sequence[str] = (), bins: int = 40, method: str = "auto") -> tuple[DataFrame, DataFrame]:
-    """Box numbers and density bins, the data behind a violin."""
-    return box_stats(df, column, by, method=method), histogram(df, [column], bins, by, density=True)
+def violin(df: DataFrame, column: str, by: Sequence[str] = (), bins: int = 40) -> DataFrame:
+    """The data behind a violin: density bins of all rows, each with the box numbers of its group."""
+    keys = [*by, "column"]
+    box = box_stats(df, column, by).withColumnRenamed("n", "n_values")
+    return lookup_join(histogram(df, [column], bins, by, density=True), box, keys, bounded=not by)

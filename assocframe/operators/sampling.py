@@ -1,9 +1,10 @@
 """Repeatable exact-size samples.
 
-Rows are ordered by the md5 of a seed and a key, and the first ``n`` are kept.
-The result does not depend on partitioning.  A first pass counts rows per hash
-prefix and finds the prefix that is sure to hold the ``n`` smallest hashes; the
-second pass sorts only what lies below it, about ``n`` rows and not the table.
+Rows are ordered by the md5 of a seed and a key, and the first ``n`` are kept, so
+the result does not depend on partitioning.  Counts per hash prefix tell below
+which prefix all rows belong to the sample; within the last prefix the next
+digits are counted, and only rows that agree in eight digits with the last one
+of the sample (one in 4e9) are put in order.  The plan is the same for any ``n``.
 """
 
 from __future__ import annotations
@@ -16,10 +17,9 @@ from pyspark.sql import functions as F
 from assocframe.functions.scalars import neg_log10
 from assocframe.operators.filters import drop_incomplete
 from assocframe.plans.joins import lookup_join
-from assocframe.plans.materialize import plan_bytes
 from assocframe.roles import SCATTER_ALIASES, MissingRole, Roles, col, pick, roles_of, to_double
 
-_SORTED_LIMIT = 500_000  # rows up to which a sample is one top-n sort
+_DIGITS = 4  # hex digits counted at a time: at most 65,536 counts per group
 
 
 def sample_hash(key: Sequence[str], seed: int = 42) -> Column:
@@ -28,12 +28,6 @@ def sample_hash(key: Sequence[str], seed: int = 42) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
 
 
-def _prefix_digits(df: DataFrame) -> int:
-    """Hex digits counted in the first pass: at most 65,536 counts per group."""
-    size = plan_bytes(df)
-    return 2 if size < 64 << 20 else 3 if size < 8 << 30 else 4
-
-
 def _tie_order(df: DataFrame) -> list[Column]:
     return [F.xxhash64(*[col(c) for c in df.columns])]
 
@@ -42,37 +36,7 @@ def sample_exact(
     df: DataFrame, n: int, key: Sequence[str] | None = None, seed: int = 42
 ) -> DataFrame:
     """Exactly ``n`` rows, or all of them when there are no more than ``n``."""
-    hashed = df.withColumn("_hash", sample_hash(key or df.columns, seed)).withColumn(
-        "_prefix", F.left("_hash", F.lit(_prefix_digits(df)))
-    )
-    cutoff = (
-        hashed.groupBy("_prefix")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        # At most 65,536 rows reach this window.
-        .withColumn("_upto", F.sum("_rows").over(Window.orderBy("_prefix")))
-        .filter(col("_upto") >= n)
-        .agg(F.min(F.struct("_prefix", (n - col("_upto") + col("_rows")).alias("_wanted"))).alias("_last"))
-        .select(
-            F.struct(
-                F.coalesce("_last._prefix", F.lit("g")).alias("prefix"),
-                F.coalesce("_last._wanted", F.lit(0)).alias("wanted"),
-            )
-        )
-        .scalar()
-    )
-    order = [col("_hash"), *_tie_order(df)]
-    if n <= _SORTED_LIMIT:
-        picked = hashed.filter(col("_prefix") <= cutoff.getField("prefix")).orderBy(*order).limit(n)
-    else:
-        # A large sample is not sorted: all rows below the last prefix belong to
-        # it, and only rows of the last prefix, at scale 1/65,536 of the table, are
-        # ranked.
-        last = hashed.filter(col("_prefix") == cutoff.getField("prefix"))
-        ranked = last.withColumn("_rank", F.row_number().over(Window.orderBy(*order)))
-        picked = hashed.filter(col("_prefix") < cutoff.getField("prefix")).unionByName(
-            ranked.filter(col("_rank") <= cutoff.getField("wanted")).drop("_rank")
-        )
-    return picked.select(*[col(c) for c in df.columns])
+    return _quota_sample(df, [], F.lit(n), key, seed)
 
 
 def _quota_sample(
@@ -86,25 +50,40 @@ def _quota_sample(
             "_hash": sample_hash(key or df.columns, seed),
             **{f"_group{i}": F.coalesce(col(b).cast("string"), F.lit("")) for i, b in enumerate(by)},
             **{f"_null{i}": col(b).isNull() for i, b in enumerate(by)},
+            "_all": F.lit(True),
         }
-    ).withColumn("_prefix", F.left("_hash", F.lit(_prefix_digits(df))))
-    counts = hashed.groupBy(*keys, "_prefix").agg(F.count(F.lit(1)).alias("_rows"))
-    # At most 65,536 rows per group reach these windows.
-    running = Window.partitionBy(*keys).orderBy("_prefix")
-    last = F.min(F.when(col("_upto") >= col("_quota"), col("_prefix")))
-    cutoffs = (
-        counts.withColumn("_upto", F.sum("_rows").over(running))
-        .withColumn("_total", F.sum("_rows").over(Window.partitionBy(*keys)))
-        .withColumn("_quota", quota.cast("bigint"))
-        .groupBy(*keys, "_quota")
-        .agg(F.coalesce(last, F.lit("g")).alias("_cutoff"))
     )
-    below = lookup_join(hashed, cutoffs, keys).filter(col("_prefix") <= col("_cutoff"))
+    keys = keys or ["_all"]
+    first, second = (F.substring("_hash", 1 + k * _DIGITS, _DIGITS) for k in (0, 1))
+    counts = hashed.groupBy(*keys, first.alias("_at")).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = counts.withColumn("_total", F.sum("_rows").over(Window.partitionBy(*keys)))
+    # Groups that fit their quota get no cut: all their rows lie below "g".
+    outer = _cut(counts.withColumn("_left", quota.cast("bigint")), keys, ["_left"])
+    outer = outer.select(*keys, col("_cut").alias("_cut1"), col("_rest").alias("_left"))
+    inner = lookup_join(hashed.withColumn("_first", first), outer, keys, bounded=not by)
+    edge = inner.filter(col("_first") == col("_cut1"))
+    fine = edge.groupBy(*keys, "_left", second.alias("_at")).agg(F.count(F.lit(1)).alias("_rows"))
+    inner_cut = _cut(fine, keys, ["_left"]).select(*keys, col("_cut").alias("_cut2"), "_rest")
+    limits = outer.drop("_left").join(inner_cut, keys, "left")
+    limits = limits.select(*keys, F.concat("_cut1", F.coalesce("_cut2", F.lit("g"))).alias("_cut"), "_rest")
+    joined = lookup_join(hashed, limits, keys, bounded=not by).withColumn("_prefix", F.left("_hash", F.lit(2 * _DIGITS)))
+    # Rows of the last eight-digit prefix are the only ones that are ranked.
+    last = joined.filter(col("_prefix") == col("_cut"))
     order = Window.partitionBy(*keys).orderBy("_hash", *_tie_order(df))
+    ranked = last.withColumn("_rank", F.row_number().over(order)).filter(col("_rank") <= col("_rest")).drop("_rank")
+    picked = joined.filter(col("_prefix") < col("_cut")).unionByName(ranked)
+    return picked.select(*[col(c) for c in df.columns])
+
+
+def _cut(counts: DataFrame, keys: Sequence[str], carried: Sequence[str]) -> DataFrame:
+    """Per group the prefix at which ``_left`` rows are reached (``g`` if never), and the rows to take of it."""
+    running = F.sum("_rows").over(Window.partitionBy(*keys).orderBy("_at"))
+    reached = F.when(col("_upto") >= col("_left"), F.struct("_at", (col("_left") - col("_upto") + col("_rows")).alias("_rest")))
     return (
-        below.withColumn("_rank", F.row_number().over(order))
-        .filter(col("_rank") <= col("_quota"))
-        .select(*[col(c) for c in df.columns])
+        counts.withColumn("_upto", running)
+        .groupBy(*keys, *carried)
+        .agg(F.min(reached).alias("_first"))
+        .select(*keys, F.coalesce("_first._at", F.lit("g")).alias("_cut"), F.coalesce("_first._rest", F.lit(0)).alias("_rest"))
     )
 
 
@@ -122,20 +101,15 @@ def sample_proportional(
     key: Sequence[str] | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """About ``cap`` rows, each stratum giving ``max(1, int(rows * cap / total))``.
-
-    A table of at most ``cap`` rows is returned whole.
-    """
-    total = df.count()
-    if total <= cap:
-        return df
-    quota = F.greatest(F.lit(1), F.floor(col("_total") * F.lit(cap / total)))
+    """About ``cap`` rows, each stratum giving ``max(1, int(rows * cap / total))``; all rows if there are no more."""
+    share = min(1.0, cap / max(1, df.count()))
+    quota = F.greatest(F.lit(1), F.floor(col("_total") * F.lit(share)))
     return _quota_sample(df, strata, quota, key, seed)
 
 
 def pvalue_sample_per_disorder(
     df: DataFrame,
-    n: int = 5_000,
+    n: int,
     key: Sequence[str] | None = None,
     seed: int = 42,
     roles: Roles | None = None,
@@ -152,25 +126,29 @@ def pvalue_sample_per_disorder(
 def scatter_points(
     df: DataFrame,
     columns: Sequence[str],
-    cap: int = 15_000,
+    cap: int | None = None,
     key: Sequence[str] | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """Rows complete in the plotted ``columns``, at most ``cap`` of them."""
+    """Rows complete in the plotted ``columns``; with ``cap`` a sample of at most so many."""
     complete = drop_incomplete(df, columns)
-    return sample_exact(complete, cap, key, seed).select(*[col(c) for c in columns])
+    if cap is not None:
+        narrow = complete.select(*[col(c) for c in dict.fromkeys([*columns, *(key or df.columns)])])
+        complete = sample_exact(narrow, cap, key, seed)
+    return complete.select(*[col(c) for c in columns])
 
 
 def pval_maf_points(
     df: DataFrame,
-    cap: int = 15_000,
+    cap: int | None = None,
     key: Sequence[str] | None = None,
     seed: int = 42,
     impute: bool = False,
 ) -> DataFrame:
     """``maf, pval`` points; a missing p counts as 1, a missing MAF is left out.
 
-    ``impute=True`` fills missing MAF with flagged random numbers instead.
+    ``impute=True`` fills missing MAF with flagged random numbers instead;
+    ``cap`` asks for a sample of at most so many points.
     """
     p, maf = (pick(df.columns, SCATTER_ALIASES[role]) for role in ("pval", "maf"))
     if p is None or maf is None:
@@ -179,7 +157,10 @@ def pval_maf_points(
     points = df.withColumns({"_maf": to_double(col(maf)), "_p": F.coalesce(to_double(col(p)), F.lit(1.0))})
     if impute:
         points = impute_uniform(points, "_maf", key, seed=seed)
-    picked = sample_exact(drop_incomplete(points, ["_maf"]), cap, key, seed)
+    picked = drop_incomplete(points, ["_maf"])
+    if cap is not None:
+        shown = ["_maf", "_p", *(["is_imputed"] if impute else [])]
+        picked = sample_exact(picked.select(*[col(c) for c in dict.fromkeys([*key, *shown])]), cap, key, seed)
     flag = [col("is_imputed")] if impute else []
     return picked.select(col("_maf").alias("maf"), col("_p").alias("pval"), *flag)
 

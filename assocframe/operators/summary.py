@@ -219,12 +219,13 @@ def sorted_associations(df: DataFrame, roles: Roles | None = None) -> DataFrame:
 
 
 def suggested_variant(df: DataFrame, roles: Roles | None = None) -> DataFrame:
-    """Id of the smallest p-value; rows without id or p are out."""
+    """Id of the smallest p-value, NULL unless it is an rs id; rows without id or p are out."""
     r = roles_of(df, roles)
     r.need("pval", "snp")
     known = df.filter(col(r.pval).isNotNull() & col(r.snp).isNotNull())
     return known.agg(F.min(F.struct(col(r.pval), col(r.snp))).alias("_top")).select(
-        col("_top").getField(r.snp).alias("snp"), col("_top").getField(r.pval).alias("pval")
+        F.when(col("_top").getField(r.snp).startswith("rs"), col("_top").getField(r.snp)).alias("snp"),
+        col("_top").getField(r.pval).alias("pval"),
     )
 
 

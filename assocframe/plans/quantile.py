@@ -1,18 +1,15 @@
-"""Exact quantiles per key.
+"""Exact quantiles per key, found by position.
 
-``percentile`` keeps every distinct value of a key in one buffer, which is fine
-for small tables.  For large ones the values wanted are found by position:
-
-1. one pass estimates a narrow bracket around each quantile (approximate
-   percentiles) and counts rows;
-2. one pass counts rows in fine cells, cut finest inside the brackets; summing
-   the counts tells which cell holds each position;
-3. one pass keeps the rows of those few cells, counts equal values, and picks
+1. One pass counts rows per coarse cell, a fixed step on a logarithmic scale of
+   the number line, and notes each cell's smallest and largest value.  Summing
+   the counts in order tells which cell holds each position.
+2. One pass cuts those few cells evenly and counts again.
+3. One pass keeps the rows of the fine cells hit, counts equal values, and picks
    the value at the position.
 
-Cells partition the whole number line in order, so the answer is exact even
-where a bracket estimate is off; a bad estimate only makes a cell larger.
-All three passes combine on the map side and shuffle counts, not rows.
+Cells follow the order of the numbers (``ln`` never falls as its argument rises),
+so the answer is exact.  All passes combine on the map side and shuffle counts,
+not rows; the plan is the same for tables of any size.
 """
 
 from __future__ import annotations
@@ -23,13 +20,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assocframe.plans.joins import lookup_join
-from assocframe.plans.materialize import materialize, plan_bytes
+from assocframe.plans.materialize import materialize
 from assocframe.roles import col, to_double
 
-PERCENTILE_BYTES = 32 << 20
-_CELLS = 4096
-_ACCURACY = 10_000
-_MARGIN = 2.0 / _ACCURACY
+_PER_E_FOLD = 64  # coarse cells per factor e; all doubles lie in fewer than 200,000 cells
+_FINE = 16_384
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -39,30 +34,17 @@ def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     return long.filter(col("value").isNotNull())
 
 
-def _choose(values: DataFrame, method: str) -> str:
-    if method == "auto":
-        return "percentile" if plan_bytes(values) <= PERCENTILE_BYTES else "bracket"
-    return method
-
-
 def quantile_array(
     values: DataFrame,
     keys: Sequence[str],
     qs: Sequence[float],
-    method: str = "auto",
-    extra: Sequence[Column] = (),
     bounded: bool = False,
 ) -> DataFrame:
-    """``keys, n, q`` with ``q`` the array of linearly interpolated quantiles.
+    """``keys, n, min, max, q`` with ``q`` the array of linearly interpolated quantiles.
 
-    ``extra`` aggregates over ``value`` are computed in the first pass.
     ``bounded`` says the number of keys is bounded by the caller.
     """
-    n = F.count(F.lit(1)).alias("n")
-    if _choose(values, method) == "percentile":
-        q = F.percentile("value", F.array(*[F.lit(float(x)) for x in qs])).alias("q")
-        return values.groupBy(*[col(k) for k in keys]).agg(n, q, *extra)
-    stats = order_statistics(values, keys, qs, extra, bounded)
+    stats = order_statistics(values, keys, qs, bounded)
     picks = []
     for x in qs:
         place = F.lit(float(x)) * (col("n") - 1)
@@ -75,17 +57,9 @@ def quantile_array(
     return stats.select(*[col(c) for c in names], F.array(*picks).alias("q"))
 
 
-def middle_values(
-    values: DataFrame, keys: Sequence[str], method: str = "auto", bounded: bool = False
-) -> DataFrame:
+def middle_values(values: DataFrame, keys: Sequence[str], bounded: bool = False) -> DataFrame:
     """``keys, n, lower, upper``: the middle value, or the two middle values."""
-    if _choose(values, method) == "percentile":
-        return values.groupBy(*[col(k) for k in keys]).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY value)").alias("lower"),
-            F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY value DESC)").alias("upper"),
-        )
-    stats = order_statistics(values, keys, [0.5], (), bounded)
+    stats = order_statistics(values, keys, [0.5], bounded)
     place = F.lit(0.5) * (col("n") - 1)
     return stats.select(
         *[col(k) for k in keys],
@@ -95,66 +69,64 @@ def middle_values(
     )
 
 
-def order_statistics(
-    values: DataFrame, keys: Sequence[str], qs: Sequence[float], extra: Sequence[Column], bounded: bool
-) -> DataFrame:
-    """``keys, n, extra..., at`` where ``at`` maps the positions around each quantile to values."""
+def order_statistics(values: DataFrame, keys: Sequence[str], qs: Sequence[float], bounded: bool) -> DataFrame:
+    """``keys, n, min, max, at`` where ``at`` maps the positions around each quantile to values."""
     keys = list(keys)
+    by = [col(k) for k in keys]
     qs = sorted(set(float(q) for q in qs))
-    marks = [m for q in qs for m in (max(q - _MARGIN, 0.0), min(q + _MARGIN, 1.0))]
-    # One row per key, computed once and read by both passes that follow.
-    edges = materialize(
-        values.groupBy(*[col(k) for k in keys]).agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("value", [float(m) for m in marks], _ACCURACY).alias("_edges"),
-            *extra,
-        )
-    )
-    carried = [c for c in edges.columns if c not in keys and c != "_edges"]
-    ends = [F.get("_edges", F.lit(i)).alias(f"_e{i}") for i in range(len(marks))]
-    celled = lookup_join(values, edges.select(*keys, "n", *ends), keys, bounded=bounded, stored=True).select(
-        *keys, "n", "value", _cell(len(qs)).alias("_cell")
+    celled = values.select(*keys, "value", _cell(col("value")).alias("_cell"))
+    numbers = [F.count(F.lit(1)).alias("_rows"), F.min("value").alias("_min"), F.max("value").alias("_max")]
+    # A few hundred rows per key as a rule; read by both joins and by the totals.
+    cells = materialize(celled.groupBy(*by, "_cell").agg(*numbers))
+    totals = cells.groupBy(*by).agg(F.sum("_rows").alias("n"), F.min("_min").alias("min"), F.max("_max").alias("max"))
+
+    along = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    last = col("_n") - 1
+    positions = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(q * last), F.ceil(q * last)) for q in map(F.lit, qs)])))
+    coarse = (
+        cells.withColumn("_before", F.coalesce(F.sum("_rows").over(along), F.lit(0)))
+        .withColumn("_n", F.sum("_rows").over(Window.partitionBy(*by)))
+        .withColumn("_position", F.explode(positions))
+        .filter(_holds("_before"))
+        .groupBy(*by, "_cell", "_before", "_min", "_max")
+        .agg(F.collect_set("_position").alias("_positions"))
     )
-
-    before = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    positions = F.array_distinct(
-        F.flatten(F.array(*[F.array(F.floor(F.lit(q) * (col("n") - 1)), F.ceil(F.lit(q) * (col("n") - 1))) for q in qs]))
+    share = (col("value") - col("_min")) / F.nullif(col("_max") - col("_min"), F.lit(0.0))
+    fine = F.coalesce(F.floor(share * _FINE), F.lit(0)).cast("int").alias("_fine")
+    cut = lookup_join(celled, coarse, [*keys, "_cell"], bounded=bounded).select(
+        *keys, "_cell", "_before", "_positions", "value", fine
     )
+    inside = Window.partitionBy(*by, "_cell").orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
     located = (
-        celled.groupBy(*keys, "n", "_cell")
+        cut.groupBy(*by, "_cell", "_before", "_positions", "_fine")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        # At most (quantiles x 4,099) rows per key reach this window.
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .withColumn("_position", F.explode(positions))
-        .filter((col("_position") >= col("_before")) & (col("_position") < col("_before") + col("_rows")))
-        .groupBy(*keys, "_cell", "_before")
-        .agg(F.collect_set("_position").alias("_positions"))
+        .withColumn("_from", col("_before") + F.coalesce(F.sum("_rows").over(inside), F.lit(0)))
+        .withColumn("_position", F.explode("_positions"))
+        .filter(_holds("_from"))
+        .groupBy(*by, "_cell", "_fine", "_from")
+        .agg(F.collect_set("_position").alias("_wanted"))
     )
-    inside = lookup_join(celled, located, [*keys, "_cell"], bounded=bounded)
-    in_cell = Window.partitionBy(*keys, "_cell").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    hit = lookup_join(cut.drop("_before", "_positions"), located, [*keys, "_cell", "_fine"], bounded=bounded)
+    in_fine = Window.partitionBy(*by, "_cell", "_fine").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     found = (
-        inside.groupBy(*keys, "_cell", "_before", "_positions", "value")
+        hit.groupBy(*by, "_cell", "_fine", "_from", "_wanted", "value")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_first", col("_before") + F.coalesce(F.sum("_rows").over(in_cell), F.lit(0)))
-        .withColumn("_position", F.explode("_positions"))
-        .filter((col("_position") >= col("_first")) & (col("_position") < col("_first") + col("_rows")))
-        .groupBy(*keys)
+        .withColumn("_first", col("_from") + F.coalesce(F.sum("_rows").over(in_fine), F.lit(0)))
+        .withColumn("_position", F.explode("_wanted"))
+        .filter(_holds("_first"))
+        .groupBy(*by)
         .agg(F.map_from_entries(F.collect_list(F.struct("_position", "value"))).alias("at"))
     )
-    return edges.select(*keys, *carried).join(found, keys)
+    return totals.join(found, keys)
 
 
-def _cell(quantiles: int) -> Column:
-    """Order-preserving cell number of ``value`` given the bracket ends ``_e0, _e1, ...``.
+def _holds(first: str) -> Column:
+    """Whether the ``_rows`` rows from position ``first`` hold ``_position``."""
+    return (col("_position") >= col(first)) & (col("_position") < col(first) + col("_rows"))
 
-    Bracket ``i`` owns the cells from ``i * width``: the first is everything
-    below the bracket, the others cut the bracket evenly.
-    """
-    value, width = col("value"), _CELLS + 2
-    cell = F.when(value > col(f"_e{2 * quantiles - 1}"), F.lit(quantiles * width))
-    for i in range(quantiles):
-        low, high = col(f"_e{2 * i}"), col(f"_e{2 * i + 1}")
-        share = F.when(high > low, (value - low) / (high - low)).otherwise(F.lit(0.0))
-        cell = cell.when(value < low, F.lit(i * width))
-        cell = cell.when(value <= high, F.lit(i * width + 1) + F.floor(share * _CELLS).cast("int"))
-    return cell
+
+def _cell(value: Column) -> Column:
+    """Order-preserving coarse cell of a number; zero has a cell of its own."""
+    # ln of the smallest double is -745, so steps of positive numbers are above zero.
+    step = lambda x: F.floor((F.ln(x) + 746) * _PER_E_FOLD).cast("int") + 1
+    return F.when(value > 0, step(value)).when(value < 0, -step(-value)).otherwise(F.lit(0))

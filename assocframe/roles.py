@@ -29,6 +29,10 @@ ALIASES: dict[str, tuple[str, ...]] = {
     "direct_or": ("or", "odds_ratio", "oddsratio"),
 }
 
+# Columns that loading adds where files of different headers are united: what each file's
+# own roles said.  They go before all headers.
+SETTLED = {"effect": "shown_effect", "settled_or": "settled_or"}
+
 # The shorter alias lists of the p against MAF scatter view.
 SCATTER_ALIASES: dict[str, tuple[str, ...]] = {
     "pval": ("pval", "palvalue", "pvalue"),
@@ -60,6 +64,7 @@ class Roles:
     or_effect: str | None = None
     effect_kind: str | None = None
     direct_or: str | None = None
+    settled_or: str | None = None
 
     def need(self, *roles: str) -> None:
         missing = [r for r in roles if getattr(self, r) is None]
@@ -76,14 +81,17 @@ class Roles:
 
 
 def pick(columns: Iterable[str], aliases: Iterable[str]) -> str | None:
-    """First alias that is a column, ignoring case; a later duplicate header wins."""
-    by_lower = {c.lower(): c for c in columns}
-    return next((by_lower[a] for a in aliases if a in by_lower), None)
+    """First alias that is a column, ignoring case; of headers that differ in case only the last one counts."""
+    order = {alias: place for place, alias in enumerate(aliases)}
+    ranked = [(order[c.lower()], -place, c) for place, c in enumerate(columns) if c.lower() in order]
+    return min(ranked)[2] if ranked else None
 
 
 def resolve_roles(columns: Iterable[str]) -> Roles:
     columns = list(columns)
-    return Roles(**{role: pick(columns, aliases) for role, aliases in ALIASES.items()})
+    found = {role: pick(columns, aliases) for role, aliases in ALIASES.items()}
+    found |= {role: name for role, name in SETTLED.items() if name in columns}
+    return Roles(**found)
 
 
 def roles_of(df: DataFrame, roles: Roles | None = None) -> Roles:

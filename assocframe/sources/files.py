@@ -1,22 +1,19 @@
-"""Facts about Parquet files that need no values: sizes, rows, row groups, headers."""
+"""Facts about Parquet files: sizes, rows, blocks, headers.  Spark opens and lists all of them."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
-import pyarrow.fs as pafs
-import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from assocframe.functions.scalars import round_even
+_AT_ONCE = 16
 
-_FOOTER = (
-    "file_path string, row_group int, n_rows bigint, n_bytes bigint, file_rows bigint, "
-    "n_columns int, n_row_groups int, format_version string, footer_bytes bigint, "
-    "columns array<string>"
-)
+
+def _as_list(paths: str | Sequence[str]) -> list[str]:
+    return [paths] if isinstance(paths, str) else list(paths)
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -25,7 +22,7 @@ def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
-        .load([paths] if isinstance(paths, str) else list(paths))
+        .load(_as_list(paths))
     )
     return listing.select(
         F.col("path").alias("file_path"),
@@ -34,96 +31,53 @@ def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def file_sizes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Size in MB and row count per file, from listing and footers only."""
-    totals = file_totals(row_group_inventory(spark, paths)).select("file_path", "n_rows")
-    return (
-        list_files(spark, paths)
-        .join(totals, "file_path")
-        .select("file_name", "n_bytes", (F.col("n_bytes") / 1024**2).alias("mb"), "n_rows")
+def file_blocks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``file_path, file_name, n_bytes, block_start, n_rows`` of every part of a file that Spark reads as one.
+
+    Only row counts are read, no column; files of any header may be mixed.
+    """
+    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(*_as_list(paths))
+    facts = ("file_path", "file_name", "file_size", "file_block_start")
+    named = rows.select(*[F.col(f"_metadata.{f}").alias(f) for f in facts])
+    counted = named.groupBy(*facts).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.select(
+        "file_path", "file_name", F.col("file_size").alias("n_bytes"), F.col("file_block_start").alias("block_start"), "n_rows"
     )
 
 
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for path in batch["file_path"]:
-            filesystem, inner = pafs.FileSystem.from_uri(_as_uri(path))
-            footer = pq.read_metadata(inner, filesystem=filesystem)
-            columns = footer.schema.to_arrow_schema().names
-            common = (
-                footer.num_rows,
-                footer.num_columns,
-                footer.num_row_groups,
-                str(footer.format_version),
-                footer.serialized_size,
-                columns,
-            )
-            groups = [
-                (i, footer.row_group(i).num_rows, footer.row_group(i).total_byte_size)
-                for i in range(footer.num_row_groups)
-            ] or [(None, 0, 0)]
-            rows += [(path, *g, *common) for g in groups]
-        yield pd.DataFrame(
-            rows,
-            columns=[
-                "file_path", "row_group", "n_rows", "n_bytes", "file_rows", "n_columns",
-                "n_row_groups", "format_version", "footer_bytes", "columns",
-            ],
-        )
-
-
-def _as_uri(path: str) -> str:
-    """Spark's spelling of a path as a URI: ``file:/x`` becomes ``file:///x``, ``s3a`` is ``s3``."""
-    if path.startswith("s3a://"):
-        return "s3://" + path[len("s3a://"):]
-    if path.startswith("file:/") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    return path if "://" in path else "file://" + path
-
-
-def read_footers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One row per row group, footers read on the executors."""
-    listing = list_files(spark, paths).select("file_path")
-    return listing.mapInPandas(_footers, _FOOTER)
-
-
-def row_group_inventory(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def file_sizes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Size in MB and row count per file; a file without rows counts 0."""
+    rows = file_blocks(spark, paths).groupBy("file_name").agg(F.sum("n_rows").alias("n_rows"))
     return (
-        read_footers(spark, paths)
-        .withColumn("kb", round_even(F.col("n_bytes") / 1024, 1))
-        .withColumn("mb", round_even(F.col("n_bytes") / 1024**2, 3))
-        .withColumn("file_name", F.element_at(F.split("file_path", "/"), -1))
+        list_files(spark, paths)
+        .join(rows, "file_name", "left")
+        .select("file_name", "n_bytes", (F.col("n_bytes") / 1024**2).alias("mb"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
     )
 
 
-def file_totals(inventory: DataFrame) -> DataFrame:
-    """Totals per file of a row-group inventory."""
-    return inventory.groupBy("file_path").agg(
-        F.max("file_rows").alias("n_rows"),
-        F.max("n_columns").alias("n_columns"),
-        F.max("n_row_groups").alias("n_row_groups"),
-        F.sum("n_bytes").alias("n_bytes"),
-        F.max("format_version").alias("format_version"),
-        F.max("footer_bytes").alias("footer_bytes"),
-    )
+def file_totals(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``file_name, n_rows, n_columns`` per file."""
+    found = None
+    for schema, files in headers(spark, paths):
+        part = file_sizes(spark, files).select("file_name", "n_rows", F.lit(len(schema.fields)).alias("n_columns"))
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
-def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[list[str], list[str]]]:
-    """``(columns, paths)`` per distinct header.
+def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """``(schema, paths)`` per distinct header: the names and types of its columns.
 
-    Files of one header keep the paths given.  Only if headers differ do file
-    paths reach the driver, which Spark's own file index holds too.
+    Spark reads one footer per file, several at a time.  Files of one header
+    keep the paths given.  Only names and schemas reach the driver, which
+    Spark's own file index holds too.
     """
-    per_file = (
-        read_footers(spark, paths)
-        .filter(F.coalesce(F.col("row_group"), F.lit(0)) == 0)
-        .select("columns", "file_path")
-    )
-    distinct = per_file.select("columns").distinct().collect()
-    if len(distinct) == 1:
-        return [(distinct[0].columns, [paths] if isinstance(paths, str) else list(paths))]
-    found: dict[tuple[str, ...], list[str]] = {}
-    for row in per_file.orderBy("file_path").toLocalIterator():
-        found.setdefault(tuple(row.columns), []).append(row.file_path)
-    return [(list(names), files) for names, files in found.items()]
+    files = sorted(r["file_path"] for r in list_files(spark, paths).select("file_path").toLocalIterator())
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
+    found: dict[str, tuple[T.StructType, list[str]]] = {}
+    for schema, file in zip(schemas, files, strict=True):
+        same = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+        found.setdefault(same, (schema, []))[1].append(file)
+    if len(found) == 1:
+        return [(schemas[0], _as_list(paths))]
+    return list(found.values())

@@ -6,15 +6,15 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assocframe import labels as L
-from assocframe.functions.scalars import neg_log10_floor
+from assocframe.functions.scalars import neg_log10_floor, odds_ratio
 from assocframe.operators.sampling import sample_exact, sample_key, sample_proportional
 from assocframe.roles import MissingRole, Roles, canonical_names, col, resolve_roles, to_double, to_long
-from assocframe.sources.files import headers, list_files
+from assocframe.sources.files import headers
 
 MODES = ("full", "gwas", "sample")
 
@@ -46,8 +46,11 @@ def scan_roles(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return df.select(*[col(c) for c in resolve_roles(df.columns).columns()])
 
 
-def clean(df: DataFrame, roles: Roles, with_file: bool = False) -> DataFrame:
-    """Canonical names and types: NaN is NULL, chromosome and id are text, position is a long."""
+def clean(df: DataFrame, roles: Roles, with_file: bool = False, settle: bool = False) -> DataFrame:
+    """Canonical names and types: NaN is NULL, chromosome and id are text, position is a long.
+
+    ``settle`` adds the odds ratio and the effect to show by the roles of this table.
+    """
     numbers = {roles.pval, roles.maf, roles.info, roles.se, roles.or_effect, roles.direct_or}
     texts = {roles.chr, roles.snp, roles.disorder, roles.effect_kind}
     renames = canonical_names(roles)
@@ -61,6 +64,12 @@ def clean(df: DataFrame, roles: Roles, with_file: bool = False) -> DataFrame:
         elif field.name in texts:
             c = c.cast("string")
         out.append(c.alias(renames.get(field.name, field.name)))
+    if settle and (roles.or_effect or roles.direct_or):
+        number = lambda name: to_double(col(name)) if name is not None else None
+        kind = col(roles.effect_kind).cast("string") if roles.effect_kind is not None else None
+        out.append(odds_ratio(number(roles.or_effect), kind, number(roles.direct_or)).alias("settled_or"))
+    if settle and roles.effect is not None:
+        out.append(to_double(col(roles.effect)).alias("shown_effect"))
     if with_file:
         out.append(F.col("_metadata.file_name").alias("source_file"))
     return df.select(*out)
@@ -77,8 +86,7 @@ def load(
     spark: SparkSession,
     paths: str | Sequence[str],
     mode: str = "full",
-    cap: int = L.SAMPLE_ROWS,
-    limit_mb: float = L.SAMPLE_LIMIT_MB,
+    cap: int | None = None,
     columns: Sequence[str] | None = None,
     level: float | None = None,
     key: Sequence[str] | None = None,
@@ -88,16 +96,22 @@ def load(
 
     ``full`` reads all rows.  ``gwas`` keeps genome-wide significant rows; files
     without a p-value column are loaded whole and named in ``fallback_files``.
-    ``sample`` takes ``cap`` rows when the files exceed ``limit_mb``; ``key``
-    names columns that identify a row, by default disorder, id and position.
-    ``level`` adds a p-value filter that reaches the scan in every mode.
-    Files with the same header share one scan; each header gets its own roles.
+    ``sample`` takes ``cap`` rows; ``key`` names columns that identify a row, by
+    default disorder, id and position.  ``level`` adds a p-value filter that
+    reaches the scan in every mode.
+
+    Files with the same header (names and types) share one scan; each header
+    gets its own roles.  Where files state their effects differently, what
+    depends on a file's roles is settled before the files are united: the odds
+    ratio (``settled_or``) and the effect to show (``shown_effect``).  A column whose types differ becomes a
+    double if all are numbers, else text.
     """
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
-    parts, all_roles, fallback, effective = [], [], [], []
-    for names, files in headers(spark, paths):
-        roles = resolve_roles(names)
+    _check_mode(mode, cap)
+    found = headers(spark, paths)
+    settle = len({_effect_rule(resolve_roles(schema.names)) for schema, _ in found}) > 1
+    parts, fallback, effective = [], [], []
+    for schema, files in found:
+        roles = resolve_roles(schema.names)
         part = spark.read.parquet(*files)
         part_mode = mode
         if mode == "gwas":
@@ -108,85 +122,110 @@ def load(
                 part = significant(part, L.GENOME_WIDE, roles)
         if level is not None and roles.pval is not None:
             part = significant(part, level, roles)
-        parts.append(clean(part, roles, with_file=True))
-        all_roles.append(roles)
+        parts.append(clean(part, roles, with_file=True, settle=settle))
         effective.append(part_mode)
-    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    df = unite(parts)
     if columns is not None:
         df = df.select(*[col(c) for c in columns], "source_file")
-    sampled = False
     if mode == "sample":
-        sampled = total_mb(spark, paths) > limit_mb
-        if sampled:
-            df = sample_exact(df, cap, key or sample_key(df), seed)
+        df = sample_exact(df, cap, key or sample_key(df), seed)
     used = "full" if mode == "gwas" and set(effective) == {"full"} else mode
-    return Loaded(df, resolve_roles(df.columns), used, sampled, tuple(fallback))
+    return Loaded(df, resolve_roles(df.columns), used, mode == "sample", tuple(fallback))
+
+
+def _effect_rule(roles: Roles) -> tuple:
+    """What decides how a file's effects are read: which of the roles it has, and which one is shown."""
+    has = [r is not None for r in (roles.or_effect, roles.effect_kind, roles.direct_or)]
+    return (*has, roles.effect is None, roles.effect in (roles.or_effect, None), roles.effect in (roles.direct_or, None))
+
+
+def _check_mode(mode: str, cap: int | None) -> None:
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    if (mode == "sample") != (cap is not None):
+        raise ValueError("mode sample, and no other, takes a cap")
+
+
+def unite(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union by name; a column whose types differ becomes a double if all are numbers, else text."""
+    kinds: dict[str, set] = {}
+    for part in parts:
+        for field in part.schema.fields:
+            kinds.setdefault(field.name, set()).add(field.dataType)
+    common = {
+        name: "double" if all(isinstance(t, T.NumericType) for t in types) else "string"
+        for name, types in kinds.items()
+        if len(types) > 1
+    }
+    cast = [
+        part.select(*[col(c).cast(common[c]).alias(c) if c in common else col(c) for c in part.columns]) for part in parts
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), cast)
 
 
 def load_plot_columns(
     spark: SparkSession,
     paths: str | Sequence[str],
-    mode: str = "sample",
-    cap: int = L.LIVE_PLOT_ROWS,
+    mode: str = "full",
+    cap: int | None = None,
     key: Sequence[str] | None = None,
     seed: int = 42,
 ) -> Loaded:
-    """Chromosome, position, p, id and MAF of files of one header, for a plot.
+    """Chromosome, position, p, id and MAF of files of any headers, for a plot.
 
-    Only those columns are read.  ``sample`` takes about ``cap`` rows, each
-    block of each file giving its share.  Rows without a positive p-value are
-    left out and ``neg_log10_p`` is added.
+    Only those columns (and ``key``) are read.  ``sample`` takes about ``cap``
+    rows, each block of each file giving its share.  Rows without a positive
+    p-value are left out and ``neg_log10_p`` is added.
     """
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
-    df = scan(spark, paths)
-    r = resolve_roles(df.columns)
-    wanted = [c for c in (r.chr, r.pos, r.pval, r.snp, r.maf) if c is not None]
-    if not wanted:
-        raise MissingRole("no column plays a known role")
-    used = "full" if mode == "gwas" and r.pval is None else mode
-    sampled = False
-    if used == "gwas":
-        df = significant(df, L.GENOME_WIDE, r)
-    elif used == "sample":
-        df, sampled = block_sample(df, wanted, cap, key, seed)
-    if r.pval is not None:
-        df = df.filter(col(r.pval) > 0)
-    narrow = df.select(*[col(c) for c in wanted])
-    out = clean(narrow, resolve_roles(wanted))
-    if r.pval is not None:
-        out = out.withColumn("neg_log10_p", neg_log10_floor(col("pval")))
-    return Loaded(out, resolve_roles(out.columns), used, sampled)
+    _check_mode(mode, cap)
+    parts, used = [], []
+    for schema, files in headers(spark, paths):
+        r = resolve_roles(schema.names)
+        wanted = [c for c in (r.chr, r.pos, r.pval, r.snp, r.maf) if c is not None]
+        if not wanted:
+            raise MissingRole("no column plays a known role")
+        part = spark.read.parquet(*files)
+        used.append("full" if mode == "gwas" and r.pval is None else mode)
+        if used[-1] == "gwas":
+            part = significant(part, L.GENOME_WIDE, r)
+        # The key of a sample is matched by name and stays until the sample is drawn.
+        keyed = [c for c in dict.fromkeys(key or ()) if c in part.columns and c not in wanted]
+        renames = canonical_names(r)
+        named = clean(part.select(*[col(c) for c in wanted], *[col(c) for c in keyed], *_place()), r)
+        parts.append(named)
+        key = [renames.get(k, k) for k in key] if key is not None else None
+    df = unite(parts)
+    names = [c for c in ("chr", "pos", "pval", "snp_id", "maf") if c in df.columns]
+    if mode == "sample":
+        df = sample_proportional(df, cap, ["_file", "_block"], key or [*names, "_file", "_block"], seed)
+    out = df.select(*names)
+    if "pval" in names:
+        out = out.filter(col("pval") > 0).withColumn("neg_log10_p", neg_log10_floor(col("pval")))
+    effective = "full" if mode == "gwas" and set(used) == {"full"} else mode
+    return Loaded(out, resolve_roles(out.columns), effective, mode == "sample")
+
+
+def _place() -> list[Column]:
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
 
 
 def block_sample(
     df: DataFrame, columns: Sequence[str], cap: int, key: Sequence[str] | None = None, seed: int = 42
-) -> tuple[DataFrame, bool]:
-    """Proportional sample of a file scan, block by block; also tells whether rows were left out."""
-    if df.count() <= cap:
-        return df.select(*[col(c) for c in columns]), False
+) -> DataFrame:
+    """Proportional sample of a file scan, block by block."""
     keep = list(dict.fromkeys([*columns, *(key or [])]))
-    placed = df.select(
-        *[col(c) for c in keep],
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+    placed = df.select(*[col(c) for c in keep], *_place())
     picked = sample_proportional(placed, cap, ["_file", "_block"], key or keep, seed)
-    return picked.select(*[col(c) for c in columns]), True
-
-
-def total_mb(spark: SparkSession, paths: str | Sequence[str]) -> float:
-    total = list_files(spark, paths).agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
-    return total / 1024**2
+    return picked.select(*[col(c) for c in columns])
 
 
 def read_many(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Union of files of any schema by column name, with ``source_file``."""
     parts = []
-    for names, files in headers(spark, paths):
+    for schema, files in headers(spark, paths):
         part = spark.read.parquet(*files).select("*", F.col("_metadata.file_name").alias("source_file"))
-        parts.append(part if columns is None else part.select(*[c for c in columns if c in names], "source_file"))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        parts.append(part if columns is None else part.select(*[c for c in columns if c in schema.names], "source_file"))
+    return unite(parts)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:

@@ -28,10 +28,9 @@ def samples(kind):
 def test_bracket_quantiles_are_exact(spark, kind):
     x = samples(kind)
     df = spark.createDataFrame(pd.DataFrame({"x": x})).repartition(5)
-    for method in ("bracket", "percentile"):
-        got = {r.q: r.value for r in Q.exact_quantiles(df, ["x"], QS, method=method).collect()}
-        for q in QS:
-            assert got[q] == pytest.approx(float(np.quantile(x, q)), rel=1e-9, abs=1e-12), (method, q)
+    got = {r.q: r.value for r in Q.exact_quantiles(df, ["x"], QS).collect()}
+    for q in QS:
+        assert got[q] == pytest.approx(float(np.quantile(x, q)), rel=1e-9, abs=1e-12), q
 
 
 def test_bracket_quantiles_by_group_and_column(spark):
@@ -39,20 +38,24 @@ def test_bracket_quantiles_by_group_and_column(spark):
     pdf = pd.DataFrame({"g": rng.choice(["a", "b"], 3000, p=[0.9, 0.1]), "x": rng.exponential(size=3000), "y": rng.integers(0, 3, 3000).astype(float)})
     pdf.loc[::7, "x"] = np.nan
     df = spark.createDataFrame(pdf)
-    got = Q.exact_quantiles(df, ["x", "y"], [0.25, 0.75], ["g"], method="bracket").collect()
+    got = Q.exact_quantiles(df, ["x", "y"], [0.25, 0.75], ["g"]).collect()
     assert len(got) == 8
     for r in got:
         assert r.value == pytest.approx(pdf[pdf.g == r.g][r.column].quantile(r.q), rel=1e-9)
 
 
-def test_order_statistics_survive_useless_brackets(spark, monkeypatch):
+@pytest.mark.parametrize("per_fold,fine", [(1, 1), (64, 16)])
+def test_order_statistics_survive_useless_cells(spark, monkeypatch, per_fold, fine):
     import assocframe.plans.quantile as P
 
-    monkeypatch.setattr(P, "_CELLS", 1)
-    x = samples("5001")
+    monkeypatch.setattr(P, "_PER_E_FOLD", per_fold)
+    monkeypatch.setattr(P, "_FINE", fine)
+    x = np.concatenate([samples("5001"), [0.0, -0.0, 5e-324, -5e-324, 1e308, -1e308, 1e-300]])
     values = long_values(spark.createDataFrame(pd.DataFrame({"x": x})), ["x"])
-    at = order_statistics(values, ["column"], [0.5], (), True).first()["at"]
-    assert at[2500] == np.sort(x)[2500]
+    row = order_statistics(values, ["column"], [0.0, 0.5, 1.0], True).first()
+    middle = np.sort(x)[[2503, 2504]]
+    assert [row["at"][2503], row["at"][2504]] == middle.tolist()
+    assert (row["n"], row["min"], row["max"]) == (5008, -1e308, 1e308)
 
 
 def test_outliers_rules(spark):
@@ -65,10 +68,7 @@ def test_outliers_rules(spark):
     assert [r.x for r in Q.outlier_rows(df, "x").collect()] == [1000.0]
 
 
-@pytest.mark.parametrize("in_one_place", [True, False])
-def test_sampled_outliers_use_nearest_rank_and_full_count(spark, monkeypatch, in_one_place):
-    if not in_one_place:
-        monkeypatch.setattr(Q, "_SORTED_SAMPLE", 0)
+def test_sampled_outliers_use_nearest_rank_and_full_count(spark):
     x = list(range(100)) + [10_000] * 3
     df = spark.createDataFrame([(float(i), k) for k, i in enumerate(x)], "x double, k int")
     row = Q.sampled_iqr_outliers(df, "x", n=1000, key=["k"]).first()
@@ -138,7 +138,6 @@ def test_rank_correlation_through_the_shuffled_lookup_and_small_blocks(spark, mo
     import assocframe.plans.joins as J
 
     monkeypatch.setattr(C, "_BLOCK", 3)
-    monkeypatch.setattr(C, "_LONG_ROWS", 0)
     monkeypatch.setattr(J, "has_at_most", lambda df, rows: False)
     pdf = corr_frame(300, 5)
     pdf.loc[:150, "a"] = 4.0
@@ -148,7 +147,8 @@ def test_rank_correlation_through_the_shuffled_lookup_and_small_blocks(spark, mo
         assert r.r == pytest.approx(reference_r(pdf[["a", "b", "d"]], method, r.col_a, r.col_b), abs=1e-10)
 
 
-def test_wide_pearson_by_matrix_products(spark):
+def test_wide_pearson_in_several_scans(spark, monkeypatch):
+    monkeypatch.setattr(C, "_PAIRS_A_SCAN", 10)
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame(rng.normal(size=(300, 9)) + 1e6, columns=[f"c.{i}" for i in range(9)])
     got = C.correlation(spark.createDataFrame(pdf), list(pdf.columns)).collect()
@@ -186,9 +186,19 @@ def test_inflation_of_even_p_values_is_one(spark):
     df = spark.createDataFrame([((i + 0.5) / n,) for i in range(n)] + [(0.0,), (None,)], "pval double")
     assert lambda_gc(df).first().lambda_gc == pytest.approx(1.0, abs=2e-3)
     assert lambda_gc(df, "p_ratio").first().lambda_gc == pytest.approx(0.5 / 0.4549)
-    for method in ("chi2", "p_ratio"):
-        a = lambda_gc(df, method, quantile_method="bracket").first()
-        assert a.lambda_gc == pytest.approx(lambda_gc(df, method).first().lambda_gc) and a.n == n
+    assert lambda_gc(df).first().n == n
+
+
+def test_chi2_of_p_values_matches_the_standard_library(spark):
+    from statistics import NormalDist
+
+    from assocframe.functions.scalars import chi2_from_p
+
+    p = [1.0, 0.999, 0.5, 0.2, 0.15, 0.1499, 0.01, 1e-5, 1e-10, 2.7e-11, 1e-12, 1e-100, 1e-300]
+    df = spark.createDataFrame([(x,) for x in [*p, 0.0, -1.0, 1.5, None]], "p double")
+    got = [r.c for r in df.select(chi2_from_p("p").alias("c")).collect()]
+    assert got[: len(p)] == pytest.approx([NormalDist().inv_cdf(x / 2) ** 2 for x in p], rel=1e-12, abs=1e-15)
+    assert got[len(p) :] == [None] * 4
 
 
 def test_inflation_averages_the_transformed_middle_values(spark):

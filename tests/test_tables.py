@@ -14,7 +14,7 @@ from assocframe.operators.manhattan import manhattan_points
 from assocframe.plans.joins import frequent_keys, lookup_join, split_join
 from assocframe.plans.ordering import global_row_number
 from assocframe.roles import MissingRole
-from assocframe.sources.files import file_sizes, file_totals, headers, row_group_inventory
+from assocframe.sources.files import file_blocks, file_sizes, file_totals, headers
 from assocframe.sources.load import load, load_plot_columns, read_many, scan_roles, to_pandas, write_csv
 
 
@@ -64,9 +64,10 @@ def test_sample_is_exact_and_independent_of_partitions(v):
     assert S.sample_exact(v, 10**9).count() == v.count()
 
 
-def test_large_sample_plan_picks_the_same_rows(v, monkeypatch):
-    want = rows_of(S.sample_exact(v, 777))
-    monkeypatch.setattr(S, "_SORTED_LIMIT", 0)
+@pytest.mark.parametrize("digits", [1, 2, 4])
+def test_samples_do_not_depend_on_the_digits_counted(v, monkeypatch, digits):
+    want = rows_of(v.withColumn("_h", S.sample_hash(v.columns)).orderBy("_h").limit(777).drop("_h"))
+    monkeypatch.setattr(S, "_DIGITS", digits)
     assert rows_of(S.sample_exact(v, 777)) == want
 
 
@@ -124,6 +125,28 @@ def test_filter_kind_follows_type_and_distinct_values(spark):
     assert X.typed_filter(df, "few", values=["1"]).count() == 6
     assert X.typed_filter(df, "many", text="^19.$").count() == 10
     assert X.typed_filter(df, "n", 5, 6).count() == 2
+    assert X.typed_filter(df, "few", text="^3.$").count() == 45  # the argument decides, whatever the number of values
+    assert X.typed_filter(df, "many", values=["7", "8"]).count() == 2 and X.typed_filter(df, "few").count() == 200
+    for wrong in ({"text": "x", "values": ["x"]}, {"low": 1}):
+        with pytest.raises(ValueError):
+            X.typed_filter(df, "few", **wrong)
+    with pytest.raises(ValueError):
+        X.typed_filter(df, "n", text="1")
+
+
+def test_nothing_is_left_out_unless_asked_for(spark):
+    """Points, patterns and numbered rows cover tables larger than any limit of a plot."""
+    n = 21_000
+    df = spark.range(n).select(F.col("id").alias("k"), (F.col("id") / n + 1e-9).alias("pval"), (F.col("id") % 7 / 20).alias("maf"))
+    from assocframe.operators.inflation import qq_points
+
+    assert qq_points(df).count() == n
+    assert S.scatter_points(df, ["maf", "pval"]).count() == n and S.pval_maf_points(df).count() == n
+    assert X.rows_indexed(df, ["k"], "pval").agg(F.count("*"), F.max("index"), F.min("index")).first()[:] == (n, n - 1, 0)
+    assert P.null_patterns(df.withColumn("x", F.when(F.col("k") > 5, 1))).agg(F.sum("n_rows")).first()[0] == n
+    for call in (lambda: X.first_rows(df, ["k"]), lambda: S.pvalue_sample_per_disorder(df)):
+        with pytest.raises(TypeError):
+            call()
 
 
 def test_level_and_chromosome(v):
@@ -152,7 +175,8 @@ def test_metrics_on_edges(spark):
     assert {r.chr: r.pct_of_all for r in M.chr_counts_share(df).collect()} == {"2": 25.0, "10": 25.0, "3": 25.0}
     assert {r.chr: r.pct for r in M.chr_distribution(df).collect()} == {"2": 33.33, "10": 33.33, "3": 33.33}
     assert [r.chr for r in M.chr_natural_order(df).orderBy("place").collect()] == ["2", "3", "10"]
-    assert M.suggested_variant(df).first().snp == "s"
+    assert M.suggested_variant(df).first().snp is None  # no rs id
+    assert M.suggested_variant(df.withColumn("snp", F.concat(F.lit("rs"), "pos"))).first().snp == "rs1"
     top = M.top_associations(df, 2).orderBy("rank").collect()
     assert [(r.rank, r.pval, r.neg_log10_p) for r in top] == [(1, 1e-9, 9.0), (2, 0.01, 2.0)]
     view = M.view_stats(df, df.filter("pval > 0.9")).first()
@@ -180,13 +204,17 @@ def test_profile_by_group_with_null_group(spark):
 
 def test_categorical_columns_at_the_limit(spark):
     df = spark.range(2000).select(*[(F.col("id") % k).cast("string").alias(f"c{k}") for k in (10, 500, 501, 2000)])
-    assert P.categorical_columns(df, df.columns) == ["c10", "c500"]
+    got = P.categorical_value_counts(df, df.columns, 3, 500).collect()
+    assert sorted((r.column, r.value, r.n) for r in got) == [
+        ("c10", "0", 200), ("c10", "1", 200), ("c10", "2", 200), ("c500", "0", 4), ("c500", "1", 4), ("c500", "10", 4),
+    ]
 
 
 def test_glossary_keeps_unknown_headers(spark):
     profile = spark.createDataFrame([("Effect_Size",), ("my-col",)], "column string")
-    got = {r.column: r.term for r in P.column_glossary(profile, P.glossary_table(spark)).collect()}
-    assert got == {"Effect_Size": "Tamaño del efecto", "my-col": "my col"}
+    terms = spark.createDataFrame([("effect size", "Effect")], "name_norm string, term string")
+    got = {r.column: r.term for r in P.column_glossary(profile, terms).collect()}
+    assert got == {"Effect_Size": "Effect", "my-col": "my col"}
 
 
 # Annotation -----------------------------------------------------------------------
@@ -201,8 +229,12 @@ def test_traits_of_all_payload_shapes(spark):
 
 def test_variant_facts(spark):
     text = '{"name":"rs1","most_severe_consequence":"x_y","synonyms":[],"mappings":[{"allele_string":"A/G","location":"1:5-5"},{"location":"z"}]}'
-    df = spark.createDataFrame([(0, text), (1, "{}"), (2, None)], "i int, j string")
-    rows = with_variant_facts(df, "j").orderBy("i").collect()
+    shapes = [text, "{}", None, '{"mappings": []}', "no json", "[1]", '{"synonyms": ["a"]}', '{"most_severe_consequence": null}', '{"mappings": 3}']
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(shapes)], "i int, j string").withColumn("id", F.lit("rs9"))
+    rows = with_variant_facts(df, "j", "id").drop("id").orderBy("i").collect()
+    for i in (3, 4, 5, 7, 8):
+        assert tuple(rows[i])[2:] == (None, None, None, None), shapes[i]
+    assert rows[6].gene == "rs9" and rows[6].alleles == L.NOT_AVAILABLE
     assert tuple(rows[0])[2:] == ("X y", "A/G", "rs1", "1:5-5")
     assert tuple(rows[1])[2:] == (L.UNKNOWN_CONSEQUENCE, L.NOT_AVAILABLE, L.UNKNOWN_GENE, L.NOT_AVAILABLE)
     assert tuple(rows[2])[2:] == (None, None, None, None)
@@ -257,14 +289,47 @@ def test_gwas_mode_falls_back_per_file(spark, v, folder):
     assert only.mode == "full" and only.df.count() == v.filter("disorder = 'ptsd'").count()
 
 
-def test_sample_mode_depends_on_size(spark, folder):
+def test_samples_are_drawn_only_when_asked_for(spark, folder):
     path = f"{folder}/adhd.parquet"
-    whole = load(spark, path, "sample")
-    assert not whole.sampled and whole.df.count() > 100
-    some = load(spark, path, "sample", cap=100, limit_mb=0.001)
+    some = load(spark, path, "sample", cap=100)
     assert some.sampled and some.df.count() == 100
-    with pytest.raises(ValueError):
-        load(spark, path, "other")
+    for wrong in (("other", None), ("sample", None), ("full", 100)):
+        with pytest.raises(ValueError):
+            load(spark, path, wrong[0], cap=wrong[1])
+
+
+def test_each_file_decides_how_its_effects_are_read(spark, tmp_path):
+    import math
+
+    from assocframe.operators.loci import cluster_loci
+
+    def put(name, **columns):
+        pd.DataFrame({"rsid": [f"rs_{name}"], "chr": ["1"], "pos": [5], "pval": [1e-9], "disorder": [name], **columns}).to_parquet(tmp_path / f"{name}.parquet")
+
+    put("log", beta=[0.3])
+    put("kind", effect_size=[1.5], effect_kind=["or"])
+    put("direct", **{"or": [0.5], "chr": [1]})
+    put("shown", effect=[7.0])
+    data = load(spark, str(tmp_path))
+    got = {r.disorder: (r.settled_or, r.shown_effect) for r in data.df.collect()}
+    assert got["log"] == (pytest.approx(math.exp(0.3)), 0.3) and got["kind"] == (1.5, 1.5)
+    assert got["direct"] == (0.5, 0.5) and got["shown"] == (None, 7.0)
+    loci = {r.disorder: r.lead_or for r in cluster_loci(data.df).collect()}
+    assert loci == {"log": 1.35, "kind": 1.5, "direct": 0.5, "shown": None}
+    shown = {r.snp_id: r.shown_effect for r in M.top_associations(data.df, 9).collect()}
+    assert shown == {"rs_log": 0.3, "rs_kind": 1.5, "rs_direct": 0.5, "rs_shown": 7.0}
+    # One file alone, and files that state effects alike, get no further columns.
+    assert "settled_or" not in load(spark, str(tmp_path / "log.parquet")).df.columns
+
+
+def test_columns_of_one_name_and_several_types(spark, tmp_path):
+    pd.DataFrame({"pval": [0.5], "chr": [1], "pos": [3], "x": [1], "y": [1]}).to_parquet(tmp_path / "a.parquet")
+    pd.DataFrame({"pval": ["0.25"], "chr": ["X"], "pos": ["4"], "x": [0.5], "y": ["z"]}).to_parquet(tmp_path / "b.parquet")
+    rows = sorted(load(spark, str(tmp_path)).df.collect(), key=lambda r: r.pos)
+    assert [(r.pval, r.chr, r.pos, r.x, r.y) for r in rows] == [(0.5, "1", 3, 1.0, "1"), (0.25, "X", 4, 0.5, "z")]
+    plot = load_plot_columns(spark, str(tmp_path)).df.orderBy("pos").collect()
+    assert [(r.chr, r.pos, r.pval) for r in plot] == [("1", 3, 0.5), ("X", 4, 0.25)]
+    assert sorted(read_many(spark, [str(tmp_path)]).toPandas()["pval"]) == ["0.25", "0.5"]
 
 
 def test_nan_becomes_null_and_types_are_canonical(spark, tmp_path):
@@ -273,11 +338,12 @@ def test_nan_becomes_null_and_types_are_canonical(spark, tmp_path):
     assert [(r.pval, r.chr, r.pos) for r in rows] == [(None, "1", 12), (0.5, "2", None)]
 
 
-def test_footers(spark, v, folder):
-    groups = row_group_inventory(spark, folder)
-    totals = {r.file_path.rsplit("/", 1)[-1]: r for r in file_totals(groups).collect()}
+def test_file_facts(spark, v, folder):
+    blocks = file_blocks(spark, folder)
+    totals = {r.file_name: r for r in file_totals(spark, folder).collect()}
     assert totals["adhd.parquet"].n_rows == v.filter("disorder = 'adhd'").count()
-    assert totals["adhd.parquet"].n_row_groups == groups.filter("file_name = 'adhd.parquet'").count() > 1
+    assert (totals["adhd.parquet"].n_columns, totals["ptsd.parquet"].n_columns) == (10, 9)
+    assert blocks.filter("file_name = 'adhd.parquet'").agg(F.sum("n_rows")).first()[0] == totals["adhd.parquet"].n_rows
     sizes = {r.file_name: r for r in file_sizes(spark, folder).collect()}
     assert sizes["bpd.parquet"].n_rows == totals["bpd.parquet"].n_rows and sizes["bpd.parquet"].mb > 0
     assert len(headers(spark, folder)) == 3 and len(headers(spark, f"{folder}/adhd.parquet")) == 1
@@ -289,7 +355,7 @@ def test_plot_columns(spark, v, folder):
     whole = load_plot_columns(spark, path)
     assert not whole.sampled and whole.df.count() == want
     assert set(whole.df.columns) == {"chr", "pos", "pval", "snp_id", "maf", "neg_log10_p"}
-    some = load_plot_columns(spark, path, cap=200)
+    some = load_plot_columns(spark, path, "sample", cap=200)
     assert some.sampled and 195 <= some.df.count() <= 200
     assert load_plot_columns(spark, path, "gwas").df.count() == v.filter("disorder = 'bpd' AND pval < 5e-8").count()
     assert load_plot_columns(spark, f"{folder}/ptsd.parquet", "gwas").mode == "full"
