@@ -17,32 +17,52 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
-import numpy as np
-
-#: Entries of a memo; a full memo is emptied.
-MEMO = 300_000
+#: Entries of a memo, and how many of them may be words that came again and are kept when a full memo is emptied.
+MEMO, KEPT = 600_000, 400_000
 
 # Any run of two white spaces, or one that is neither a space nor a line feed (control marks count, to be safe).
 _UNUSUAL = re.compile(r"[\s\x1c-\x1f\x85]{2}|[^\S \n]|[\x1c-\x1f\x85]")
 _SAFE_CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85])(?=[ \n])")
 _TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
-_ASCII_WORD = re.compile(r"[A-Za-z]+\Z")
+_BYTE_TAIL = _TAIL.encode()
+# Byte-level vocabularies write a byte as a letter: printable ones of Latin-1 as themselves, the others, in order, from 256 on.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 
 def _little(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _Memo(dict):
-    def __init__(self, make) -> None:
+    """Values by key, made when first asked for.
+
+    A key that is made a second time, after the memo was emptied, is kept from
+    then on; words that never come back do not push out those that do.
+    """
+
+    def __init__(self, make, share: int = 1) -> None:
         super().__init__()
         self.make = make
+        self.most, self.most_kept = MEMO // share, KEPT // share
+        self.kept: dict = {}
+        self.seen = bytearray(1 << 21)
 
     def __missing__(self, key):
-        if len(self) >= MEMO:
+        value = self.make(key)
+        if len(self) >= self.most:
             self.clear()
-        value = self[key] = self.make(key)
+            self.update(self.kept)
+        place = hash(key)
+        at, bit = place >> 3 & 0x1FFFFF, 1 << (place & 7)
+        if self.seen[at] & bit:
+            if len(self.kept) < self.most_kept:
+                self.kept[key] = value
+        else:
+            self.seen[at] |= bit
+        self[key] = value
         return value
 
 
@@ -54,18 +74,20 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        normalizer, model = self.tokenizer.normalizer, self.tokenizer.model
-        self.by_byte = normalizer is None
-        self.tokenize = model.tokenize
-        self.cores = _Memo(self._core)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.by_byte = self.tokenizer.normalizer is None
+        self.cores = _Memo(self._byte_core if self.by_byte else self._word_core, 4)
         self.words = _Memo(self._after_space if self.by_byte else self._word)
-        self.chunks = _Memo(self._whole)
+        self.chunks = _Memo(self._whole, 8)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.by_byte:
-            return b"".join(map(self.words.__getitem__, text.encode("utf-8", "surrogatepass").split()))
+            if "<|" in text:  # perhaps a special token, which the library looks for before it changes letters
+                return b"".join(self._whole(w.decode("utf-8", "surrogatepass")) for w in text.encode("utf-8", "surrogatepass").split())
+            # The vocabulary knows lower case only; letters beyond A-Z are left to the library.
+            return b"".join(map(self.words.__getitem__, text.encode("utf-8", "surrogatepass").lower().split()))
         if _UNUSUAL.search(text):
             return b"".join(map(self.chunks.__getitem__, _SAFE_CUT.split(text)))
         head, *rest = text.replace("\n", " \n").split(" ")
@@ -74,35 +96,39 @@ class TextEncoder:
     def _whole(self, text: str) -> bytes:
         return _little(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _split(self, word: str) -> tuple[str, str]:
-        """The word and the punctuation behind its last letter or digit, if a border is sure to lie between."""
-        core = word.rstrip(_TAIL)
-        if "<|" in word:  # may be the text of a special token, which the library looks for first
-            return word, ""
-        if core and core[-1].isascii() and core[-1].isalnum():
-            return core, word[len(core) :]
-        return word, ""
-
-    def _core(self, core: str) -> bytes:
-        # A purely ASCII word is one piece for the model, and its byte letters are the letters themselves.
-        if _ASCII_WORD.match(core.removeprefix(" ")):
-            piece = core.replace(" ", "Ġ") if self.by_byte else core
-            return _little([t.id for t in self.tokenize(piece)])
-        return self._whole(core)
+    def _piece(self, word: str) -> bytes:
+        """The ids of a word that the vocabulary's rules leave in one piece."""
+        return _little([t.id for t in self.tokenize(word.encode().decode("latin-1").translate(_LETTERS))])
+
+    def _byte_core(self, core: str) -> bytes:
+        """A space and a word; a word of letters is one piece with its space."""
+        return self._piece(" " + core) if core.isalpha() else self._whole(" " + core)
 
     def _after_space(self, word: str) -> bytes:
         """The ids of a space and the word, or of a line feed and the word."""
-        core, tail = self._split(word)
-        if word.startswith("\n"):
-            return (self.chunks["\n"] if core != "\n" else b"") + self.chunks[core[1:] or core] + (
-                self.chunks[tail] if tail else b""
-            )
-        return self.cores[" " + core] + (self.chunks[tail] if tail else b"")
-
-    def _word(self, raw: bytes) -> bytes:
-        core, tail = self._split(raw.decode("utf-8", "surrogatepass"))
-        core = core.lower() if core.isascii() else core
-        return self.cores[core] + (self.chunks[tail] if tail else b"")
+        core = word.rstrip(_TAIL)
+        # A border lies behind a letter or digit; "<|" may start a special token.
+        if not core or not (core[-1].isascii() and core[-1].isalnum()) or "<|" in word:
+            core = word
+        tail = self.chunks[word[len(core) :]] if len(core) < len(word) else b""
+        if core.startswith("\n"):
+            return (self.chunks["\n"] if len(core) > 1 else b"") + self.chunks[core[1:] or core] + tail
+        return self.cores[core] + tail
+
+    def _word_core(self, core: bytes) -> bytes:
+        text = core.decode("utf-8", "surrogatepass")
+        # Letters of Latin-1 are in normal form, and each has one lower-case form.
+        if text.isalpha() and max(text) <= "ÿ":
+            return self._piece(text.lower())
+        return self._whole(text)
+
+    def _word(self, word: bytes) -> bytes:
+        core = word.rstrip(_BYTE_TAIL)
+        if not core or not core[-1:].isalnum():
+            core = word
+        if len(core) == len(word):
+            return self._word_core(core)
+        return self.cores[core] + self.chunks[word[len(core) :].decode()]
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
