@@ -42,26 +42,20 @@ def _expand(df: DataFrame, first: str, copies: str, name: str) -> DataFrame:
 def global_row_number(
     df: DataFrame, order: Sequence[Column], name: str = "row_number", start: int = 1
 ) -> DataFrame:
-    """Number all rows in ``order``.
+    """Number all rows in ``order`` by one distributed sort, written once.
 
-    Rows that agree in all columns are counted first and numbered as one, and
-    rows that tie in ``order`` are told apart by a hash, so neither copies nor
-    ties end up in one sort partition.
+    Rows that tie in ``order`` are told apart by a hash, and rows that agree in
+    all columns by where they were read, so neither ties nor copies end up in
+    one sort partition; which copy gets which of their numbers does not matter.
     """
     columns = [col(c) for c in df.columns]
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    placed = _sorted_with_place(counted, [*order, F.xxhash64(*columns).asc()])
-    totals = placed.groupBy("_part").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_distinct"))
+    told_apart = df.withColumn("_read", F.monotonically_increasing_id())
+    placed = _sorted_with_place(told_apart, [*order, F.xxhash64(*columns).asc(), col("_read").asc()])
+    totals = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     # One row per sort partition reaches the window over partitions.
     offsets = totals.select("_part", (F.coalesce(F.sum("_rows").over(_before()), F.lit(0)) + start).alias("_offset"))
-    joined = placed.join(F.broadcast(offsets), "_part")
-    kept = [col(c) for c in df.columns]
-    if totals.filter(col("_rows") > col("_distinct")).isEmpty():
-        number = col("_offset") + col("_place").bitwiseAND(F.lit(_LOCAL))
-        return joined.select(*kept, number.alias(name))
-    local = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
-    first = col("_offset") + F.coalesce(F.sum("_n").over(local), F.lit(0))
-    return _expand(joined.select(*kept, "_n", first.alias("_first")), "_first", "_n", name)
+    number = col("_offset") + col("_place").bitwiseAND(F.lit(_LOCAL))
+    return placed.join(F.broadcast(offsets), "_part").select(*columns, number.alias(name))
 
 
 def numbered_values(values: DataFrame, value: str, name: str = "i") -> DataFrame:
