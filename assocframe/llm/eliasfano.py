@@ -71,14 +71,19 @@ class EliasFano:
         at = np.zeros(len(asked), dtype=np.int64)
         later = high > 0
         at[later] = self._select(high[later] - 1, ones=False) + 1 - high[later]
-        end = np.minimum(self._select(high, ones=False) - high, self.n)
-        while len(asked):
-            open_ = at < end
-            asked, at, end, low = asked[open_], at[open_], end[open_], low[open_]
-            same = self._low(at) == low
-            found[asked[same]] = at[same]
-            rest = ~same
-            asked, at, end, low = asked[rest], at[rest] + 1, end[rest], low[rest]
+        limit = np.minimum(self._select(high, ones=False) - high, self.n)
+        # A crowded bucket is searched by halves: its low bits rise.
+        begin, stop = at, limit.copy()
+        active = np.flatnonzero(begin < stop)
+        while len(active):
+            middle = (begin[active] + stop[active]) >> 1
+            less = self._low(middle) < low[active]
+            begin[active[less]] = middle[less] + 1
+            stop[active[~less]] = middle[~less]
+            active = active[begin[active] < stop[active]]
+        inside = np.flatnonzero(begin < limit)
+        same = inside[self._low(begin[inside]) == low[inside]]
+        found[asked[same]] = begin[same]
         return found
 
     def _low(self, index: np.ndarray) -> np.ndarray:
