@@ -20,7 +20,7 @@ import re
 import struct
 
 #: Entries of a memo, and how many of them may be words that came again and are kept when a full memo is emptied.
-MEMO, KEPT = 600_000, 400_000
+MEMO, KEPT = 900_000, 650_000
 
 # Any run of two white spaces, or one that is neither a space nor a line feed (control marks count, to be safe).
 _UNUSUAL = re.compile(r"[\s\x1c-\x1f\x85]{2}|[^\S \n]|[\x1c-\x1f\x85]")
@@ -48,7 +48,7 @@ class _Memo(dict):
         self.make = make
         self.most, self.most_kept = MEMO // share, KEPT // share
         self.kept: dict = {}
-        self.seen = bytearray(1 << 21)
+        self.seen = bytearray(1 << 22)
 
     def __missing__(self, key):
         value = self.make(key)
@@ -56,7 +56,7 @@ class _Memo(dict):
             self.clear()
             self.update(self.kept)
         place = hash(key)
-        at, bit = place >> 3 & 0x1FFFFF, 1 << (place & 7)
+        at, bit = place >> 3 & 0x3FFFFF, 1 << (place & 7)
         if self.seen[at] & bit:
             if len(self.kept) < self.most_kept:
                 self.kept[key] = value
