@@ -219,13 +219,12 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> tuple[str, Da
     """
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "warc")
-    sample = (
-        pages.filter(F.length("html") >= MIN_REVISIT)
-        .select("page_id", F.substring("html", 1, SAMPLE_BYTES).alias("html"))
-        .orderBy(F.xxhash64("page_id"), "html")
-        .limit(SAMPLE_PAGES)
-    )
-    dictionary = train_dictionary([r["html"].encode("utf-8", "surrogatepass") for r in sample.collect()])
+    # Ids are drawn first, so that tasks send a few numbers to the driver, and then SAMPLE_PAGES starts of pages in all.
+    drawn = pages.filter(F.length("html") >= MIN_REVISIT).select("page_id").dropna().orderBy(F.xxhash64("page_id"), "page_id")
+    ids = sorted({r["page_id"] for r in drawn.limit(SAMPLE_PAGES).collect()})
+    starts = pages.filter(F.col("page_id").isin(ids)).select(F.substring("html", 1, SAMPLE_BYTES).alias("html")).dropna()
+    sample = sorted(r["html"] for r in starts.limit(SAMPLE_PAGES).collect())
+    dictionary = train_dictionary([html.encode("utf-8", "surrogatepass") for html in sample])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
