@@ -208,7 +208,11 @@ _INPUTS = "array<double>"
 def learn_rules(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Trees:
     """Train on at most ``max_labelled`` labelled documents; only their statistics reach the driver."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col("quality").alias("_quality")).dropna()
-    chosen = known.orderBy(F.xxhash64("_id"), "_id", "_quality").limit(max_labelled)
+    # About twice the sample passes a cut on the hash, so no task sends the driver more than its share of that.
+    share = min(1.0, (2 * max_labelled + 1000) / max(1, known.count()))
+    draw = F.pmod(F.xxhash64("_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = known.withColumn("_draw", draw).filter(F.col("_draw") < share)
+    chosen = drawn.orderBy("_draw", "_id", "_quality").limit(max_labelled).drop("_draw")
     # The sample has at most max_labelled pairs of numbers, whatever the size of the tables.
     texts = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     joined = texts.join(F.broadcast(chosen), "_id").select("_text", "_quality")
