@@ -78,7 +78,7 @@ class TextEncoder:
         self.by_byte = self.tokenizer.normalizer is None
         self.cores = _Memo(self._byte_core if self.by_byte else self._word_core, 4)
         self.words = _Memo(self._after_space if self.by_byte else self._word)
-        self.chunks = _Memo(self._whole, 8)
+        self.chunks = _Memo(self._chunk, 8)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -96,6 +96,9 @@ class TextEncoder:
     def _whole(self, text: str) -> bytes:
         return _little(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def _chunk(self, text: str) -> bytes:
+        return self._piece(text) if self.by_byte and text.isalpha() else self._whole(text)
+
     def _piece(self, word: str) -> bytes:
         """The ids of a word that the vocabulary's rules leave in one piece."""
         return _little([t.id for t in self.tokenize(word.encode().decode("latin-1").translate(_LETTERS))])
