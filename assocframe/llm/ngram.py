@@ -44,7 +44,7 @@ DISCOUNT = 0.75
 #: Words of so many consecutive numbers of one context share a shard.
 WORD_RANGE = 1 << 20
 #: Texts of about so many characters are counted or scored at once, and so many counts held by a task before it adds them up.
-CHARS_AT_ONCE = 3 << 20
+CHARS_AT_ONCE = 6 << 20
 HELD = 2 << 20
 #: Not a word, as it is white space.
 END = b"\n"
@@ -60,7 +60,7 @@ def add_up(context: np.ndarray, word: np.ndarray, count: np.ndarray) -> tuple[np
     if not len(word):
         return context, word, count
     if int(context.max()) < 1 << 31 and int(word.max()) < 1 << 32:
-        order = np.argsort(context << np.int64(32) | word, kind="stable")
+        order = np.argsort(context << np.int64(32) | word)
     else:
         order = np.lexsort((word, context))
     context, word, count = context[order], word[order], count[order]
@@ -263,6 +263,7 @@ class Model:
     levels: tuple[Level, ...]
     tokens: int  # training tokens, ends included
     words: int  # distinct training tokens
+    min_count: int  # of the n-grams kept, n above 1
 
     def numbers(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
         """Number (or -1) and count of each distinct token."""
@@ -275,11 +276,15 @@ class Model:
             count[known] = self.levels[0].by_node(number[known], "counts", "<i8")
         return number, count
 
-    def nodes(self, tokens: Tokens, number: np.ndarray, upto: int) -> list[np.ndarray]:
-        """For each level to ``upto``: the node of the n-gram that ends at each token, or -1."""
+    def nodes(self, tokens: Tokens, number: np.ndarray, count: np.ndarray, upto: int) -> list[np.ndarray]:
+        """For each level to ``upto``: the node of the n-gram that ends at each token, or -1.
+
+        ``number`` and ``count`` are those of the distinct tokens; an n-gram is as
+        frequent as its rarest word at most, so rarer words are not looked up.
+        """
         found = [number[tokens.places]]
-        end = number[0]
-        before = number[tokens.before()]
+        frequent = np.where(count >= self.min_count, number, -1)
+        word, before = frequent[tokens.places], frequent[tokens.before()]
         for n in range(2, upto + 1):
             # The context of a token is the node, one level down, that ends at the token before.
             if n == 2:
@@ -289,9 +294,9 @@ class Model:
                 context[1:] = found[-1][:-1]
                 context[tokens.starts] = -1
             node = np.full(len(before), -1, dtype=np.int64)
-            rows = np.flatnonzero((context >= 0) & (found[0] >= 0) & (found[-1] >= 0))
-            if end >= 0 and len(rows):
-                c, w, back = _distinct_pairs(context[rows], found[0][rows])
+            rows = np.flatnonzero((context >= 0) & (word >= 0) & (found[-1] >= 0))
+            if len(rows):
+                c, w, back = _distinct_pairs(context[rows], word[rows])
                 node[rows] = self.levels[n - 1].find(c, w)[back]
             found.append(node)
         return found
@@ -304,7 +309,7 @@ class Model:
         p = base[tokens.places]
         sums = lambda x: np.add.reduceat(x, tokens.starts) if len(x) else x
         base_score = sums(np.log10(base)[tokens.places])
-        found = self.nodes(tokens, number, len(self.levels))
+        found = self.nodes(tokens, number, count, len(self.levels))
         for n in range(2, len(self.levels) + 1):
             context = np.full(len(p), -1, dtype=np.int64)
             if n == 2:
@@ -323,7 +328,10 @@ class Model:
 
 def _distinct_pairs(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs in order, and the place of each given pair among them."""
-    order = np.lexsort((word, context))
+    if int(context.max()) < 1 << 31 and int(word.max()) < 1 << 32:
+        order = np.argsort(context << np.int64(32) | word)
+    else:
+        order = np.lexsort((word, context))
     c, w = context[order], word[order]
     new = np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])])
     back = np.empty(len(order), dtype=np.int64)
@@ -359,7 +367,7 @@ def train(texts: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, fold
     counted = texts.mapInArrow(count_words, "shard bigint, block binary").groupBy("shard")
     made = counted.applyInPandas(write_words, "shard bigint, nodes bigint, tokens bigint").collect()
     levels = [Level(folder, 1, _starts(made, shards))]
-    model = Model(tuple(levels), sum(r["tokens"] for r in made), int(levels[0].starts[-1]))
+    model = Model(tuple(levels), sum(r["tokens"] for r in made), int(levels[0].starts[-1]), min_count)
     for n in range(2, order + 1):
         if not model.words:
             break
@@ -409,7 +417,7 @@ def _grow(texts: DataFrame, model: Model, n: int, min_count: int, shards: int, f
                 rows = np.flatnonzero((count[before] >= min_count) & (count[tokens.places] >= min_count))
                 context = number[before]
             else:
-                found = model.nodes(tokens, number, n - 1)[-1]
+                found = model.nodes(tokens, number, count, n - 1)[-1]
                 context = np.full(len(found), -1, dtype=np.int64)
                 context[1:] = found[:-1]
                 context[tokens.starts] = -1
@@ -455,7 +463,7 @@ def _grow(texts: DataFrame, model: Model, n: int, min_count: int, shards: int, f
     sizes = made.filter("home < 0").select("shard", "nodes").collect()
     made.filter("home >= 0").groupBy("home").applyInPandas(write_backoff, "home bigint").count()
     level = Level(folder, n, _starts(sizes, shards))
-    return Model((*model.levels, level), model.tokens, model.words)
+    return Model((*model.levels, level), model.tokens, model.words, min_count)
 
 
 # Scoring --------------------------------------------------------------------------
