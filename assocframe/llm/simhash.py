@@ -161,9 +161,13 @@ def _forest(fp: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(fp[nodes[moved]]), pa.array(fp[nodes[first[moved]]])], schema=_EDGES)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, fp and component_id of every document."""
-    prints = materialize(fingerprints(docs))
+def components(prints: DataFrame) -> DataFrame:
+    """fp, root and component_id of every distinct fingerprint of ``fingerprints``.
+
+    The root is the smallest fingerprint reachable, the id the smallest doc_id.
+    The result is written to the checkpoint folder, so a join with it has
+    partitions of its own, which Spark can split where one fingerprint is frequent.
+    """
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = component_roots(links(distinct.select("fp")))
     linked = roots.join(distinct, roots.node == distinct.fp).select("fp", "root", "first")
@@ -172,7 +176,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     labels = distinct.join(named, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component", "first").alias("component_id")
     )
-    return prints.join(labels, "fp", "left").select("doc_id", "text_hash", "fp", "root", "component_id")
+    return materialize(labels)
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, fp, root and component_id of every document."""
+    prints = materialize(fingerprints(docs))
+    found = prints.join(components(prints), "fp", "left")
+    return found.select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
@@ -180,8 +191,11 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
     Repeated rows of that document count as one.
     """
+    prints = materialize(fingerprints(docs))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    best = near_duplicates(docs).groupBy("root").agg(F.min(order).alias("_best"))
+    # The smallest of a fingerprint is found before any join, so copies never gather.
+    own = prints.groupBy("fp").agg(F.min(order).alias("_own"))
+    best = own.join(components(prints), "fp").groupBy("root").agg(F.min("_own").alias("_best"))
     chosen = best.select(F.col("_best.doc_id").alias("_id"), F.col("_best.text_hash").alias("_hash"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     keyed = docs.select(F.struct(*columns).alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"))
