@@ -192,10 +192,15 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     Repeated rows of that document count as one.
     """
     prints = materialize(fingerprints(docs))
+    return keep_smallest(docs, prints, components(prints))
+
+
+def keep_smallest(docs: DataFrame, prints: DataFrame, labels: DataFrame) -> DataFrame:
+    """One document of each ``root`` in ``labels(fp, root)``; ``prints`` has doc_id, text_hash and fp of every document."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     # The smallest of a fingerprint is found before any join, so copies never gather.
     own = prints.groupBy("fp").agg(F.min(order).alias("_own"))
-    best = own.join(components(prints), "fp").groupBy("root").agg(F.min("_own").alias("_best"))
+    best = own.join(labels, "fp").groupBy("root").agg(F.min("_own").alias("_best"))
     chosen = best.select(F.col("_best.doc_id").alias("_id"), F.col("_best.text_hash").alias("_hash"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     keyed = docs.select(F.struct(*columns).alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_text"))
