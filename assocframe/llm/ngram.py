@@ -2,7 +2,7 @@
 
 Level 1 holds the training words: the sorted 64-bit hashes of all words, so that
 a word's number is its place, and their exact counts.  Level n holds n-grams seen
-at least MIN_COUNT times as successors (word numbers) of a context (a node of
+at least MIN_COUNT times (once: all of them) as successors (word numbers) of a context (a node of
 level n - 1).  Successors are stored one context after the other, each counted
 from the last number of the context before, so that they rise throughout and one
 Elias-Fano sequence holds them; contexts and the pointers to their successors
@@ -39,7 +39,7 @@ from assocframe.llm.eliasfano import EliasFano
 from assocframe.plans.materialize import materialize
 
 ORDER = 3
-MIN_COUNT = 2
+MIN_COUNT = 1
 DISCOUNT = 0.75
 #: Words of so many consecutive numbers of one context share a shard.
 WORD_RANGE = 1 << 20
@@ -109,7 +109,7 @@ _BLOCKS = pa.schema([("shard", pa.int64()), ("block", pa.binary())])
 
 
 def _blocks(held: list[tuple], shard_of, shards: int) -> Iterator[pa.RecordBatch]:
-    """Counts as one block per shard: contexts, words and counts behind each other."""
+    """Counts as one block per shard: steps of contexts, words and counts behind each other, by places of bytes, as that compresses well."""
     context, word, count = add_up(*(np.concatenate(x) for x in zip(*held, strict=True)))
     shard = shard_of(context, word)
     order = np.argsort(shard, kind="stable")
@@ -118,16 +118,22 @@ def _blocks(held: list[tuple], shard_of, shards: int) -> Iterator[pa.RecordBatch
     for s, end in enumerate(ends):
         rows = order[start:end]
         if len(rows):
-            numbers = np.concatenate([context[rows], word[rows], count[rows]])
+            numbers = np.concatenate([np.diff(context[rows], prepend=0), word[rows], count[rows]])
             wide = int(numbers.max()) >= 1 << 32
-            block = numbers.astype("<i8" if wide else "<u4").tobytes() + bytes([wide])
+            planes = numbers.astype("<i8" if wide else "<u4").view(np.uint8).reshape(len(numbers), -1).T
+            block = planes.tobytes() + bytes([wide])
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([block], pa.binary())], schema=_BLOCKS)
         start = end
 
 
 def _shard_counts(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    parts = [np.frombuffer(b[:-1], dtype="<i8" if b[-1] else "<u4").reshape(3, -1) for b in frame["block"]]
-    return add_up(*np.concatenate(parts, axis=1).astype(np.int64))
+    parts = []
+    for b in frame["block"]:
+        planes = np.frombuffer(b, dtype=np.uint8, count=len(b) - 1).reshape(8 if b[-1] else 4, -1)
+        numbers = np.ascontiguousarray(planes.T).view("<i8" if b[-1] else "<u4").reshape(3, -1).astype(np.int64)
+        numbers[0] = np.cumsum(numbers[0])
+        parts.append(numbers)
+    return add_up(*np.concatenate(parts, axis=1))
 
 
 # Levels ---------------------------------------------------------------------------
@@ -371,7 +377,7 @@ def train(texts: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, fold
     for n in range(2, order + 1):
         if not model.words:
             break
-        model = _grow(texts, model, n, min_count, shards, folder)
+        model = _grow(texts, model, n, n == order, min_count, shards, folder)
     return model
 
 
@@ -402,8 +408,8 @@ def _count(batches: Iterator[pa.RecordBatch], pairs, shard_of, shards: int) -> I
         yield from _blocks(held, shard_of, shards)
 
 
-def _grow(texts: DataFrame, model: Model, n: int, min_count: int, shards: int, folder: str) -> Model:
-    """Adds level n to a model of n - 1 levels."""
+def _grow(texts: DataFrame, model: Model, n: int, last: bool, min_count: int, shards: int, folder: str) -> Model:
+    """Adds level n to a model of n - 1 levels; nobody reads counts and mass of the last level."""
     below = model.levels[-1]
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -437,8 +443,9 @@ def _grow(texts: DataFrame, model: Model, n: int, min_count: int, shards: int, f
         trie = b"".join(e.to_bytes() for e in successor_sequences(context, word))
         write_file(folder, _name(n, shard, "trie"), trie)
         write_file(folder, _name(n, shard, "codes"), quantise(share).tobytes())
-        write_file(folder, _name(n, shard, "counts"), count.astype("<i8").tobytes())
-        write_file(folder, _name(n, shard, "backoff"), b"\xff" * len(count))
+        if not last:
+            write_file(folder, _name(n, shard, "counts"), count.astype("<i8").tobytes())
+            write_file(folder, _name(n, shard, "backoff"), b"\xff" * len(count))
         mass = np.bincount(back, share, len(distinct))
         # The mass that each context gives away here, for the files of the level below.
         home = below.shard_of_node(distinct)
