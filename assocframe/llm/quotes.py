@@ -3,10 +3,14 @@
 Each line of a message has a quote level, the number of ``>`` marks before it.
 Neighbouring lines of one level form a passage.  A passage in normal form (lower
 case, single spaces, so line breaks and wrapping do not matter) is hashed and
-joined to the messages whose own words hold it: as a line, as a paragraph or as
-a whole.  A message answers the latest message that its quotes of the outermost
+joined to the messages whose own words hold it: as any lines in a row (blank
+ones left out), as a paragraph or as a whole.  Of lines in a row, messages offer
+only numbers of lines that some quote has.  A passage of several paragraphs that
+nobody holds is looked for paragraph by paragraph; its origin is the latest of
+theirs.  A message answers the latest message that its quotes of the outermost
 level come from; chains of answers give threads, ordered by reply, whose texts
-keep no quotes.
+keep no quotes.  A part of a line is no passage, nor are lines of several
+messages that stand together.
 
 Within a conversation the earliest message that holds a passage counts as its
 origin, or else the earliest of all conversations.  An origin always comes
@@ -24,6 +28,7 @@ are never read.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 import xxhash
 from pyspark.sql import DataFrame
@@ -33,6 +38,10 @@ from assocframe.llm.common import map_rows
 from assocframe.plans.materialize import materialize
 
 _MARKS = re.compile(r"(?:[ \t]*>)+")
+_BLANK = re.compile(r"\n\s*\n")
+
+#: How a part of a quoted passage is looked for.
+WHOLE, PARAGRAPH = range(2)
 
 
 def parse(text: str | None) -> tuple[str, list[tuple[int, str]]]:
@@ -65,51 +74,94 @@ def digest(passage: str) -> int | None:
     return int.from_bytes(xxhash.xxh64_digest(form.encode("utf-8", "surrogatepass")), "big", signed=True)
 
 
-def own_digests(own: str) -> set[int]:
-    """Hashes of what others may quote: the text, its paragraphs and its lines."""
-    parts = [own, *re.split(r"\n\s*\n", own), *own.split("\n")]
-    return {d for d in map(digest, parts) if d is not None}
+def line_forms(passage: str) -> list[str]:
+    return [form for form in map(normal_form, passage.split("\n")) if form]
+
+
+def own_digests(own: str, counts: Iterable[int] | None = None) -> set[int]:
+    """Hashes of what others may quote: the text, its paragraphs and all lines in a row, of the given counts or of any."""
+    found = {d for d in map(digest, [own, *_BLANK.split(own)]) if d is not None}
+    lines = [form.encode("utf-8", "surrogatepass") for form in line_forms(own)]
+    wanted = set(range(1, len(lines) + 1) if counts is None else counts)
+    most = max(wanted, default=0)
+    for start in range(len(lines)):
+        row = xxhash.xxh64()
+        for n, line in enumerate(lines[start : start + most], 1):
+            row.update(line if n == 1 else b" " + line)
+            if n in wanted:
+                found.add(int.from_bytes(row.digest(), "big", signed=True))
+    return found
+
+
+def quote_parts(passage: str) -> list[tuple[int, int, int, int]]:
+    """(place, kind, lines, hash) of all parts that a quoted passage is looked for by."""
+    whole = digest(passage)
+    if whole is None:
+        return []
+    parts = [(0, WHOLE, len(line_forms(passage)), whole)]
+    paragraphs = [p for p in _BLANK.split(passage) if normal_form(p)]
+    if len(paragraphs) > 1:
+        parts += [(k, PARAGRAPH, len(line_forms(p)), digest(p)) for k, p in enumerate(paragraphs)]
+    return parts
 
 
 # Spark ----------------------------------------------------------------------------
 
-_PARSED = "text string, own array<bigint>, quotes array<struct<level: int, passage: bigint>>"
+_PARSED = (
+    "text string, quotes array<struct<level: int, passage: bigint, "
+    "parts: array<struct<place: int, kind: int, lines: int, part: bigint>>>>"
+)
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, text without quotes, hashes of the own words, and quotes of every message."""
+    """conv_id, turn, role, text without quotes, and quotes with their parts of every message."""
     kinds = {c: messages.schema[c].dataType.simpleString() for c in ("conv_id", "turn", "role")}
 
     def run(rows: list[dict]) -> dict[str, list]:
         found = [parse(r["text"]) for r in rows]
         out: dict[str, list] = {c: [r[c] for r in rows] for c in kinds}
         out["text"] = [own for own, _ in found]
-        out["own"] = [sorted(own_digests(own)) for own, _ in found]
-        out["quotes"] = [[{"level": n, "passage": digest(p)} for n, p in q] for _, q in found]
+        names = ("place", "kind", "lines", "part")
+        parts = lambda p: [dict(zip(names, part, strict=True)) for part in quote_parts(p)]
+        out["quotes"] = [[{"level": n, "passage": digest(p), "parts": parts(p)} for n, p in q] for _, q in found]
         return out
 
     schema = ", ".join(f"{c} {k}" for c, k in kinds.items()) + ", " + _PARSED
     return map_rows(messages.select(*kinds, "text"), run, schema)
 
 
-def quote_links(read: DataFrame) -> DataFrame:
-    """conv_id, turn, level, passage, origin_conv and origin_turn of every quote in ``parsed`` messages that has an origin."""
-    quotes = read.select("conv_id", "turn", F.inline("quotes")).filter("passage is not null").distinct()
-    wanted = quotes.select("passage").distinct()
+def held(messages: DataFrame, counts: list[int]) -> DataFrame:
+    """conv_id, turn and part: what others may quote of every message, of lines in a row these counts only."""
+
+    def run(rows: list[dict]) -> dict[str, list]:
+        out: dict[str, list] = {c: [r[c] for r in rows] for c in ("conv_id", "turn")}
+        return out | {"own": [sorted(own_digests(parse(r["text"])[0], counts)) for r in rows]}
+
+    kinds = ", ".join(f"{c} {messages.schema[c].dataType.simpleString()}" for c in ("conv_id", "turn"))
+    rows = map_rows(messages.select("conv_id", "turn", "text"), run, f"{kinds}, own array<bigint>")
+    return rows.select("conv_id", "turn", F.explode("own").alias("part"))
+
+
+def quote_links(messages: DataFrame, read: DataFrame) -> DataFrame:
+    """conv_id, turn, level, passage, origin_conv and origin_turn of every quote of ``messages`` (``read`` by ``parsed``) that has an origin."""
+    found = read.select("conv_id", "turn", F.inline("quotes")).filter("passage is not null")
+    quotes = materialize(found.select("conv_id", "turn", "level", "passage", F.inline("parts")).distinct())
+    wanted = quotes.select("part").distinct()
+    # One number for each count of lines that occurs.
+    counts = [r["lines"] for r in quotes.select("lines").distinct().collect()]
     place = F.struct(F.col("conv_id").alias("conv"), F.col("turn").alias("turn"))
-    # Only passages that are quoted somewhere go on; each is reduced to its first holder per conversation.
-    held = read.select("conv_id", "turn", F.explode("own").alias("passage")).join(wanted, "passage", "left_semi")
-    near = held.groupBy("conv_id", "passage").agg(F.min(place).alias("near"))
-    far = near.groupBy("passage").agg(F.min("near").alias("far"))
-    inside = near.withColumnsRenamed({"conv_id": "_conv", "passage": "_passage"})
-    same = (F.col("passage") == F.col("_passage")) & F.col("conv_id").eqNullSafe(F.col("_conv"))
-    joined = quotes.join(inside, same, "left").join(far, "passage", "left")
+    # Only parts that are quoted somewhere go on; each is reduced to its first holder per conversation.
+    near = held(messages, counts).join(wanted, "part", "left_semi").groupBy("conv_id", "part").agg(F.min(place).alias("near"))
+    far = near.groupBy("part").agg(F.min("near").alias("far"))
+    inside = near.withColumnsRenamed({"conv_id": "_conv", "part": "_part"})
+    same = (F.col("part") == F.col("_part")) & F.col("conv_id").eqNullSafe(F.col("_conv"))
+    joined = quotes.join(inside, same, "left").join(far, "part", "left")
     origin = F.when(F.col("near") < place, F.col("near")).when(F.col("far") < place, F.col("far"))
-    found = joined.withColumn("origin", origin).filter("origin is not null")
-    return found.select(
-        "conv_id", "turn", "level", "passage",
-        F.col("origin.conv").alias("origin_conv"), F.col("origin.turn").alias("origin_turn"),
-    )
+    of = lambda kind: F.when(F.col("kind") == kind, F.col("origin"))
+    key = ["conv_id", "turn", "level", "passage"]
+    found = F.coalesce(F.max(of(WHOLE)), F.max(of(PARAGRAPH))).alias("origin")
+    linked = joined.withColumn("origin", origin).groupBy(*key).agg(found).filter("origin is not null")
+    return linked.select(*key, F.col("origin.conv").alias("origin_conv"), F.col("origin.turn").alias("origin_turn"))
 
 
 def _answers(links: DataFrame) -> DataFrame:
@@ -148,7 +200,7 @@ def reply_conversations(messages: DataFrame) -> DataFrame:
     Sorting by thread_conv, thread_turn, depth, conv_id and turn gives the threads in reply order.
     """
     read = materialize(parsed(messages))
-    links = materialize(quote_links(read))
+    links = materialize(quote_links(messages, read))
     counted = links.groupBy("conv_id", "turn").agg(F.count_distinct("level", "passage").alias("n_linked"))
     known = threads(links).join(
         counted,
