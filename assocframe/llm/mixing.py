@@ -5,7 +5,8 @@ floor(r) + 1 times.  The fractions are rounded by the pivotal method: two
 documents are paired, and words are moved from one's copy probability to the
 other's at random until one of them is 0 or 1.  Moving words, not
 probabilities, keeps the expected words of a source constant at every step, so
-what a source takes differs from its target by half a document at most.
+what a source takes differs from its target by half a unit at most (a document,
+or all repeats of one row together).
 
 Pairs meet in a reduction tree.  Documents of a source are dealt into blocks of
 about FAN; a block is folded into decisions and one residual document; residuals
