@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assocframe.llm import bytecnn, mixing, ngram, packing, quality, quotes, simhash, syncmers, warc, wavelet
+from assocframe.llm import bytecnn, middle, mixing, ngram, packing, quality, quotes, simhash, syncmers, warc, wavelet
 from assocframe.llm.common import documents, fold_of
 from assocframe.llm.encoding import vocabulary
 from assocframe.plans.materialize import materialize
@@ -94,3 +94,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(documents(spark, sf_dir), vocabulary("word_bpe_49k.json")))
+
+
+_OP11 = """WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+  u AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+    ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM t),
+  c AS (SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a, greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+  p AS (SELECT doc_id, text, n, form, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+    array_to_string(units[b + 1:n], '') AS suffix FROM c)
+  SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p"""
+
+
+@query("op11_fill_in_middle", _OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = middle.fill_in_middle(documents(spark, sf_dir))
+    digests = [F.sha2(c.cast("binary"), 256).alias(f"{name}_sha256") for name, c in (("output", F.col("output")), ("restored", middle.restored_text()))]
+    return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
