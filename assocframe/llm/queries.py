@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assocframe.llm import bytecnn, middle, mixing, ngram, packing, quality, quotes, simhash, syncmers, warc, wavelet
+from assocframe.llm import bytecnn, middle, mixing, ngram, packing, quality, quotes, repair, simhash, syncmers, warc, wavelet
 from assocframe.llm.common import documents, fold_of
 from assocframe.llm.encoding import vocabulary
 from assocframe.plans.materialize import materialize
@@ -114,3 +114,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = middle.fill_in_middle(documents(spark, sf_dir))
     digests = [F.sha2(c.cast("binary"), 256).alias(f"{name}_sha256") for name, c in (("output", F.col("output")), ("restored", middle.restored_text()))]
     return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair.with_all_ids(repair.repair_conversations(repair.damage(rows)), rows)
