@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assocframe.llm import bytecnn, middle, mixing, ngram, packing, quality, quotes, repair, simhash, syncmers, warc, wavelet
+from assocframe.llm import bytecnn, hnsw, middle, mixing, ngram, packing, quality, quotes, repair, simhash, syncmers, warc, wavelet
 from assocframe.llm.common import documents, fold_of
 from assocframe.llm.encoding import vocabulary
 from assocframe.plans.materialize import materialize
@@ -116,6 +116,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+@query("op12_nearest_neighbours")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = hnsw.usable(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return hnsw.nearest(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
 @query("op13_conversation_repair")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
