@@ -2,13 +2,22 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all documents its
 predecessor kept.  All but the last return the columns of ``documents``.
+
+Odd cases, stage by stage: a NULL or empty text fails the base rules, so it goes
+first; it would also have no language.  Rows that repeat one document count as
+one from near_dedup on; before it each is judged alike.  A NULL id is an id like
+any other, a NULL source a source of its own.  Where two documents of a group
+tie, the one of the smaller id, then text hash, stays.  Very long texts are read
+whole by every stage and cut only by the last one, into pieces of a sequence's
+length.  Extra columns are carried along under any name, and an empty table goes
+through as one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from assocframe.llm import bytecnn, mixing, packing, quality, resemblance
+from assocframe.llm import bytecnn, mixing, packing, quality, simhash
 from assocframe.llm.common import new_folder
 from assocframe.llm.encoding import vocabulary
 
@@ -28,8 +37,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays whose five-word shingles are alike (Jaccard) by 0.8 from one to the next."""
-    return resemblance.keep_one_of_each(docs)
+    """One document stays of each group whose fingerprints are linked by 3 or fewer differing bits (3-word shingles)."""
+    return simhash.keep_one_of_each(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
