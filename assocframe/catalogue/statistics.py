@@ -20,6 +20,7 @@ from assocframe.operators.correlation import (
 from assocframe.operators.filters import association_filter, fill_constants
 from assocframe.operators.quantiles import (
     box_stats,
+    density_curve,
     describe,
     exact_quantiles,
     histogram,
@@ -240,6 +241,30 @@ def violin_by_disorder(spark, sf):
     return _rounded(_hist_out(violin(logp, "neg_log10_p", ["disorder"]), density=True), 6, *_BOX_NUMBERS)
 
 
+_CURVE = """f AS (SELECT disorder, count(*) AS n, stddev_samp(neg_log10_p) * count(*) ** -0.2 AS bandwidth, min(neg_log10_p) AS lo, max(neg_log10_p) AS hi
+      FROM s GROUP BY disorder),
+  g AS (SELECT *, lo - 2 * bandwidth AS low, (hi - lo + 4 * bandwidth) / 256 AS step FROM f WHERE bandwidth > 0),
+  b AS (SELECT disorder, (neg_log10_p - low) / step AS place, floor((neg_log10_p - low) / step) AS cell FROM s JOIN g USING (disorder)),
+  w AS (SELECT disorder, i, sum(w) AS w FROM (SELECT disorder, cell AS i, cell + 1 - place AS w FROM b
+      UNION ALL SELECT disorder, cell + 1, place - cell FROM b) u GROUP BY disorder, i),
+  x AS (SELECT *, low + p * (step * 256 / 79) AS x FROM g, range(80) r(p))"""
+
+
+@query(
+    "violin_density",
+    with_v(
+        f"""SELECT disorder, any_value(n) AS n, {rnd('any_value(bandwidth)', 6)} AS bandwidth, {rnd('x', 6)} AS x,
+              {rnd('sum(w * exp(-0.5 * ((x - low - i * step) / bandwidth) ** 2)) / any_value(n * bandwidth * sqrt(2 * pi()))', 6)} AS density
+            FROM x JOIN w USING (disorder) GROUP BY disorder, x""",
+        f"{_LOGP}, {_CURVE}",
+    ),
+)
+def violin_density(spark, sf):
+    """The smooth outline of each disorder's violin."""
+    logp = variants(spark, sf).filter("pval > 0").select("disorder", (-F.log10("pval")).alias("neg_log10_p"))
+    return _rounded(density_curve(logp, "neg_log10_p", ["disorder"], points=80, bins=256), 6, "bandwidth", "x", "density")
+
+
 _PER_DISORDER = """s AS (SELECT disorder, -log10(pval) AS neg_log10_p FROM (SELECT *, row_number() OVER (PARTITION BY disorder
     ORDER BY md5(concat_ws('|', '42', row_key))) AS rn FROM V WHERE pval > 0) x WHERE rn <= 5000)"""
 
@@ -328,6 +353,31 @@ def kendall_matrix(spark, sf):
     return _rounded(correlation_matrix(pairs, _PART), 9, "r")
 
 
+def _tau_of_counts(x: str, y: str) -> str:
+    """Kendall's tau-b of lineitem columns of which y has few values: running counts per value of y along x."""
+    ties = "(SELECT sum(n * (n - 1) / 2) FROM (SELECT count(*) AS n FROM lineitem GROUP BY {}) t)"
+    free = "sqrt((SELECT count(*) * (count(*) - 1) / 2 FROM lineitem) - {})"
+    return f"""(WITH c AS (SELECT {x} AS x, {y} AS y, count(*) AS n FROM lineitem GROUP BY ALL),
+      g AS (SELECT x, y, coalesce(n, 0) AS n FROM (SELECT DISTINCT x FROM c) a CROSS JOIN (SELECT DISTINCT y FROM c) b LEFT JOIN c USING (x, y)),
+      h AS (SELECT x, y, n, coalesce(sum(n) OVER (PARTITION BY y ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM g),
+      k AS (SELECT n, before, sum(before) OVER (PARTITION BY x) AS every,
+              coalesce(sum(before) OVER (PARTITION BY x ORDER BY y ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM h)
+      SELECT sum(n * (2 * below + before - every)) / ({free.format(ties.format(x))} * {free.format(ties.format(y))}) FROM k)"""
+
+
+@query(
+    "kendall_pairs",
+    " UNION ALL ".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, {rnd(_tau_of_counts(*((b, a) if b == 'l_extendedprice' else (a, b))), 9)} AS r"
+        for i, a in enumerate(_LINE)
+        for b in _LINE[i + 1:]
+    ),
+)
+def kendall_pairs(spark, sf):
+    """All rows of lineitem, one column of which has hardly any ties."""
+    return _rounded(correlation(table(spark, sf, "lineitem"), _LINE, "kendall"), 9, "r")
+
+
 _LINE_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *_LINE)
 
 

@@ -79,7 +79,7 @@ def annotate(df: DataFrame, annotations: DataFrame, roles: Roles | None = None)
     r.need("snp")
     facts = [c for c in annotations.columns if c != "rsid"]
     marked = annotations.select("rsid", *[col(c) for c in facts], F.lit(True).alias("_known"))
-    joined = lookup_join(df.withColumn("rsid", rsid_normal(col(r.snp))), marked, ["rsid"], "left", stored=True)
+    joined = lookup_join(df.withColumn("rsid", rsid_normal(col(r.snp))), marked, ["rsid"])
     empty = F.lit(True)
     for c in facts:
         empty = empty & col(c).isNull()

@@ -7,23 +7,26 @@ pair of columns; ``correlation_matrix`` gives the square form.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assocframe import labels as L
 from assocframe.functions.scalars import round_even
 from assocframe.operators.filters import drop_incomplete
-from assocframe.plans.joins import skew_lookup
 from assocframe.plans.materialize import materialize
-from assocframe.plans.ordering import ranked_values
+from assocframe.plans.moments import pearson_of_columns
+from assocframe.plans.ranks import column_ranks
 from assocframe.roles import col, numeric_columns, to_double
 
-_PAIRS_A_SCAN = 60
-_BLOCK = 16  # bits of the x place inside a block of the Kendall count
-_DIGIT_BITS = 3
-_BASE = 1 << _DIGIT_BITS
+_PAIRS_IN_AGGREGATES = 60
+# Ranges of an axis of the Kendall count.
+_RANGE_ROWS = 50_000
+_LEAST_RANGES, _MOST_RANGES = 16, 2_048
 
 
 def correlatable_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
@@ -67,149 +70,172 @@ def _pairs_to_rows(wide: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFra
     return wide.select(F.inline(rows))
 
 
-def _pearson(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Covariances and deviations in JVM aggregates, a scan for every _PAIRS_A_SCAN pairs of columns."""
-    pairs = list(combinations(columns, 2))
-    found = None
-    for start in range(0, len(pairs), _PAIRS_A_SCAN):
-        group = pairs[start : start + _PAIRS_A_SCAN]
-        names = list(dict.fromkeys(c for pair in group for c in pair))
-        spread = {c: f"s{i}" for i, c in enumerate(names)}
-        sums = complete.agg(
-            *[F.stddev_pop(col(c)).alias(s) for c, s in spread.items()],
-            *[F.covar_pop(col(a), col(b)).alias(f"c{i}") for i, (a, b) in enumerate(group)],
-        )
-        # corr() itself fails on a constant column under ANSI rules.
-        r = [
-            (col(f"c{i}") / F.nullif(col(spread[a]) * col(spread[b]), F.lit(0.0))).alias(f"r{i}")
-            for i, (a, b) in enumerate(group)
-        ]
-        rows = _pairs_to_rows(sums.select(*r), group)
-        found = rows if found is None else found.unionByName(rows)
-    return found if found is not None else _no_pairs(complete)
-
-
 def _no_pairs(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
 
 
-def _rank_tables(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
-    long = complete.unpivot([], [col(c) for c in columns], "column", "value")
-    return materialize(ranked_values(long, "column", "value"))
-
-
-def _with_lookup(complete: DataFrame, columns: Sequence[str], ranks: DataFrame, what: Column, total: int) -> DataFrame:
-    """Each value replaced by its rank figure ``what``; a hot value stays one row of the rank table."""
-    out = complete
-    for c in columns:
-        table = ranks.filter(col("column") == c).select(
-            (col("value") + 0.0).alias(c), what.alias("_rank"), col("n").alias("_n")
-        )
-        out = skew_lookup(out, c, table, "_rank", "_n", total).withColumnRenamed("_rank", c)
-    return out.select(*[col(c) for c in columns])
+def _pearson(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One scan: JVM aggregates of a few pairs, or blocks of products of all columns."""
+    pairs = list(combinations(columns, 2))
+    if len(pairs) > _PAIRS_IN_AGGREGATES:
+        return pearson_of_columns(complete, columns)
+    spread = {c: f"s{i}" for i, c in enumerate(columns)}
+    sums = complete.agg(
+        *[F.stddev_pop(col(c)).alias(s) for c, s in spread.items()],
+        *[F.covar_pop(col(a), col(b)).alias(f"c{i}") for i, (a, b) in enumerate(pairs)],
+    )
+    # corr() itself fails on a constant column under ANSI rules.
+    r = [
+        (col(f"c{i}") / F.nullif(col(spread[a]) * col(spread[b]), F.lit(0.0))).alias(f"r{i}")
+        for i, (a, b) in enumerate(pairs)
+    ]
+    return _pairs_to_rows(sums.select(*r), pairs)
 
 
 def _spearman(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
-    total = complete.count()
-    ranks = _rank_tables(complete, columns)
-    average = col("n_before") + (col("n") + 1) / 2.0
-    return _pearson(_with_lookup(complete, columns, ranks, average, total), columns)
+    ranked, _ = column_ranks(complete, columns)
+    return _pearson(ranked.select(*[col(f"r{i}").alias(c) for i, c in enumerate(columns)]), columns)
 
 
-def _kendall(complete: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _kendall(complete: DataFrame, columns: Sequence[str], named: Sequence[tuple[str, str]] | None) -> DataFrame:
     """Kendall tau-b without comparing rows with rows.
 
-    Values become dense places.  Written in base 8, two different y places
-    first differ at one digit; so for every digit position and every prefix
-    above it, it is enough to count, digit by digit, the rows with a smaller x.
-    Rows of equal (position, prefix, x) are added up first, and the counting
-    runs inside blocks of x with the block totals carried over, so no task
-    ever holds a whole prefix.
+    Both axes of a pair of columns are cut into ranges of ranks.  Row pairs that
+    differ in both ranges are counted from a two-dimensional histogram of the
+    ranges.  Those that share a range of one axis are counted inside it, by
+    merging: a range holds about ``_RANGE_ROWS`` rows, and a value so frequent
+    that it fills a range of its own ties with all in it and adds nothing.  Those
+    that share both ranges are met twice and taken off once.  A row travels at
+    most twice per pair of columns.
     """
-    total = complete.count()
-    ranks = _rank_tables(complete, columns)
-    facts = {
-        r["column"]: (int(r["top"]), float(r["ties"]))
-        for r in ranks.groupBy("column")
-        .agg(
-            F.max("idx").alias("top"),
-            F.sum(col("n").cast("decimal(38,0)") * (col("n") - 1) / 2).cast("double").alias("ties"),
-        )
-        .collect()
-    }
-    pairs = list(combinations(columns, 2))
-    schema = "pair int, col_a string, col_b string, free_a double, free_b double"
-    if not facts:
-        return complete.sparkSession.createDataFrame(
-            [(a, b, None) for a, b in pairs], "col_a string, col_b string, r double"
-        )
-    placed = _with_lookup(complete, columns, ranks, col("idx"), total)
+    ranked, total = column_ranks(complete, columns)
+    ranked = materialize(ranked)
+    at = {c: i for i, c in enumerate(columns)}
+    pairs = [(at[a], at[b]) for a, b in (combinations(columns, 2) if named is None else named)]
+    ranges = int(min(_MOST_RANGES, max(_LEAST_RANGES, -(-total // _RANGE_ROWS))))
     number = "decimal(38,0)"  # counts of row pairs outgrow a long at 3e9 rows
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = (a, b) if facts[b][0] <= facts[a][0] else (b, a)  # fewer digits to walk through
-        digits = max(1, -(-facts[y][0].bit_length() // _DIGIT_BITS))
-        cells.append(
-            F.struct(F.lit(i).alias("pair"), F.lit(digits).alias("digits"), col(x).alias("x"), col(y).alias("y"))
-        )
-    counted = (
-        placed.select(F.inline(F.array(*cells)))
-        .groupBy("pair", "digits", "x", "y")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("pair", "x", "y", "n", F.explode(F.sequence(F.lit(0), col("digits") - 1)).alias("position"))
-        .groupBy("pair", "position", F.expr(f"shiftright(y, {_DIGIT_BITS} * (position + 1))").alias("prefix"), "x")
-        .agg(*[F.sum(F.when(_digit() == d, col("n")).otherwise(0)).alias(f"n{d}") for d in range(_BASE)])
-        .withColumn("block", F.shiftright("x", _BLOCK))
-    )
-    group = ["pair", "position", "prefix"]
-    inside = Window.partitionBy(*group, "block").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    across = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        _scored(counted, inside, number)
-        .groupBy(*group, "block")
-        .agg(F.sum("score").alias("within"), *[F.sum(f"n{d}").alias(f"n{d}") for d in range(_BASE)])
-    )
-    score = (
-        _scored(blocks, across, number)
-        .groupBy("pair")
-        .agg(F.sum(col("within") + col("score")).cast("double").alias("s"))
+    width = max(total, 1) / ranges
+    frequent = 2 * width
+
+    def range_of(i: int) -> Column:
+        return F.least(F.floor((col(f"r{i}") - 1) / F.lit(width)), F.lit(ranges - 1)).cast("int")
+
+    cells = F.array(*[
+        F.struct(F.lit(k).alias("pair"), range_of(a).alias("i"), range_of(b).alias("j"), col(f"r{a}").alias("x"), col(f"r{b}").alias("y"),
+                 (col(f"t{a}") < frequent).alias("x_rare"), (col(f"t{b}") < frequent).alias("y_rare"))
+        for k, (a, b) in enumerate(pairs)
+    ])
+    placed = ranked.select(F.inline(cells))
+    between = placed.groupBy("pair", "i", "j").agg(F.count(F.lit(1)).alias("n")).groupBy("pair").applyInArrow(_between_ranges, _SCORES)
+    sides = F.array(
+        F.struct(F.lit(0).alias("axis"), col("i").alias("span"), col("j").alias("cell"), col("x_rare").alias("rare")),
+        F.struct(F.lit(1).alias("axis"), col("j").alias("span"), col("i").alias("cell"), col("y_rare").alias("rare")),
     )
+    own = placed.select("pair", "x", "y", F.inline(sides)).filter("rare").drop("rare")
+    within = own.groupBy("pair", "axis", "span").applyInArrow(_within_range, _SCORES)
+    score = between.unionByName(within).groupBy("pair").agg(F.sum("score").cast("double").alias("s"))
+    ties = ranked.agg(*[F.coalesce(F.sum((col(f"t{i}") - 1).cast(number)) / 2, F.lit(0)).cast("double").alias(f"t{i}") for i in range(len(columns))])
     all_pairs = total * (total - 1) / 2.0
-    free = complete.sparkSession.createDataFrame(
-        [(i, a, b, all_pairs - facts[a][1], all_pairs - facts[b][1]) for i, (a, b) in enumerate(pairs)], schema
-    )
-    tau = col("s") / F.nullif(F.sqrt(col("free_a")) * F.sqrt(col("free_b")), F.lit(0.0))
-    return free.join(score, "pair", "left").select("col_a", "col_b", tau.alias("r"))
-
-
-def _digit() -> Column:
-    return F.expr(f"shiftright(y, {_DIGIT_BITS} * position)").bitwiseAND(F.lit(_BASE - 1))
-
-
-def _scored(rows: DataFrame, earlier: Window, number: str) -> DataFrame:
-    """Adds ``score``: pairs in agreement less pairs in disagreement with ``earlier`` rows."""
-    before = {f"_b{d}": F.coalesce(F.sum(f"n{d}").over(earlier), F.lit(0)) for d in range(_BASE)}
-    score = F.lit(0).cast(number)
-    for d in range(_BASE):
-        below = sum((col(f"_b{e}") for e in range(d)), F.lit(0).cast("bigint"))
-        above = sum((col(f"_b{e}") for e in range(d + 1, _BASE)), F.lit(0).cast("bigint"))
-        score = score + col(f"n{d}").cast(number) * (below - above)
-    return rows.withColumns(before).withColumn("score", score).drop(*before)
-
-
-def correlation(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pearson") -> DataFrame:
-    """``col_a, col_b, r`` of all column pairs over rows complete in all columns."""
+    free = [F.lit(all_pairs) - col(f"t{i}") for i in range(len(columns))]
+    sizes = F.array(*[
+        F.struct(F.lit(k).alias("pair"), F.lit(columns[a]).alias("col_a"), F.lit(columns[b]).alias("col_b"), (F.sqrt(free[a]) * F.sqrt(free[b])).alias("size"))
+        for k, (a, b) in enumerate(pairs)
+    ])
+    tau = col("s") / F.nullif(col("size"), F.lit(0.0))
+    return ties.select(F.inline(sizes)).join(score, "pair", "left").select("col_a", "col_b", tau.alias("r"))
+
+
+_SCORES = "pair int, score decimal(38,0)"
+
+
+def _score_row(pair: int, score: int) -> pa.Table:
+    return pa.table({"pair": pa.array([pair], pa.int32()), "score": pa.array([Decimal(score)], pa.decimal128(38, 0))})
+
+
+def _between_ranges(table: pa.Table) -> pa.Table:
+    """Agreeing less disagreeing row pairs that differ in both ranges, from the counts of (i, j)."""
+    i, j, n = (table[c].to_numpy() for c in ("i", "j", "n"))
+    counts = np.zeros((i.max() + 1, j.max() + 1), dtype=np.int64)
+    counts[i, j] = n
+    before = np.cumsum(counts, axis=0) - counts  # rows of smaller i, by j
+    below = np.cumsum(before, axis=1)
+    balance = (below - before) - (below[:, -1:] - below)
+    # Python's whole numbers: a product of two counts may outgrow 64 bits.
+    score = sum(int(a) * int(b) for a, b in zip(n, balance[i, j]))
+    return _score_row(table["pair"][0].as_py(), score)
+
+
+def _within_range(table: pa.Table) -> pa.Table:
+    """Agreeing less disagreeing row pairs of one range; those of one cell count on the second axis only."""
+    x, y, cell = (table[c].to_numpy() for c in ("x", "y", "cell"))
+    score = agreement(x, y, np.zeros(len(x), dtype=np.int64))
+    if table["axis"][0].as_py() == 0:
+        score -= agreement(x, y, cell.astype(np.int64))
+    return _score_row(table["pair"][0].as_py(), score)
+
+
+def agreement(x: np.ndarray, y: np.ndarray, group: np.ndarray) -> int:
+    """Agreeing less disagreeing pairs of rows of equal ``group``; pairs that tie in x or y are neither."""
+    x, y = (np.unique(v, return_inverse=True)[1].astype(np.int64) for v in (x, y))
+    order = np.lexsort((y, x, group))
+    x, y, group = x[order], y[order], group[order]
+    bits = max(1, int(y.max()).bit_length()) if len(y) else 1
+    key = (group << bits) | y
+    free = _tied(group) - _tied((group << 32) | x) - _tied(np.sort(key)) + _tied((group << 32) | x, y)
+    return free - 2 * inversions(key, bits)
+
+
+def _tied(*keys: np.ndarray) -> int:
+    """Pairs of rows that are equal in all keys, given in order."""
+    change = np.zeros(len(keys[0]), dtype=bool)
+    change[:1] = True
+    for key in keys:
+        change[1:] |= key[1:] != key[:-1]
+    counts = np.diff(np.append(np.flatnonzero(change), len(change)))
+    return int((counts * (counts - 1) // 2).sum())
+
+
+def inversions(key: np.ndarray, bits: int) -> int:
+    """Pairs out of order in the low ``bits`` of ``key``, whose higher bits are in order and tell groups apart.
+
+    Rows are split by one bit after the other, keeping their order: a pair out
+    of order is counted where its bits first differ.
+    """
+    total = 0
+    for bit in range(bits - 1, -1, -1):
+        head = key >> (bit + 1)
+        ones = (key >> bit) & 1
+        upto = np.cumsum(ones)
+        first = np.append(True, head[1:] != head[:-1]) if len(head) else np.zeros(0, bool)
+        starts = np.flatnonzero(first)
+        base = np.repeat((upto - ones)[starts], np.diff(np.append(starts, len(head))))
+        total += int(((upto - base) * (1 - ones)).sum())
+        key = key[np.argsort(key >> bit, kind="stable")]
+    return total
+
+
+def correlation(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    method: str = "pearson",
+    pairs: Sequence[tuple[str, str]] | None = None,
+) -> DataFrame:
+    """``col_a, col_b, r`` of all column pairs, or of the named ones, over rows complete in all columns."""
     names = correlatable_columns(df) if columns is None else list(columns)
     if len(names) < 2:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, r double")
+        return _no_pairs(df)
     complete = _complete(df, names)
-    if method == "pearson":
-        return _pearson(complete, names)
-    if method == "spearman":
-        return _spearman(complete, names)
     if method == "kendall":
-        return _kendall(complete, names)
-    raise ValueError("method must be 'pearson', 'spearman' or 'kendall'")
+        return _kendall(complete, names, pairs)
+    if method not in ("pearson", "spearman"):
+        raise ValueError("method must be 'pearson', 'spearman' or 'kendall'")
+    found = _pearson(complete, names) if method == "pearson" else _spearman(complete, names)
+    if pairs is None:
+        return found
+    own = F.lit(False)
+    for a, b in pairs:
+        own = own | ((col("col_a") == a) & (col("col_b") == b))
+    return found.filter(own)
 
 
 def correlation_matrix(pairs: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,8 +10,7 @@ from pyspark.sql import functions as F
 
 from assocframe.functions.scalars import log1p_clipped, percent, round_even
 from assocframe.operators.sampling import sample_exact
-from assocframe.plans.joins import lookup_join
-from assocframe.plans.materialize import materialize
+from assocframe.plans.joins import group_join
 from assocframe.plans.quantile import long_values, order_statistics, quantile_array
 from assocframe.roles import col, to_double
 
@@ -22,7 +22,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """``by..., column, q, value`` with linear interpolation."""
     keys = [*by, "column"]
-    table = quantile_array(long_values(df, columns, by), keys, qs, bounded=not by)
+    table, _ = quantile_array(long_values(df, columns, by), keys, qs, bounded=not by)
     pairs = F.arrays_zip(F.array(*[F.lit(float(x)) for x in qs]).alias("q"), col("q").alias("value"))
     return table.select(*[col(k) for k in keys], F.explode(pairs).alias("_p")).select(
         *[col(k) for k in keys], F.col("_p.q").alias("q"), F.col("_p.value").alias("value")
@@ -34,7 +34,8 @@ def describe(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> D
     keys = [*by, "column"]
     values = long_values(df, columns, by)
     moments = values.groupBy(*[col(k) for k in keys]).agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-    table = quantile_array(values, keys, [0.25, 0.5, 0.75], bounded=not by).join(moments, keys)
+    quartiles, few = quantile_array(values, keys, [0.25, 0.5, 0.75], bounded=not by)
+    table = group_join(quartiles, moments, keys, few)
     q = [F.get("q", F.lit(i)) for i in range(3)]
     numbers = {"mean": col("mean"), "std": col("std"), "min": col("min"), "p25": q[0], "p50": q[1], "p75": q[2], "max": col("max")}
     return table.select(
@@ -50,16 +51,16 @@ def _fences(q1: Column, q3: Column) -> tuple[Column, Column]:
 
 def iqr_limits(
     df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
-) -> DataFrame:
-    """Quartiles and outlier limits: ``by..., column, n, min, max, q1, q2, q3, low, high``."""
+) -> tuple[DataFrame, bool]:
+    """Quartiles and outlier limits: ``by..., column, n, min, max, q1, q2, q3, low, high``; whether there are few groups."""
     keys = [*by, "column"]
-    table = quantile_array(long_values(df, columns, by), keys, [0.25, 0.5, 0.75], bounded=not by)
+    table, few = quantile_array(long_values(df, columns, by), keys, [0.25, 0.5, 0.75], bounded=not by)
     q1, q2, q3 = (F.get("q", F.lit(i)) for i in range(3))
     low, high = _fences(q1, q3)
     return table.select(
         *[col(k) for k in keys], "n", "min", "max", q1.alias("q1"), q2.alias("q2"), q3.alias("q3"),
         low.alias("low"), high.alias("high"),
-    )
+    ), few
 
 
 def iqr_outliers(
@@ -71,10 +72,9 @@ def iqr_outliers(
 ) -> DataFrame:
     """Values strictly outside the limits, per column; columns under ``min_rows`` values are skipped."""
     keys = [*by, "column"]
-    limits = iqr_limits(df, columns, by).filter(col("n") >= min_rows)
-    values = lookup_join(
-        long_values(df, columns, by), limits.select(*keys, "n", "min", "max", "low", "high"), keys, bounded=not by
-    )
+    limits, few = iqr_limits(df, columns, by)
+    limits = limits.filter(col("n") >= min_rows).select(*keys, "n", "min", "max", "low", "high")
+    values = group_join(long_values(df, columns, by), limits, keys, few)
     counted = values.groupBy(*[col(k) for k in keys], "n", "min", "max", "low", "high").agg(
         F.count_if((col("value") < col("low")) | (col("value") > col("high"))).alias("n_outliers")
     )
@@ -88,7 +88,7 @@ def iqr_outliers(
 
 def outlier_rows(df: DataFrame, column: str) -> DataFrame:
     """Whole rows whose value lies outside the limits of the column."""
-    limits = iqr_limits(df, [column]).select(F.struct("low", "high")).scalar()
+    limits = iqr_limits(df, [column])[0].select(F.struct("low", "high")).scalar()
     value = to_double(col(column))
     return df.filter((value < limits.getField("low")) | (value > limits.getField("high")))
 
@@ -103,9 +103,9 @@ def sampled_iqr_outliers(
     """
     key = list(key or df.columns)
     narrow = df.select(*[col(c) for c in dict.fromkeys([*key, column])])
-    values = materialize(long_values(sample_exact(narrow, n, key, seed), [column]))
+    values = long_values(sample_exact(narrow, n, key, seed), [column])
     ranks = [0.25, 0.75]
-    table = order_statistics(values, ["column"], ranks, bounded=True)
+    table, _ = order_statistics(values, ["column"], ranks, bounded=True)
 
     def nearest(q: float) -> Column:
         # One of the two positions around the quantile.
@@ -129,8 +129,8 @@ def box_stats(
     if log1p:
         df = df.withColumn(column, log1p_clipped(to_double(col(column))))
     keys = [*by, "column"]
-    limits = iqr_limits(df, [column], by)
-    values = lookup_join(long_values(df, [column], by), limits.drop("min", "max"), keys, bounded=not by)
+    limits, few = iqr_limits(df, [column], by)
+    values = group_join(long_values(df, [column], by), limits.drop("min", "max"), keys, few)
     inside = (col("value") >= col("low")) & (col("value") <= col("high"))
     return (
         values.groupBy(*[col(k) for k in keys], "n", "q1", "q2", "q3")
@@ -163,7 +163,7 @@ def histogram(
     place = F.least(F.coalesce(F.floor(share * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
     width = (col("_hi") - col("_lo")) / bins
     counted = (
-        lookup_join(values, bounds, keys, bounded=not by)
+        group_join(values, bounds, keys, bounded=not by)
         .groupBy(*[col(k) for k in keys], "_lo", "_hi", "_total", place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -178,4 +178,48 @@ def violin(df: DataFrame, column: str, by: Sequence[str] = (), bins: int = 40) -
     """The data behind a violin: density bins of all rows, each with the box numbers of its group."""
     keys = [*by, "column"]
     box = box_stats(df, column, by).withColumnRenamed("n", "n_values")
-    return lookup_join(histogram(df, [column], bins, by, density=True), box, keys, bounded=not by)
+    return group_join(histogram(df, [column], bins, by, density=True), box, keys, bounded=not by)
+
+
+def density_curve(
+    df: DataFrame, column: str, by: Sequence[str] = (), points: int = 100, bins: int = 512, cut: float = 2.0
+) -> DataFrame:
+    """``by..., n, bandwidth, x, density``: the smooth outline of a violin, a Gaussian kernel density of all rows.
+
+    The bandwidth follows Scott's rule, per group; ``x`` goes evenly from ``cut``
+    bandwidths below the minimum to as many above the maximum.  Rows are shared
+    out to the two nearest of ``bins + 1`` grid places by distance, so a group is
+    never more than that many weights, and the kernels of the weights are added
+    up.  Groups without spread have no curve.
+    """
+    keys = [col(b) for b in by]
+    values = long_values(df, [column], by)
+    facts = values.groupBy(*keys, "column").agg(
+        F.count(F.lit(1)).alias("n"), F.stddev_samp("value").alias("_std"), F.min("value").alias("_min"), F.max("value").alias("_max")
+    )
+    width = (col("_std") * F.pow(col("n"), F.lit(-0.2))).alias("bandwidth")
+    curves = facts.filter(col("_std") > 0).select(*keys, "column", "n", width, "_min", "_max")
+    low = col("_min") - cut * col("bandwidth")
+    placed = curves.withColumns({"_low": low, "_step": (col("_max") + cut * col("bandwidth") - low) / bins}).drop("_min", "_max")
+    group = [*by, "column"]
+    at = (col("value") - col("_low")) / col("_step")
+    cells = (
+        group_join(values, placed.select(*keys, "column", "_low", "_step"), group, bounded=not by)
+        .select(*keys, "column", F.floor(at).cast("int").alias("_cell"), (at - F.floor(at)).alias("_share"))
+        .groupBy(*keys, "column", "_cell")
+        .agg(F.count(F.lit(1)).alias("_rows"), F.sum("_share").alias("_share"))
+    )
+    weights = F.array(
+        F.struct(col("_cell").alias("i"), (col("_rows") - col("_share")).alias("w")), F.struct((col("_cell") + 1).alias("i"), col("_share").alias("w"))
+    )
+    grid = cells.select(*keys, "column", F.inline(weights)).groupBy(*keys, "column", "i").agg(F.sum("w").alias("w"))
+    # At most bins + 1 weights a group.
+    listed = grid.groupBy(*keys, "column").agg(F.array_sort(F.collect_list(F.struct("i", "w"))).alias("_grid"))
+    both = group_join(listed, placed, group, bounded=not by)
+    place = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("_point")
+    spots = both.select("*", place).withColumn("x", col("_low") + col("_point") * (col("_step") * bins / (points - 1)))
+    kernel = F.aggregate(
+        "_grid", F.lit(0.0), lambda total, g: total + g["w"] * F.exp(-0.5 * F.pow((col("x") - col("_low") - g["i"] * col("_step")) / col("bandwidth"), F.lit(2)))
+    )
+    density = kernel / (col("n") * col("bandwidth") * math.sqrt(2 * math.pi))
+    return spots.select(*keys, "n", "bandwidth", "x", density.alias("density"))

@@ -1,10 +1,10 @@
 """Repeatable exact-size samples.
 
 Rows are ordered by the md5 of a seed and a key, and the first ``n`` are kept, so
-the result does not depend on partitioning.  Counts per hash prefix tell below
-which prefix all rows belong to the sample; within the last prefix the next
-digits are counted, and only rows that agree in eight digits with the last one
-of the sample (one in 4e9) are put in order.  The plan is the same for any ``n``.
+the result does not depend on partitioning.  One scan counts groups, which gives
+a hash below which a few more rows than wanted lie; the second scan keeps those
+and ranks them, in buckets of bounded size.  Groups that still lack rows, as
+their keys repeat, are topped up by a third scan, left out at run time if none do.
 """
 
 from __future__ import annotations
@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from assocframe.functions.scalars import neg_log10
 from assocframe.operators.filters import drop_incomplete
-from assocframe.plans.joins import lookup_join
+from assocframe.plans.joins import group_join
 from assocframe.roles import SCATTER_ALIASES, MissingRole, Roles, col, pick, roles_of, to_double
 
-_DIGITS = 4  # hex digits counted at a time: at most 65,536 counts per group
+_DIGITS = 8  # hex digits that cuts are made by
+_RANKED = 250_000  # rows ranked in one task
 
 
 def sample_hash(key: Sequence[str], seed: int = 42) -> Column:
@@ -28,70 +29,90 @@ def sample_hash(key: Sequence[str], seed: int = 42) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts).cast("binary"))
 
 
-def _tie_order(df: DataFrame) -> list[Column]:
-    return [F.xxhash64(*[col(c) for c in df.columns])]
-
-
 def sample_exact(
     df: DataFrame, n: int, key: Sequence[str] | None = None, seed: int = 42
 ) -> DataFrame:
     """Exactly ``n`` rows, or all of them when there are no more than ``n``."""
-    return _quota_sample(df, [], F.lit(n), key, seed)
+    return _quota_sample(df, [], F.lit(n), n, key, seed)
 
 
 def _quota_sample(
-    df: DataFrame, by: Sequence[str], quota: Column, key: Sequence[str] | None, seed: int
+    df: DataFrame, by: Sequence[str], quota: Column, most: int, key: Sequence[str] | None, seed: int
 ) -> DataFrame:
-    """Per group the rows with the smallest hashes; ``quota`` sees ``_total``, the group size."""
-    # NULL is a group too, so groups are compared by text and a NULL flag.
-    keys = [f"_{kind}{i}" for i in range(len(by)) for kind in ("group", "null")]
-    hashed = df.withColumns(
-        {
-            "_hash": sample_hash(key or df.columns, seed),
-            **{f"_group{i}": F.coalesce(col(b).cast("string"), F.lit("")) for i, b in enumerate(by)},
-            **{f"_null{i}": col(b).isNull() for i, b in enumerate(by)},
-            "_all": F.lit(True),
-        }
+    """Per group the rows with the smallest hashes; ``quota`` (at most ``most``) sees ``_total``, the group size, and
+    ``_all_rows``, that of the table."""
+    columns = [col(c) for c in df.columns]
+    hashed = df.withColumns({"_hash": sample_hash(key or df.columns, seed), "_tie": F.xxhash64(*columns), "_every": F.lit(True)})
+    keys = list(by) or ["_every"]
+    limits = _cuts(hashed, keys, quota, bounded=not by)
+    prefix = F.left("_hash", F.lit(_DIGITS))
+    near = group_join(hashed, limits, keys, bounded=not by).filter(prefix < col("_cut"))
+
+    # Rows ranked in one task are few: more are cut into buckets by their hash.
+    buckets = max(1, -(-most // _RANKED))
+    share = F.conv(prefix, 16, 10).cast("double") / col("_width")
+    bucket = F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("int")
+    own = Window.partitionBy(*[col(k) for k in keys], "_bucket")
+    ranked = near.withColumn("_bucket", bucket).withColumns(
+        {"_rank": F.row_number().over(own.orderBy("_hash", "_tie")), "_rows": F.count(F.lit(1)).over(own)}
     )
-    keys = keys or ["_all"]
-    first, second = (F.substring("_hash", 1 + k * _DIGITS, _DIGITS) for k in (0, 1))
-    counts = hashed.groupBy(*keys, first.alias("_at")).agg(F.count(F.lit(1)).alias("_rows"))
-    counts = counts.withColumn("_total", F.sum("_rows").over(Window.partitionBy(*keys)))
-    # Groups that fit their quota get no cut: all their rows lie below "g".
-    outer = _cut(counts.withColumn("_left", quota.cast("bigint")), keys, ["_left"])
-    outer = outer.select(*keys, col("_cut").alias("_cut1"), col("_rest").alias("_left"))
-    inner = lookup_join(hashed.withColumn("_first", first), outer, keys, bounded=not by)
-    edge = inner.filter(col("_first") == col("_cut1"))
-    fine = edge.groupBy(*keys, "_left", second.alias("_at")).agg(F.count(F.lit(1)).alias("_rows"))
-    inner_cut = _cut(fine, keys, ["_left"]).select(*keys, col("_cut").alias("_cut2"), "_rest")
-    limits = outer.drop("_left").join(inner_cut, keys, "left")
-    limits = limits.select(*keys, F.concat("_cut1", F.coalesce("_cut2", F.lit("g"))).alias("_cut"), "_rest")
-    joined = lookup_join(hashed, limits, keys, bounded=not by).withColumn("_prefix", F.left("_hash", F.lit(2 * _DIGITS)))
-    # Rows of the last eight-digit prefix are the only ones that are ranked.
-    last = joined.filter(col("_prefix") == col("_cut"))
-    order = Window.partitionBy(*keys).orderBy("_hash", *_tie_order(df))
-    ranked = last.withColumn("_rank", F.row_number().over(order)).filter(col("_rank") <= col("_rest")).drop("_rank")
-    picked = joined.filter(col("_prefix") < col("_cut")).unionByName(ranked)
-    return picked.select(*[col(c) for c in df.columns])
-
-
-def _cut(counts: DataFrame, keys: Sequence[str], carried: Sequence[str]) -> DataFrame:
-    """Per group the prefix at which ``_left`` rows are reached (``g`` if never), and the rows to take of it."""
-    running = F.sum("_rows").over(Window.partitionBy(*keys).orderBy("_at"))
-    reached = F.when(col("_upto") >= col("_left"), F.struct("_at", (col("_left") - col("_upto") + col("_rows")).alias("_rest")))
-    return (
-        counts.withColumn("_upto", running)
-        .groupBy(*keys, *carried)
-        .agg(F.min(reached).alias("_first"))
-        .select(*keys, F.coalesce("_first._at", F.lit("g")).alias("_cut"), F.coalesce("_first._rest", F.lit(0)).alias("_rest"))
+    sizes = _bucket_sizes(ranked, keys, [*df.columns, "_hash"])
+    placed = group_join(ranked, sizes.select(*[col(k) for k in keys], "_bucket", "_before"), [*keys, "_bucket"], bounded=not by)
+    picked = placed.filter(col("_before") + col("_rank") <= col("_quota"))
+
+    # Hashes of rows that share a key come in clumps, so a group may still lack rows behind its cut.
+    found = sizes.groupBy(*[col(k) for k in keys]).agg(F.sum("_size").alias("_found"))
+    short = _lacking(limits, found, keys)
+    rest = group_join(hashed, short, keys, bounded=not by).filter(prefix >= col("_cut"))
+    after = Window.partitionBy(*[col(k) for k in keys]).orderBy("_hash", "_tie")
+    topped = rest.withColumn("_rank", F.row_number().over(after)).filter((col("_rank") <= most) & (col("_rank") <= col("_lack")))
+    return picked.select(*columns).unionByName(topped.select(*columns))
+
+
+def _cuts(hashed: DataFrame, keys: Sequence[str], quota: Column, bounded: bool) -> DataFrame:
+    """Per group its quota and a hash below which, by nine standard deviations, enough rows lie."""
+    totals = hashed.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_total"))
+    every = totals.agg(F.coalesce(F.sum("_total"), F.lit(0))).scalar()
+    wanted = totals.withColumn("_all_rows", every).withColumn("_quota", quota.cast("bigint"))
+    share = (col("_quota") + 9 * F.sqrt(col("_quota")) + 81) / col("_total")
+    whole = 1 << 4 * _DIGITS
+    width = F.ceil(F.least(share, F.lit(1.0)) * float(whole)).cast("bigint")
+    # No hash reaches "g": such a group is taken whole.
+    cut = F.when(width >= whole, F.lit("g")).otherwise(F.lpad(F.lower(F.hex(width)), _DIGITS, "0"))
+    return wanted.select(*[col(k) for k in keys], "_total", "_quota", width.alias("_width"), cut.alias("_cut"))
+
+
+def _bucket_sizes(ranked: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows of each bucket and of those before it, one row per bucket.
+
+    A figure of all columns is asked for along with the first rows, so that Spark
+    finds the ranked rows' own exchange and does not scan the table again.
+    """
+    by = [col(k) for k in keys]
+    firsts = ranked.filter(col("_rank") == 1).groupBy(*by, "_bucket").agg(
+        F.max("_rows").alias("_size"), F.max(F.xxhash64("_tie", "_hash", "_quota", *[col(c) for c in columns])).alias("_seen")
     )
+    along = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = firsts.filter(col("_seen").isNotNull()).withColumn("_before", F.coalesce(F.sum("_size").over(along), F.lit(0)))
+    return sizes.select(*by, "_bucket", "_size", "_before")
+
+
+def _lacking(limits: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Groups with fewer rows below their cut than their quota, and how many they lack."""
+    right = {k: f"_right_{i}" for i, k in enumerate(keys)}
+    match = F.lit(True)
+    for k, name in right.items():
+        match = match & col(k).eqNullSafe(col(name))
+    both = limits.join(found.select(*[col(k).alias(name) for k, name in right.items()], "_found"), match, "left")
+    lack = F.least(col("_quota"), col("_total")) - F.coalesce("_found", F.lit(0))
+    return both.select(*[col(k) for k in keys], "_cut", lack.alias("_lack")).filter("_lack > 0")
 
 
 def sample_per_group(
     df: DataFrame, n: int, by: Sequence[str], key: Sequence[str] | None = None, seed: int = 42
 ) -> DataFrame:
     """At most ``n`` rows of every group."""
-    return _quota_sample(df, by, F.lit(n), key, seed)
+    return _quota_sample(df, by, F.lit(n), n, key, seed)
 
 
 def sample_proportional(
@@ -102,9 +123,8 @@ def sample_proportional(
     seed: int = 42,
 ) -> DataFrame:
     """About ``cap`` rows, each stratum giving ``max(1, int(rows * cap / total))``; all rows if there are no more."""
-    share = min(1.0, cap / max(1, df.count()))
-    quota = F.greatest(F.lit(1), F.floor(col("_total") * F.lit(share)))
-    return _quota_sample(df, strata, quota, key, seed)
+    share = F.least(F.lit(1.0), F.lit(float(cap)) / F.greatest(col("_all_rows"), F.lit(1)))
+    return _quota_sample(df, strata, F.greatest(F.lit(1), F.floor(col("_total") * share)), cap, key, seed)
 
 
 def pvalue_sample_per_disorder(

@@ -1,4 +1,12 @@
-"""Joins of a table with a lookup table that is usually, but not surely, small."""
+"""Joins of a table with a table of one row per key.
+
+Spark's adaptive execution sees sizes at run time: it broadcasts a side that
+proves small and splits the partitions of frequent keys
+(``spark.sql.adaptive.skewJoin.enabled``, on by default).  What it does not do is
+told here: which sides are known to be small beforehand, so that the large one is
+not shuffled at all; that NULL is a group like any other; and that NULL ids need
+not meet in one task.
+"""
 
 from __future__ import annotations
 
@@ -7,109 +15,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assocframe.plans.materialize import fits, has_at_most, materialize, plan_bytes
+from assocframe.plans.materialize import fits
 from assocframe.roles import col
 
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 64 << 20
-SURELY_SMALL_BYTES = 10 << 20  # Spark's own default limit for a broadcast
-HOT_KEYS = 1_000
-_SAMPLED_BYTES = 256 << 20
 _SPREAD = 4096
+_FEW_ROWS, _FEW_BYTES = 100_000, 32 << 20
 
 
-def lookup_join(
-    big: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    bounded: bool = False,
-    stored: bool = False,
-) -> DataFrame:
-    """Join ``big`` with the lookup table ``small``, one row per key.
-
-    ``bounded`` states that the caller can prove a bound on ``small`` (for
-    example one row per column name), which is then broadcast.  A table whose
-    estimate is below Spark's own broadcast limit is left to Spark.  Otherwise
-    the lookup table is computed once (unless it is ``stored`` already) and
-    measured: up to ``max_rows`` rows and 64 MB it is broadcast, beyond that it
-    is shuffled, with the most frequent keys of ``big`` split off.
-    """
-    keys = list(keys)
-    if bounded:
-        return big.join(F.broadcast(small), keys, how)
-    if plan_bytes(small) <= SURELY_SMALL_BYTES:
-        return big.join(small, keys, how)
-    if not stored:
-        small = materialize(small)
-    if fits(small, max_rows, BROADCAST_BYTES):
-        return big.join(F.broadcast(small), keys, how)
-    return split_join(big, small, keys, how, frequent_keys(big, keys))
+def few_groups(stored: DataFrame) -> bool:
+    """Whether a table that is written already is small enough to be broadcast, by rows and bytes."""
+    return fits(stored, _FEW_ROWS, _FEW_BYTES)
 
 
-def frequent_keys(big: DataFrame, keys: Sequence[str], n: int = HOT_KEYS) -> DataFrame:
-    """The ``n`` most frequent keys of a sample of ``big``, computed once.
+def group_join(big: DataFrame, small: DataFrame, keys: Sequence[str], bounded: bool = False) -> DataFrame:
+    """Inner join with figures of groups, one row per key in ``small``; NULL keys are equal.
 
-    They only decide how rows travel, so a sample is enough.
+    ``bounded`` states that the caller can prove a bound on ``small`` (for
+    example one row per column name), which is then broadcast.
     """
-    only = big.select(*[col(k) for k in keys])
-    fraction = min(1.0, _SAMPLED_BYTES / max(plan_bytes(only), 1))
-    sample = only if fraction == 1.0 else only.sample(fraction, seed=42)
-    for k in keys:
-        sample = sample.filter(col(k).isNotNull())
-    counted = sample.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    return materialize(counted.orderBy(F.desc("_n")).limit(n).drop("_n"))
-
+    names = {k: f"_right_{i}" for i, k in enumerate(keys)}
+    other = small.select(*[col(c).alias(names.get(c, c)) for c in small.columns])
+    match = F.lit(True)
+    for k, name in names.items():
+        match = match & col(k).eqNullSafe(col(name))
+    return big.join(F.broadcast(other) if bounded else other, match).drop(*names.values())
 
-def split_join(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], how: str, hot: DataFrame
-) -> DataFrame:
-    """Inner or left join in which the keys of ``hot`` meet by broadcast, the others by shuffle.
 
-    ``small`` has one row per key, so its part for the hot keys is as bounded
-    as ``hot`` is.  Rows with a hot key or a NULL key take no part in the
-    shuffle match; a salt no row of ``small`` has spreads them over all tasks.
-    """
+def lookup_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Left or inner join with one row per key; NULL matches nothing, so rows with a NULL key are spread over all tasks."""
     keys = list(keys)
-    payload = [c for c in small.columns if c not in keys]
-    packed = small.select(*[col(k) for k in keys], F.struct(F.lit(True).alias("_found"), *[col(c) for c in payload]).alias("_row"))
-    known = packed.join(F.broadcast(hot), keys, "left_semi").withColumnRenamed("_row", "_hot")
-    hot_rows = hot.join(known, keys, "left").withColumn("_is_hot", F.lit(True))
-    marked = big.join(F.broadcast(hot_rows), keys, "left")
-    apart = col("_is_hot").isNotNull()
+    if how == "inner":
+        return big.join(small, keys)
+    apart = F.lit(False)
     for k in keys:
         apart = apart | col(k).isNull()
     spread = F.lit(1) + F.pmod(F.xxhash64(*[col(c) for c in big.columns]), F.lit(_SPREAD)).cast("int")
-    marked = marked.withColumn("_salt", F.when(apart, spread).otherwise(F.lit(0)))
-    cold = packed.withColumn("_salt", F.lit(0)).withColumnRenamed("_row", "_cold")
-    joined = marked.join(cold, [*keys, "_salt"], "left").withColumn("_row", F.coalesce("_hot", "_cold"))
-    if how == "inner":
-        joined = joined.filter(F.col("_row._found"))
-    kept = [col(c) for c in big.columns if c not in keys]
-    return joined.select(
-        *[col(k) for k in keys], *kept, *[F.col("_row").getField(c).alias(c) for c in payload]
-    )
-
-
-def skew_lookup(
-    big: DataFrame,
-    key: str,
-    table: DataFrame,
-    value: str,
-    count: str,
-    total: int,
-    max_rows: int = BROADCAST_ROWS,
-    hot_parts: int = 10_000,
-) -> DataFrame:
-    """Replace ``key`` in ``big`` by ``table.value`` of the same key.
-
-    ``table`` has one row per key and knows how many rows of ``big`` hold it,
-    so the hot keys need not be guessed: keys holding more than
-    ``1/hot_parts`` of all rows number fewer than ``hot_parts``.
-    """
-    small = table.select(col(key), col(value))
-    if has_at_most(table, max_rows):
-        return big.join(F.broadcast(small), key).drop(key)
-    hot = table.filter(col(count) > F.lit(total / hot_parts)).select(col(key))
-    return split_join(big, small, [key], "inner", hot).drop(key)
+    salted = big.withColumn("_salt", F.when(apart, spread).otherwise(F.lit(0)))
+    return salted.join(small.withColumn("_salt", F.lit(0)), [*keys, "_salt"], how).drop("_salt")

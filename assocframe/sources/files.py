@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,12 +45,18 @@ def file_blocks(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
+def _plain_path() -> Column:
+    """A file's path; listings and scans write different numbers of slashes after the scheme."""
+    return F.regexp_replace("file_path", "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+
 def file_sizes(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Size in MB and row count per file; a file without rows counts 0."""
-    rows = file_blocks(spark, paths).groupBy("file_name").agg(F.sum("n_rows").alias("n_rows"))
+    rows = file_blocks(spark, paths).groupBy(_plain_path().alias("_path")).agg(F.sum("n_rows").alias("n_rows"))
     return (
         list_files(spark, paths)
-        .join(rows, "file_name", "left")
+        .withColumn("_path", _plain_path())
+        .join(rows, "_path", "left")
         .select("file_name", "n_bytes", (F.col("n_bytes") / 1024**2).alias("mb"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
     )
 

@@ -44,20 +44,43 @@ def test_bracket_quantiles_by_group_and_column(spark):
         assert r.value == pytest.approx(pdf[pdf.g == r.g][r.column].quantile(r.q), rel=1e-9)
 
 
-@pytest.mark.parametrize("per_fold,fine", [(1, 1), (64, 16)])
-def test_order_statistics_survive_useless_cells(spark, monkeypatch, per_fold, fine):
+@pytest.mark.parametrize("size,margin,fine", [(2048, 0.005, 1024), (8, 0.0, 3), (8, 0.2, 1), (64, 0.0, 16)])
+def test_order_statistics_survive_useless_brackets(spark, monkeypatch, size, margin, fine):
+    """Sketches and margins too small: positions outside their brackets are found all the same."""
     import assocframe.plans.quantile as P
 
-    monkeypatch.setattr(P, "_PER_E_FOLD", per_fold)
+    monkeypatch.setattr(P, "_SKETCH_SIZE", size)
+    monkeypatch.setattr(P, "_MARGIN", margin)
     monkeypatch.setattr(P, "_FINE", fine)
     x = np.concatenate([samples("5001"), [0.0, -0.0, 5e-324, -5e-324, 1e308, -1e308, 1e-300]])
     values = long_values(spark.createDataFrame(pd.DataFrame({"x": x})), ["x"])
-    row = order_statistics(values, ["column"], [0.0, 0.5, 1.0], True).first()
+    row = order_statistics(values, ["column"], [0.0, 0.5, 1.0], True)[0].first()
     middle = np.sort(x)[[2503, 2504]]
     assert [row["at"][2503], row["at"][2504]] == middle.tolist()
     assert (row["n"], row["min"], row["max"]) == (5008, -1e308, 1e308)
 
 
+def test_quantiles_take_two_scans(spark, tmp_path):
+    path = str(tmp_path / "x")
+    spark.createDataFrame(pd.DataFrame({"x": samples("5001")})).repartition(1).write.parquet(path)
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    counted = spark.read.parquet(path).mapInArrow(counting, "x double")
+    assert len(Q.exact_quantiles(counted, ["x"], QS).collect()) == len(QS)
+    assert read.value == 2 * 5001
+
+
+def test_quantiles_of_null_groups(spark):
+    df = spark.createDataFrame([(None, float(i)) for i in range(5)] + [("a", 1.0)], "g string, x double")
+    got = {(r.g, r.q): r.value for r in Q.exact_quantiles(df, ["x"], [0.5], ["g"]).collect()}
+    assert got == {(None, 0.5): 2.0, ("a", 0.5): 1.0}
+
+
 def test_outliers_rules(spark):
     rows = [(float(i), 1.0, None, float(i) if i < 9 else None) for i in range(20)] + [(1000.0, 1.0, None, None)]
     df = spark.createDataFrame(rows, "x double, const double, empty double, nine double")
@@ -85,6 +108,28 @@ def test_histogram_edges(spark):
     assert [(r.bin, r.n) for r in one] == [(0, 2)]
 
 
+def test_density_curve_against_summed_kernels(spark):
+    rng = np.random.default_rng(8)
+    groups = {"a": rng.normal(size=900), None: np.concatenate([rng.normal(size=300), rng.normal(9, 2, 100)]), "one": np.array([4.0]), "flat": np.ones(5)}
+    rows = [(g, float(x)) for g, xs in groups.items() for x in xs] + [("a", None)]
+    got = Q.density_curve(spark.createDataFrame(rows, "g string, x double").repartition(3), "x", ["g"], points=60, bins=2000).collect()
+    assert {r.g for r in got} == {"a", None} and len(got) == 120
+    for g in ("a", None):
+        xs, curve = groups[g], sorted((r.x, r.density) for r in got if r.g == g)
+        h = xs.std(ddof=1) * len(xs) ** -0.2
+        assert curve[0][0] == pytest.approx(xs.min() - 2 * h) and curve[-1][0] == pytest.approx(xs.max() + 2 * h)
+        want = [np.exp(-0.5 * ((x - xs) / h) ** 2).sum() / (len(xs) * h * np.sqrt(2 * np.pi)) for x, _ in curve]
+        assert [d for _, d in curve] == pytest.approx(want, abs=1e-4)
+
+
+def test_named_pairs_only(spark):
+    df = spark.createDataFrame(corr_frame()).replace(float("nan"), None)
+    for method in ("pearson", "spearman", "kendall"):
+        every = {(r.col_a, r.col_b): r.r for r in C.correlation(df, list("abcd"), method).collect()}
+        some = {(r.col_a, r.col_b): r.r for r in C.correlation(df, list("abcd"), method, [("a", "d"), ("b", "c")]).collect()}
+        assert some == {k: pytest.approx(every[k]) for k in (("a", "d"), ("b", "c"))}
+
+
 def test_box_against_numpy(spark):
     x = np.concatenate([np.random.default_rng(3).normal(size=500), [50.0, -40.0]])
     row = Q.box_stats(spark.createDataFrame(pd.DataFrame({"x": x})), "x").first()
@@ -134,28 +179,67 @@ def test_correlation_with_ties_and_nulls(spark, method):
 
 
 @pytest.mark.parametrize("method", ["spearman", "kendall"])
-def test_rank_correlation_through_the_shuffled_lookup_and_small_blocks(spark, monkeypatch, method):
-    import assocframe.plans.joins as J
-
-    monkeypatch.setattr(C, "_BLOCK", 3)
-    monkeypatch.setattr(J, "has_at_most", lambda df, rows: False)
+@pytest.mark.parametrize("ranges", [1, 7, 60])
+def test_rank_correlation_over_many_tasks_and_ranges(spark, monkeypatch, method, ranges):
+    """Runs of equal values go over several tasks, and frequent values fill ranges of their own."""
+    monkeypatch.setattr(C, "_LEAST_RANGES", ranges)
+    monkeypatch.setattr(C, "_MOST_RANGES", ranges)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
     pdf = corr_frame(300, 5)
     pdf.loc[:150, "a"] = 4.0
     df = spark.createDataFrame(pdf)
-    monkeypatch.setattr(J.skew_lookup, "__defaults__", (0, 4))
-    for r in C.correlation(df, ["a", "b", "d"], method).collect():
-        assert r.r == pytest.approx(reference_r(pdf[["a", "b", "d"]], method, r.col_a, r.col_b), abs=1e-10)
+    try:
+        for r in C.correlation(df, ["a", "b", "d"], method).collect():
+            assert r.r == pytest.approx(reference_r(pdf[["a", "b", "d"]], method, r.col_a, r.col_b), abs=1e-10)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("n,top", [(0, 1), (1, 1), (50, 3), (400, 400), (700, 20)])
+def test_agreement_by_merging(n, top):
+    rng = np.random.default_rng(n)
+    x, y, g = rng.integers(0, top, n), rng.integers(0, 2 * top, n), rng.integers(0, 4, n)
+    want = sum(int((np.sign(x[g == k][:, None] - x[g == k]) * np.sign(y[g == k][:, None] - y[g == k])).sum()) // 2 for k in range(4))
+    assert C.agreement(x.astype(float), y.astype(float), g) == want
+
 
+def test_wide_pearson_in_one_scan(spark, tmp_path, monkeypatch):
+    import assocframe.plans.moments as M
 
-def test_wide_pearson_in_several_scans(spark, monkeypatch):
-    monkeypatch.setattr(C, "_PAIRS_A_SCAN", 10)
+    monkeypatch.setattr(M, "_BLOCK", 7)
     rng = np.random.default_rng(2)
-    pdf = pd.DataFrame(rng.normal(size=(300, 9)) + 1e6, columns=[f"c.{i}" for i in range(9)])
-    got = C.correlation(spark.createDataFrame(pdf), list(pdf.columns)).collect()
-    want = np.corrcoef(pdf.to_numpy().T)
-    assert len(got) == 36
+    names = [f"c.{i}" for i in range(20)]
+    pdf = pd.DataFrame(rng.normal(size=(300, 20)) + 1e6, columns=names)
+    pdf["c.3"] = 5.0
+    spark.createDataFrame(pdf).repartition(5).write.parquet(str(tmp_path / "wide"))
+    found = C.correlation(spark.read.parquet(str(tmp_path / "wide")), names)
+    assert found._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    with np.errstate(invalid="ignore", divide="ignore"):
+        want = np.corrcoef(pdf.to_numpy().T)
+    got = found.collect()
+    assert len(got) == 190
     for r in got:
-        assert r.r == pytest.approx(want[int(r.col_a[2:]), int(r.col_b[2:])], abs=1e-10)
+        if "c.3" in (r.col_a, r.col_b):
+            assert r.r is None
+        else:
+            assert r.r == pytest.approx(want[int(r.col_a[2:]), int(r.col_b[2:])], abs=1e-10)
+    empty = C.correlation(spark.createDataFrame(pdf).limit(0), names).collect()
+    assert len(empty) == 190 and all(r.r is None for r in empty)
+
+
+def exchanges(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange hash")
+
+
+def test_exchanges_of_ranks_do_not_grow_with_columns(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(size=(200, 9)), columns=list("abcdefghi"))
+    df = spark.createDataFrame(pdf)
+    few, many = (exchanges(C.correlation(df, list(pdf.columns[:k]), "spearman")) for k in (2, 9))
+    assert many <= few
 
 
 def test_constant_and_empty_columns_are_left_out(spark):

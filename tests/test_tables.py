@@ -1,6 +1,8 @@
 import random
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,9 +13,9 @@ from assocframe.operators import sampling as S
 from assocframe.operators import summary as M
 from assocframe.operators.annotate import annotate, with_traits, with_variant_facts
 from assocframe.operators.manhattan import manhattan_points
-from assocframe.plans.joins import frequent_keys, lookup_join, split_join
+from assocframe.plans.joins import group_join, lookup_join
 from assocframe.plans.ordering import global_row_number
-from assocframe.roles import MissingRole
+from assocframe.roles import MissingRole, col
 from assocframe.sources.files import file_blocks, file_sizes, file_totals, headers
 from assocframe.sources.load import load, load_plot_columns, read_many, scan_roles, to_pandas, write_csv
 
@@ -40,18 +42,26 @@ def test_global_row_number_with_ties_and_copies(spark, monkeypatch, copies):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_lookup_join_without_broadcast_gives_the_same(spark, monkeypatch, how):
-    import assocframe.plans.joins as J
-
+def test_lookup_join_spreads_rows_without_a_key(spark, how):
     big = spark.createDataFrame([(i % 7 if i % 3 else None, i) for i in range(500)], "k int, x int")
-    small = spark.createDataFrame([(k, f"v{k}") for k in range(5)], "k int, v string")
+    small = spark.createDataFrame([(k, f"v{k}") for k in range(5)] + [(None, "never")], "k int, v string")
     want = rows_of(big.join(small, ["k"], how))
     assert rows_of(lookup_join(big, small, ["k"], how)) == want
-    monkeypatch.setattr(J, "SURELY_SMALL_BYTES", 0)
-    assert rows_of(lookup_join(big, small, ["k"], how)) == want
-    assert rows_of(lookup_join(big, small, ["k"], how, max_rows=2)) == want
-    for hot in (frequent_keys(big, ["k"], 3), spark.createDataFrame([(6,), (0,)], "k int"), spark.createDataFrame([], "k int")):
-        assert rows_of(split_join(big, small, ["k"], how, hot)) == want
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+def test_group_join_takes_null_for_a_group(spark, bounded):
+    big = spark.createDataFrame([(None, "a", 1), (1, "a", 2), (1, None, 3), (2, "b", 4)], "k int, g string, x int")
+    small = spark.createDataFrame([("a", None, "n"), (None, 1, "m"), ("b", 3, "o")], "g string, k int, v string")
+    assert {(r.x, r.v) for r in group_join(big, small, ["k", "g"], bounded).collect()} == {(1, "n"), (3, "m")}
+
+
+def test_sizes_of_equally_named_files(spark, tmp_path):
+    for name, n in (("a", 3), ("b", 5)):
+        (tmp_path / name).mkdir()
+        pq.write_table(pa.table({"x": list(range(n))}), tmp_path / name / "part.parquet")
+    found = file_sizes(spark, [str(tmp_path / "a"), str(tmp_path / "b")]).collect()
+    assert sorted(r.n_rows for r in found) == [3, 5]
 
 
 # Samples --------------------------------------------------------------------------
@@ -64,17 +74,35 @@ def test_sample_is_exact_and_independent_of_partitions(v):
     assert S.sample_exact(v, 10**9).count() == v.count()
 
 
-@pytest.mark.parametrize("digits", [1, 2, 4])
-def test_samples_do_not_depend_on_the_digits_counted(v, monkeypatch, digits):
+@pytest.mark.parametrize("digits", [1, 3, 8])
+@pytest.mark.parametrize("ranked", [250_000, 50])
+def test_samples_do_not_depend_on_cuts_and_buckets(v, monkeypatch, digits, ranked):
     want = rows_of(v.withColumn("_h", S.sample_hash(v.columns)).orderBy("_h").limit(777).drop("_h"))
     monkeypatch.setattr(S, "_DIGITS", digits)
+    monkeypatch.setattr(S, "_RANKED", ranked)
     assert rows_of(S.sample_exact(v, 777)) == want
 
 
 def test_sample_of_copies_and_of_one_key(spark):
     df = spark.createDataFrame([("same", 1)] * 500 + [(f"k{i}", i) for i in range(500)], "k string, x int")
     assert S.sample_exact(df, 300).count() == 300
-    assert S.sample_exact(df.withColumn("g", F.lit(1)), 300, ["g"]).count() == 300
+    # Hashes in clumps: the cut leaves too few rows, or none, below it.
+    for key in range(5):
+        clump = df.withColumn("g", F.when(col("k") == "same", F.lit(key)).otherwise(F.lit(key + 100)))
+        assert S.sample_exact(clump, 20, ["g"]).count() == 20
+        assert S.sample_per_group(clump, 7, ["k"], ["g"]).count() == 507
+    groups = spark.createDataFrame([(None, i) for i in range(50)] + [("a", i) for i in range(3)], "g string, x int")
+    assert {(r.g, r["count"]) for r in S.sample_per_group(groups, 10, ["g"]).groupBy("g").count().collect()} == {(None, 10), ("a", 3)}
+
+
+def test_samples_scan_twice(spark, tmp_path):
+    """Groups are counted, rows below the cut are ranked; the scan that tops groups up is left out at run time."""
+    path = str(tmp_path / "x")
+    spark.range(30_000).selectExpr("id", "id % 3 as g").write.parquet(path)
+    found = S.sample_per_group(spark.read.parquet(path), 100, ["g"], ["id"])
+    assert len(found.collect()) == 300
+    final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final or "ReusedQueryStage" in final or final.count("FileScan") <= 4
 
 
 def test_samples_per_group(v):
