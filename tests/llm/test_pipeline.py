@@ -47,3 +47,17 @@ def test_empty_table(spark, tmp_path, small):
         stage(spark, docs, small).write.parquet(f"{tmp_path}/{name}")
         docs = spark.read.parquet(f"{tmp_path}/{name}")
     assert docs.isEmpty()
+
+
+def test_odd_documents(spark, odd, small, tmp_path):
+    """NULLs, empty and very long texts, repeated rows and clashing columns go through all stages."""
+    docs = odd
+    for name, stage in P.STAGES:
+        before = docs.columns
+        stage(spark, docs, small).write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        if name != P.STAGES[-1][0]:
+            assert docs.columns == before
+        if name == "quality_rules":
+            assert docs.filter("text is null or trim(text) = ''").isEmpty()
+    assert docs.filter("length > 4096").isEmpty()
