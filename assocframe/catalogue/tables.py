@@ -22,6 +22,7 @@ from assocframe.operators.filters import (
 )
 from assocframe.plans.materialize import shared_dir
 from assocframe.roles import to_double
+from assocframe.sources.csv_parts import read_csv_parts, write_csv_parts
 from assocframe.sources.files import file_blocks, file_sizes, file_totals
 from assocframe.sources.load import read_many, scan, write_csv
 
@@ -162,6 +163,24 @@ def csv_roundtrip(spark, sf):
     return spark.read.option("header", "true").schema(part.schema).csv(path)
 
 
+@query(
+    "csv_ordered_parts",
+    """SELECT l_orderkey, l_linenumber, l_extendedprice, true AS in_order FROM lineitem""",
+)
+def csv_ordered_parts(spark, sf):
+    """Rows of an ordered export, and whether each lies between the first keys of its part and of the next one."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    path = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    manifest = write_csv_parts(lines, path, ["l_orderkey", "l_linenumber"], rows=10_000)
+    key = "l_orderkey long, l_linenumber int"
+    starts = manifest.select("part", F.from_json("first_key", key).alias("low"))
+    ends = starts.select((F.col("part") - 1).alias("part"), F.col("low").alias("high"))
+    bounds = F.broadcast(starts.join(ends, "part", "left"))  # a row per file
+    own = F.struct(F.col("l_orderkey").cast("long").alias("l_orderkey"), F.col("l_linenumber").cast("int").alias("l_linenumber"))
+    within = (own >= F.col("low")) & (F.col("high").isNull() | (own <= F.col("high")))
+    return read_csv_parts(spark, path, lines.schema).join(bounds, "part").select(*lines.columns, within.alias("in_order"))
+
+
 # Annotation -----------------------------------------------------------------------
 
 _CODES = (*L.CONSEQUENCES, "splice_region_variant")

@@ -16,6 +16,7 @@ from assocframe.operators.manhattan import manhattan_points
 from assocframe.plans.joins import group_join, lookup_join
 from assocframe.plans.ordering import global_row_number
 from assocframe.roles import MissingRole, col
+from assocframe.sources.csv_parts import read_csv_parts, write_csv_parts
 from assocframe.sources.files import file_blocks, file_sizes, file_totals, headers
 from assocframe.sources.load import load, load_plot_columns, read_many, scan_roles, to_pandas, write_csv
 
@@ -401,6 +402,28 @@ def test_read_many_and_roles_scan(spark, folder):
     assert set(scan_roles(spark, f"{folder}/bpd.parquet").columns) >= {"P", "#CHR", "BP"}
 
 
+def test_csv_parts_are_one_ordered_file(spark, tmp_path):
+    import csv
+
+    rows = [(i % 97, f'say "{i}", é' if i % 3 else None, "" if i % 5 else " x ") for i in range(1000)] + [(None, "none", "a")]
+    df = spark.createDataFrame(rows, "k int, `a.b` string, c string").repartition(7)
+    path = tmp_path / "parts"
+    manifest = sorted(write_csv_parts(df, str(path), ["k", "a.b"], rows=120).collect(), key=lambda r: r.part)
+    assert [r.part for r in manifest] == list(range(1, len(manifest) + 1)) and max(r.n_rows for r in manifest) <= 120
+    assert sum(r.n_rows for r in manifest) == 1001 and manifest[0].header == ["k", "a.b", "c"] and manifest[0].first_key == '{"a.b":"none"}'
+    whole = "".join((path / r.file_name).read_text("utf-8") for r in manifest)
+    keys = [(int(r[0]) if r[0] else -1, r[1]) for r in csv.reader(whole.splitlines())]
+    assert len(keys) == 1001 and keys == sorted(keys)
+    back = read_csv_parts(spark, str(path), df.schema)
+    assert rows_of(back.drop("part")) == rows_of(df)
+
+
+def test_csv_parts_of_an_empty_table(spark, tmp_path):
+    df = spark.createDataFrame([], "k int, v string")
+    assert write_csv_parts(df, str(tmp_path / "e"), ["k"]).isEmpty()
+    assert read_csv_parts(spark, str(tmp_path / "e"), df.schema).isEmpty()
+
+
 def test_csv(spark, tmp_path):
     df = spark.createDataFrame([(1, "a,b"), (2, None)], "x int, t string")
     write_csv(df, str(tmp_path / "out"))
