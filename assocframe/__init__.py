@@ -18,6 +18,7 @@ from assocframe.operators.summary import (
     top_associations,
 )
 from assocframe.roles import Roles, canonicalize, resolve_roles
+from assocframe.sources.csv_parts import read_csv_parts, write_csv_parts
 from assocframe.sources.load import load, load_plot_columns, scan, write_csv
 
 __all__ = [
@@ -62,5 +63,7 @@ __all__ = [
     "typed_filter",
     "with_traits",
     "with_variant_facts",
+    "read_csv_parts",
     "write_csv",
+    "write_csv_parts",
 ]
