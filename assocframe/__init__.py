@@ -20,6 +20,7 @@ from assocframe.operators.summary import (
 from assocframe.roles import Roles, canonicalize, resolve_roles
 from assocframe.sources.csv_parts import read_csv_parts, write_csv_parts
 from assocframe.sources.load import load, load_plot_columns, scan, write_csv
+from assocframe.sources.stored import read_significant, store_significant
 
 __all__ = [
     "Roles",
@@ -64,6 +65,8 @@ __all__ = [
     "with_traits",
     "with_variant_facts",
     "read_csv_parts",
+    "read_significant",
+    "store_significant",
     "write_csv",
     "write_csv_parts",
 ]

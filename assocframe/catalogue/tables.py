@@ -25,6 +25,7 @@ from assocframe.roles import to_double
 from assocframe.sources.csv_parts import read_csv_parts, write_csv_parts
 from assocframe.sources.files import file_blocks, file_sizes, file_totals
 from assocframe.sources.load import read_many, scan, write_csv
+from assocframe.sources.stored import read_significant, store_significant
 
 # Filters --------------------------------------------------------------------------
 
@@ -181,6 +182,32 @@ def csv_ordered_parts(spark, sf):
     return read_csv_parts(spark, path, lines.schema).join(bounds, "part").select(*lines.columns, within.alias("in_order"))
 
 
+def _stored(spark, sf):
+    path = f"{shared_dir(spark)}/significant-{uuid.uuid4().hex}"
+    store_significant(variants(spark, sf), path, level=1e-2)
+    return path
+
+
+_STORED = "SELECT variant_id, chr, pos, pval, disorder FROM V WHERE pval < 0.01 AND "
+
+
+@query("significant_stored", with_v(_STORED + "pval < 0.001 AND chr IN ('1', '10', 'X')"))
+def significant_stored(spark, sf):
+    """Chromosomes below a stricter level, from the stored subset."""
+    rows = read_significant(spark, _stored(spark, sf), chromosomes=["1", "10", "X"], level=1e-3)
+    return rows.select("variant_id", "chr", "pos", "pval", "disorder")
+
+
+_STORED_IDS = [f"rs{part * 10 + line}" for part in (7, 40, 77, 120) for line in (1, 2)]
+
+
+@query("significant_stored_ids", with_v(_STORED + f"variant_id IN ({', '.join(map(repr, _STORED_IDS))})"))
+def significant_stored_ids(spark, sf):
+    """Variants by id, from the stored subset; rows without a chromosome are there too."""
+    rows = read_significant(spark, _stored(spark, sf), ids=_STORED_IDS)
+    return rows.select("variant_id", "chr", "pos", "pval", "disorder")
+
+
 # Annotation -----------------------------------------------------------------------
 
 _CODES = (*L.CONSEQUENCES, "splice_region_variant")
@@ -217,26 +244,36 @@ _ANNOTATIONS = """SELECT concat('rs', CAST(p_partkey * 10 + 1 + p_size % 4 AS {t
                     CASE WHEN p_size % 7 <> 0 THEN p_brand END AS location FROM {source}"""
 
 
-@query(
-    "annotate_variants",
-    with_v(
-        """SELECT v.variant_id, v.pos, v.disorder, v.rsid, a.consequence, a.location,
-             CASE WHEN v.rsid IS NULL THEN 'El ID debe tener el formato estándar ''rs...'' (ej. rs11210887).'
-                  WHEN a.rsid IS NULL THEN 'Variante sin registros clínicos en la base de datos.'
-                  WHEN a.consequence IS NULL AND a.location IS NULL
-                  THEN 'La variante existe, pero no tiene información clínica mapeada.' END AS message
-           FROM (SELECT *, CASE WHEN lower(trim(variant_id)) LIKE 'rs%' THEN lower(trim(variant_id)) END AS rsid FROM V) v
-           LEFT JOIN A a ON v.rsid = a.rsid""",
-        "A AS (" + _ANNOTATIONS.format(text="VARCHAR", source="part") + ")",
-    ),
+_ANNOTATED = with_v(
+    """SELECT v.variant_id, v.pos, v.disorder, v.rsid, a.consequence, a.location,
+         CASE WHEN v.rsid IS NULL THEN 'El ID debe tener el formato estándar ''rs...'' (ej. rs11210887).'
+              WHEN a.rsid IS NULL THEN 'Variante sin registros clínicos en la base de datos.'
+              WHEN a.consequence IS NULL AND a.location IS NULL
+              THEN 'La variante existe, pero no tiene información clínica mapeada.' END AS message
+       FROM (SELECT *, CASE WHEN lower(trim(variant_id)) LIKE 'rs%' THEN lower(trim(variant_id)) END AS rsid FROM V) v
+       LEFT JOIN A a ON v.rsid = a.rsid""",
+    "A AS (" + _ANNOTATIONS.format(text="VARCHAR", source="part") + ")",
 )
-def annotate_variants(spark, sf):
+
+
+def _annotated(spark, sf, id_filter):
     part = table(spark, sf, "part")
     annotations = spark.sql(_ANNOTATIONS.format(text="STRING", source="{part}"), part=part)
-    out = annotate(variants(spark, sf), annotations)
+    out = annotate(variants(spark, sf), annotations, id_filter=id_filter)
     return out.select("variant_id", "pos", "disorder", "rsid", "consequence", "location", "message")
 
 
+@query("annotate_variants", _ANNOTATED)
+def annotate_variants(spark, sf):
+    return _annotated(spark, sf, None)
+
+
+@query("annotate_variants_filtered", _ANNOTATED)
+def annotate_variants_filtered(spark, sf):
+    """The form for annotations too large to broadcast."""
+    return _annotated(spark, sf, True)
+
+
 _PAYLOAD = """CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 11 = 1 THEN '{"error": "none"}'
   ELSE concat('{"_embedded": {"associations": [{"efoTraits": [{"trait": "', o_orderpriority, '"}, {"trait": "',
               o_orderstatus, '"}], "diseaseTrait": {"trait": "', o_orderpriority, '"}}, {"efoTraits": [], "diseaseTrait": {"trait": "',

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from assocframe import labels as L
 from assocframe.functions.scalars import consequence_label, rsid_normal
+from assocframe.plans.idfilter import could_match
 from assocframe.plans.joins import lookup_join
+from assocframe.plans.materialize import plan_bytes
 from assocframe.roles import Roles, col, roles_of
 
 # Shapes of the two kinds of JSON payload.
@@ -69,17 +71,32 @@ def with_variant_facts(df: DataFrame, json_column: str, rsid: str | None = None)
     return parsed.withColumns({c: F.when(known, value) for c, value in facts.items()}).drop("_facts")
 
 
-def annotate(df: DataFrame, annotations: DataFrame, roles: Roles | None = None) -> DataFrame:
+def annotate(df: DataFrame, annotations: DataFrame, roles: Roles | None = None, id_filter: bool | None = None) -> DataFrame:
     """Left join on the normal form of the id; ``message`` says why nothing was found.
 
     ``annotations`` has one row per ``rsid`` (in normal form) and any further
     columns; a row whose further columns are all NULL counts as known but empty.
+
+    With ``id_filter`` a Bloom filter of the annotated ids parts ``df``: rows that
+    cannot match get their message where they are, and only the others are
+    shuffled.  ``df`` is scanned twice for that, so it is the default only where
+    the annotations are too large for Spark to broadcast them.
     """
     r = roles_of(df, roles)
     r.need("snp")
     facts = [c for c in annotations.columns if c != "rsid"]
     marked = annotations.select("rsid", *[col(c) for c in facts], F.lit(True).alias("_known"))
-    joined = lookup_join(df.withColumn("rsid", rsid_normal(col(r.snp))), marked, ["rsid"])
+    named = df.withColumn("rsid", rsid_normal(col(r.snp)))
+    if id_filter is None:
+        id_filter = plan_bytes(annotations) > _broadcast_limit(df)
+    if id_filter:
+        parted = could_match(named, "rsid", annotations.select("rsid"), "rsid")
+        likely = parted.filter("_maybe").drop("_maybe").join(marked, "rsid", "left")
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in marked.schema.fields if f.name != "rsid"]
+        never = parted.filter("not _maybe").drop("_maybe").select(*[col(c) for c in named.columns], *none)
+        joined = likely.unionByName(never)
+    else:
+        joined = lookup_join(named, marked, ["rsid"])
     empty = F.lit(True)
     for c in facts:
         empty = empty & col(c).isNull()
@@ -89,3 +106,7 @@ def annotate(df: DataFrame, annotations: DataFrame, roles: Roles | None = None)
         .when(empty, L.MSG_EMPTY)
     )
     return joined.withColumn("message", message).drop("_known")
+
+
+def _broadcast_limit(df: DataFrame) -> int:
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -73,17 +77,46 @@ def file_totals(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 def headers(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
     """``(schema, paths)`` per distinct header: the names and types of its columns.
 
-    Spark reads one footer per file, several at a time.  Files of one header
-    keep the paths given.  Only names and schemas reach the driver, which
-    Spark's own file index holds too.
+    Footers of many files are read by one Spark job; the driver then asks Spark
+    for one schema per distinct header, not per file.  Files of one header
+    keep the paths given.  Only names and marks of headers reach the driver;
+    Spark's own file index holds the names too.
     """
-    files = sorted(r["file_path"] for r in list_files(spark, paths).select("file_path").toLocalIterator())
+    listing = list_files(spark, paths).select("file_path")
+    files = sorted(r["file_path"] for r in listing.toLocalIterator())
+    alike: dict[str, list[str]] = {}
+    if len(files) > _AT_ONCE:
+        for r in listing.mapInArrow(_with_marks, "file_path string, mark string").toLocalIterator():
+            alike.setdefault(r["mark"] or r["file_path"], []).append(r["file_path"])
+    else:
+        alike = {f: [f] for f in files}
+    same_header = sorted(sorted(group) for group in alike.values())
     with ThreadPoolExecutor(_AT_ONCE) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
+        schemas = list(pool.map(lambda group: spark.read.parquet(group[0]).schema, same_header))
     found: dict[str, tuple[T.StructType, list[str]]] = {}
-    for schema, file in zip(schemas, files, strict=True):
+    for schema, group in zip(schemas, same_header, strict=True):
         same = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-        found.setdefault(same, (schema, []))[1].append(file)
+        found.setdefault(same, (schema, []))[1].extend(group)
     if len(found) == 1:
         return [(schemas[0], _as_list(paths))]
-    return list(found.values())
+    return [(schema, sorted(group)) for schema, group in found.values()]
+
+
+def _with_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        marks = [header_mark(path) for path in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.string())], names=["file_path", "mark"])
+
+
+def header_mark(path: str) -> str | None:
+    """A digest of all in a footer that decides Spark's schema; None where Arrow knows no such file system."""
+    local = "/" + path[5:].lstrip("/") if path.startswith("file:") else path
+    try:
+        where, inner = fs.FileSystem.from_uri(path) if "://" in local else (fs.LocalFileSystem(), local)
+    except (pa.ArrowException, OSError):
+        return None
+    with where.open_input_file(inner) as source:
+        footer = pq.read_metadata(source)
+    columns = str(footer.schema).split("\n", 1)[1]  # after the line that names a Python object
+    by_spark = (footer.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata", b"")
+    return hashlib.sha256(columns.encode("utf-8", "surrogatepass") + by_spark).hexdigest()
