@@ -21,7 +21,7 @@ from assocframe import labels as L
 from assocframe.roles import Roles, col, resolve_roles, roles_of
 from assocframe.sources.load import significant
 
-FOLDER = "_chr"  # the chromosome as text once more, as folder names tell no missing text from an empty one
+FOLDER = "_chr"  # the chromosome as text once more; a folder name cannot tell a missing one from an empty one
 
 
 def store_significant(df: DataFrame, path: str, level: float = L.GENOME_WIDE, roles: Roles | None = None, mode: str = "error") -> None:
@@ -31,7 +31,7 @@ def store_significant(df: DataFrame, path: str, level: float = L.GENOME_WIDE, ro
         r.need(role)
     if FOLDER in df.columns:
         raise ValueError(f"a column named {FOLDER} would be taken for the folder")
-    placed = significant(df, level, r).withColumn(FOLDER, col(r.chr).cast("string"))
+    placed = significant(df, level, r).withColumn(FOLDER, F.nullif(col(r.chr).cast("string"), F.lit("")))
     order = [col(FOLDER), col(r.pval)]
     writer = placed.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy(FOLDER)
     if r.snp is not None:

@@ -1,6 +1,7 @@
 """Many files, dense integers, filtered annotation joins and the stored subset."""
 
 import random
+from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -170,7 +171,7 @@ def test_stored_files_are_pruned(spark, stored):
         assert part in plan
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     for file in spark.read.parquet(path).select("_metadata.file_path").distinct().collect():
-        source = spark._jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(hadoop(file[0]), spark._jsc.hadoopConfiguration())
+        source = spark._jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(hadoop(unquote(file[0])), spark._jsc.hadoopConfiguration())
         reader = spark._jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
         columns = reader.getFooter().getBlocks().get(0).getColumns()
         offsets = {c.getPath().toDotString(): c.getBloomFilterOffset() for c in columns}
