@@ -5,8 +5,7 @@ floor(r) + 1 times.  The fractions are rounded by the pivotal method: two
 documents are paired, and words are moved from one's copy probability to the
 other's at random until one of them is 0 or 1.  Moving words, not
 probabilities, keeps the expected words of a source constant at every step, so
-what a source takes differs from its target by half a unit at most (a document,
-or all repeats of one row together).
+what a source takes differs from its target by half a document at most.
 
 Pairs meet in a reduction tree.  Documents of a source are dealt into blocks of
 about FAN; a block is folded into decisions and one residual document; residuals
@@ -16,8 +15,11 @@ and random draws are hashes of the pair, so reruns agree.
 
 Defined results: a NULL text has size 0 and takes 0 words; a NULL source is a
 source of its own, last in order; NULL ids are documents like others; repeated
-rows (same id, source and text) are one unit and share a decision; sources of
-size 0 have target 0; an empty table gives an empty result.
+rows (same id, source and text) are counted: of n repeats with fraction p,
+floor(n * p) are taken once more outright and one is rounded like any document,
+so their copies differ by one at most; which repeats have more goes by a hash of
+their other columns.  Very long texts are only counted.  Sources of size 0 have
+target 0; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ FAN = 64
 BROADCAST_SOURCES = 20_000
 
 KEY = ("doc_id", "source", "size", "text_hash")
+_GOALS = ("source_size", "target", "rows")
+#: Repeats are ranked by hash in so many ranges, so that no window holds all of one row's.
+_RANGE_BITS = 10
+_PIECE = 4096
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -72,7 +78,10 @@ def targets(by_source: DataFrame, weights: tuple[int, ...] = WEIGHTS, factor: in
 
 
 def decisions(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, factor: int = LARGEST_FACTOR) -> DataFrame:
-    """KEY, source_size, target and copies, one row per distinct document of ``sized``."""
+    """KEY, source_size, target, rows, copies and extra, one row per distinct document of ``sized``.
+
+    Each of its ``rows`` is taken ``copies`` times, and ``extra`` of them once more.
+    """
     units = materialize(sized.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows")))
     words = F.coalesce(F.sum(F.col("size") * F.col("rows")), F.lit(0)).alias("source_size")
     count = F.count(F.when(F.col("size") > 0, 1)).alias("units")
@@ -87,11 +96,13 @@ def decisions(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, factor: int
     ready = (
         joined.withColumn("ratio", F.least(ratio, F.lit(float(factor))))
         .withColumn("base", F.floor("ratio"))
-        .withColumn("p", F.col("ratio") - F.col("base"))
-        .drop("ratio")
+        .withColumn("expected", (F.col("ratio") - F.col("base")) * F.col("rows"))
+        .withColumn("whole", F.floor("expected"))
+        .withColumn("p", F.col("expected") - F.col("whole"))
+        .drop("ratio", "expected")
     )
     fractional = (F.col("p") > 0) & (F.col("size") > 0)
-    fixed = ready.filter(~fractional).withColumn("copies", F.col("base")).select(*KEY, "source_size", "target", "copies")
+    fixed = ready.filter(~fractional).select(*KEY, *_GOALS, F.col("base").alias("copies"), F.col("whole").alias("extra"))
     return fixed.unionByName(_rounded(ready.filter(fractional), int(largest)))
 
 
@@ -99,11 +110,11 @@ def decisions(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, factor: int
 
 
 def _rounded(units: DataFrame, largest: int) -> DataFrame:
-    mass = (F.col("size") * F.col("rows")).cast("double")
+    mass = F.col("size").cast("double")  # of the one repeat that is not decided yet
     unit = F.struct(
         F.xxhash64("doc_id", "source", "text_hash").alias("draw"),
         *[F.col(c) for c in KEY],
-        *["source_size", "target", "base", mass.alias("mass"), "p"],
+        *[*_GOALS, "base", "whole", mass.alias("mass"), "p"],
     )
     blocks = max(1, -(-largest // FAN))
     own = F.greatest(F.lit(1), F.ceil(F.col("units") / FAN))
@@ -123,7 +134,7 @@ def _rounded(units: DataFrame, largest: int) -> DataFrame:
     decided.append(last.withColumn("taken", (F.col("p") >= 0.5).cast("int")))
     out = None
     for part in decided:
-        rows = part.withColumn("copies", F.col("base") + F.col("taken")).select(*KEY, "source_size", "target", "copies")
+        rows = part.select(*KEY, *_GOALS, F.col("base").alias("copies"), (F.col("whole") + F.col("taken")).alias("extra"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
@@ -171,24 +182,61 @@ def _fold(met: Column, unit_type: str) -> Column:
 
 def mix(sized: DataFrame, decided: DataFrame) -> DataFrame:
     """Each row of ``sized`` (it may hold more columns than KEY) with its source_size, target and copies."""
-    names = {k: f"_{k}_decided" for k in KEY}
-    renamed = decided.select(*[F.col(k).alias(v) for k, v in names.items()], "source_size", "target", "copies")
+    rows = sized.select(F.struct(*[F.col(f"`{c}`") for c in sized.columns]).alias("_row"))
     same = F.lit(True)
-    for k, v in names.items():
-        same = same & F.col(k).eqNullSafe(F.col(v))
-    return sized.join(renamed, same).drop(*names.values())
+    for k in KEY:
+        same = same & F.col(f"_row.{k}").eqNullSafe(F.col(k))
+    return _copies_of_rows(rows.join(decided, same)).select("_row.*", "source_size", "target", "copies")
 
 
 def take_mixed(docs: DataFrame) -> DataFrame:
     """The documents as often as the mix takes them, with all their columns."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
     keys = [F.col("doc_id").alias("_id"), F.col("source").alias("_from"), F.xxhash64("text").alias("_hash")]
-    chosen = decisions(materialize(sizes(docs))).filter("copies > 0")
+    chosen = decisions(materialize(sizes(docs))).filter("copies > 0 or extra > 0")
     same = (
         F.col("_id").eqNullSafe(F.col("doc_id"))
         & F.col("_from").eqNullSafe(F.col("source"))
         & (F.col("_hash") == F.col("text_hash"))
     )
     rows = docs.select(F.struct(*columns).alias("_row"), *keys)
-    joined = rows.join(chosen.select("doc_id", "source", "text_hash", "copies"), same)
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
+    taken = _copies_of_rows(rows.join(chosen, same).drop("_id", "_from", "_hash")).filter("copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_row.*")
+
+
+def _copies_of_rows(joined: DataFrame) -> DataFrame:
+    """``_row, source_size, target, copies`` from rows joined with their decisions.
+
+    Only repeats of which some, but not all, are taken once more are told apart:
+    equal ones are counted, ranked by hash, and laid out again in pieces.
+    """
+    out = ["_row", "source_size", "target", "copies"]
+    alike = (F.col("extra") == 0) | (F.col("extra") == F.col("rows"))
+    more = F.when(F.col("extra") > 0, 1).otherwise(0)
+    settled = joined.filter(alike).withColumn("copies", F.col("copies") + more).select(*out)
+
+    goals = [*KEY, *_GOALS, "copies", "extra"]
+    parted = joined.filter(~alike).withColumn("_hash", F.xxhash64(F.to_json("_row")))
+    counted = parted.groupBy(*goals, "_hash").agg(F.any_value("_row").alias("_row"), F.count(F.lit(1)).alias("n"))
+    ranged = counted.withColumn("_range", F.shiftright("_hash", 64 - _RANGE_BITS))
+    ranges = ranged.groupBy(*KEY, "_range").agg(F.sum("n").alias("n"))
+    before = lambda *order: Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.coalesce(F.sum("n").over(before("_range").partitionBy(*KEY)), F.lit(0))
+    starts = ranges.select(*[F.col(k).alias(f"_{k}") for k in KEY], F.col("_range").alias("_in"), earlier.alias("start"))
+    same = F.col("_range") == F.col("_in")
+    for k in KEY:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    own = F.coalesce(F.sum("n").over(before("_hash").partitionBy(*KEY, "_range")), F.lit(0))
+    placed = ranged.withColumn("own", own).join(starts, same)
+    left = F.col("extra") - F.col("start") - F.col("own")
+    placed = placed.withColumn("up", F.greatest(F.lit(0), F.least(left, F.col("n"))))
+    kinds = F.array(
+        F.struct((F.col("copies") + 1).alias("copies"), F.col("up").alias("n")),
+        F.struct(F.col("copies").alias("copies"), (F.col("n") - F.col("up")).alias("n")),
+    )
+    shares = placed.select("_row", "source_size", "target", F.inline(kinds)).filter("n > 0")
+    pieces = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / _PIECE))).alias("piece")
+    cut = shares.select(*out, "n", pieces).repartition("piece", F.xxhash64("_row.doc_id"))
+    length = F.least(F.lit(_PIECE), F.col("n") - F.col("piece") * _PIECE).cast("int")
+    told = cut.select(*out, F.explode(F.sequence(F.lit(1), length)).alias("_repeat")).select(*out)
+    return settled.unionByName(told)
