@@ -28,9 +28,11 @@ WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 EMBED = 8
-#: About so many texts of a language are used for training, of at most so many languages (the most frequent).
+#: About so many texts of a language are used for training; fewer, where languages are so many that all
+#: together would pass MAX_TEXTS.  More languages than MAX_LANGUAGES are refused, never left out.
 TEXTS_PER_LANGUAGE = 400
-MAX_LANGUAGES = 200
+MAX_TEXTS = 80_000
+MAX_LANGUAGES = 10_000
 WINDOWS_PER_TEXT = 8
 UNKNOWN = "und"
 
@@ -182,29 +184,40 @@ def train(x: np.ndarray, y: np.ndarray, languages: tuple[str, ...], steps: int =
 def learn_languages(docs: DataFrame, usable: Column | None = None) -> ByteCnn:
     """Train on a sample of the rows of (doc_id, text, lang) that are ``usable``.
 
-    The driver receives one count per language and at most
-    MAX_LANGUAGES * 2 * TEXTS_PER_LANGUAGE * WINDOWS_PER_TEXT windows of 128 bytes.
+    All languages are learned.  The driver receives one count per language and
+    windows of 128 bytes, WINDOWS_PER_TEXT of each text, of at most
+    2 * MAX_TEXTS texts.  Which rows are in the sample goes by hashes, so reruns
+    agree.
     """
     known = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     if usable is not None:
         known = known.filter(usable)
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    languages = tuple(sorted(r["lang"] for r in counts))
-    if not languages:
-        return train(np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), ())
-    share = F.create_map(
-        *[F.lit(v) for r in counts for v in (r["lang"], min(1.0, 1.5 * TEXTS_PER_LANGUAGE / r["count"]))]
-    )
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language sample"), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = known.withColumn("draw", draw).filter(F.col("draw") < share[F.col("lang")])
-    chosen = chosen.limit(2 * TEXTS_PER_LANGUAGE * len(languages))
+    known = known.withColumn("draw", draw)
+    figures = known.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min("draw").alias("first"))
+    counts = figures.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not counts:
+        return train(np.zeros((0, WINDOW), np.uint8), np.zeros(0, np.int64), ())
+    per_language = min(TEXTS_PER_LANGUAGE, MAX_TEXTS // len(counts))
+    shares = [(r["lang"], min(1.0, 1.5 * per_language / r["count"]), r["first"]) for r in counts]
+    # At most MAX_LANGUAGES rows.
+    share = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share double, first double"))
+    is_first = F.col("draw") == F.col("first")  # no language goes without a text
+    chosen = known.join(share, "lang").filter((F.col("draw") < F.col("share")) | is_first)
+    chosen = chosen.select("text", "lang", "draw", (~is_first).alias("later"))
 
     def windows(rows: list[dict]) -> dict[str, list]:
-        cut = [sample_windows(r["text"], WINDOWS_PER_TEXT, int(r["draw"] * (1 << 30))) for r in rows]
-        return {"x": [b"".join(c) for c in cut], "lang": [r["lang"] for r in rows]}
+        draws = [r["draw"] for r in rows]
+        cut = [sample_windows(r["text"], WINDOWS_PER_TEXT, int(d * (1 << 30))) for r, d in zip(rows, draws, strict=True)]
+        return {"x": [b"".join(c) for c in cut]} | {k: [r[k] for r in rows] for k in ("lang", "draw", "later")}
 
+    # Rows of equal ids and texts share a draw and count once; the limit holds even if many draws should agree.
+    cut = map_rows(chosen, windows, "x binary, lang string, draw double, later boolean").distinct()
+    taken = cut.orderBy("later", "draw", "lang", "x").limit(2 * per_language * len(counts)).select("lang", "x")
     # Sorted, so that the model does not depend on the order in which tasks end.
-    found = sorted((r["lang"], bytes(r["x"])) for r in map_rows(chosen, windows, "x binary, lang string").collect())
+    found = sorted((r["lang"], bytes(r["x"])) for r in taken.collect())
     languages = tuple(sorted({lang for lang, _ in found}))
     place = {lang: k for k, lang in enumerate(languages)}
     x = np.frombuffer(b"".join(b for _, b in found), dtype=np.uint8).reshape(-1, WINDOW)

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from assocframe.llm import bytecnn as B
@@ -67,3 +68,30 @@ def test_odd_documents(odd, none):
     nothing = B.learn_languages(none)
     assert B.identify(none, nothing).isEmpty()
     assert {r["lang_pred"] for r in B.identify(odd, nothing).collect()} == {"und"}
+
+
+def test_all_of_many_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(B, "MAX_TEXTS", 600)
+    rows = [(i, f"{chr(0x4E00 + i % 300) * 40} word", f"l{i % 300:03d}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    taught = []
+    monkeypatch.setattr(B, "train", lambda x, y, languages, **k: taught.append((x, y, languages)))
+    for parts in (2, 7):
+        B.learn_languages(df.repartition(parts))
+    assert len(taught[0][2]) == 300 and len(taught[0][1]) <= 2 * 600 * B.WINDOWS_PER_TEXT
+    assert taught[0][2] == taught[1][2] and (taught[0][0] == taught[1][0]).all()
+    monkeypatch.setattr(B, "MAX_LANGUAGES", 299)
+    with pytest.raises(ValueError):
+        B.learn_languages(df)
+
+
+def test_repeated_rows_do_not_multiply_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(B, "TEXTS_PER_LANGUAGE", 10)
+    rows = [(1, "the same text again and again", "en")] * 300 + [(i, f"ein anderer Text {i}", "de") for i in range(2, 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    taught = []
+    monkeypatch.setattr(B, "train", lambda x, y, languages, **k: taught.append((x, y)))
+    for parts in (1, 5):
+        B.learn_languages(df.repartition(parts))
+    assert len(taught[0][1]) <= 2 * 10 * 2 * B.WINDOWS_PER_TEXT
+    assert (taught[0][0] == taught[1][0]).all() and (taught[0][1] == taught[1][1]).all()
