@@ -87,8 +87,7 @@ _OP9 = """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes
 @query("op9_warc_zstd", _OP9)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, written = warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    written.count()
-    return warc.read_archives(spark, folder)
+    return warc.read_archives(spark, folder, manifest=materialize(written))
 
 
 @query("op10_best_fit_packing")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assocframe.llm.common import new_folder, read_files, write_file
+from assocframe.llm.common import map_file, new_folder, read_files, write_file
 
 DICTIONARY_MAGIC = 0x184D2A5D
 FRAME_MAGIC = 0xFD2FB528
@@ -214,8 +215,10 @@ def with_revisits(pages: DataFrame) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str | None = None) -> tuple[str, DataFrame]:
     """Writes all pages; returns the folder and one row (name, records) per file.
 
-    A task writes files under names made of its partition, each whole and by
-    renaming, so a task that runs again replaces its own files by equal ones.
+    Every attempt of a task writes under names of its own, each file whole and by
+    renaming.  An attempt that was lost or came second may cut its files elsewhere
+    and leaves them behind; the rows returned name the files of one attempt per
+    task, so write those rows down once and read by them (``read_archives``).
     """
     spark = pages.sparkSession
     folder = folder or new_folder(spark, "warc")
@@ -229,13 +232,14 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> tuple[str, Da
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        partition = TaskContext.get().partitionId()
+        partition, attempt = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId()
+        attempt_name = f"{attempt:08d}-{uuid.uuid4().hex[:12]}"
         writer, names, counts = ArchiveWriter(dictionary), [], []
         held = 0
 
         def put() -> None:
             nonlocal held
-            name = f"{partition:06d}-{len(names):06d}.warc.zst"
+            name = f"{partition:06d}-{attempt_name}-{len(names):06d}.warc.zst"
             write_file(folder, name, writer.close())
             names.append(name)
             counts.append(held)
@@ -259,18 +263,24 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> tuple[str, Da
 _COLUMNS = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
-def read_archives(spark: SparkSession, folder: str, payload: bool = False) -> DataFrame:
-    """One row per record of every archive in ``folder``; a broken file fails the task."""
+def read_archives(spark: SparkSession, folder: str, payload: bool = False, manifest: DataFrame | None = None) -> DataFrame:
+    """One row per record of the archives that ``manifest`` names; a broken file fails the task.
+
+    Without a manifest all archives in ``folder`` are read, also what lost attempts left there.
+    """
     schema = _COLUMNS + ", payload binary" * payload
     names = [c.split()[0] for c in schema.split(", ")]
     kinds = {"bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     fields = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")])
 
+    by_name = manifest is not None
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
+                found = batch.column(0)[k].as_py()
                 held: list[dict] = []
-                for record in read_archive(batch.column(0)[k].as_py()):
+                for record in read_archive(map_file(f"{folder}/{found}") if by_name else found):
                     held.append({n: record[n] for n in names})
                     if len(held) == 512:
                         yield pa.RecordBatch.from_pylist(held, schema=fields)
@@ -278,4 +288,5 @@ def read_archives(spark: SparkSession, folder: str, payload: bool = False) -> Da
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema=fields)
 
-    return read_files(spark, folder, ".warc.zst").select("content").mapInArrow(read, schema)
+    files = read_files(spark, folder, ".warc.zst").select("content") if manifest is None else manifest.select("name")
+    return files.mapInArrow(read, schema)

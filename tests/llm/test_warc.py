@@ -4,7 +4,9 @@ import pytest
 import zstandard
 
 from assocframe.llm import warc as W
+from assocframe.llm.common import new_folder
 from assocframe.llm.queries import ORACLES
+from assocframe.plans.materialize import materialize
 
 LONG = "<p>" + "long page " * 200
 
@@ -91,3 +93,13 @@ def test_empty_table(spark):
     folder, written = W.write_archives(pages(spark).limit(0))
     assert written.count() == 0
     assert W.read_archives(spark, folder).isEmpty()
+
+
+def test_files_of_lost_attempts_are_not_read(spark, monkeypatch):
+    """Two runs into one folder, with other orders of rows: each manifest gives each record once."""
+    monkeypatch.setattr(W, "FILE_BYTES", 4_000)
+    given, folder = pages(spark), new_folder(spark, "warc-test")
+    runs = [materialize(W.write_archives(df, folder)[1]) for df in (given, given.orderBy("url").repartition(3))]
+    rows = [sorted(map(tuple, W.read_archives(spark, folder, manifest=m).collect()), key=repr) for m in runs]
+    assert rows[0] == rows[1] and len(rows[0]) == given.count()
+    assert W.read_archives(spark, folder).count() == 2 * given.count()
