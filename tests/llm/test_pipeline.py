@@ -29,7 +29,7 @@ def test_stages(spark, small, tmp_path):
     assert {r["doc_id"] for r in kept[2].collect()} == {r["doc_id"] for r in known.collect()}
     groups = simhash.near_duplicates(kept[2])
     assert bag(kept[3].select("doc_id")) == {(r["component_id"],): 1 for r in groups.collect()}
-    copies = {r["doc_id"]: r["copies"] for r in decisions(sizes(kept[3])).collect()}
+    copies = {r["doc_id"]: r["rows"] * r["copies"] + r["extra"] for r in decisions(sizes(kept[3])).collect()}
     assert bag(kept[4].select("doc_id")) == {(d,): n for d, n in copies.items() if n}
     pieces = bag(kept[5].filter("piece = 0").select("doc_id"))
     assert pieces == bag(kept[4].select("doc_id"))
