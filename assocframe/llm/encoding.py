@@ -17,23 +17,28 @@ from __future__ import annotations
 
 import os
 import re
-import struct
+import sys
+from array import array
 
 #: Entries of a memo, and how many of them may be words that came again and are kept when a full memo is emptied.
 MEMO, KEPT = 900_000, 650_000
 
-# Any run of two white spaces, or one that is neither a space nor a line feed (control marks count, to be safe).
-_UNUSUAL = re.compile(r"[\s\x1c-\x1f\x85]{2}|[^\S \n]|[\x1c-\x1f\x85]")
+# Any run of two white spaces, or one that is neither a space nor a line feed.  Looking for each is faster than a pattern.
+_UNUSUAL = ["  ", " \n", "\n ", "\n\n", *(c for c in map(chr, range(1 << 16)) if c.isspace() and c not in " \n")]
 _SAFE_CUT = re.compile(r"(?<=[^\s\x1c-\x1f\x85])(?=[ \n])")
 _TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 _BYTE_TAIL = _TAIL.encode()
 # Byte-level vocabularies write a byte as a letter: printable ones of Latin-1 as themselves, the others, in order, from 256 on.
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+_SPACE = chr(_LETTERS[ord(" ")])
 
 
 def _little(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 class _Memo(dict):
@@ -76,7 +81,7 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
         self.by_byte = self.tokenizer.normalizer is None
-        self.cores = _Memo(self._byte_core if self.by_byte else self._word_core, 4)
+        self.cores = _Memo(self._byte_core if self.by_byte else self._word_core, 2)
         self.words = _Memo(self._after_space if self.by_byte else self._word)
         self.chunks = _Memo(self._chunk, 8)
 
@@ -88,7 +93,7 @@ class TextEncoder:
                 return b"".join(self._whole(w.decode("utf-8", "surrogatepass")) for w in text.encode("utf-8", "surrogatepass").split())
             # The vocabulary knows lower case only; letters beyond A-Z are left to the library.
             return b"".join(map(self.words.__getitem__, text.encode("utf-8", "surrogatepass").lower().split()))
-        if _UNUSUAL.search(text):
+        if any(mark in text for mark in _UNUSUAL):
             return b"".join(map(self.chunks.__getitem__, _SAFE_CUT.split(text)))
         head, *rest = text.replace("\n", " \n").split(" ")
         return (self.chunks[head] if head else b"") + b"".join(map(self.words.__getitem__, rest))
@@ -100,8 +105,12 @@ class TextEncoder:
         return self._piece(text) if self.by_byte and text.isalpha() else self._whole(text)
 
     def _piece(self, word: str) -> bytes:
-        """The ids of a word that the vocabulary's rules leave in one piece."""
-        return _little([t.id for t in self.tokenize(word.encode().decode("latin-1").translate(_LETTERS))])
+        """The ids of a word that the vocabulary's rules leave in one piece; a space may precede its letters."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_LETTERS)
+        elif word[0] == " ":
+            word = _SPACE + word[1:]
+        return _little([t.id for t in self.tokenize(word)])
 
     def _byte_core(self, core: str) -> bytes:
         """A space and a word; a word of letters is one piece with its space."""
