@@ -31,6 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,7 +110,7 @@ _BLOCKS = pa.schema([("shard", pa.int64()), ("block", pa.binary())])
 
 
 def _blocks(held: list[tuple], shard_of, shards: int) -> Iterator[pa.RecordBatch]:
-    """Counts as one block per shard: steps of contexts, words and counts behind each other, by places of bytes, as that compresses well."""
+    """Counts as one block per shard: steps of contexts, words and counts behind each other, by places of bytes, compressed."""
     context, word, count = add_up(*(np.concatenate(x) for x in zip(*held, strict=True)))
     shard = shard_of(context, word)
     order = np.argsort(shard, kind="stable")
@@ -121,7 +122,7 @@ def _blocks(held: list[tuple], shard_of, shards: int) -> Iterator[pa.RecordBatch
             numbers = np.concatenate([np.diff(context[rows], prepend=0), word[rows], count[rows]])
             wide = int(numbers.max()) >= 1 << 32
             planes = numbers.astype("<i8" if wide else "<u4").view(np.uint8).reshape(len(numbers), -1).T
-            block = planes.tobytes() + bytes([wide])
+            block = zstandard.compress(planes.tobytes(), 1) + bytes([wide])
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([block], pa.binary())], schema=_BLOCKS)
         start = end
 
@@ -129,7 +130,7 @@ def _blocks(held: list[tuple], shard_of, shards: int) -> Iterator[pa.RecordBatch
 def _shard_counts(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     parts = []
     for b in frame["block"]:
-        planes = np.frombuffer(b, dtype=np.uint8, count=len(b) - 1).reshape(8 if b[-1] else 4, -1)
+        planes = np.frombuffer(zstandard.decompress(b[:-1]), dtype=np.uint8).reshape(8 if b[-1] else 4, -1)
         numbers = np.ascontiguousarray(planes.T).view("<i8" if b[-1] else "<u4").reshape(3, -1).astype(np.int64)
         numbers[0] = np.cumsum(numbers[0])
         parts.append(numbers)
@@ -179,6 +180,17 @@ class Level:
             out[rows] = data[node[rows] - self.starts[s]]
         return out
 
+    def counts(self, node: np.ndarray) -> np.ndarray:
+        """The count of each node; a shard's file holds as many bytes a node as its largest count needs."""
+        out = np.zeros(len(node), dtype=np.int64)
+        shard = self.shard_of_node(node)
+        for s in np.unique(shard):
+            rows = shard == s
+            data = _mapped(f"{self.folder}/{_name(self.level, s, 'counts')}")
+            width = len(data) // int(self.starts[s + 1] - self.starts[s])
+            out[rows] = data.view(f"<u{width}")[node[rows] - self.starts[s]]
+        return out
+
     def find_words(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of words, or -1."""
         out = np.full(len(hashes), -1, dtype=np.int64)
@@ -254,6 +266,28 @@ def successor_sequences(context: np.ndarray, word: np.ndarray) -> tuple[EliasFan
     )
 
 
+def narrow(numbers: np.ndarray) -> bytes:
+    """Numbers that are not negative, in 1, 2, 4 or 8 bytes each, as the largest needs."""
+    most = int(numbers.max()) if len(numbers) else 0
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    return numbers.astype(f"<u{width}").tobytes()
+
+
+def pack_mass(node: np.ndarray, mass: np.ndarray) -> bytes:
+    """Rising nodes and their mass, compressed: steps and masses by places of bytes."""
+    steps = np.diff(node, prepend=0).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    values = mass.astype("<f4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(steps.tobytes() + values.tobytes(), 1)
+
+
+def unpack_mass(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(zstandard.decompress(block), dtype=np.uint8)
+    count = len(data) // 12
+    steps = np.ascontiguousarray(data[: 8 * count].reshape(8, count).T).view("<i8").ravel()
+    values = np.ascontiguousarray(data[8 * count :].reshape(4, count).T).view("<f4").ravel()
+    return np.cumsum(steps), values.astype(np.float64)
+
+
 def quantise(p: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-np.log2(np.maximum(p, 1e-300)) * _STEPS), 0, 255).astype(np.uint8)
 
@@ -279,7 +313,7 @@ class Model:
             order = np.argsort(tokens.hashes)
             number[order] = self.levels[0].find_words(tokens.hashes[order])
             known = np.flatnonzero(number >= 0)
-            count[known] = self.levels[0].by_node(number[known], "counts", "<i8")
+            count[known] = self.levels[0].counts(number[known])
         return number, count
 
     def nodes(self, tokens: Tokens, number: np.ndarray, count: np.ndarray, upto: int) -> list[np.ndarray]:
@@ -366,7 +400,7 @@ def train(texts: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, fold
         shard = int(frame["shard"].iloc[0])
         high, low, count = _shard_counts(frame)
         write_file(folder, _name(1, shard, "trie"), EliasFano.build(_whole(high, low)).to_bytes())
-        write_file(folder, _name(1, shard, "counts"), count.astype("<i8").tobytes())
+        write_file(folder, _name(1, shard, "counts"), narrow(count))
         write_file(folder, _name(1, shard, "backoff"), b"\xff" * len(count))
         return pd.DataFrame({"shard": [shard], "nodes": [len(count)], "tokens": [int(count.sum())]})
 
@@ -439,28 +473,27 @@ def _grow(texts: DataFrame, model: Model, n: int, last: bool, min_count: int, sh
         kept = count >= min_count
         context, word, count = context[kept], word[kept], count[kept]
         distinct, back = np.unique(context, return_inverse=True)
-        share = (count - DISCOUNT) / below.by_node(distinct, "counts", "<i8")[back]
+        share = (count - DISCOUNT) / below.counts(distinct)[back]
         trie = b"".join(e.to_bytes() for e in successor_sequences(context, word))
         write_file(folder, _name(n, shard, "trie"), trie)
         write_file(folder, _name(n, shard, "codes"), quantise(share).tobytes())
         if not last:
-            write_file(folder, _name(n, shard, "counts"), count.astype("<i8").tobytes())
+            write_file(folder, _name(n, shard, "counts"), narrow(count))
             write_file(folder, _name(n, shard, "backoff"), b"\xff" * len(count))
         mass = np.bincount(back, share, len(distinct))
         # The mass that each context gives away here, for the files of the level below.
         home = below.shard_of_node(distinct)
         rows = [{"shard": shard, "nodes": len(count), "home": -1, "block": b""}]
         for s in np.unique(home):
-            block = np.concatenate([distinct[home == s].astype("<f8"), mass[home == s]]).astype("<f8").tobytes()
-            rows.append({"shard": shard, "nodes": 0, "home": int(s), "block": block})
+            rows.append({"shard": shard, "nodes": 0, "home": int(s), "block": pack_mass(distinct[home == s], mass[home == s])})
         return pd.DataFrame(rows)
 
     def write_backoff(frame: pd.DataFrame) -> pd.DataFrame:
         shard = int(frame["home"].iloc[0])
         given = np.zeros(int(below.starts[shard + 1] - below.starts[shard]))
         for b in frame["block"]:
-            node, mass = np.frombuffer(b, dtype="<f8").reshape(2, -1)
-            given[node.astype(np.int64) - below.starts[shard]] += mass
+            node, mass = unpack_mass(b)
+            given[node - below.starts[shard]] += mass
         code = np.clip(np.rint((1 - given) * 255), 1, 255).astype(np.uint8)
         write_file(folder, _name(n - 1, shard, "backoff"), code.tobytes())
         return pd.DataFrame({"home": [shard]})
