@@ -30,16 +30,21 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assocframe.llm.common import map_rows
+from assocframe.llm.common import map_rows, mix64
 from assocframe.plans.materialize import materialize
 
 _MARKS = re.compile(r"(?:[ \t]*>)+")
 _BLANK = re.compile(r"\n\s*\n")
 
+# An odd number and its inverse modulo 2 ** 64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
 #: How a part of a quoted passage is looked for.
 WHOLE, PARAGRAPH = range(2)
 
@@ -66,12 +71,26 @@ def normal_form(passage: str) -> str:
     return " ".join(passage.lower().split())
 
 
+class Words:
+    """Words whose runs are hashed by one subtraction each: sums of word hashes times rising powers of an odd base, modulo 2 ** 64."""
+
+    def __init__(self, words: list[str]) -> None:
+        hashes = [xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words]
+        powers = np.ones((2, len(words) + 1), dtype=np.uint64)
+        powers[:, 1:] = np.array([[_BASE], [_INVERSE]], dtype=np.uint64)
+        powers, self.back = np.multiply.accumulate(powers, axis=1)
+        self.sums = np.zeros(len(words) + 1, dtype=np.uint64)
+        np.cumsum(np.array(hashes, dtype=np.uint64) * powers[:-1], out=self.sums[1:])
+
+    def runs(self, start: np.ndarray, end: np.ndarray) -> list[int]:
+        """Signed hashes of the words from each start to its end."""
+        return mix64((self.sums[end] - self.sums[start]) * self.back[start]).view(np.int64).tolist()
+
+
 def digest(passage: str) -> int | None:
     """A signed 64-bit hash of a passage in normal form; none for an empty one."""
-    form = normal_form(passage)
-    if not form:
-        return None
-    return int.from_bytes(xxhash.xxh64_digest(form.encode("utf-8", "surrogatepass")), "big", signed=True)
+    words = passage.lower().split()
+    return Words(words).runs(np.array([0]), np.array([len(words)]))[0] if words else None
 
 
 def line_forms(passage: str) -> list[str]:
@@ -81,15 +100,12 @@ def line_forms(passage: str) -> list[str]:
 def own_digests(own: str, counts: Iterable[int] | None = None) -> set[int]:
     """Hashes of what others may quote: the text, its paragraphs and all lines in a row, of the given counts or of any."""
     found = {d for d in map(digest, [own, *_BLANK.split(own)]) if d is not None}
-    lines = [form.encode("utf-8", "surrogatepass") for form in line_forms(own)]
-    wanted = set(range(1, len(lines) + 1) if counts is None else counts)
-    most = max(wanted, default=0)
-    for start in range(len(lines)):
-        row = xxhash.xxh64()
-        for n, line in enumerate(lines[start : start + most], 1):
-            row.update(line if n == 1 else b" " + line)
-            if n in wanted:
-                found.add(int.from_bytes(row.digest(), "big", signed=True))
+    lines = [form.split(" ") for form in line_forms(own)]
+    words = Words([word for line in lines for word in line])
+    ends = np.cumsum([0, *map(len, lines)])
+    for n in range(1, len(lines) + 1) if counts is None else counts:
+        if 0 < n <= len(lines):
+            found.update(words.runs(ends[:-n], ends[n:]))
     return found
 
 
