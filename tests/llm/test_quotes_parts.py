@@ -71,3 +71,10 @@ def test_lines_in_a_row():
     every = {Q.digest(x) for x in ("a b", "c", "d", "a b c", "c d", "a b c d")}
     assert Q.own_digests(text) == every
     assert Q.own_digests(text, [2]) == every - {Q.digest("c"), Q.digest("d")}
+
+
+def test_runs_of_a_long_message():
+    lines = [f"line {i % 7} w{i}" for i in range(50_000)]
+    found = Q.own_digests("\n".join(lines), [3, 40_000])
+    assert len(found) == 2 + 49_998 + 10_001 - 1  # the whole text is its one paragraph too
+    assert {Q.digest("\n".join(lines[k : k + n])) for k, n in ((0, 3), (777, 3), (49_997, 3), (0, 40_000), (10_000, 40_000))} <= found
