@@ -2,11 +2,12 @@
 
 Values of all columns are sorted together, by column and value; a row number
 tells equal values apart, so a frequent value spreads over many tasks.  The
-sorted values are written once.  Inside a task places are counted from the run of
-its column; what a run needs of the tasks before and after it is one figure per
-task and column: rows before it, and where a value starts and ends that goes on
-in the next task.  One exchange then brings the ranks of a row together.  The
-number of exchanges does not depend on the number of columns.
+sorted values are written once and read as a stream.  Inside a task places are
+counted from the run of its column.  Ties that do not lie in one task, and those
+too long to wait for, are measured first: per task and column the ties at its
+ends and those of ``_SLICE`` rows or more.  So a task holds fewer rows than that,
+however many it reads.  One exchange then brings the ranks of a row together.
+The number of exchanges does not depend on the number of columns.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from assocframe.plans.materialize import materialize
 from assocframe.roles import col
 
+# Ties of so many rows in a task are measured before they are ranked.
 _SLICE = 1 << 16
 
 
@@ -32,10 +34,16 @@ def column_ranks(complete: DataFrame, columns: Sequence[str]) -> tuple[DataFrame
     numbered = complete.select(F.monotonically_increasing_id().alias("id"), F.array(*[col(c) + 0.0 for c in columns]).alias("_x"))
     long = numbered.select("id", F.posexplode("_x").alias("c", "value"))
     placed = materialize(long.orderBy("c", "value", "id").withColumn("part", F.spark_partition_id()))
-    ends = materialize(placed.select("part", "c", "value").mapInArrow(_run_ends, _ENDS))
-    total = ends.filter("c = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    ends = materialize(placed.select("part", "c", "value").mapInArrow(_measured_ties, _TIES))
+    runs = ends.groupBy("part", "c").agg(F.max(col("start") + col("n")).alias("n"))
+    total = runs.filter("c = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # One row per task and column met in it.
-    ranked = placed.join(F.broadcast(_known_ends(ends)), ["part", "c"]).mapInArrow(_rank_runs, _RANKS)
+    along = Window.partitionBy("c").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = runs.select("part", "c", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("before"))
+    # At most two more rows per task and column, and one per _SLICE values.
+    ties = ends.join(before, ["part", "c"]).groupBy("c", "value").agg(F.min(col("before") + col("start")).alias("first"), F.sum("n").alias("rows"))
+    known = placed.join(F.broadcast(before), ["part", "c"]).join(F.broadcast(ties), ["c", "value"], "left")
+    ranked = known.select("id", "c", "value", "before", "first", "rows").mapInArrow(_rank_runs, _RANKS)
     picks = []
     for i in range(len(columns)):
         own = col("c") == i
@@ -43,9 +51,9 @@ def column_ranks(complete: DataFrame, columns: Sequence[str]) -> tuple[DataFrame
     return ranked.groupBy("id").agg(*picks).drop("id"), total
 
 
-_ENDS = "part int, c int, n long, first double, first_n long, last double, last_n long"
+_TIES = "part int, c int, value double, start long, n long"
 _RANKS = "id long, c int, r double, t long"
-_ENDS_ARROW = pa.schema([(n, pa.float64() if n in ("first", "last") else pa.int64() if n.endswith("n") else pa.int32()) for n in ("part", "c", "n", "first", "first_n", "last", "last_n")])
+_TIES_ARROW = pa.schema([("part", pa.int32()), ("c", pa.int32()), ("value", pa.float64()), ("start", pa.int64()), ("n", pa.int64())])
 _RANKS_ARROW = pa.schema([("id", pa.int64()), ("c", pa.int32()), ("r", pa.float64()), ("t", pa.int64())])
 
 
@@ -57,66 +65,63 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a)
 
 
-def _run_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per column of a task its rows, its first and last value and how often each occurs at that end."""
-    now: dict | None = None
+def _tie_starts(x: np.ndarray) -> np.ndarray:
+    return np.append(0, np.flatnonzero(x[1:] != x[:-1]) + 1)
+
+
+def _ties_batch(part: int, c: int, *columns: np.ndarray) -> pa.RecordBatch:
+    n = len(columns[0])
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, c, np.int32)), *map(pa.array, columns)], schema=_TIES_ARROW)
+
+
+def _measured_ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per column of a task its first and last tie and those of at least ``_SLICE`` rows: value, place in the run, rows."""
+    run: tuple[int, int] | None = None
+    open_tie: list[np.ndarray] = []  # value, start and rows of the one that may go on
     for piece in _pieces(batches):
+        own = piece.column("part")[0].as_py(), piece.column("c")[0].as_py()
+        if run is not None and run != own:
+            yield _ties_batch(*run, *open_tie)
+            open_tie = []
+        run = own
         x = piece.column("value").to_numpy()
-        part, c = piece.column("part")[0].as_py(), piece.column("c")[0].as_py()
-        # Sorted, so the values at the ends are found by halves.
-        same_as_first = int(np.searchsorted(x, x[0], "right"))
-        tail = len(x) - int(np.searchsorted(x, x[-1], "left"))
-        if now is None or now["c"] != c:
-            if now is not None:
-                yield pa.RecordBatch.from_pylist([now], schema=_ENDS_ARROW)
-            now = {"part": part, "c": c, "n": len(x), "first": x[0], "first_n": same_as_first, "last": x[-1], "last_n": tail}
-            continue
-        if now["first_n"] == now["n"] and x[0] == now["first"]:
-            now["first_n"] += same_as_first
-        now["last_n"] = tail + (now["last_n"] if tail == len(x) and x[-1] == now["last"] else 0)
-        now["last"] = x[-1]
-        now["n"] += len(x)
-    if now is not None:
-        yield pa.RecordBatch.from_pylist([now], schema=_ENDS_ARROW)
-
-
-def _known_ends(ends: DataFrame) -> DataFrame:
-    """Adds where the first and the last value of each run start in the whole column and how often they occur there."""
-    along = Window.partitionBy("c").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ends.withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0)))
-    one = F.struct(col("first").alias("value"), col("before").alias("start"), col("first_n").alias("rows"))
-    two = F.struct(col("last").alias("value"), (col("before") + col("n") - col("last_n")).alias("start"), col("last_n").alias("rows"))
-    met = placed.select("c", F.inline(F.when(col("first") == col("last"), F.array(one)).otherwise(F.array(one, two))))
-    whole = met.groupBy("c", "value").agg(F.min("start").alias("start"), F.sum("rows").alias("rows"))
-    for side in ("first", "last"):
-        own = whole.select("c", col("value").alias(side), col("start").alias(f"{side}_start"), col("rows").alias(f"{side}_rows"))
-        placed = placed.join(own, ["c", side])
-    return placed.select("part", "c", "before", *[f"{side}_{what}" for side in ("first", "last") for what in ("start", "rows")])
+        cuts = _tie_starts(x)
+        value, start, n = x[cuts], cuts.astype(np.int64), np.diff(np.append(cuts, len(x))).astype(np.int64)
+        if open_tie:
+            start += open_tie[1] + open_tie[2]
+            if value[0] == open_tie[0][0]:
+                start[0], n[0] = open_tie[1][0], n[0] + open_tie[2][0]
+            else:
+                value, start, n = (np.concatenate(both) for both in zip(open_tie, (value, start, n)))
+        kept = np.flatnonzero((start[:-1] == 0) | (n[:-1] >= _SLICE))
+        if len(kept):
+            yield _ties_batch(*run, value[kept], start[kept], n[kept])
+        open_tie = [value[-1:], start[-1:], n[-1:]]
+    if run is not None:
+        yield _ties_batch(*run, *open_tie)
 
 
 def _rank_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[pa.RecordBatch] = []
+    """Average ranks, batch by batch; ``first`` and ``rows`` of a tie are NULL unless it was measured, as the last of a run is."""
+    c, at = None, 0
+    held = ()
     for piece in _pieces(batches):
-        if held and held[0].column("c")[0] != piece.column("c")[0]:
-            yield from _rank_run(held)
-            held = []
-        held.append(piece)
-    if held:
-        yield from _rank_run(held)
-
-
-def _rank_run(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Average ranks of one column's values in one task."""
-    x = np.concatenate([p.column("value").to_numpy() for p in held])
-    ids = np.concatenate([p.column("id").to_numpy() for p in held])
-    known = {name: held[0].column(name)[0].as_py() for name in ("c", "before", "first_start", "first_rows", "last_start", "last_rows")}
-    starts = np.append(0, np.flatnonzero(x[1:] != x[:-1]) + 1)
-    counts = np.diff(np.append(starts, len(x)))
-    first, rows = starts + known["before"], counts.astype(np.int64)
-    first[0], rows[0] = known["first_start"], known["first_rows"]
-    first[-1], rows[-1] = known["last_start"], known["last_rows"]
-    r, t = np.repeat(first + (rows + 1) / 2, counts), np.repeat(rows, counts)
-    for at in range(0, len(x), _SLICE):
-        cut = slice(at, at + _SLICE)
-        n = len(ids[cut])
-        yield pa.RecordBatch.from_arrays([pa.array(ids[cut]), pa.array(np.full(n, known["c"], np.int32)), pa.array(r[cut]), pa.array(t[cut])], schema=_RANKS_ARROW)
+        if piece.column("c")[0].as_py() != c:
+            c, at, held = piece.column("c")[0].as_py(), 0, ()
+        now = [piece.column("value").to_numpy(), piece.column("id").to_numpy(), *(piece.column(k).fill_null(0).to_numpy() for k in ("first", "rows"))]
+        x, ids, first, rows = (np.concatenate(both) for both in zip(held, now)) if held else now
+        starts = _tie_starts(x)
+        # A tie that was not measured may go on in the next batch.
+        closed = len(x) if rows[-1] else int(starts[-1])
+        counts = np.diff(np.append(starts, len(x)))
+        measured = rows > 0
+        first = np.where(measured, first, np.repeat(starts + (piece.column("before")[0].as_py() + at), counts))
+        rows = np.where(measured, rows, np.repeat(counts, counts))
+        r = first + (rows + 1) / 2
+        if closed:
+            columns = [ids[:closed], np.full(closed, c, np.int32), r[:closed], rows[:closed]]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], schema=_RANKS_ARROW)
+        at += closed
+        # What is held is not measured.
+        nothing = np.zeros(len(x) - closed, dtype=np.int64)
+        held = (x[closed:].copy(), ids[closed:].copy(), nothing, nothing) if len(nothing) else ()

@@ -242,6 +242,57 @@ def test_exchanges_of_ranks_do_not_grow_with_columns(spark):
     assert many <= few
 
 
+def test_ranks_are_streamed(monkeypatch):
+    """Neither a long run nor a long tie is held: rows come out soon after they were read."""
+    import pyarrow as pa
+
+    import assocframe.plans.ranks as R
+
+    monkeypatch.setattr(R, "_SLICE", 50)
+    rng = random.Random(7)
+    for x in ([0.0] * 400 + [1.0] * 400, list(range(800)), sorted(rng.choice([0, 1, 2, 3.5, rng.random()]) for _ in range(800))):
+        x = np.array(x, dtype=float)
+        cuts = [0, 5, 130, 131, 400, 800]  # tasks
+        parts = [x[a:b] for a, b in zip(cuts, cuts[1:])]
+        batches = lambda p, n=10: [
+            pa.RecordBatch.from_pydict({"part": pa.array([p] * len(v), pa.int32()), "c": pa.array([0] * len(v), pa.int32()), "value": v})
+            for v in (parts[p][i : i + n] for i in range(0, len(parts[p]), n))
+        ]
+        ties = [t for p in range(5) for b in R._measured_ties(iter(batches(p))) for t in b.to_pylist()]
+        # The ends of a task, and ties of 50 rows.
+        assert len(ties) <= 2 * 5 + 800 // 50
+        before, known = np.cumsum([0] + [len(p) for p in parts]), {}
+        for t in ties:
+            first, rows = known.get(t["value"], (800, 0))
+            known[t["value"]] = min(first, before[t["part"]] + t["start"]), rows + t["n"]
+        got, waiting = {}, []
+        for p in range(5):
+            read = [0]
+
+            def feed():
+                at = before[p]
+                for b in batches(p):
+                    v = b.column("value").to_pylist()
+                    read[0] += len(v)
+                    yield pa.RecordBatch.from_pydict({
+                        "id": np.arange(at, at + len(v)), "c": b.column("c"), "value": v, "before": np.full(len(v), before[p]),
+                        "first": pa.array([int(known[k][0]) if k in known else None for k in v], pa.int64()),
+                        "rows": pa.array([int(known[k][1]) if k in known else None for k in v], pa.int64()),
+                    })
+                    at += len(v)
+
+            done = 0
+            for out in R._rank_runs(feed()):
+                done += out.num_rows
+                waiting.append(read[0] - done)
+                for row in out.to_pylist():
+                    got[row["id"]] = (row["r"], row["t"])
+        assert max(waiting) < 50
+        series = pd.Series(x)
+        want = list(zip(series.rank().tolist(), series.groupby(series).transform("size").tolist()))
+        assert [got[i] for i in range(800)] == want
+
+
 def test_constant_and_empty_columns_are_left_out(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5, None), (2.0, 3.0, 5, None)], "a double, b double, c int, d double")
     assert C.correlatable_columns(df) == ["a", "b"]
