@@ -293,6 +293,14 @@ def test_ranks_are_streamed(monkeypatch):
         assert [got[i] for i in range(800)] == want
 
 
+def test_ranks_of_long_ties(spark):
+    """Ties longer than what a task waits for, and ties over several tasks."""
+    df = spark.range(150_000).selectExpr("id % 2 as a", "CAST(id * 7919 % 150001 AS DOUBLE) as b", "CASE WHEN id < 140000 THEN 3 ELSE id END as c")
+    ranks = df.toPandas().rank()
+    for r in C.correlation(df, ["a", "b", "c"], "spearman").collect():
+        assert r.r == pytest.approx(np.corrcoef(ranks[r.col_a], ranks[r.col_b])[0, 1], abs=1e-9)
+
+
 def test_constant_and_empty_columns_are_left_out(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5, None), (2.0, 3.0, 5, None)], "a double, b double, c int, d double")
     assert C.correlatable_columns(df) == ["a", "b"]
