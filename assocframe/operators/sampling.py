@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from assocframe.functions.scalars import neg_log10
 from assocframe.operators.filters import drop_incomplete
-from assocframe.plans.joins import group_join
+from assocframe.plans.joins import few_groups, group_join
+from assocframe.plans.materialize import materialize
 from assocframe.roles import SCATTER_ALIASES, MissingRole, Roles, col, pick, roles_of, to_double
 
 _DIGITS = 8  # hex digits that cuts are made by
@@ -44,9 +45,14 @@ def _quota_sample(
     columns = [col(c) for c in df.columns]
     hashed = df.withColumns({"_hash": sample_hash(key or df.columns, seed), "_tie": F.xxhash64(*columns), "_every": F.lit(True)})
     keys = list(by) or ["_every"]
-    limits = _cuts(hashed, keys, quota, bounded=not by)
+    limits = _cuts(hashed, keys, quota)
+    few = not by
+    if by:
+        # Written and measured: with few groups the table is cut where it is read and only rows near the cuts travel.
+        limits = materialize(limits)
+        few = few_groups(limits)
     prefix = F.left("_hash", F.lit(_DIGITS))
-    near = group_join(hashed, limits, keys, bounded=not by).filter(prefix < col("_cut"))
+    near = group_join(hashed, limits, keys, few).filter(prefix < col("_cut"))
 
     # Rows ranked in one task are few: more are cut into buckets by their hash.
     buckets = max(1, -(-most // _RANKED))
@@ -57,19 +63,19 @@ def _quota_sample(
         {"_rank": F.row_number().over(own.orderBy("_hash", "_tie")), "_rows": F.count(F.lit(1)).over(own)}
     )
     sizes = _bucket_sizes(ranked, keys, [*df.columns, "_hash"])
-    placed = group_join(ranked, sizes.select(*[col(k) for k in keys], "_bucket", "_before"), [*keys, "_bucket"], bounded=not by)
+    placed = group_join(ranked, sizes.select(*[col(k) for k in keys], "_bucket", "_before"), [*keys, "_bucket"], few and (not by or buckets == 1))
     picked = placed.filter(col("_before") + col("_rank") <= col("_quota"))
 
     # Hashes of rows that share a key come in clumps, so a group may still lack rows behind its cut.
     found = sizes.groupBy(*[col(k) for k in keys]).agg(F.sum("_size").alias("_found"))
     short = _lacking(limits, found, keys)
-    rest = group_join(hashed, short, keys, bounded=not by).filter(prefix >= col("_cut"))
+    rest = group_join(hashed, short, keys, few).filter(prefix >= col("_cut"))
     after = Window.partitionBy(*[col(k) for k in keys]).orderBy("_hash", "_tie")
     topped = rest.withColumn("_rank", F.row_number().over(after)).filter((col("_rank") <= most) & (col("_rank") <= col("_lack")))
     return picked.select(*columns).unionByName(topped.select(*columns))
 
 
-def _cuts(hashed: DataFrame, keys: Sequence[str], quota: Column, bounded: bool) -> DataFrame:
+def _cuts(hashed: DataFrame, keys: Sequence[str], quota: Column) -> DataFrame:
     """Per group its quota and a hash below which, by nine standard deviations, enough rows lie."""
     totals = hashed.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("_total"))
     every = totals.agg(F.coalesce(F.sum("_total"), F.lit(0))).scalar()

@@ -106,6 +106,22 @@ def test_samples_scan_twice(spark, tmp_path):
     assert final.count("FileScan") == 2
 
 
+@pytest.mark.parametrize("sample", [lambda df: S.sample_per_group(df, 100, ["g"], ["id"]), lambda df: S.sample_proportional(df, 300, ["g"], ["id"])])
+def test_samples_of_few_groups_do_not_shuffle_the_table(spark, tmp_path, sample):
+    """Whatever Spark would broadcast itself: only rows near the cut of their group travel, and the table is not sorted."""
+    path = str(tmp_path / "x")
+    spark.range(30_000).selectExpr("id", "NULLIF(id % 3, 2) as g").write.parquet(path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = sample(spark.read.parquet(path))
+        assert {(r.g, r["count"]) for r in found.groupBy("g").count().collect()} == {(None, 100), (0, 100), (1, 100)}
+        found.collect()
+        final = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert final.count("FileScan") == 1 and "SortMergeJoin" not in final
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_samples_per_group(v):
     got = S.sample_per_group(v, 100, ["disorder", "chr"]).groupBy("disorder", "chr").count().collect()
     assert len(got) == 18 and all(r["count"] == 100 for r in got)
