@@ -24,18 +24,19 @@ other columns are never read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assocframe.llm.common import lower_words_of, map_file, mix64, new_folder, write_file
+from assocframe.llm.common import map_file, mix64, new_folder, write_file
 from assocframe.llm.eliasfano import EliasFano
 from assocframe.plans.materialize import materialize
 
@@ -46,7 +47,7 @@ DISCOUNT = 0.75
 WORD_RANGE = 1 << 20
 #: Texts of about so many characters are counted or scored at once, and so many counts held by a task before it adds them up.
 CHARS_AT_ONCE = 6 << 20
-HELD = 2 << 20
+HELD = 5 << 19
 #: Not a word, as it is white space.
 END = b"\n"
 
@@ -72,18 +73,21 @@ def add_up(context: np.ndarray, word: np.ndarray, count: np.ndarray) -> tuple[np
 class Tokens:
     """The tokens of some texts: words and one end each, as places in the list of the distinct ones."""
 
-    def __init__(self, texts: list[str | None]) -> None:
-        place: dict[bytes, int] = {END: 0}
-        parts, sizes = [], np.empty(len(texts), dtype=np.int64)
-        for i, text in enumerate(texts):
-            words = lower_words_of(text)
-            words.append(END)
-            sizes[i] = len(words)
-            parts.append(np.array([place.setdefault(w, len(place)) for w in words], dtype=np.int64))
+    def __init__(self, texts: pa.Array) -> None:
+        found = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+        # White space at the ends of a text leaves empty strings.
+        kept = pc.not_equal(pc.binary_length(found.values), 0)
+        upto = np.concatenate([[0], np.cumsum(kept.to_numpy(zero_copy_only=False), dtype=np.int64)])
+        words = found.values.filter(kept).dictionary_encode()
+        sizes = np.diff(upto[found.offsets.to_numpy()]) + 1
         self.sizes = sizes
         self.starts = np.cumsum(sizes) - sizes
-        self.places = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
-        self.hashes = np.array([xxhash.xxh64_intdigest(w) for w in place], dtype=np.uint64)
+        self.places = np.zeros(len(words) + len(sizes), dtype=np.int64)  # an end has place 0
+        is_word = np.ones(len(self.places), dtype=bool)
+        is_word[self.starts + sizes - 1] = False
+        self.places[is_word] = words.indices.to_numpy() + np.int64(1)
+        distinct = [END, *words.dictionary.cast(pa.binary()).to_pylist()]
+        self.hashes = np.array([xxhash.xxh64_intdigest(w) for w in distinct], dtype=np.uint64)
 
     def before(self) -> np.ndarray:
         """The token before each one; the first of a text follows an end."""
@@ -93,25 +97,24 @@ class Tokens:
         return out
 
 
-def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """Parts of batches of about CHARS_AT_ONCE, with their texts."""
     for batch in batches:
         start = size = 0
-        texts: list = []
-        for i, text in enumerate(batch.column(column)):
-            texts.append(text.as_py())
-            size += len(texts[-1] or "")
+        for i, length in enumerate(pc.utf8_length(batch.column(column)).fill_null(0).to_pylist()):
+            size += length
             if size >= CHARS_AT_ONCE or i + 1 == batch.num_rows:
-                yield batch.slice(start, i + 1 - start), texts
-                start, size, texts = i + 1, 0, []
+                part = batch.slice(start, i + 1 - start)
+                yield part, part.column(column)
+                start, size = i + 1, 0
 
 
 _BLOCKS = pa.schema([("shard", pa.int64()), ("block", pa.binary())])
 
 
-def _blocks(held: list[tuple], shard_of, shards: int) -> Iterator[pa.RecordBatch]:
-    """Counts as one block per shard: steps of contexts, words and counts behind each other, by places of bytes, compressed."""
-    context, word, count = add_up(*(np.concatenate(x) for x in zip(*held, strict=True)))
+def _blocks(summed: tuple, shard_of, shards: int) -> Iterator[pa.RecordBatch]:
+    """Counts of distinct pairs in order as one block per shard: steps of contexts, words and counts behind each other, by places of bytes, compressed."""
+    context, word, count = summed
     shard = shard_of(context, word)
     order = np.argsort(shard, kind="stable")
     ends = np.searchsorted(shard[order], np.arange(shards), side="right")
@@ -173,9 +176,7 @@ class Level:
     def by_node(self, node: np.ndarray, kind: str, dtype: str) -> np.ndarray:
         """A value per node from plain files."""
         out = np.zeros(len(node), dtype=np.dtype(dtype).newbyteorder("="))
-        shard = self.shard_of_node(node)
-        for s in np.unique(shard):
-            rows = shard == s
+        for s, rows in _by_shard(self.shard_of_node(node)):
             data = _mapped(f"{self.folder}/{_name(self.level, s, kind)}").view(dtype)
             out[rows] = data[node[rows] - self.starts[s]]
         return out
@@ -183,9 +184,7 @@ class Level:
     def counts(self, node: np.ndarray) -> np.ndarray:
         """The count of each node; a shard's file holds as many bytes a node as its largest count needs."""
         out = np.zeros(len(node), dtype=np.int64)
-        shard = self.shard_of_node(node)
-        for s in np.unique(shard):
-            rows = shard == s
+        for s, rows in _by_shard(self.shard_of_node(node)):
             data = _mapped(f"{self.folder}/{_name(self.level, s, 'counts')}")
             width = len(data) // int(self.starts[s + 1] - self.starts[s])
             out[rows] = data.view(f"<u{width}")[node[rows] - self.starts[s]]
@@ -194,37 +193,47 @@ class Level:
     def find_words(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of words, or -1."""
         out = np.full(len(hashes), -1, dtype=np.int64)
-        shard = word_shard(hashes, self.shards)
-        for s in np.unique(shard):
+        for s, rows in _by_shard(word_shard(hashes, self.shards)):
             if self.starts[s] < self.starts[s + 1]:
-                rows = np.flatnonzero(shard == s)
                 place = _sequences(f"{self.folder}/{_name(1, s, 'trie')}", 1)[0].find(hashes[rows])
                 out[rows] = np.where(place >= 0, place + self.starts[s], -1)
         return out
 
-    def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Nodes of successors of contexts, or -1: a successor search relative to the context's base."""
+    def find(self, context: np.ndarray, word: np.ndarray, kinds: Sequence[str] = ()) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """Nodes of successors of contexts, or -1: a successor search relative to the context's base; and their bytes of ``kinds`` (or 0)."""
         out = np.full(len(context), -1, dtype=np.int64)
+        read = {kind: np.zeros(len(context), dtype=np.uint8) for kind in kinds}
         asked = np.flatnonzero((context >= 0) & (word >= 0))
-        shard = pair_shard(context[asked], word[asked], self.shards)
-        for s in np.unique(shard):
+        for s, rows in _by_shard(pair_shard(context[asked], word[asked], self.shards)):
             if self.starts[s] == self.starts[s + 1]:
                 continue
             contexts, pointers, successors = _sequences(f"{self.folder}/{_name(self.level, s, 'trie')}", 3)
-            rows = asked[shard == s]
+            rows = asked[rows]
             # Pairs come sorted, so equal contexts stand together and are searched once.
             new = np.concatenate([[True], context[rows][1:] != context[rows][:-1]])
             own = contexts.find(context[rows][new].astype(np.uint64))
-            begin = pointers.access(np.maximum(own, 0)).astype(np.int64)
-            end = pointers.access(np.maximum(own, 0) + 1).astype(np.int64)
+            begin, end = (x.astype(np.int64) for x in pointers.access_two(np.maximum(own, 0)))
             base = np.where(begin > 0, successors.access(np.maximum(begin - 1, 0)), np.uint64(0))
             of = np.cumsum(new) - 1
             known = own[of] >= 0
             rows, of = rows[known], of[known]
             place = successors.find(base[of] + word[rows].astype(np.uint64) + np.uint64(1))
             inside = (place >= begin[of]) & (place < end[of])
-            out[rows[inside]] = place[inside] + self.starts[s]
-        return out
+            rows, place = rows[inside], place[inside]
+            out[rows] = place + self.starts[s]
+            for kind, values in read.items():
+                values[rows] = _mapped(f"{self.folder}/{_name(self.level, s, kind)}")[place]
+        return out, read
+
+
+def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard met and its rows in their order; the work does not grow with rows times shards."""
+    # Two bytes are sorted by their digits.
+    narrow_shard = shard.astype(np.uint16) if len(shard) and int(shard.max()) < 1 << 16 else shard
+    order = np.argsort(narrow_shard, kind="stable")
+    cuts = np.flatnonzero(np.diff(shard[order])) + 1
+    for rows in np.split(order, cuts) if len(order) else ():
+        yield int(shard[rows[0]]), rows
 
 
 _MAPPED: dict[str, np.ndarray] = {}
@@ -322,7 +331,12 @@ class Model:
         ``number`` and ``count`` are those of the distinct tokens; an n-gram is as
         frequent as its rarest word at most, so rarer words are not looked up.
         """
-        found = [number[tokens.places]]
+        return [number[tokens.places], *(n.of_tokens() for n in self.looked_up(tokens, number, count, upto))]
+
+    def looked_up(self, tokens: Tokens, number: np.ndarray, count: np.ndarray, upto: int, scored: bool = False) -> list[LookedUp]:
+        """The same for levels 2 to ``upto``, each distinct n-gram once; ``scored`` with codes and backoff."""
+        found: list[LookedUp] = []
+        below = number[tokens.places]
         frequent = np.where(count >= self.min_count, number, -1)
         word, before = frequent[tokens.places], frequent[tokens.before()]
         for n in range(2, upto + 1):
@@ -331,17 +345,20 @@ class Model:
                 context = before
             else:
                 context = np.full(len(before), -1, dtype=np.int64)
-                context[1:] = found[-1][:-1]
+                context[1:] = below[:-1]
                 context[tokens.starts] = -1
-            node = np.full(len(before), -1, dtype=np.int64)
-            rows = np.flatnonzero((context >= 0) & (word >= 0) & (found[-1] >= 0))
-            if len(rows):
-                c, w, back = _distinct_pairs(context[rows], word[rows])
-                node[rows] = self.levels[n - 1].find(c, w)[back]
-            found.append(node)
+            rows = np.flatnonzero((context >= 0) & (word >= 0) & (below >= 0))
+            c, w, back = (context[:0], word[:0], rows) if not len(rows) else _distinct_pairs(context[rows], word[rows])
+            kinds = () if not scored else ("codes", "backoff") if n < len(self.levels) else ("codes",)
+            node, read = self.levels[n - 1].find(c, w, kinds)
+            found.append(LookedUp(len(before), rows, back, node, read))
+            below = found[-1].of_tokens()
         return found
 
-    def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _word_backoff(self, number: np.ndarray) -> np.ndarray:
+        return self.levels[0].by_node(np.maximum(number, 0), "backoff", "<u1") / 255.0
+
+    def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """n_tokens, n_known, base_score and score of each text."""
         tokens = Tokens(texts)
         number, count = self.numbers(tokens)
@@ -349,23 +366,40 @@ class Model:
         p = base[tokens.places]
         sums = lambda x: np.add.reduceat(x, tokens.starts) if len(x) else x
         base_score = sums(np.log10(base)[tokens.places])
-        found = self.nodes(tokens, number, count, len(self.levels))
-        for n in range(2, len(self.levels) + 1):
-            context = np.full(len(p), -1, dtype=np.int64)
-            if n == 2:
-                context = number[tokens.before()]
-            else:
-                context[1:] = found[n - 2][:-1]
-                context[tokens.starts] = -1
-            known, hit = np.flatnonzero(context >= 0), np.flatnonzero(found[n - 1] >= 0)
-            distinct, back = np.unique(context[known], return_inverse=True)
-            p[known] *= (self.levels[n - 2].by_node(distinct, "backoff", "<u1") / 255.0)[back]
-            distinct, back = np.unique(found[n - 1][hit], return_inverse=True)
-            p[hit] += _PROBABILITY[self.levels[n - 1].by_node(distinct, "codes", "<u1")][back]
+        # What the context of a token leaves to shorter ones; 1 where it is unknown.
+        left = _known(number, self._word_backoff(number), 1.0)[tokens.before()] if self.words else 1.0
+        for n, found in enumerate(self.looked_up(tokens, number, count, len(self.levels), scored=True), 2):
+            p *= left
+            p[found.rows] += _known(found.node, _PROBABILITY[found.read["codes"]], 0.0)[found.back]
+            if n < len(self.levels):
+                own = np.ones(len(p))
+                own[found.rows] = _known(found.node, found.read["backoff"] / 255.0, 1.0)[found.back]
+                left = np.concatenate([[1.0], own[:-1]])
+                left[tokens.starts] = 1.0
         score = sums(np.log10(np.minimum(p, 1.0)))
         return tokens.sizes, sums((count > 0)[tokens.places].astype(np.int64)), base_score, score
 
 
+def _known(node: np.ndarray, value: np.ndarray, other: float) -> np.ndarray:
+    return np.where(node >= 0, value, other)
+
+
+@dataclass(frozen=True)
+class LookedUp:
+    """The n-grams that were looked up: of ``rows`` of ``size`` tokens, at ``back`` among the distinct ones, whose nodes (or -1) are ``node``."""
+
+    size: int
+    rows: np.ndarray
+    back: np.ndarray
+    node: np.ndarray
+    read: dict[str, np.ndarray]
+
+    def of_tokens(self) -> np.ndarray:
+        out = np.full(self.size, -1, dtype=np.int64)
+        out[self.rows] = self.node[self.back]
+        return out
+
+
 def _distinct_pairs(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs in order, and the place of each given pair among them."""
     if int(context.max()) < 1 << 31 and int(word.max()) < 1 << 32:
@@ -386,7 +420,7 @@ def train(texts: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, fold
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        def pairs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             tokens = Tokens(texts)
             count = np.bincount(tokens.places, minlength=len(tokens.hashes))
             seen = count > 0  # a batch holds one end at least
@@ -427,6 +461,7 @@ def _starts(rows: list, shards: int) -> np.ndarray:
 
 
 def _count(batches: Iterator[pa.RecordBatch], pairs, shard_of, shards: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of what ``pairs`` finds; each pair is sorted once, unless few distinct ones are left to go on with."""
     held: list[tuple] = []
     size = 0
     for _, texts in _batches(batches, 0):
@@ -436,10 +471,10 @@ def _count(batches: Iterator[pa.RecordBatch], pairs, shard_of, shards: int) -> I
             held = [add_up(*(np.concatenate(x) for x in zip(*held, strict=True)))]
             size = len(held[0][0])
             if size > HELD // 2:
-                yield from _blocks(held, shard_of, shards)
+                yield from _blocks(held[0], shard_of, shards)
                 held, size = [], 0
     if held:
-        yield from _blocks(held, shard_of, shards)
+        yield from _blocks(add_up(*(np.concatenate(x) for x in zip(*held, strict=True))), shard_of, shards)
 
 
 def _grow(texts: DataFrame, model: Model, n: int, last: bool, min_count: int, shards: int, folder: str) -> Model:
@@ -447,7 +482,7 @@ def _grow(texts: DataFrame, model: Model, n: int, last: bool, min_count: int, sh
     below = model.levels[-1]
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        def pairs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             tokens = Tokens(texts)
             number, count = model.numbers(tokens)
             word = number[tokens.places]
@@ -463,7 +498,7 @@ def _grow(texts: DataFrame, model: Model, n: int, last: bool, min_count: int, sh
                 context[tokens.starts] = -1
                 # An n-gram is as frequent as the two it is made of at most.
                 rows = np.flatnonzero((context >= 0) & (found >= 0))
-            return add_up(context[rows], word[rows], np.ones(len(rows), dtype=np.int64))
+            return context[rows], word[rows], np.ones(len(rows), dtype=np.int64)
 
         yield from _count(batches, pairs, lambda c, w: pair_shard(c, w, shards), shards)
 

@@ -113,3 +113,44 @@ def test_odd_documents(odd, none):
     check(none, 3)
     model = N.train(none.select("text"))
     assert N.score_documents(odd, model, F.lit(False)).count() == odd.count()
+
+
+@pytest.mark.parametrize("spread", [1, 7, 10**6, 2**40])
+def test_elias_fano_against_plain_numbers(spread):
+    """Crowded and empty buckets, long runs of ones and zeros, numbers that repeat, numbers that are missing."""
+    rng = np.random.default_rng(spread % 1000)
+    clumps = np.concatenate([rng.integers(0, 900, 700) + k * spread for k in rng.integers(0, 50, 6)])
+    values = np.sort(np.concatenate([clumps, rng.integers(0, 40 * spread + 1, 500)])).astype(np.uint64)
+    sequence, _ = EliasFano.read(np.frombuffer(EliasFano.build(values).to_bytes(), np.uint8), 0)
+    places = rng.permutation(len(values))
+    assert np.array_equal(sequence.access(places), values[places])
+    one, two = sequence.access_two(places[places < len(values) - 1])
+    assert np.array_equal(one, values[places[places < len(values) - 1]])
+    assert np.array_equal(two, values[places[places < len(values) - 1] + 1])
+    asked = np.concatenate([values, values + np.uint64(1), rng.integers(0, 60 * spread + 2000, 2000).astype(np.uint64)])
+    first = np.searchsorted(values, asked)
+    want = np.where(values[np.minimum(first, len(values) - 1)] == asked, first, -1)
+    assert np.array_equal(sequence.find(asked), np.where(first < len(values), want, -1))
+
+
+def test_tokens_are_words_between_ascii_white_space():
+    """All six marks, at the ends and in a row; other spaces and controls belong to words; parts of longer arrays."""
+    import pyarrow as pa
+    import xxhash
+
+    texts = ["  A b\t\n\x0b\x0c\r a ", None, "", " \n", "É\xa0X\u2003y\x1cZ\x85 \ufeff\U0001f600", "a"]
+    tokens = N.Tokens(pa.array(["lost", *texts, "lost"]).slice(1, len(texts)))
+    want = [[*("" if t is None else t).encode().lower().split(), N.END] for t in texts]
+    assert tokens.sizes.tolist() == [len(w) for w in want]
+    assert tokens.hashes[tokens.places].tolist() == [xxhash.xxh64_intdigest(w) for t in want for w in t]
+    assert len(set(tokens.hashes.tolist())) == len(tokens.hashes) == len({w for t in want for w in t})
+    assert len(N.Tokens(pa.array([], pa.string())).places) == 0
+
+
+def test_work_in_a_shard_does_not_look_at_other_rows():
+    """Rows are dealt to shards by one sort, in their order."""
+    shard = np.random.default_rng(1).integers(0, 70_000, 3000)
+    dealt = list(N._by_shard(shard))
+    assert [s for s, _ in dealt] == sorted(set(shard.tolist()))
+    assert all(rows.tolist() == np.flatnonzero(shard == s).tolist() for s, rows in dealt)
+    assert list(N._by_shard(shard[:0])) == []
