@@ -61,39 +61,134 @@ def add_up(context: np.ndarray, word: np.ndarray, count: np.ndarray) -> tuple[np
     """Distinct pairs in order, with their summed counts."""
     if not len(word):
         return context, word, count
-    if int(context.max()) < 1 << 31 and int(word.max()) < 1 << 32:
-        order = np.argsort(context << np.int64(32) | word)
-    else:
+    low, own = (int(x.max()).bit_length() for x in (word, count))
+    bits = int(context.max()).bit_length() + low
+    if bits > 64:
         order = np.lexsort((word, context))
-    context, word, count = context[order], word[order], count[order]
-    first = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])]))
-    return context[first], word[first], np.add.reduceat(count, first)
+        context, word, count = context[order], word[order], count[order]
+        first = np.flatnonzero(_changes(context) | _changes(word))
+        return context[first], word[first], np.add.reduceat(count, first)
+    key = context.astype(np.uint64) << np.uint64(low) | word.astype(np.uint64)
+    if own == 1:
+        key.sort()
+        first = np.flatnonzero(_changes(key))
+        count = np.diff(np.append(first, len(key)))
+    else:
+        # Numbers are sorted several times faster than their places, so a count goes along in the same number.
+        if bits + own <= 64:
+            key = key << np.uint64(own) | count.astype(np.uint64)
+            key.sort()
+            count = (key & np.uint64((1 << own) - 1)).astype(np.int64)
+            key >>= np.uint64(own)
+        else:
+            order = np.argsort(key, kind="stable")
+            key, count = key[order], count[order]
+        first = np.flatnonzero(_changes(key))
+        count = np.add.reduceat(count, first)
+    key = key[first]
+    return (key >> np.uint64(low)).astype(np.int64), (key & np.uint64((1 << low) - 1)).astype(np.int64), count
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before; the first does."""
+    out = np.ones(len(x), dtype=bool)
+    np.not_equal(x[1:], x[:-1], out=out[1:])
+    return out
+
+
+def order_of(key: np.ndarray, bits: int) -> np.ndarray:
+    """Places that sort unsigned numbers below 2 ** ``bits``.
+
+    Numbers are sorted several times faster than places, so a place goes along in
+    the lowest bits; where that hides bits that decide, places are sorted.
+    """
+    width = max(1, len(key).bit_length())
+    mask = np.uint64((1 << width) - 1)
+    both = key << np.uint64(64 - bits) & ~mask | np.arange(len(key), dtype=np.uint64)
+    both.sort()
+    order = (both & mask).astype(np.int64)
+    if bits + width > 64:
+        there = key[order]
+        if (there[1:] < there[:-1]).any():
+            return np.argsort(key, kind="stable")
+    return order
+
+
+#: Words of so many bytes are hashed one by one.
+_LONG = 32
+_P1, _P2, _P3, _P4, _P5 = (
+    np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+)
+_FOUR_BYTES, _BYTE = np.uint64(0xFFFFFFFF), np.uint64(0xFF)
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return x << np.uint64(bits) | x >> np.uint64(64 - bits)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """XXH64 of parts of ``data``, of all shorter than ``_LONG`` at once."""
+    # The eight bytes from each place on.
+    eights = np.ndarray(len(data), "<u8", np.append(data, np.zeros(8, dtype=np.uint8)), strides=(1,))
+    out = size.astype(np.uint64) + _P5
+    short = size < _LONG
+    for at in range(0, _LONG - 8, 8):
+        rows = np.flatnonzero(short & (size >= at + 8))
+        part = _turned(eights[start[rows] + at] * _P2, 31) * _P1
+        out[rows] = _turned(out[rows] ^ part, 27) * _P1 + _P4
+    rest = size & 7
+    rows = np.flatnonzero(short & (rest >= 4))
+    part = (eights[start[rows] + (size[rows] & ~7)] & _FOUR_BYTES) * _P1
+    out[rows] = _turned(out[rows] ^ part, 23) * _P2 + _P3
+    for i in range(3):
+        rows = np.flatnonzero(short & (rest & 3 > i))
+        part = (eights[start[rows] + (size[rows] & ~3) + i] & _BYTE) * _P5
+        out[rows] = _turned(out[rows] ^ part, 11) * _P1
+    out = (out ^ out >> np.uint64(33)) * _P2
+    out = (out ^ out >> np.uint64(29)) * _P3
+    out ^= out >> np.uint64(32)
+    for i in np.flatnonzero(~short):
+        out[i] = xxhash.xxh64_intdigest(data[start[i] : start[i] + size[i]])
+    return out
+
+
+_END_HASH = np.uint64(xxhash.xxh64_intdigest(END))
 
 
 class Tokens:
-    """The tokens of some texts: words and one end each, as places in the list of the distinct ones."""
+    """The tokens of some texts: words and one end each, as places in the list of the distinct ones, which rise by hash."""
 
     def __init__(self, texts: pa.Array) -> None:
         found = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+        words = found.values
+        _, offsets, data = words.buffers()
+        bounds = np.frombuffer(offsets, dtype=np.int64 if pa.types.is_large_string(words.type) else np.int32)
+        bounds = bounds[words.offset : words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, dtype=np.int64)
+        length = np.diff(bounds)
         # White space at the ends of a text leaves empty strings.
-        kept = pc.not_equal(pc.binary_length(found.values), 0)
-        upto = np.concatenate([[0], np.cumsum(kept.to_numpy(zero_copy_only=False), dtype=np.int64)])
-        words = found.values.filter(kept).dictionary_encode()
+        kept = length > 0
+        upto = np.concatenate([[0], np.cumsum(kept, dtype=np.int64)])
         sizes = np.diff(upto[found.offsets.to_numpy()]) + 1
         self.sizes = sizes
         self.starts = np.cumsum(sizes) - sizes
-        self.places = np.zeros(len(words) + len(sizes), dtype=np.int64)  # an end has place 0
-        is_word = np.ones(len(self.places), dtype=bool)
+        hashes = np.full(int(upto[-1]) + len(sizes), _END_HASH)
+        is_word = np.ones(len(hashes), dtype=bool)
         is_word[self.starts + sizes - 1] = False
-        self.places[is_word] = words.indices.to_numpy() + np.int64(1)
-        distinct = [END, *words.dictionary.cast(pa.binary()).to_pylist()]
-        self.hashes = np.array([xxhash.xxh64_intdigest(w) for w in distinct], dtype=np.uint64)
+        if upto[-1]:
+            hashes[is_word] = word_hashes(np.frombuffer(data, dtype=np.uint8), bounds[:-1][kept], length[kept])
+        order = order_of(hashes, 64)
+        rising = hashes[order]
+        new = _changes(rising)
+        self.hashes = rising[new]
+        self.places = np.empty(len(order), dtype=np.int64)
+        self.places[order] = np.cumsum(new) - 1
+        self.end = int(np.searchsorted(self.hashes, _END_HASH))
 
     def before(self) -> np.ndarray:
         """The token before each one; the first of a text follows an end."""
-        out = np.zeros_like(self.places)
+        out = np.empty_like(self.places)
         out[1:] = self.places[:-1]
-        out[self.starts] = 0
+        out[self.starts] = self.end
         return out
 
 
@@ -112,29 +207,26 @@ def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[p
 _BLOCKS = pa.schema([("shard", pa.int64()), ("block", pa.binary())])
 
 
-def _blocks(summed: tuple, shard_of, shards: int) -> Iterator[pa.RecordBatch]:
+def _blocks(summed: tuple, shard_of) -> Iterator[pa.RecordBatch]:
     """Counts of distinct pairs in order as one block per shard: steps of contexts, words and counts behind each other, by places of bytes, compressed."""
     context, word, count = summed
-    shard = shard_of(context, word)
-    order = np.argsort(shard, kind="stable")
-    ends = np.searchsorted(shard[order], np.arange(shards), side="right")
-    start = 0
-    for s, end in enumerate(ends):
-        rows = order[start:end]
-        if len(rows):
-            numbers = np.concatenate([np.diff(context[rows], prepend=0), word[rows], count[rows]])
-            wide = int(numbers.max()) >= 1 << 32
-            planes = numbers.astype("<i8" if wide else "<u4").view(np.uint8).reshape(len(numbers), -1).T
-            block = zstandard.compress(planes.tobytes(), 1) + bytes([wide])
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([block], pa.binary())], schema=_BLOCKS)
-        start = end
+    for s, rows in _by_shard(shard_of(context, word)):
+        numbers = np.concatenate([np.diff(context[rows], prepend=0), word[rows], count[rows]])
+        wide = int(numbers.max()) >= 1 << 32
+        narrower = numbers.astype(np.uint64 if wide else np.uint32)
+        planes = b"".join((narrower >> narrower.dtype.type(8 * i)).astype(np.uint8).tobytes() for i in range(8 if wide else 4))
+        block = zstandard.compress(planes, 1) + bytes([wide])
+        yield pa.RecordBatch.from_arrays([pa.array([s], pa.int64()), pa.array([block], pa.binary())], schema=_BLOCKS)
 
 
 def _shard_counts(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     parts = []
     for b in frame["block"]:
         planes = np.frombuffer(zstandard.decompress(b[:-1]), dtype=np.uint8).reshape(8 if b[-1] else 4, -1)
-        numbers = np.ascontiguousarray(planes.T).view("<i8" if b[-1] else "<u4").reshape(3, -1).astype(np.int64)
+        numbers = np.zeros(planes.shape[1], dtype=np.uint64 if b[-1] else np.uint32)
+        for i, plane in enumerate(planes):
+            numbers |= plane.astype(numbers.dtype) << numbers.dtype.type(8 * i)
+        numbers = numbers.astype(np.int64).reshape(3, -1)
         numbers[0] = np.cumsum(numbers[0])
         parts.append(numbers)
     return add_up(*np.concatenate(parts, axis=1))
@@ -319,8 +411,7 @@ class Model:
         number = np.full(len(tokens.hashes), -1, dtype=np.int64)
         count = np.zeros(len(number), dtype=np.int64)
         if self.words:
-            order = np.argsort(tokens.hashes)
-            number[order] = self.levels[0].find_words(tokens.hashes[order])
+            number = self.levels[0].find_words(tokens.hashes)
             known = np.flatnonzero(number >= 0)
             count[known] = self.levels[0].counts(number[known])
         return number, count
@@ -338,20 +429,28 @@ class Model:
         found: list[LookedUp] = []
         below = number[tokens.places]
         frequent = np.where(count >= self.min_count, number, -1)
-        word, before = frequent[tokens.places], frequent[tokens.before()]
+        word = frequent[tokens.places]
         for n in range(2, upto + 1):
-            # The context of a token is the node, one level down, that ends at the token before.
+            # The context of a token is the node, one level down, that ends at the token before; told apart by its place in these texts.
             if n == 2:
-                context = before
+                place, node_at = tokens.before(), frequent
+                rows = np.flatnonzero((frequent[place] >= 0) & (word >= 0) & (below >= 0))
             else:
-                context = np.full(len(before), -1, dtype=np.int64)
+                context = np.full(len(below), -1, dtype=np.int64)
                 context[1:] = below[:-1]
                 context[tokens.starts] = -1
-            rows = np.flatnonzero((context >= 0) & (word >= 0) & (below >= 0))
-            c, w, back = (context[:0], word[:0], rows) if not len(rows) else _distinct_pairs(context[rows], word[rows])
+                rows = np.flatnonzero((context >= 0) & (word >= 0) & (below >= 0))
+                # Numbered as their nodes rise, so that files are read from one end to the other.
+                order = order_of((found[-1].node + 1).astype(np.uint64), max(1, int(self.levels[n - 2].starts[-1]).bit_length()))
+                node_at, rank = found[-1].node[order], np.empty_like(order)
+                rank[order] = np.arange(len(order))
+                place = np.zeros(len(below), dtype=np.int64)
+                place[found[-1].rows] = rank[found[-1].back]
+                place[1:] = place[:-1].copy()
+            c, w, back = (place[:0], place[:0], rows) if not len(rows) else _distinct_pairs(place[rows], tokens.places[rows])
             kinds = () if not scored else ("codes", "backoff") if n < len(self.levels) else ("codes",)
-            node, read = self.levels[n - 1].find(c, w, kinds)
-            found.append(LookedUp(len(before), rows, back, node, read))
+            node, read = self.levels[n - 1].find(node_at[c], number[w], kinds)
+            found.append(LookedUp(len(below), rows, back, node, read))
             below = found[-1].of_tokens()
         return found
 
@@ -402,12 +501,11 @@ class LookedUp:
 
 def _distinct_pairs(context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs in order, and the place of each given pair among them."""
-    if int(context.max()) < 1 << 31 and int(word.max()) < 1 << 32:
-        order = np.argsort(context << np.int64(32) | word)
-    else:
-        order = np.lexsort((word, context))
+    low = max(1, int(word.max()).bit_length())
+    bits = int(context.max()).bit_length() + low
+    order = np.lexsort((word, context)) if bits > 64 else order_of(context.astype(np.uint64) << np.uint64(low) | word.astype(np.uint64), bits)
     c, w = context[order], word[order]
-    new = np.concatenate([[True], (c[1:] != c[:-1]) | (w[1:] != w[:-1])])
+    new = _changes(c) | _changes(w)
     back = np.empty(len(order), dtype=np.int64)
     back[order] = np.cumsum(new) - 1
     return c[new], w[new], back
@@ -422,13 +520,11 @@ def train(texts: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, fold
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             tokens = Tokens(texts)
-            count = np.bincount(tokens.places, minlength=len(tokens.hashes))
-            seen = count > 0  # a batch holds one end at least
-            hashes = tokens.hashes[seen]
             # A hash as two halves, so that all numbers fit signed 64 bits.
-            return (hashes >> np.uint64(32)).astype(np.int64), (hashes & np.uint64(0xFFFFFFFF)).astype(np.int64), count[seen]
+            high, low = (tokens.hashes >> np.uint64(32)).astype(np.int64), (tokens.hashes & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            return high, low, np.bincount(tokens.places)
 
-        yield from _count(batches, pairs, lambda c, w: word_shard(_whole(c, w), shards), shards)
+        yield from _count(batches, pairs, lambda c, w: word_shard(_whole(c, w), shards))
 
     def write_words(frame: pd.DataFrame) -> pd.DataFrame:
         shard = int(frame["shard"].iloc[0])
@@ -460,21 +556,29 @@ def _starts(rows: list, shards: int) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes)])
 
 
-def _count(batches: Iterator[pa.RecordBatch], pairs, shard_of, shards: int) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], pairs, shard_of) -> Iterator[pa.RecordBatch]:
     """Blocks of what ``pairs`` finds; each pair is sorted once, unless few distinct ones are left to go on with."""
     held: list[tuple] = []
+    summed: list[tuple] = []
     size = 0
+
+    def all_summed() -> tuple:
+        parts = [*summed, add_up(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+        return add_up(*(np.concatenate(x) for x in zip(*parts, strict=True))) if len(parts) > 1 else parts[0]
+
     for _, texts in _batches(batches, 0):
         held.append(pairs(texts))
         size += len(held[-1][0])
         if size > HELD:
-            held = [add_up(*(np.concatenate(x) for x in zip(*held, strict=True)))]
-            size = len(held[0][0])
+            summed, held = [all_summed()], []
+            size = len(summed[0][0])
             if size > HELD // 2:
-                yield from _blocks(held[0], shard_of, shards)
-                held, size = [], 0
+                yield from _blocks(summed[0], shard_of)
+                summed, size = [], 0
     if held:
-        yield from _blocks(add_up(*(np.concatenate(x) for x in zip(*held, strict=True))), shard_of, shards)
+        summed = [all_summed()]
+    if summed:
+        yield from _blocks(summed[0], shard_of)
 
 
 def _grow(texts: DataFrame, model: Model, n: int, last: bool, min_count: int, shards: int, folder: str) -> Model:
@@ -500,7 +604,7 @@ def _grow(texts: DataFrame, model: Model, n: int, last: bool, min_count: int, sh
                 rows = np.flatnonzero((context >= 0) & (found >= 0))
             return context[rows], word[rows], np.ones(len(rows), dtype=np.int64)
 
-        yield from _count(batches, pairs, lambda c, w: pair_shard(c, w, shards), shards)
+        yield from _count(batches, pairs, lambda c, w: pair_shard(c, w, shards))
 
     def write_level(frame: pd.DataFrame) -> pd.DataFrame:
         shard = int(frame["shard"].iloc[0])

@@ -147,6 +147,41 @@ def test_tokens_are_words_between_ascii_white_space():
     assert len(N.Tokens(pa.array([], pa.string())).places) == 0
 
 
+def test_words_are_hashed_together(monkeypatch):
+    """Words of all lengths, the last at the end of the bytes; only long ones are hashed one by one."""
+    import pyarrow as pa
+    import xxhash
+
+    words = ["w" * n + chr(n) + "é" * (n % 3) for n in range(1, 60) if not chr(n).isspace()]
+    want = [xxhash.xxh64_intdigest(w) for w in [*map(str.encode, words), N.END]]
+    alone, plain = [], xxhash.xxh64_intdigest
+    monkeypatch.setattr(N.xxhash, "xxh64_intdigest", lambda w: alone.append(len(w)) or plain(w))
+    tokens = N.Tokens(pa.array([" ".join(words)]))
+    assert tokens.hashes[tokens.places].tolist() == want
+    assert alone and min(alone) >= 32
+
+
+@pytest.mark.parametrize("bits, counts", [((4, 3), 1), ((4, 3), 9), ((31, 33), 1), ((31, 33), 1 << 40), ((40, 30), 5)])
+def test_pairs_are_summed_whatever_their_bits(bits, counts):
+    rng = np.random.default_rng(3)
+    c, w = (rng.integers(0, 1 << b, 50)[rng.integers(0, 50, 3000)] for b in bits)
+    n = rng.integers(1, counts + 1, len(c))
+    want = Counter()
+    for key, more in zip(zip(c.tolist(), w.tolist()), n.tolist()):
+        want[key] += more
+    context, word, count = N.add_up(c, w, n)
+    assert list(zip(zip(context.tolist(), word.tolist()), count.tolist())) == sorted(want.items())
+
+
+@pytest.mark.parametrize("bits", [1, 20, 50, 64])
+def test_places_sort_numbers_that_differ_in_the_lowest_bits_only(bits):
+    rng = np.random.default_rng(5)
+    for key in (rng.integers(0, 2, 5000), rng.integers(0, 1 << min(bits, 62), 5000), np.zeros(0, dtype=int), np.zeros(1, dtype=int)):
+        key = (key % (1 << min(bits, 62))).astype(np.uint64)
+        order = N.order_of(key, bits)
+        assert np.array_equal(np.sort(order), np.arange(len(key))) and np.array_equal(key[order], np.sort(key))
+
+
 def test_work_in_a_shard_does_not_look_at_other_rows():
     """Rows are dealt to shards by one sort, in their order."""
     shard = np.random.default_rng(1).integers(0, 70_000, 3000)
